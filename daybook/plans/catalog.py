@@ -103,3 +103,335 @@ FROM lineitem GROUP BY 1
 def fare_p95_by_year(spark, sf_dir):
     return trips.percentile_by_year(_table(spark, sf_dir, "lineitem"), "l_extendedprice", 0.95,
                                     ts="l_shipdate")
+
+
+# ---------------------------------------------------------------- logs
+#
+# Log queries read text files rendered from `events` (daybook.sources.rendered):
+# application = user, container = event_id % 5 + 1, level by event type,
+# one line per event in the base corpus. The oracle recomputes each result
+# from the `events` columns.
+
+from daybook.functions import parse  # noqa: E402
+from daybook.operators import distribution, levels, sampling, usage  # noqa: E402
+from daybook.sources import number_lines, rendered  # noqa: E402
+
+SAMPLE_SEED = 7
+SAMPLE_SIZE = 10
+PATTERN = "ev.purchase: value"
+
+_EV = """
+ev AS (
+  SELECT event_id, user_id, event_type, value, ts,
+         date_trunc('second', ts) AS line_ts,
+         CAST(1485248649253 + CASE WHEN user_id % 10 < 6 THEN 0 ELSE user_id % 10 - 5 END
+              AS VARCHAR) AS cluster_id,
+         lpad(CAST(user_id AS VARCHAR), 4, '0') AS app_number,
+         lpad(CAST(event_id % 5 + 1 AS VARCHAR), 6, '0') AS container_number,
+         CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'purchase' THEN 'WARN'
+                         WHEN 'click' THEN 'DEBUG' WHEN 'view' THEN 'INFO' END AS level,
+         ['INFO', 'WARN', 'ERROR', 'DEBUG'][CAST((event_id // 7) % 4 AS INTEGER) + 1] AS second_level
+  FROM events),
+evk AS (
+  SELECT *, 'application_' || cluster_id || '_' || app_number AS application_id,
+         'container_' || cluster_id || '_' || app_number || '_01_' || container_number AS container_id
+  FROM ev),
+base AS (
+  SELECT *,
+         CASE WHEN level IS NULL THEN chr(9) || 'at frame'
+              ELSE strftime(ts, '%y/%m/%d %H:%M:%S') || ' ' || level || ' ev.' || event_type
+                   || ': value = ' || printf('%.2f', value)
+                   || CASE WHEN event_id % 7 = 0 THEN ' ' || second_level ELSE '' END
+         END AS line,
+         row_number() OVER (PARTITION BY container_id ORDER BY line_ts, event_id) AS line_no
+  FROM evk)"""
+
+
+def _logs(spark, sf_dir, positions=False):
+    return rendered.rendered_logs(spark, sf_dir, rendered.BASE, positions=positions)
+
+
+def _round(df: DataFrame, cols, digits=6) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c), digits) for c in cols})
+
+
+@register("log_level_counts", f"""
+WITH {_EV}
+SELECT level, count(*) AS count FROM base WHERE level IS NOT NULL GROUP BY level
+""")
+def log_level_counts(spark, sf_dir):
+    return levels.level_counts(_logs(spark, sf_dir))
+
+
+@register("log_level_summary", f"""
+WITH {_EV},
+per AS (SELECT level, count(*) AS count FROM base WHERE level IS NOT NULL GROUP BY level),
+tot AS (SELECT count(*) AS total_lines, count(level) AS lines_with_level,
+               count(DISTINCT level) AS unique_levels FROM base)
+SELECT level, count, CAST(count AS DOUBLE) * 100.0::DOUBLE / lines_with_level AS pct,
+       total_lines, lines_with_level, unique_levels
+FROM per, tot
+""")
+def log_level_summary(spark, sf_dir):
+    return levels.level_summary(_logs(spark, sf_dir))
+
+
+@register("log_level_report", f"""
+WITH {_EV},
+per AS (SELECT level, count(*) AS count FROM base WHERE level IS NOT NULL GROUP BY level),
+tot AS (SELECT count(*) AS total_lines, count(level) AS lines_with_level,
+               count(DISTINCT level) AS unique_levels FROM base)
+SELECT 1 AS line_no, 'Total log lines processed: ' || total_lines AS text FROM tot
+UNION ALL SELECT 2, 'Total lines with log levels: ' || lines_with_level FROM tot
+UNION ALL SELECT 3, 'Unique log levels found: ' || unique_levels FROM tot
+UNION ALL SELECT 4, ''
+UNION ALL SELECT 5, 'Log level distribution:'
+UNION ALL
+SELECT CAST(5 + row_number() OVER (ORDER BY count DESC, level) AS INTEGER),
+       printf('  %-5s : %10d (%6.2f%%)', level, count,
+              CAST(count AS DOUBLE) * 100.0::DOUBLE / lines_with_level)
+FROM per, tot
+""")
+def log_level_report(spark, sf_dir):
+    return levels.level_report(levels.level_summary(_logs(spark, sf_dir)))
+
+
+@register("log_sample", f"""
+WITH {_EV}
+SELECT strftime(ts, '%y/%m/%d %H:%M:%S') AS timestamp, level, line AS message,
+       container_id, line_no
+FROM base WHERE level IS NOT NULL
+ORDER BY md5('{SAMPLE_SEED}:' || container_id || ':' || line_no), container_id, line_no
+LIMIT {SAMPLE_SIZE}
+""")
+def log_sample(spark, sf_dir):
+    numbered = number_lines(_logs(spark, sf_dir, positions=True))
+    parsed = (levels.with_level(numbered)
+              .withColumn("container_id", parse.container_id("file_path")))
+    picked = sampling.sample_rows(parsed, SAMPLE_SIZE, SAMPLE_SEED, ["container_id", "line_no"])
+    return picked.select("timestamp", "level", "message", "container_id", "line_no")
+
+
+@register("component_counts", f"""
+WITH {_EV}
+SELECT CASE WHEN level IS NULL THEN '' ELSE 'ev.' || event_type END AS component,
+       count(*) AS count
+FROM base GROUP BY 1
+""")
+def component_counts(spark, sf_dir):
+    return levels.component_counts(_logs(spark, sf_dir))
+
+
+@register("severity_occurrences", f"""
+WITH {_EV},
+words AS (SELECT level FROM base WHERE level IS NOT NULL
+          UNION ALL
+          SELECT second_level FROM base WHERE level IS NOT NULL AND event_id % 7 = 0)
+SELECT level, count(*) AS occurrences FROM words GROUP BY level
+""")
+def severity_occurrences(spark, sf_dir):
+    return levels.severity_occurrences(_logs(spark, sf_dir))
+
+
+@register("error_lines", f"""
+WITH {_EV}
+SELECT application_id, container_id, line AS value
+FROM base WHERE contains(line, 'ERROR')
+""")
+def error_lines(spark, sf_dir):
+    hits = levels.lines_containing(_logs(spark, sf_dir), "ERROR")
+    return hits.select(parse.application_id("file_path").alias("application_id"),
+                       parse.container_id("file_path").alias("container_id"), "value")
+
+
+@register("pattern_lines", f"""
+WITH {_EV}
+SELECT container_id, line_no, line AS value
+FROM base WHERE contains(line, '{PATTERN}')
+ORDER BY container_id, line_no LIMIT 20
+""")
+def pattern_lines(spark, sf_dir):
+    numbered = number_lines(_logs(spark, sf_dir, positions=True))
+    top = levels.first_lines_containing(numbered, PATTERN, 20)
+    return top.select(parse.container_id("file_path").alias("container_id"), "line_no", "value")
+
+
+_TIMELINE = """
+timeline AS (
+  SELECT cluster_id, application_id, app_number,
+         CAST(date_trunc('second', min(ts)) AS TIMESTAMP) AS start_time,
+         CAST(date_trunc('second', max(ts)) AS TIMESTAMP) AS end_time
+  FROM evk WHERE event_type <> 'signup'
+  GROUP BY cluster_id, application_id, app_number),
+summary AS (
+  SELECT cluster_id, count(*) AS num_applications, min(start_time) AS cluster_first_app,
+         max(end_time) AS cluster_last_app
+  FROM timeline GROUP BY cluster_id)"""
+
+
+def _timeline(spark, sf_dir):
+    return usage.app_timeline(_logs(spark, sf_dir))
+
+
+@register("app_timeline", f"WITH {_EV}, {_TIMELINE} SELECT * FROM timeline")
+def app_timeline(spark, sf_dir):
+    return _timeline(spark, sf_dir)
+
+
+@register("cluster_summary", f"WITH {_EV}, {_TIMELINE} SELECT * FROM summary")
+def cluster_summary(spark, sf_dir):
+    return usage.cluster_summary(_timeline(spark, sf_dir))
+
+
+@register("cluster_stats", f"""
+WITH {_EV}, {_TIMELINE}
+SELECT count(*) AS total_clusters, CAST(sum(num_applications) AS BIGINT) AS total_applications,
+       CAST(sum(num_applications) AS DOUBLE) / count(*) AS avg_apps_per_cluster
+FROM summary
+""")
+def cluster_stats(spark, sf_dir):
+    return usage.cluster_stats(usage.cluster_summary(_timeline(spark, sf_dir)))
+
+
+@register("cluster_ranking", f"""
+WITH {_EV}, {_TIMELINE}
+SELECT * FROM summary ORDER BY num_applications DESC, cluster_id
+""")
+def cluster_ranking(spark, sf_dir):
+    return usage.cluster_ranking(usage.cluster_summary(_timeline(spark, sf_dir)))
+
+
+@register("cluster_stats_report", f"""
+WITH {_EV}, {_TIMELINE},
+st AS (SELECT count(*) AS c, sum(num_applications) AS a FROM summary)
+SELECT 1 AS line_no, 'Total unique clusters: ' || c AS text FROM st
+UNION ALL SELECT 2, 'Total applications: ' || a FROM st
+UNION ALL SELECT 3, printf('Average applications per cluster: %.2f', CAST(a AS DOUBLE) / c) FROM st
+UNION ALL SELECT 4, ''
+UNION ALL SELECT 5, 'Most heavily used clusters:'
+UNION ALL
+SELECT CAST(5 + row_number() OVER (ORDER BY num_applications DESC, cluster_id) AS INTEGER),
+       printf('  Cluster %s: %d applications', cluster_id, num_applications)
+FROM summary
+""")
+def cluster_stats_report(spark, sf_dir):
+    return usage.cluster_stats_report(usage.cluster_summary(_timeline(spark, sf_dir)))
+
+
+_DURATIONS = """
+top AS (SELECT cluster_id FROM summary ORDER BY num_applications DESC, cluster_id LIMIT 1),
+durations AS (
+  SELECT t.*, CAST(date_diff('second', start_time, end_time) AS DOUBLE) AS duration_sec
+  FROM timeline t WHERE cluster_id IN (SELECT cluster_id FROM top)
+    AND date_diff('second', start_time, end_time) > 0),
+lx AS (SELECT log10(duration_sec) AS x FROM durations),
+b AS (SELECT min(x) AS lo0, max(x) AS hi0, count(*) AS n, stddev_samp(x) AS sd FROM lx),
+e AS (SELECT *, CASE WHEN hi0 > lo0 THEN lo0 ELSE lo0 - 0.5 END AS first_edge,
+                CASE WHEN hi0 > lo0 THEN hi0 ELSE hi0 + 0.5 END AS last_edge FROM b)"""
+
+
+@register("largest_cluster_durations", f"WITH {_EV}, {_TIMELINE}, {_DURATIONS} SELECT * FROM durations")
+def largest_cluster_durations(spark, sf_dir):
+    return usage.largest_cluster_durations(_timeline(spark, sf_dir))
+
+
+@register("duration_histogram", f"""
+WITH {_EV}, {_TIMELINE}, {_DURATIONS},
+binned AS (
+  SELECT CAST(least(29, floor((x - first_edge) / (last_edge - first_edge) * 30)) AS INTEGER) AS bin,
+         count(*) AS cnt
+  FROM lx, e GROUP BY 1),
+axis AS (SELECT CAST(range AS INTEGER) AS bin FROM range(30))
+SELECT axis.bin,
+       round(first_edge + axis.bin * (last_edge - first_edge) / 30, 6) AS log_lo,
+       round(first_edge + (axis.bin + 1) * (last_edge - first_edge) / 30, 6) AS log_hi,
+       round(pow(10, first_edge + axis.bin * (last_edge - first_edge) / 30), 6) AS lo,
+       round(pow(10, first_edge + (axis.bin + 1) * (last_edge - first_edge) / 30), 6) AS hi,
+       coalesce(cnt, 0) AS count, n
+FROM axis CROSS JOIN e LEFT JOIN binned ON binned.bin = axis.bin
+""")
+def duration_histogram(spark, sf_dir):
+    h = distribution.log_histogram(usage.largest_cluster_durations(_timeline(spark, sf_dir)))
+    return _round(h, ["log_lo", "log_hi", "lo", "hi"])
+
+
+@register("duration_density", f"""
+WITH {_EV}, {_TIMELINE}, {_DURATIONS},
+g AS (SELECT CAST(range AS INTEGER) AS i FROM range(200)),
+pts AS (SELECT i, lo0 + i * (hi0 - lo0) / 199 AS gx, n, sd * pow(n, -0.2) AS h,
+               (last_edge - first_edge) / 30 AS bw FROM g, e),
+s AS (SELECT i, gx, n, h, bw, sum(exp(-0.5 * ((gx - x) / h) * ((gx - x) / h))) AS sm
+      FROM pts, lx GROUP BY i, gx, n, h, bw)
+SELECT i AS grid_index, round(gx, 6) AS log_x, round(pow(10, gx), 6) AS x,
+       round(sm / (n * h * sqrt(2 * pi())), 6) AS density,
+       round(sm / (n * h * sqrt(2 * pi())) * n * bw, 6) AS scaled_count
+FROM s
+""")
+def duration_density(spark, sf_dir):
+    d = distribution.log_density(usage.largest_cluster_durations(_timeline(spark, sf_dir)))
+    return _round(d, ["log_x", "x", "density", "scaled_count"])
+
+
+@register("file_inventory", f"""
+WITH {_EV}
+SELECT count(DISTINCT application_id) AS applications, count(DISTINCT container_id) AS files,
+       count(*) AS lines
+FROM evk
+""")
+def file_inventory(spark, sf_dir):
+    return usage.file_inventory(_logs(spark, sf_dir))
+
+
+@register("files_per_app", f"""
+WITH {_EV}
+SELECT application_id, count(DISTINCT container_id) AS files, count(*) AS lines
+FROM evk GROUP BY application_id
+""")
+def files_per_app(spark, sf_dir):
+    return usage.files_per_app(_logs(spark, sf_dir))
+
+
+@register("container_files", f"""
+WITH {_EV}
+SELECT application_id, container_id, '01' AS attempt, container_number,
+       CASE WHEN container_number = '000001' THEN 'application_master' ELSE 'executor' END AS role,
+       count(*) AS lines,
+       CAST(min(line_ts) FILTER (WHERE level IS NOT NULL) AS TIMESTAMP) AS first_time,
+       CAST(max(line_ts) FILTER (WHERE level IS NOT NULL) AS TIMESTAMP) AS last_time,
+       CAST(date_diff('second', min(line_ts) FILTER (WHERE level IS NOT NULL),
+                      max(line_ts) FILTER (WHERE level IS NOT NULL)) AS DOUBLE) AS span_sec
+FROM evk GROUP BY application_id, container_id, container_number
+""")
+def container_files(spark, sf_dir):
+    return usage.files(_logs(spark, sf_dir)).drop("file_path")
+
+
+@register("containers_by_role", f"""
+WITH {_EV},
+f AS (SELECT application_id, container_id, container_number, count(*) AS lines
+      FROM evk GROUP BY ALL)
+SELECT application_id,
+       count(*) FILTER (WHERE container_number = '000001') AS am_containers,
+       count(*) FILTER (WHERE container_number <> '000001') AS executor_containers,
+       CAST(coalesce(sum(lines) FILTER (WHERE container_number = '000001'), 0) AS BIGINT) AS am_lines,
+       CAST(coalesce(sum(lines) FILTER (WHERE container_number <> '000001'), 0) AS BIGINT) AS executor_lines
+FROM f GROUP BY application_id
+""")
+def containers_by_role(spark, sf_dir):
+    return usage.containers_by_role(usage.files(_logs(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- smoke / SQL text
+
+@register("even_keys_doubled", """
+SELECT o_orderkey * 2 AS doubled_key FROM orders WHERE o_orderkey % 2 = 0
+""")
+def even_keys_doubled(spark, sf_dir):
+    o = _table(spark, sf_dir, "orders")
+    return o.where(F.col("o_orderkey") % 2 == 0).select((F.col("o_orderkey") * 2).alias("doubled_key"))
+
+
+@register("sql_count", "SELECT COUNT(*) AS total FROM orders")
+def sql_count(spark, sf_dir):
+    from daybook.sources import sql_count as count_view
+    return count_view(spark, _table(spark, sf_dir, "orders"), "orders_view")

@@ -1,0 +1,170 @@
+"""Spark-on-YARN style log files rendered from the ``events`` table.
+
+The reference's raw logs are not available, so the log workloads run on
+text files that Spark writes from ``events``: one directory per application,
+one file per container, lines in time order. Every value in a line is a
+function of an event's columns, so an independent SQL oracle can compute
+each expected result straight from ``events``.
+
+Rendering is a narrow projection per template (no shuffle) followed by one
+repartition by container for the write, so it scales with ``events``.
+
+Layout: ``<root>/k=application_<cluster>_<nnnn>/c=container_<cluster>_<nnnn>_01_<nnnnnn>/part-*.txt``
+(the path patterns are unanchored, so the ``k=``/``c=`` prefixes are harmless).
+"""
+
+from __future__ import annotations
+
+import hashlib
+import os
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from daybook.session import scratch_path
+from daybook.sources.text import read_logs
+
+# --- Fixed values of the rendering rule (see FIXTURES.md section 3). ---
+CLUSTER_BASE = 1485248649253
+LINE_TIME_FORMAT = "yy/MM/dd HH:mm:ss"
+EVENT_LEVELS = {"error": "ERROR", "purchase": "WARN", "click": "DEBUG", "view": "INFO"}
+SECOND_LEVELS = ["INFO", "WARN", "ERROR", "DEBUG"]
+UNLEVELED_LINE = "\tat frame"
+# --- end of fixed values ---
+
+BASE = ("base",)
+YARN = ("base", "executor_request", "container_request", "task_running", "task_finished",
+        "python_times", "input_split", "memory_store", "block_stored", "error_trace",
+        "broadcast_read")
+
+
+def _keys(ev: DataFrame) -> DataFrame:
+    uid, eid = F.col("user_id"), F.col("event_id")
+    cidx = F.when(uid % 10 < 6, F.lit(0)).otherwise(uid % 10 - 5)
+    cluster = (F.lit(CLUSTER_BASE) + cidx).cast("string")
+    num = F.lpad(uid.cast("string"), 4, "0")
+    return ev.select(
+        "event_id", "user_id", "event_type", "value", "ts",
+        F.concat(F.lit("application_"), cluster, F.lit("_"), num).alias("k"),
+        F.concat(F.lit("container_"), cluster, F.lit("_"), num, F.lit("_01_"),
+                 F.lpad((eid % 5 + 1).cast("string"), 6, "0")).alias("c"),
+    )
+
+
+def _stamp(ts: Column) -> Column:
+    return F.date_format(ts, LINE_TIME_FORMAT)
+
+
+def _s(c) -> Column:
+    return (c if isinstance(c, Column) else F.lit(c)).cast("string")
+
+
+def _info(ts: Column, component: str, *msg) -> Column:
+    return F.concat(_stamp(ts), F.lit(f" INFO {component}: "), *[_s(m) for m in msg])
+
+
+def _template(ev: DataFrame, name: str, seq: int) -> DataFrame:
+    eid, uid, ts, v = F.col("event_id"), F.col("user_id"), F.col("ts"), F.col("value")
+    when = ts
+    rows = ev
+    if name == "base":
+        level = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(lv))
+                             for k, lv in EVENT_LEVELS.items()])
+        second = F.element_at(F.array(*[F.lit(x) for x in SECOND_LEVELS]),
+                              ((eid / 7).cast("bigint") % 4 + 1).cast("int"))
+        line = F.concat(_stamp(ts), F.lit(" "), level, F.lit(" ev."), F.col("event_type"),
+                        F.lit(": value = "), F.format_string("%.2f", v),
+                        F.when(eid % 7 == 0, F.concat(F.lit(" "), second)).otherwise(F.lit("")))
+        text = F.when(level.isNull(), F.lit(UNLEVELED_LINE)).otherwise(line)
+    elif name == "executor_request":
+        text = _info(ts, "yarn.YarnAllocator", "Will request ", eid % 16 + 1,
+                     " executor containers, each with 5 cores and 28160 MB memory",
+                     F.when(eid % 2 == 0, F.lit(" including 2560 MB overhead")).otherwise(F.lit("")))
+    elif name == "container_request":
+        host = F.when(eid % 3 == 0, F.lit("Any")).otherwise(F.concat(F.lit("host-"), _s(eid % 4)))
+        text = _info(ts, "yarn.YarnAllocator", "Container request (host: ", host,
+                     ", capability: <memory:28160, vCores:5>)")
+    elif name in ("task_running", "task_finished"):
+        task = F.concat(_s(eid % 97), F.lit("."), _s((eid / 10).cast("bigint") % 2),
+                        F.lit(" in stage "), _s(eid % 7), F.lit(".0 (TID "), _s(eid), F.lit(")"))
+        if name == "task_running":
+            text = _info(ts, "executor.Executor", "Running task ", task)
+        else:
+            rows = ev.where(eid % 10 != 0)
+            when = ts + F.make_interval(secs=F.floor(v).cast("int"))
+            text = _info(when, "executor.Executor", "Finished task ", task, ". ",
+                         eid % 2000 + 1000, " bytes result sent to driver")
+    elif name == "python_times":
+        boot = F.when(eid % 2 == 1, -(eid % 50)).otherwise(eid % 50)
+        init, fin = eid % 90, eid % 4
+        text = _info(ts, "python.PythonRunner", "Times: total = ", boot + init + fin,
+                     ", boot = ", boot, ", init = ", init, ", finish = ", fin)
+    elif name == "input_split":
+        text = _info(ts, "rdd.HadoopRDD", "Input split: hdfs://h:9000/f", uid % 3, ":",
+                     (eid % 8) * 1048576, "+", eid % 1000 + 1)
+    elif name == "memory_store":
+        text = _info(ts, "storage.MemoryStore", "MemoryStore started with capacity ",
+                     F.format_string("%.1f", (eid % 8 + 1) * 0.5), " ",
+                     F.when(eid % 2 == 0, F.lit("GB")).otherwise(F.lit("MB")))
+    elif name == "block_stored":
+        block = F.when(eid % 2 == 0, F.concat(F.lit("broadcast_"), _s(eid % 9))) \
+            .otherwise(F.concat(F.lit("rdd_"), _s(uid % 7), F.lit("_"), _s(eid % 5)))
+        text = _info(ts, "storage.MemoryStore", "Block ", block, " stored as ",
+                     F.when(eid % 3 == 0, F.lit("bytes")).otherwise(F.lit("values")),
+                     " in memory (estimated size ", F.format_string("%.1f", (eid % 1000) / 10.0),
+                     " ", F.when(eid % 2 == 0, F.lit("KB")).otherwise(F.lit("MB")),
+                     ", free ", F.format_string("%.1f", uid % 500 + 0.5), " MB)")
+    elif name == "error_trace":
+        rows = ev.where(F.col("event_type") == "error")
+        text = F.concat(_stamp(ts), F.lit(" ERROR executor.Executor: Exception in task "), _s(eid),
+                        F.lit("\n\tat org.apache.spark.scheduler.Task.run(Task.scala:"),
+                        _s(eid % 100), F.lit(")"))
+    elif name == "broadcast_read":
+        text = _info(ts, "broadcast.TorrentBroadcast", "Started reading broadcast variable ", eid % 9)
+    else:
+        raise ValueError(f"unknown template {name!r}")
+    return rows.select("k", "c", F.date_trunc("second", when).alias("line_ts"), "event_id",
+                       F.lit(seq).alias("seq"), text.alias("value"))
+
+
+def event_log_lines(events: DataFrame, templates=BASE) -> DataFrame:
+    """All rendered lines as rows: k (application), c (container), line_ts,
+    event_id, seq, value. A row's value may hold a newline (two file lines)."""
+    ev = _keys(events)
+    out = None
+    for seq, name in enumerate(YARN):
+        if name in templates:
+            part = _template(ev, name, seq)
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def write_event_logs(events: DataFrame, path: str, templates=BASE) -> str:
+    """Write the rendered files under ``path``: one file per container,
+    lines ordered by (time, event, template)."""
+    lines = event_log_lines(events, templates)
+    (lines.repartition("k", "c")
+     .sortWithinPartitions("k", "c", "line_ts", "event_id", "seq")
+     .select("k", "c", "value")
+     .write.mode("overwrite").partitionBy("k", "c").text(path))
+    return path
+
+
+_RENDERED: dict[tuple, str] = {}
+
+
+def rendered_logs(spark: SparkSession, sf_dir: str, templates=BASE,
+                  positions: bool = False) -> DataFrame:
+    """Render (once per session, input file and template set) and read back
+    the log files for ``<sf_dir>/events.parquet`` as ``value, file_path``."""
+    src = os.path.join(sf_dir, "events.parquet")
+    st = os.stat(src) if os.path.exists(src) else None
+    tag = f"{os.path.abspath(src)}|{st.st_size if st else ''}|{st.st_mtime_ns if st else ''}|{','.join(templates)}"
+    key = (spark.sparkContext.applicationId, tag)
+    path = _RENDERED.get(key)
+    if path is None:
+        digest = hashlib.sha1(tag.encode()).hexdigest()[:12]
+        path = scratch_path(spark, "rendered-logs", digest)
+        write_event_logs(spark.read.parquet(src), path, templates)
+        _RENDERED[key] = path
+    return read_logs(spark, path, positions=positions, recursive=True)
