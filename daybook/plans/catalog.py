@@ -435,3 +435,204 @@ def even_keys_doubled(spark, sf_dir):
 def sql_count(spark, sf_dir):
     from daybook.sources import sql_count as count_view
     return count_view(spark, _table(spark, sf_dir, "orders"), "orders_view")
+
+
+# ---------------------------------------------------------------- YARN log analyses
+#
+# The YARN corpus adds one line per event for each message template (executor
+# and container requests, task start and finish, Python times, input split,
+# memory store, stored block, broadcast read) and, for error events, an entry
+# with a continuation line. Template values are functions of event columns.
+
+from daybook.operators import yarn  # noqa: E402
+
+
+def _yarn_logs(spark, sf_dir, positions=False):
+    return rendered.rendered_logs(spark, sf_dir, rendered.YARN, positions=positions)
+
+
+_YLINES = """
+ylines AS (
+  SELECT container_id, application_id, line_ts, event_id, 0 AS seq, 0 AS sub,
+         level IS NOT NULL AS has_ts, level AS lvl FROM evk
+  UNION ALL
+  SELECT container_id, application_id, line_ts, event_id, s.seq, 0, true, 'INFO'
+  FROM evk, (VALUES (1), (2), (3), (5), (6), (7), (8), (10)) s(seq)
+  UNION ALL
+  SELECT container_id, application_id, line_ts + to_seconds(CAST(floor(value) AS BIGINT)),
+         event_id, 4, 0, true, 'INFO' FROM evk WHERE event_id % 10 <> 0
+  UNION ALL
+  SELECT container_id, application_id, line_ts, event_id, 9, 0, true, 'ERROR'
+  FROM evk WHERE event_type = 'error'
+  UNION ALL
+  SELECT container_id, application_id, line_ts, event_id, 9, 1, false, NULL
+  FROM evk WHERE event_type = 'error'),
+ynum AS (
+  SELECT *,
+         row_number() OVER (PARTITION BY container_id ORDER BY line_ts, event_id, seq, sub) AS line_no,
+         sum(CAST(has_ts AS INTEGER)) OVER (PARTITION BY container_id
+             ORDER BY line_ts, event_id, seq, sub
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS entry_no
+  FROM ylines)"""
+
+_TASKS = """
+tasks AS (
+  SELECT application_id, container_id, CAST(event_id % 7 AS BIGINT) AS stage,
+         CAST(0 AS BIGINT) AS stage_attempt, CAST(event_id % 97 AS BIGINT) AS task,
+         CAST((event_id // 10) % 2 AS BIGINT) AS task_attempt, event_id AS tid,
+         CAST(line_ts AS TIMESTAMP) AS start_time,
+         CASE WHEN event_id % 10 <> 0
+              THEN CAST(line_ts + to_seconds(CAST(floor(value) AS BIGINT)) AS TIMESTAMP) END AS finish_time,
+         CASE WHEN event_id % 10 <> 0 THEN event_id % 2000 + 1000 END AS result_bytes,
+         CASE WHEN event_id % 10 <> 0 THEN CAST(floor(value) AS DOUBLE) END AS duration_sec
+  FROM evk)"""
+
+
+@register("executor_requests", f"""
+WITH {_EV}
+SELECT application_id, count(*) AS requests,
+       CAST(sum(event_id % 16 + 1) AS BIGINT) AS executors_requested,
+       CAST(sum((event_id % 16 + 1) * 5) AS BIGINT) AS cores_requested,
+       CAST(sum((event_id % 16 + 1) * 28160) AS BIGINT) AS memory_mb_requested,
+       count(*) FILTER (WHERE event_id % 2 = 0) AS requests_with_overhead,
+       CAST(coalesce(sum((event_id % 16 + 1) * 2560) FILTER (WHERE event_id % 2 = 0), 0) AS BIGINT)
+         AS overhead_mb_requested,
+       CAST(5 AS BIGINT) AS max_cores, CAST(28160 AS BIGINT) AS max_memory_mb
+FROM evk GROUP BY application_id
+""")
+def executor_requests(spark, sf_dir):
+    return yarn.executor_requests(_yarn_logs(spark, sf_dir))
+
+
+@register("container_requests", f"""
+WITH {_EV}
+SELECT CASE WHEN event_id % 3 = 0 THEN 'Any' ELSE 'host-' || (event_id % 4) END AS host,
+       CAST(28160 AS BIGINT) AS memory_mb, CAST(5 AS BIGINT) AS vcores,
+       count(*) AS requests, count(DISTINCT application_id) AS applications
+FROM evk GROUP BY 1
+""")
+def container_requests(spark, sf_dir):
+    return yarn.container_requests(_yarn_logs(spark, sf_dir))
+
+
+@register("task_attempts", f"WITH {_EV}, {_TASKS} SELECT * FROM tasks")
+def task_attempts(spark, sf_dir):
+    return yarn.task_attempts(_yarn_logs(spark, sf_dir))
+
+
+@register("task_avg_by_app", f"""
+WITH {_EV}, {_TASKS}
+SELECT application_id, count(*) AS attempts, count(finish_time) AS finished,
+       count(*) - count(finish_time) AS unfinished,
+       avg(duration_sec) AS avg_task_sec, max(duration_sec) AS max_task_sec,
+       CAST(coalesce(sum(result_bytes), 0) AS BIGINT) AS result_bytes
+FROM tasks GROUP BY application_id
+""")
+def task_avg_by_app(spark, sf_dir):
+    return yarn.task_summary_by_app(yarn.task_attempts(_yarn_logs(spark, sf_dir)))
+
+
+@register("stage_skew", f"""
+WITH {_EV}, {_TASKS},
+fin AS (SELECT * FROM tasks WHERE duration_sec IS NOT NULL),
+med AS (SELECT application_id, stage, count(*) AS tasks,
+               quantile_disc(duration_sec, 0.5) AS median_sec, max(duration_sec) AS max_sec
+        FROM fin GROUP BY application_id, stage)
+SELECT m.application_id, m.stage, m.tasks, m.median_sec, m.max_sec,
+       CASE WHEN m.median_sec > 0 THEN m.max_sec / m.median_sec END AS max_over_median,
+       count(*) FILTER (WHERE f.duration_sec > 1.5 * m.median_sec) AS stragglers
+FROM med m JOIN fin f ON f.application_id = m.application_id AND f.stage = m.stage
+GROUP BY ALL
+""")
+def stage_skew(spark, sf_dir):
+    return yarn.stage_skew(yarn.task_attempts(_yarn_logs(spark, sf_dir)))
+
+
+_PY = """
+py AS (
+  SELECT application_id,
+         CASE WHEN event_id % 2 = 1 THEN -(event_id % 50) ELSE event_id % 50 END AS boot,
+         event_id % 90 AS init, event_id % 4 AS fin
+  FROM evk)"""
+
+
+@register("python_times", f"""
+WITH {_EV}, {_PY}
+SELECT application_id, count(*) AS runs,
+       avg(boot + init + fin) AS avg_total_ms, CAST(max(boot + init + fin) AS BIGINT) AS max_total_ms,
+       avg(boot) AS avg_boot_ms, CAST(min(boot) AS BIGINT) AS min_boot_ms,
+       count(*) FILTER (WHERE boot < 0) AS negative_boot_runs,
+       avg(init) AS avg_init_ms, avg(fin) AS avg_finish_ms
+FROM py GROUP BY application_id
+""")
+def python_times(spark, sf_dir):
+    return yarn.python_times(_yarn_logs(spark, sf_dir))
+
+
+@register("input_splits", f"""
+WITH {_EV}
+SELECT 'hdfs://h:9000/f' || (user_id % 3) AS source, count(*) AS splits,
+       CAST(sum(event_id % 1000 + 1) AS BIGINT) AS bytes,
+       CAST(max((event_id % 8) * 1048576 + event_id % 1000 + 1) AS BIGINT) AS max_end,
+       count(DISTINCT application_id) AS applications
+FROM evk GROUP BY 1
+""")
+def input_splits(spark, sf_dir):
+    return yarn.input_splits(_yarn_logs(spark, sf_dir))
+
+
+@register("memory_usage", f"""
+WITH {_EV},
+m AS (
+  SELECT application_id,
+         (event_id % 8 + 1) * 0.5::DOUBLE * CASE WHEN event_id % 2 = 0 THEN 1024.0::DOUBLE ELSE 1.0::DOUBLE END
+           AS capacity_mb,
+         event_id % 3 = 0 AS as_bytes,
+         CAST(event_id % 1000 AS DOUBLE) / 10.0::DOUBLE
+           * CASE WHEN event_id % 2 = 0 THEN 1.0::DOUBLE ELSE 1024.0::DOUBLE END AS size_kb,
+         CAST(user_id % 500 AS DOUBLE) + 0.5::DOUBLE AS free_mb
+  FROM evk)
+SELECT application_id, count(*) AS stores_started, max(capacity_mb) AS max_capacity_mb,
+       count(*) AS blocks, count(*) FILTER (WHERE as_bytes) AS blocks_as_bytes,
+       round(sum(size_kb), 6) AS block_kb, max(size_kb) AS max_block_kb, min(free_mb) AS min_free_mb
+FROM m GROUP BY application_id
+""")
+def memory_usage(spark, sf_dir):
+    return _round(yarn.memory_usage(_yarn_logs(spark, sf_dir)), ["block_kb"])
+
+
+@register("failure_rates", f"""
+WITH {_EV}, {_YLINES},
+per AS (SELECT application_id, container_id, count(*) AS lines,
+               count(*) FILTER (WHERE lvl = 'ERROR') AS error_lines
+        FROM ylines GROUP BY application_id, container_id),
+unf AS (SELECT container_id, count(*) FILTER (WHERE event_id % 10 = 0) AS unfinished_attempts
+        FROM evk GROUP BY container_id)
+SELECT per.application_id, per.container_id, lines, error_lines,
+       CAST(error_lines AS DOUBLE) / lines AS error_rate, unfinished_attempts
+FROM per JOIN unf USING (container_id)
+""")
+def failure_rates(spark, sf_dir):
+    lines = _yarn_logs(spark, sf_dir)
+    return yarn.failure_rates(lines, yarn.task_attempts(lines))
+
+
+@register("broadcast_reads", f"""
+WITH {_EV}
+SELECT application_id, count(*) AS reads, count(DISTINCT event_id % 9) AS distinct_variables
+FROM evk GROUP BY application_id
+""")
+def broadcast_reads(spark, sf_dir):
+    return yarn.broadcast_reads(_yarn_logs(spark, sf_dir))
+
+
+@register("stitched_entries", f"""
+WITH {_EV}, {_YLINES}
+SELECT container_id, CAST(entry_no AS BIGINT) AS entry_no, min(line_no) AS first_line_no,
+       count(*) AS n_lines
+FROM ynum GROUP BY container_id, entry_no
+""")
+def stitched_entries(spark, sf_dir):
+    entries = yarn.stitch_entries(_yarn_logs(spark, sf_dir, positions=True))
+    return entries.select(parse.container_id("file_path").alias("container_id"),
+                          "entry_no", "first_line_no", "n_lines")
