@@ -151,12 +151,18 @@ def write_event_logs(events: DataFrame, path: str, templates=BASE) -> str:
 
 
 _RENDERED: dict[tuple, str] = {}
+_SOURCES: dict[tuple, DataFrame] = {}
 
 
 def rendered_logs(spark: SparkSession, sf_dir: str, templates=BASE,
                   positions: bool = False) -> DataFrame:
     """Render (once per session, input file and template set) and read back
-    the log files for ``<sf_dir>/events.parquet`` as ``value, file_path``."""
+    the log files for ``<sf_dir>/events.parquet`` as ``value, file_path``.
+
+    The returned source DataFrame is reused within the session: Spark keeps
+    the file listing in its file index, so the thousands of container files
+    are listed once, not once per query. No rows are cached.
+    """
     src = os.path.join(sf_dir, "events.parquet")
     st = os.stat(src) if os.path.exists(src) else None
     tag = f"{os.path.abspath(src)}|{st.st_size if st else ''}|{st.st_mtime_ns if st else ''}|{','.join(templates)}"
@@ -167,4 +173,9 @@ def rendered_logs(spark: SparkSession, sf_dir: str, templates=BASE,
         path = scratch_path(spark, "rendered-logs", digest)
         write_event_logs(spark.read.parquet(src), path, templates)
         _RENDERED[key] = path
-    return read_logs(spark, path, positions=positions, recursive=True)
+    skey = (key, positions, id(spark))
+    df = _SOURCES.get(skey)
+    if df is None:
+        df = read_logs(spark, path, positions=positions, recursive=True)
+        _SOURCES[skey] = df
+    return df
