@@ -1,17 +1,23 @@
 """Data behind the duration charts: log-scale histogram and density (H2-H4).
 
-Global bounds (min, max, count, spread) are scalar subqueries: Spark runs
-them once and inlines the values, so no row is joined with them and nothing
-is collected. Counting is a partial aggregate by bin (at most ``bins`` rows
-per task); the density pre-aggregates equal values and evaluates the grid
-per distinct value, summing map-side, so its shuffle is ``grid`` rows per task.
+Global values (min, max, count, spread) come from one aggregate used as
+scalar subqueries: Spark merges them into a single subquery, runs it once and
+inlines the result, so no row is joined with them and nothing is collected.
+They are attached to rows in a single projection, so later expressions refer
+to columns and never repeat the subquery. Counting is a partial aggregate by
+bin (at most ``bins`` rows per task); the density pre-aggregates equal values
+and evaluates the grid per distinct value, summing map-side, so its shuffle
+is ``grid`` rows per task.
+
+The input is read once per subquery and once for the rows: pass a
+materialised (checkpointed) frame when it is expensive to recompute.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,13 +25,18 @@ def _log_values(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col) > 0).select(F.log10(F.col(col)).alias("_x"))
 
 
-def _edges(xs: DataFrame):
+def _scalars(xs: DataFrame) -> dict[str, Column]:
+    st = xs.agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"),
+                F.count(F.lit(1)).alias("n"), F.stddev_samp("_x").alias("sd"))
+    return {k: st.select(k).scalar() for k in ("lo", "hi", "n", "sd")}
+
+
+def _edge_columns(s: dict[str, Column], bins: int) -> dict[str, Column]:
     """numpy's convention: equal bounds widen to [lo - 0.5, hi + 0.5]."""
-    lo = xs.agg(F.min("_x")).scalar()
-    hi = xs.agg(F.max("_x")).scalar()
+    lo, hi = s["lo"], s["hi"]
     first = F.when(hi > lo, lo).otherwise(lo - F.lit(0.5))
     last = F.when(hi > lo, hi).otherwise(hi + F.lit(0.5))
-    return first, last
+    return {"_first": first, "_last": last, "_width": (last - first) / F.lit(bins)}
 
 
 def log_histogram(df: DataFrame, col: str = "duration_sec", bins: int = 30) -> DataFrame:
@@ -34,20 +45,21 @@ def log_histogram(df: DataFrame, col: str = "duration_sec", bins: int = 30) -> D
 
     Columns: bin, log_lo, log_hi, lo, hi (back on the value scale), count, n.
     """
-    xs = _log_values(df, col)
-    first, last = _edges(xs)
-    width = (last - first) / F.lit(bins)
-    b = F.least(F.lit(bins - 1), F.floor((F.col("_x") - first) / (last - first) * F.lit(bins)))
+    s = _scalars(_log_values(df, col))
+    xs = _log_values(df, col).withColumns(_edge_columns(s, bins))
+    b = F.least(F.lit(bins - 1),
+                F.floor((F.col("_x") - F.col("_first")) / (F.col("_last") - F.col("_first"))
+                        * F.lit(bins)))
     counts = xs.groupBy(b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    axis = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    n = xs.agg(F.count(F.lit(1))).scalar()
+    axis = (df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+            .withColumns({**_edge_columns(s, bins), "n": s["n"]}))
     out = axis.join(F.broadcast(counts), "bin", "left")  # counts: at most `bins` rows
-    log_lo = first + F.col("bin") * width
-    log_hi = first + (F.col("bin") + F.lit(1)) * width
+    log_lo = F.col("_first") + F.col("bin") * F.col("_width")
+    log_hi = F.col("_first") + (F.col("bin") + F.lit(1)) * F.col("_width")
     return out.select(
         "bin", log_lo.alias("log_lo"), log_hi.alias("log_hi"),
         F.pow(F.lit(10.0), log_lo).alias("lo"), F.pow(F.lit(10.0), log_hi).alias("hi"),
-        F.coalesce(F.col("count"), F.lit(0)).alias("count"), n.alias("n"))
+        F.coalesce(F.col("count"), F.lit(0)).alias("count"), "n")
 
 
 def log_density(df: DataFrame, col: str = "duration_sec", grid: int = 200,
@@ -56,22 +68,19 @@ def log_density(df: DataFrame, col: str = "duration_sec", grid: int = 200,
     [min, max], Scott bandwidth ``std * n^(-1/5)``, also scaled to histogram
     counts (``density * n * bin_width``) as drawn over the histogram.
     """
-    xs = _log_values(df, col)
-    lo = xs.agg(F.min("_x")).scalar()
-    hi = xs.agg(F.max("_x")).scalar()
-    n = xs.agg(F.count(F.lit(1))).scalar()
-    std = xs.agg(F.stddev_samp("_x")).scalar()
-    h = std * F.pow(n.cast("double"), F.lit(-0.2))
-    step = (hi - lo) / F.lit(grid - 1)
-    weighted = xs.groupBy("_x").agg(F.count(F.lit(1)).alias("_w"))
-    pts = weighted.select("_x", "_w", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
-    g = lo + F.col("i") * step
-    z = (g - F.col("_x")) / h
-    sums = pts.groupBy("i").agg(F.sum(F.col("_w") * F.exp(F.lit(-0.5) * z * z)).alias("_s"))
-    density = F.col("_s") / (n * h * F.lit(math.sqrt(2 * math.pi)))
-    first, last = _edges(xs)
-    bin_width = (last - first) / F.lit(bins)
-    gx = lo + F.col("i") * step
-    return sums.select(F.col("i").cast("int").alias("grid_index"), gx.alias("log_x"),
-                       F.pow(F.lit(10.0), gx).alias("x"), density.alias("density"),
-                       (density * n * bin_width).alias("scaled_count"))
+    s = _scalars(_log_values(df, col))
+    edges = _edge_columns(s, bins)
+    consts = {"_lo": s["lo"], "_step": (s["hi"] - s["lo"]) / F.lit(grid - 1),
+              "_h": s["sd"] * F.pow(s["n"].cast("double"), F.lit(-0.2)),
+              "_n": s["n"], "_bw": edges["_width"]}
+    weighted = (_log_values(df, col).groupBy("_x").agg(F.count(F.lit(1)).alias("_w"))
+                .withColumns(consts))
+    pts = weighted.select("*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
+    g = F.col("_lo") + F.col("i") * F.col("_step")
+    z = (g - F.col("_x")) / F.col("_h")
+    sums = pts.groupBy("i", "_lo", "_step", "_h", "_n", "_bw").agg(
+        F.sum(F.col("_w") * F.exp(F.lit(-0.5) * z * z)).alias("_s"))
+    density = F.col("_s") / (F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi)))
+    return sums.select(F.col("i").cast("int").alias("grid_index"), g.alias("log_x"),
+                       F.pow(F.lit(10.0), g).alias("x"), density.alias("density"),
+                       (density * F.col("_n") * F.col("_bw")).alias("scaled_count"))

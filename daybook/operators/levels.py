@@ -70,21 +70,23 @@ def level_report(summary: DataFrame) -> DataFrame:
     """The level summary as report lines ``(line_no, text)``.
 
     Header lines come from the totals, then one aligned line per level,
-    largest count first. Runs on the (at most four-row) summary.
+    largest count first. One aggregate over the summary (at most four rows,
+    one per level word) builds every line, so the input is read once.
     """
-    totals = summary.select("total_lines", "lines_with_level", "unique_levels").limit(1)
-    header = totals.select(F.inline(F.array(
+    rows = F.sort_array(F.collect_list(F.struct(
+        (-F.col("count")).alias("k"), F.col("level").alias("l"),
+        F.format_string("  %-5s : %10d (%6.2f%%)", "level", "count", "pct").alias("t"))))
+    agg = summary.agg(F.max("total_lines").alias("total_lines"),
+                      F.max("lines_with_level").alias("lines_with_level"),
+                      F.max("unique_levels").alias("unique_levels"), rows.alias("rows"))
+    header = F.array(
         _line(1, F.format_string("Total log lines processed: %d", "total_lines")),
         _line(2, F.format_string("Total lines with log levels: %d", "lines_with_level")),
         _line(3, F.format_string("Unique log levels found: %d", "unique_levels")),
         _line(4, F.lit("")),
-        _line(5, F.lit("Log level distribution:")),
-    )))
-    rank = Window.partitionBy().orderBy(F.col("count").desc(), F.col("level"))
-    body = summary.select(
-        (F.lit(5) + F.row_number().over(rank)).alias("line_no"),
-        F.format_string("  %-5s : %10d (%6.2f%%)", "level", "count", "pct").alias("text"))
-    return header.unionByName(body)
+        _line(5, F.lit("Log level distribution:")))
+    body = F.transform("rows", lambda r, i: _line(0, r["t"]).withField("line_no", i + F.lit(6)))
+    return agg.select(F.inline(F.concat(header, body)))
 
 
 def component_counts(lines: DataFrame, value: str = "value", top: int | None = None) -> DataFrame:

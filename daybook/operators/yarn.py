@@ -122,22 +122,21 @@ def stage_skew(attempts: DataFrame, straggler_factor: float = 1.5,
     """Per (application, stage) of finished attempts: tasks, median and
     max seconds, max/median, and stragglers (over ``factor`` x median).
 
-    The median is a bounded sketch merged map-side; the join back to the
-    attempts is left to adaptive execution, which broadcasts the per-stage
-    table when it is small and splits a hot stage otherwise.
+    The median is a bounded sketch merged map-side; the per-stage table is
+    joined back to the attempts once, and adaptive execution broadcasts it
+    when small or splits a hot stage's partition otherwise.
     """
-    fin = attempts.where(F.col("duration_sec").isNotNull())
     keys = ["application_id", "stage"]
+    fin = attempts.where(F.col("duration_sec").isNotNull()).select(*keys, "duration_sec")
     med = fin.groupBy(*keys).agg(
         F.percentile_approx("duration_sec", 0.5, accuracy).alias("median_sec"),
         F.max("duration_sec").alias("max_sec"), F.count(F.lit(1)).alias("tasks"))
-    flagged = fin.join(med, keys).groupBy(*keys).agg(
+    out = fin.join(med, keys).groupBy(*keys, "tasks", "median_sec", "max_sec").agg(
         F.count_if(F.col("duration_sec") > F.lit(straggler_factor) * F.col("median_sec"))
         .alias("stragglers"))
-    return (med.join(flagged, keys)
-            .withColumn("max_over_median",
-                        F.when(F.col("median_sec") > 0, F.col("max_sec") / F.col("median_sec")))
-            .select(*keys, "tasks", "median_sec", "max_sec", "max_over_median", "stragglers"))
+    return out.select(*keys, "tasks", "median_sec", "max_sec",
+                      F.when(F.col("median_sec") > 0, F.col("max_sec") / F.col("median_sec"))
+                      .alias("max_over_median"), "stragglers")
 
 
 def python_times(lines: DataFrame, value: str = "value", file_col: str = "file_path") -> DataFrame:
@@ -189,23 +188,34 @@ def memory_usage(lines: DataFrame, value: str = "value", file_col: str = "file_p
         F.min("free_mb").alias("min_free_mb"))
 
 
-def failure_rates(lines: DataFrame, attempts: DataFrame | None = None, value: str = "value",
-                  file_col: str = "file_path") -> DataFrame:
-    """Per container: lines, ERROR lines and their share; with
-    ``attempts`` also the container's unfinished task attempts."""
-    per = (lines.groupBy(F.col(file_col).alias("_f"))
-           .agg(F.count(F.lit(1)).alias("lines"),
-                F.count_if(parse.level(value) == "ERROR").alias("error_lines")))
-    per = per.select(parse.application_id("_f").alias("application_id"),
-                     parse.container_id("_f").alias("container_id"), "lines", "error_lines",
-                     safe_ratio("error_lines", "lines").alias("error_rate"))
-    if attempts is None:
-        return per
-    unf = (attempts.groupBy("application_id", "container_id")
-           .agg(F.count_if(F.col("finish_time").isNull()).alias("unfinished_attempts")))
-    return (per.join(unf, ["application_id", "container_id"], "left")
-            .withColumn("unfinished_attempts",
-                        F.coalesce(F.col("unfinished_attempts"), F.lit(0)).cast("bigint")))
+def failure_rates(lines: DataFrame, value: str = "value", file_col: str = "file_path") -> DataFrame:
+    """Per container: lines, ERROR lines, their share and the task
+    attempts that started but never finished -- from one scan.
+
+    Lines are first grouped by (file, task attempt) -- the attempt key is
+    NULL for lines that are not task events -- which pairs start and finish
+    lines and pre-counts the rest; a second, much smaller aggregate folds
+    those rows into one row per file.
+    """
+    is_task = F.col(value).contains(" task ") & F.col(value).rlike(TASK_EVENT)
+    attempt = F.when(is_task, F.concat_ws(":", *[_g(value, TASK_EVENT, i) for i in (4, 5, 2, 3, 6)]))
+    kind = F.when(is_task, _g(value, TASK_EVENT, 1))
+    per_attempt = (lines.select(F.col(file_col).alias("_f"), attempt.alias("_attempt"),
+                                kind.alias("_kind"),
+                                (parse.level(value) == "ERROR").alias("_err"))
+                   .groupBy("_f", "_attempt")
+                   .agg(F.count(F.lit(1)).alias("_lines"), F.count_if("_err").alias("_errors"),
+                        F.count_if(F.col("_kind") == "Running").alias("_starts"),
+                        F.count_if(F.col("_kind") == "Finished").alias("_finishes")))
+    unfinished = F.col("_attempt").isNotNull() & (F.col("_starts") > 0) & (F.col("_finishes") == 0)
+    per = per_attempt.groupBy("_f").agg(
+        F.sum("_lines").cast("bigint").alias("lines"),
+        F.sum("_errors").cast("bigint").alias("error_lines"),
+        F.count_if(unfinished).alias("unfinished_attempts"))
+    return per.select(parse.application_id("_f").alias("application_id"),
+                      parse.container_id("_f").alias("container_id"), "lines", "error_lines",
+                      safe_ratio("error_lines", "lines").alias("error_rate"),
+                      "unfinished_attempts")
 
 
 def broadcast_reads(lines: DataFrame, value: str = "value", file_col: str = "file_path") -> DataFrame:

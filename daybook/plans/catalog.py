@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators import trips
-from daybook.session import table_path
+from daybook.session import scratch_dir, table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -273,6 +273,14 @@ def _timeline(spark, sf_dir):
     return usage.app_timeline(_logs(spark, sf_dir))
 
 
+def _shared_timeline(spark, sf_dir):
+    """The timeline (one row per application) materialised once in the
+    session's checkpoint folder, for queries that read it several times
+    (top cluster lookup, global bounds); the logs are then scanned once."""
+    scratch_dir(spark)
+    return _timeline(spark, sf_dir).checkpoint(eager=True)
+
+
 @register("app_timeline", f"WITH {_EV}, {_TIMELINE} SELECT * FROM timeline")
 def app_timeline(spark, sf_dir):
     return _timeline(spark, sf_dir)
@@ -315,7 +323,9 @@ SELECT CAST(5 + row_number() OVER (ORDER BY num_applications DESC, cluster_id) A
 FROM summary
 """)
 def cluster_stats_report(spark, sf_dir):
-    return usage.cluster_stats_report(usage.cluster_summary(_timeline(spark, sf_dir)))
+    scratch_dir(spark)
+    summary = usage.cluster_summary(_timeline(spark, sf_dir)).checkpoint(eager=True)
+    return usage.cluster_stats_report(summary)
 
 
 _DURATIONS = """
@@ -332,7 +342,7 @@ e AS (SELECT *, CASE WHEN hi0 > lo0 THEN lo0 ELSE lo0 - 0.5 END AS first_edge,
 
 @register("largest_cluster_durations", f"WITH {_EV}, {_TIMELINE}, {_DURATIONS} SELECT * FROM durations")
 def largest_cluster_durations(spark, sf_dir):
-    return usage.largest_cluster_durations(_timeline(spark, sf_dir))
+    return usage.largest_cluster_durations(_shared_timeline(spark, sf_dir))
 
 
 @register("duration_histogram", f"""
@@ -351,7 +361,7 @@ SELECT axis.bin,
 FROM axis CROSS JOIN e LEFT JOIN binned ON binned.bin = axis.bin
 """)
 def duration_histogram(spark, sf_dir):
-    h = distribution.log_histogram(usage.largest_cluster_durations(_timeline(spark, sf_dir)))
+    h = distribution.log_histogram(usage.largest_cluster_durations(_shared_timeline(spark, sf_dir)))
     return _round(h, ["log_lo", "log_hi", "lo", "hi"])
 
 
@@ -368,7 +378,7 @@ SELECT i AS grid_index, round(gx, 6) AS log_x, round(pow(10, gx), 6) AS x,
 FROM s
 """)
 def duration_density(spark, sf_dir):
-    d = distribution.log_density(usage.largest_cluster_durations(_timeline(spark, sf_dir)))
+    d = distribution.log_density(usage.largest_cluster_durations(_shared_timeline(spark, sf_dir)))
     return _round(d, ["log_x", "x", "density", "scaled_count"])
 
 
@@ -613,8 +623,7 @@ SELECT per.application_id, per.container_id, lines, error_lines,
 FROM per JOIN unf USING (container_id)
 """)
 def failure_rates(spark, sf_dir):
-    lines = _yarn_logs(spark, sf_dir)
-    return yarn.failure_rates(lines, yarn.task_attempts(lines))
+    return yarn.failure_rates(_yarn_logs(spark, sf_dir))
 
 
 @register("broadcast_reads", f"""
