@@ -29,7 +29,7 @@ def test_no_python_and_no_cartesian(plans):
 
 def test_year_range_reaches_parquet_scan(spark):
     df = entry.queries()["daily_summary"](spark, SF_TINY)
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     pushed = re.search(r"PushedFilters: \[([^\]]*)\]", plan).group(1)
     assert "GreaterThanOrEqual(l_shipdate,1998-01-01" in pushed
     assert "LessThan(l_shipdate,1999-01-01" in pushed
