@@ -123,8 +123,9 @@ def _template(ev: DataFrame, name: str, seq: int) -> DataFrame:
         text = _info(ts, "broadcast.TorrentBroadcast", "Started reading broadcast variable ", eid % 9)
     else:
         raise ValueError(f"unknown template {name!r}")
-    return rows.select("k", "c", F.date_trunc("second", when).alias("line_ts"), "event_id",
-                       F.lit(seq).alias("seq"), text.alias("value"))
+    # sort key: the line's wall-clock second as fixed-width text (zone free)
+    return rows.select("k", "c", F.date_format(when, "yyyy-MM-dd HH:mm:ss").alias("line_ts"),
+                       "event_id", F.lit(seq).alias("seq"), text.alias("value"))
 
 
 def event_log_lines(events: DataFrame, templates=BASE) -> DataFrame:

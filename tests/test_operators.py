@@ -115,3 +115,16 @@ def test_level_counts_layout_independent(spark, parts):
     a = sorted(map(tuple, levels.level_counts(df).collect()))
     b = sorted(map(tuple, levels.level_counts(df.repartition(parts)).collect()))
     assert a == b
+
+
+def test_seconds_between_is_wall_clock_in_any_zone(spark):
+    import datetime as dt
+    from daybook.functions.time import seconds_between
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 1, 0), dt.datetime(2024, 3, 10, 3, 0))],
+                                   "s timestamp_ntz, e timestamp_ntz")
+        assert df.select(seconds_between("s", "e")).first()[0] == 7200.0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
