@@ -52,3 +52,39 @@ def test_top_cluster_is_broadcast_semi_join(plans):
 def test_logs_read_only_the_text(plans):
     for name in ("log_level_counts", "component_counts", "severity_occurrences"):
         assert "ReadSchema: struct<value:string>" in plans[name], name
+
+
+def test_hot_keys_are_pre_aggregated_before_the_shuffle(plans):
+    """A cluster or application holding a third of all lines must not be a
+    hot shuffle key: every aggregate on lines is partial before its Exchange."""
+    for name in ("app_timeline", "log_level_counts", "files_per_app", "executor_requests",
+                 "task_attempts", "failure_rates"):
+        plan = plans[name]
+        exchanges = plan.count("Exchange hashpartitioning")
+        partial = len(re.findall(r"HashAggregate\(keys=\[[^\]]*\], functions=\[partial_", plan))
+        assert exchanges >= 1 and partial >= 1, name
+
+
+def test_skewed_application_gives_exact_timeline(spark, tmp_path):
+    """One application with most lines, spread over many splits."""
+    import os
+    from daybook.operators import usage
+    from daybook.sources import read_logs
+    hot = tmp_path / "application_1_0001"
+    cold = tmp_path / "application_1_0002"
+    os.makedirs(hot), os.makedirs(cold)
+    (hot / "container_1_0001_01_000001.log").write_text(
+        "".join(f"17/06/09 1{i // 3600 % 10}:{i // 60 % 60:02d}:{i % 60:02d} INFO a.B: x\n"
+                for i in range(20000)))
+    (cold / "container_1_0002_01_000001.log").write_text("17/06/09 00:00:01 INFO a.B: y\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        lines = read_logs(spark, [str(hot), str(cold)], recursive=True)
+        assert lines.rdd.getNumPartitions() > 5
+        got = {r.application_id: (r.start_time.isoformat(), r.end_time.isoformat())
+               for r in usage.app_timeline(lines).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == {"application_1_0001": ("2017-06-09T10:00:00", "2017-06-09T15:33:19"),
+                   "application_1_0002": ("2017-06-09T00:00:01", "2017-06-09T00:00:01")}
