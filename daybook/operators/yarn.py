@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from daybook.functions import parse
 from daybook.functions.fmt import safe_ratio
 from daybook.functions.time import seconds_between
+from daybook.sources.text import broadcast_if_bounded
 
 # --- Fixed values: line shapes of the analysed log messages. ---
 EXECUTOR_REQUEST = (r"Will request (\d+) executor containers, each with (\d+) cores and "
@@ -262,7 +263,7 @@ def stitch_entries(lines: DataFrame, value: str = "value", file_col: str = "file
               .agg(F.min(pos_col).alias("_p0"), F.count(F.lit(1)).alias("_cnt"),
                    F.sort_array(F.collect_list(F.struct(F.col(pos_col), F.col(value))))
                    .alias("_parts")))
-    pieces = pieces.join(blocks, split).select(
+    pieces = pieces.join(broadcast_if_bounded(lines, blocks), split).select(
         F.col(file_col).alias("file_path"),
         (F.col("_heads_before") + F.col("_local")).alias("entry_no"),
         (F.col("_lines_before") + F.col("_p0") - F.col("_first_pos") + F.lit(1)).alias("_line"),
