@@ -12,7 +12,7 @@ per application it saw.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions import parse
@@ -98,8 +98,8 @@ def cluster_stats_report(summary: DataFrame) -> DataFrame:
         _line(4, F.lit("")),
         _line(5, F.lit("Most heavily used clusters:")),
     )))
-    from pyspark.sql import Window
-    # one row per cluster; the ranking needs a global order, as a sort would
+    # One row per cluster (a handful of resource managers); the line numbers
+    # need one global order, so this small table is ranked in one task.
     rank = Window.orderBy(F.col("num_applications").desc(), F.col("cluster_id"))
     body = summary.select(
         (F.lit(5) + F.row_number().over(rank)).alias("line_no"),

@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from daybook.functions import parse
 
@@ -86,4 +85,3 @@ def test_no_python_udf_in_parsing(spark):
     q = df.select(parse.log_time("value"), parse.level("value"), parse.component("value"))
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    assert F is not None
