@@ -33,13 +33,21 @@ def app_lines(lines: DataFrame, value: str = "value", file_col: str = "file_path
 
 
 def app_timeline(lines: DataFrame, value: str = "value", file_col: str = "file_path") -> DataFrame:
-    """First and last timestamp per application."""
-    ts_str = parse.timestamp_prefix(value)
-    per_app = (lines.select(parse.parse_log_time(ts_str).alias("timestamp"),
-                            parse.application_id(file_col).alias("application_id"))
-               .where(F.col("timestamp").isNotNull() & (F.col("application_id") != ""))
+    """First and last timestamp per application.
+
+    Lines are reduced per *file* first (the path is only hashed, not
+    parsed); the application id is then extracted once per file, and the
+    per-file bounds are folded into per-application bounds.
+    """
+    ts = parse.log_time(value)
+    per_file = (lines.select(F.col(file_col).alias("_f"), ts.alias("timestamp"))
+                .where(F.col("timestamp").isNotNull())
+                .groupBy("_f")
+                .agg(F.min("timestamp").alias("_start"), F.max("timestamp").alias("_end")))
+    per_app = (per_file.select(parse.application_id("_f").alias("application_id"), "_start", "_end")
+               .where(F.col("application_id") != "")
                .groupBy("application_id")
-               .agg(F.min("timestamp").alias("start_time"), F.max("timestamp").alias("end_time")))
+               .agg(F.min("_start").alias("start_time"), F.max("_end").alias("end_time")))
     return per_app.select(parse.cluster_id("application_id").alias("cluster_id"),
                           "application_id",
                           parse.app_number("application_id").alias("app_number"),

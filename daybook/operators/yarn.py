@@ -50,8 +50,14 @@ def _in_unit(amount: Column, unit: Column, target: str = "MB") -> Column:
 
 
 def _candidates(lines: DataFrame, literal: str, value: str, file_col: str) -> DataFrame:
-    return (lines.where(F.col(value).contains(literal))
-            .withColumn("application_id", parse.application_id(file_col)))
+    return lines.where(F.col(value).contains(literal)).withColumnRenamed(file_col, "_f")
+
+
+def _by_app(per_file: DataFrame, *aggs) -> DataFrame:
+    """Fold per-file partial results (column ``_f``) into per-application
+    rows: the path is parsed once per file, not once per line."""
+    return (per_file.withColumn("application_id", parse.application_id("_f"))
+            .groupBy("application_id").agg(*aggs))
 
 
 def executor_requests(lines: DataFrame, value: str = "value",
@@ -60,16 +66,24 @@ def executor_requests(lines: DataFrame, value: str = "value",
     cores, memory and overhead they add up to (overhead only when logged)."""
     c = _candidates(lines, "Will request ", value, file_col).where(F.col(value).rlike(EXECUTOR_REQUEST))
     n, cores, mem, over = (_int(value, EXECUTOR_REQUEST, i) for i in (1, 2, 3, 4))
-    rows = c.select("application_id", n.alias("n"), cores.alias("cores"), mem.alias("mem"),
-                    over.alias("over"))
-    return rows.groupBy("application_id").agg(
+    rows = c.select("_f", n.alias("n"), cores.alias("cores"), mem.alias("mem"), over.alias("over"))
+    per_file = rows.groupBy("_f").agg(
         F.count(F.lit(1)).alias("requests"),
-        F.sum("n").alias("executors_requested"),
-        F.sum(F.col("n") * F.col("cores")).alias("cores_requested"),
-        F.sum(F.col("n") * F.col("mem")).alias("memory_mb_requested"),
-        F.count("over").alias("requests_with_overhead"),
-        F.coalesce(F.sum(F.col("n") * F.col("over")), F.lit(0)).cast("bigint").alias("overhead_mb_requested"),
-        F.max("cores").alias("max_cores"), F.max("mem").alias("max_memory_mb"))
+        F.sum("n").alias("executors"),
+        F.sum(F.col("n") * F.col("cores")).alias("cores_total"),
+        F.sum(F.col("n") * F.col("mem")).alias("mem_total"),
+        F.count("over").alias("with_over"),
+        F.sum(F.col("n") * F.col("over")).alias("over_total"),
+        F.max("cores").alias("cores_max"), F.max("mem").alias("mem_max"))
+    return _by_app(
+        per_file,
+        F.sum("requests").cast("bigint").alias("requests"),
+        F.sum("executors").cast("bigint").alias("executors_requested"),
+        F.sum("cores_total").cast("bigint").alias("cores_requested"),
+        F.sum("mem_total").cast("bigint").alias("memory_mb_requested"),
+        F.sum("with_over").cast("bigint").alias("requests_with_overhead"),
+        F.coalesce(F.sum("over_total"), F.lit(0)).cast("bigint").alias("overhead_mb_requested"),
+        F.max("cores_max").alias("max_cores"), F.max("mem_max").alias("max_memory_mb"))
 
 
 def container_requests(lines: DataFrame, value: str = "value",
@@ -77,12 +91,14 @@ def container_requests(lines: DataFrame, value: str = "value",
     """Container requests by host preference and capability."""
     c = _candidates(lines, "Container request (host: ", value, file_col) \
         .where(F.col(value).rlike(CONTAINER_REQUEST))
-    rows = c.select("application_id", _g(value, CONTAINER_REQUEST, 1).alias("host"),
-                    _int(value, CONTAINER_REQUEST, 2).alias("memory_mb"),
-                    _int(value, CONTAINER_REQUEST, 3).alias("vcores"))
-    return rows.groupBy("host", "memory_mb", "vcores").agg(
-        F.count(F.lit(1)).alias("requests"),
-        F.count_distinct("application_id").alias("applications"))
+    keys = ["host", "memory_mb", "vcores"]
+    per_file = (c.select("_f", _g(value, CONTAINER_REQUEST, 1).alias("host"),
+                         _int(value, CONTAINER_REQUEST, 2).alias("memory_mb"),
+                         _int(value, CONTAINER_REQUEST, 3).alias("vcores"))
+                .groupBy("_f", *keys).agg(F.count(F.lit(1)).alias("n")))
+    return (per_file.withColumn("application_id", parse.application_id("_f"))
+            .groupBy(*keys).agg(F.sum("n").cast("bigint").alias("requests"),
+                                F.count_distinct("application_id").alias("applications")))
 
 
 def task_attempts(lines: DataFrame, value: str = "value", file_col: str = "file_path") -> DataFrame:
@@ -92,18 +108,21 @@ def task_attempts(lines: DataFrame, value: str = "value", file_col: str = "file_
     c = _candidates(lines, " task ", value, file_col).where(F.col(value).rlike(TASK_EVENT))
     kind = _g(value, TASK_EVENT, 1)
     rows = c.select(
-        "application_id", parse.container_id(file_col).alias("container_id"),
+        "_f",
         _int(value, TASK_EVENT, 4).alias("stage"), _int(value, TASK_EVENT, 5).alias("stage_attempt"),
         _int(value, TASK_EVENT, 2).alias("task"), _int(value, TASK_EVENT, 3).alias("task_attempt"),
         _int(value, TASK_EVENT, 6).alias("tid"), kind.alias("kind"),
         parse.log_time(value).alias("ts"), _int(value, TASK_EVENT, 7).alias("result_bytes"))
     running, finished = F.col("kind") == "Running", F.col("kind") == "Finished"
-    att = rows.groupBy("application_id", "container_id", "stage", "stage_attempt", "task",
-                       "task_attempt", "tid").agg(
+    att = rows.groupBy("_f", "stage", "stage_attempt", "task", "task_attempt", "tid").agg(
         F.min(F.when(running, F.col("ts"))).alias("start_time"),
         F.max(F.when(finished, F.col("ts"))).alias("finish_time"),
         F.max(F.when(finished, F.col("result_bytes"))).alias("result_bytes"))
-    return att.withColumn("duration_sec", seconds_between("start_time", "finish_time"))
+    return att.select(
+        parse.application_id("_f").alias("application_id"),
+        parse.container_id("_f").alias("container_id"),
+        "stage", "stage_attempt", "task", "task_attempt", "tid", "start_time", "finish_time",
+        "result_bytes", seconds_between("start_time", "finish_time").alias("duration_sec"))
 
 
 def task_summary_by_app(attempts: DataFrame) -> DataFrame:
@@ -143,27 +162,40 @@ def stage_skew(attempts: DataFrame, straggler_factor: float = 1.5,
 def python_times(lines: DataFrame, value: str = "value", file_col: str = "file_path") -> DataFrame:
     """Python worker timings per application (boot may be negative)."""
     c = _candidates(lines, "PythonRunner: Times:", value, file_col).where(F.col(value).rlike(PYTHON_TIMES))
-    rows = c.select("application_id", *[_int(value, PYTHON_TIMES, i).alias(n) for i, n in
-                                        ((1, "total"), (2, "boot"), (3, "init"), (4, "finish"))])
-    return rows.groupBy("application_id").agg(
+    rows = c.select("_f", *[_int(value, PYTHON_TIMES, i).alias(n) for i, n in
+                            ((1, "total"), (2, "boot"), (3, "init"), (4, "finish"))])
+    per_file = rows.groupBy("_f").agg(
         F.count(F.lit(1)).alias("runs"),
-        F.avg("total").alias("avg_total_ms"), F.max("total").alias("max_total_ms"),
-        F.avg("boot").alias("avg_boot_ms"), F.min("boot").alias("min_boot_ms"),
-        F.count_if(F.col("boot") < 0).alias("negative_boot_runs"),
-        F.avg("init").alias("avg_init_ms"), F.avg("finish").alias("avg_finish_ms"))
+        F.sum("total").alias("s_total"), F.max("total").alias("max_total"),
+        F.sum("boot").alias("s_boot"), F.min("boot").alias("min_boot"),
+        F.count_if(F.col("boot") < 0).alias("neg_boot"),
+        F.sum("init").alias("s_init"), F.sum("finish").alias("s_finish"))
+    runs = F.sum("runs")
+    return _by_app(
+        per_file,
+        runs.cast("bigint").alias("runs"),
+        (F.sum("s_total") / runs).alias("avg_total_ms"), F.max("max_total").alias("max_total_ms"),
+        (F.sum("s_boot") / runs).alias("avg_boot_ms"), F.min("min_boot").alias("min_boot_ms"),
+        F.sum("neg_boot").cast("bigint").alias("negative_boot_runs"),
+        (F.sum("s_init") / runs).alias("avg_init_ms"),
+        (F.sum("s_finish") / runs).alias("avg_finish_ms"))
 
 
 def input_splits(lines: DataFrame, value: str = "value", file_col: str = "file_path") -> DataFrame:
     """Input splits by source file: splits, bytes, furthest byte read, readers."""
     c = _candidates(lines, "Input split: ", value, file_col).where(F.col(value).rlike(INPUT_SPLIT))
-    rows = c.select("application_id", _g(value, INPUT_SPLIT, 1).alias("source"),
+    rows = c.select("_f", _g(value, INPUT_SPLIT, 1).alias("source"),
                     _int(value, INPUT_SPLIT, 2).alias("offset"),
                     _int(value, INPUT_SPLIT, 3).alias("length"))
-    return rows.groupBy("source").agg(
-        F.count(F.lit(1)).alias("splits"),
-        F.sum("length").alias("bytes"),
-        F.max(F.col("offset") + F.col("length")).alias("max_end"),
-        F.count_distinct("application_id").alias("applications"))
+    per_file = rows.groupBy("_f", "source").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("length").alias("b"),
+        F.max(F.col("offset") + F.col("length")).alias("e"))
+    return (per_file.withColumn("application_id", parse.application_id("_f"))
+            .groupBy("source").agg(
+                F.sum("n").cast("bigint").alias("splits"),
+                F.sum("b").cast("bigint").alias("bytes"),
+                F.max("e").alias("max_end"),
+                F.count_distinct("application_id").alias("applications")))
 
 
 def memory_usage(lines: DataFrame, value: str = "value", file_col: str = "file_path") -> DataFrame:
@@ -176,17 +208,24 @@ def memory_usage(lines: DataFrame, value: str = "value", file_col: str = "file_p
     size = _in_unit(_g(value, BLOCK_STORED, 3), _g(value, BLOCK_STORED, 4), "KB")
     free = _in_unit(_g(value, BLOCK_STORED, 5), _g(value, BLOCK_STORED, 6), "MB")
     rows = c.where(is_cap | is_block).select(
-        "application_id", F.when(is_cap, cap).alias("capacity_mb"),
+        "_f", F.when(is_cap, cap).alias("capacity_mb"),
         F.when(is_block, _g(value, BLOCK_STORED, 2)).alias("stored_as"),
         F.when(is_block, size).alias("size_kb"), F.when(is_block, free).alias("free_mb"))
-    return rows.groupBy("application_id").agg(
-        F.count("capacity_mb").alias("stores_started"),
-        F.max("capacity_mb").alias("max_capacity_mb"),
+    per_file = rows.groupBy("_f").agg(
+        F.count("capacity_mb").alias("stores"), F.max("capacity_mb").alias("cap_max"),
         F.count("stored_as").alias("blocks"),
-        F.count_if(F.col("stored_as") == "bytes").alias("blocks_as_bytes"),
-        F.sum("size_kb").alias("block_kb"),
-        F.max("size_kb").alias("max_block_kb"),
-        F.min("free_mb").alias("min_free_mb"))
+        F.count_if(F.col("stored_as") == "bytes").alias("as_bytes"),
+        F.sum("size_kb").alias("kb"), F.max("size_kb").alias("kb_max"),
+        F.min("free_mb").alias("free_min"))
+    return _by_app(
+        per_file,
+        F.sum("stores").cast("bigint").alias("stores_started"),
+        F.max("cap_max").alias("max_capacity_mb"),
+        F.sum("blocks").cast("bigint").alias("blocks"),
+        F.sum("as_bytes").cast("bigint").alias("blocks_as_bytes"),
+        F.sum("kb").alias("block_kb"),
+        F.max("kb_max").alias("max_block_kb"),
+        F.min("free_min").alias("min_free_mb"))
 
 
 def failure_rates(lines: DataFrame, value: str = "value", file_col: str = "file_path") -> DataFrame:
@@ -223,10 +262,10 @@ def broadcast_reads(lines: DataFrame, value: str = "value", file_col: str = "fil
     """Broadcast-variable reads per application."""
     c = _candidates(lines, "Started reading broadcast variable", value, file_col) \
         .where(F.col(value).rlike(BROADCAST_READ))
-    rows = c.select("application_id", _int(value, BROADCAST_READ, 1).alias("var"))
-    return rows.groupBy("application_id").agg(
-        F.count(F.lit(1)).alias("reads"),
-        F.count_distinct("var").alias("distinct_variables"))
+    per_file = (c.select("_f", _int(value, BROADCAST_READ, 1).alias("var"))
+                .groupBy("_f", "var").agg(F.count(F.lit(1)).alias("n")))
+    return _by_app(per_file, F.sum("n").cast("bigint").alias("reads"),
+                   F.count_distinct("var").alias("distinct_variables"))
 
 
 def stitch_entries(lines: DataFrame, value: str = "value", file_col: str = "file_path",
