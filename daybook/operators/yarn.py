@@ -34,12 +34,35 @@ UNIT_EXPONENT = {"B": 0, "KB": 1, "MB": 2, "GB": 3, "TB": 4}  # powers of 1024
 # --- end of fixed values ---
 
 
-def _g(value: str, pattern: str, i: int) -> Column:
+_SEP = "\u0001"
+
+
+def _matching(lines: DataFrame, literal: str, pattern: str, groups: int, value: str,
+              file_col: str) -> DataFrame:
+    """Lines that contain ``literal`` and match ``pattern``, with all capture
+    groups in ``_m`` (``_m[1]`` is group 1) and the path renamed ``_f``.
+
+    One regex pass yields every group: the line is rewritten to its groups
+    separated by a control character, then split. The cheap ``contains``
+    test runs first, so the regex only sees candidate lines.
+    """
+    fields = _SEP + _SEP.join(f"${i}" for i in range(1, groups + 1))
+    rewritten = F.regexp_replace(F.col(value), f"^.*?(?:{pattern}).*$", fields)
+    c = lines.where(F.col(value).contains(literal)).withColumn("_r", rewritten)
+    c = c.where(F.col("_r").startswith(_SEP) & ~F.col(value).startswith(_SEP))
+    return c.withColumn("_m", F.split(F.col("_r"), _SEP)).withColumnRenamed(file_col, "_f")
+
+
+def _extract(value: str, pattern: str, i: int) -> Column:
     return F.regexp_extract(F.col(value), pattern, i)
 
 
-def _int(value: str, pattern: str, i: int) -> Column:
-    return F.nullif(_g(value, pattern, i), F.lit("")).try_cast("bigint")
+def _g(i: int) -> Column:
+    return F.col("_m")[i]
+
+
+def _int(i: int) -> Column:
+    return F.nullif(_g(i), F.lit("")).try_cast("bigint")
 
 
 def _in_unit(amount: Column, unit: Column, target: str = "MB") -> Column:
@@ -64,8 +87,8 @@ def executor_requests(lines: DataFrame, value: str = "value",
                       file_col: str = "file_path") -> DataFrame:
     """Executor requests per application: requests, executors, and the
     cores, memory and overhead they add up to (overhead only when logged)."""
-    c = _candidates(lines, "Will request ", value, file_col).where(F.col(value).rlike(EXECUTOR_REQUEST))
-    n, cores, mem, over = (_int(value, EXECUTOR_REQUEST, i) for i in (1, 2, 3, 4))
+    c = _matching(lines, "Will request ", EXECUTOR_REQUEST, 4, value, file_col)
+    n, cores, mem, over = (_int(i) for i in (1, 2, 3, 4))
     rows = c.select("_f", n.alias("n"), cores.alias("cores"), mem.alias("mem"), over.alias("over"))
     per_file = rows.groupBy("_f").agg(
         F.count(F.lit(1)).alias("requests"),
@@ -89,12 +112,10 @@ def executor_requests(lines: DataFrame, value: str = "value",
 def container_requests(lines: DataFrame, value: str = "value",
                        file_col: str = "file_path") -> DataFrame:
     """Container requests by host preference and capability."""
-    c = _candidates(lines, "Container request (host: ", value, file_col) \
-        .where(F.col(value).rlike(CONTAINER_REQUEST))
+    c = _matching(lines, "Container request (host: ", CONTAINER_REQUEST, 3, value, file_col)
     keys = ["host", "memory_mb", "vcores"]
-    per_file = (c.select("_f", _g(value, CONTAINER_REQUEST, 1).alias("host"),
-                         _int(value, CONTAINER_REQUEST, 2).alias("memory_mb"),
-                         _int(value, CONTAINER_REQUEST, 3).alias("vcores"))
+    per_file = (c.select("_f", _g(1).alias("host"), _int(2).alias("memory_mb"),
+                         _int(3).alias("vcores"))
                 .groupBy("_f", *keys).agg(F.count(F.lit(1)).alias("n")))
     return (per_file.withColumn("application_id", parse.application_id("_f"))
             .groupBy(*keys).agg(F.sum("n").cast("bigint").alias("requests"),
@@ -105,14 +126,11 @@ def task_attempts(lines: DataFrame, value: str = "value", file_col: str = "file_
     """D3: one row per task attempt, pairing its Running and Finished lines
     with one group-by (no join): start, finish, seconds and result bytes.
     ``finish_time`` is NULL for attempts that never finished."""
-    c = _candidates(lines, " task ", value, file_col).where(F.col(value).rlike(TASK_EVENT))
-    kind = _g(value, TASK_EVENT, 1)
+    c = _matching(lines, " task ", TASK_EVENT, 7, value, file_col)
     rows = c.select(
-        "_f",
-        _int(value, TASK_EVENT, 4).alias("stage"), _int(value, TASK_EVENT, 5).alias("stage_attempt"),
-        _int(value, TASK_EVENT, 2).alias("task"), _int(value, TASK_EVENT, 3).alias("task_attempt"),
-        _int(value, TASK_EVENT, 6).alias("tid"), kind.alias("kind"),
-        parse.log_time(value).alias("ts"), _int(value, TASK_EVENT, 7).alias("result_bytes"))
+        "_f", _int(4).alias("stage"), _int(5).alias("stage_attempt"), _int(2).alias("task"),
+        _int(3).alias("task_attempt"), _int(6).alias("tid"), _g(1).alias("kind"),
+        parse.log_time(value).alias("ts"), _int(7).alias("result_bytes"))
     running, finished = F.col("kind") == "Running", F.col("kind") == "Finished"
     att = rows.groupBy("_f", "stage", "stage_attempt", "task", "task_attempt", "tid").agg(
         F.min(F.when(running, F.col("ts"))).alias("start_time"),
@@ -161,8 +179,8 @@ def stage_skew(attempts: DataFrame, straggler_factor: float = 1.5,
 
 def python_times(lines: DataFrame, value: str = "value", file_col: str = "file_path") -> DataFrame:
     """Python worker timings per application (boot may be negative)."""
-    c = _candidates(lines, "PythonRunner: Times:", value, file_col).where(F.col(value).rlike(PYTHON_TIMES))
-    rows = c.select("_f", *[_int(value, PYTHON_TIMES, i).alias(n) for i, n in
+    c = _matching(lines, "PythonRunner: Times:", PYTHON_TIMES, 4, value, file_col)
+    rows = c.select("_f", *[_int(i).alias(n) for i, n in
                             ((1, "total"), (2, "boot"), (3, "init"), (4, "finish"))])
     per_file = rows.groupBy("_f").agg(
         F.count(F.lit(1)).alias("runs"),
@@ -183,10 +201,8 @@ def python_times(lines: DataFrame, value: str = "value", file_col: str = "file_p
 
 def input_splits(lines: DataFrame, value: str = "value", file_col: str = "file_path") -> DataFrame:
     """Input splits by source file: splits, bytes, furthest byte read, readers."""
-    c = _candidates(lines, "Input split: ", value, file_col).where(F.col(value).rlike(INPUT_SPLIT))
-    rows = c.select("_f", _g(value, INPUT_SPLIT, 1).alias("source"),
-                    _int(value, INPUT_SPLIT, 2).alias("offset"),
-                    _int(value, INPUT_SPLIT, 3).alias("length"))
+    c = _matching(lines, "Input split: ", INPUT_SPLIT, 3, value, file_col)
+    rows = c.select("_f", _g(1).alias("source"), _int(2).alias("offset"), _int(3).alias("length"))
     per_file = rows.groupBy("_f", "source").agg(
         F.count(F.lit(1)).alias("n"), F.sum("length").alias("b"),
         F.max(F.col("offset") + F.col("length")).alias("e"))
@@ -202,14 +218,14 @@ def memory_usage(lines: DataFrame, value: str = "value", file_col: str = "file_p
     """Per application, memory-store capacity (MB), stored blocks and
     their sizes (KB, summed), and the lowest free memory reported (MB)."""
     c = _candidates(lines, "MemoryStore", value, file_col)
-    cap = _in_unit(_g(value, MEMORY_STORE, 1), _g(value, MEMORY_STORE, 2), "MB")
+    cap = _in_unit(_extract(value, MEMORY_STORE, 1), _extract(value, MEMORY_STORE, 2), "MB")
     is_cap = F.col(value).rlike(MEMORY_STORE)
     is_block = F.col(value).rlike(BLOCK_STORED)
-    size = _in_unit(_g(value, BLOCK_STORED, 3), _g(value, BLOCK_STORED, 4), "KB")
-    free = _in_unit(_g(value, BLOCK_STORED, 5), _g(value, BLOCK_STORED, 6), "MB")
+    size = _in_unit(_extract(value, BLOCK_STORED, 3), _extract(value, BLOCK_STORED, 4), "KB")
+    free = _in_unit(_extract(value, BLOCK_STORED, 5), _extract(value, BLOCK_STORED, 6), "MB")
     rows = c.where(is_cap | is_block).select(
         "_f", F.when(is_cap, cap).alias("capacity_mb"),
-        F.when(is_block, _g(value, BLOCK_STORED, 2)).alias("stored_as"),
+        F.when(is_block, _extract(value, BLOCK_STORED, 2)).alias("stored_as"),
         F.when(is_block, size).alias("size_kb"), F.when(is_block, free).alias("free_mb"))
     per_file = rows.groupBy("_f").agg(
         F.count("capacity_mb").alias("stores"), F.max("capacity_mb").alias("cap_max"),
@@ -238,8 +254,8 @@ def failure_rates(lines: DataFrame, value: str = "value", file_col: str = "file_
     those rows into one row per file.
     """
     is_task = F.col(value).contains(" task ") & F.col(value).rlike(TASK_EVENT)
-    attempt = F.when(is_task, F.concat_ws(":", *[_g(value, TASK_EVENT, i) for i in (4, 5, 2, 3, 6)]))
-    kind = F.when(is_task, _g(value, TASK_EVENT, 1))
+    attempt = F.when(is_task, F.concat_ws(":", *[_extract(value, TASK_EVENT, i) for i in (4, 5, 2, 3, 6)]))
+    kind = F.when(is_task, _extract(value, TASK_EVENT, 1))
     per_attempt = (lines.select(F.col(file_col).alias("_f"), attempt.alias("_attempt"),
                                 kind.alias("_kind"),
                                 (parse.level(value) == "ERROR").alias("_err"))
@@ -260,9 +276,8 @@ def failure_rates(lines: DataFrame, value: str = "value", file_col: str = "file_
 
 def broadcast_reads(lines: DataFrame, value: str = "value", file_col: str = "file_path") -> DataFrame:
     """Broadcast-variable reads per application."""
-    c = _candidates(lines, "Started reading broadcast variable", value, file_col) \
-        .where(F.col(value).rlike(BROADCAST_READ))
-    per_file = (c.select("_f", _int(value, BROADCAST_READ, 1).alias("var"))
+    c = _matching(lines, "Started reading broadcast variable", BROADCAST_READ, 1, value, file_col)
+    per_file = (c.select("_f", _int(1).alias("var"))
                 .groupBy("_f", "var").agg(F.count(F.lit(1)).alias("n")))
     return _by_app(per_file, F.sum("n").cast("bigint").alias("reads"),
                    F.count_distinct("var").alias("distinct_variables"))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.session import scratch_path
-from daybook.sources.text import read_logs
+from daybook.sources.text import with_lineage
 
 # --- Fixed values of the rendering rule (see FIXTURES.md section 3). ---
 CLUSTER_BASE = 1485248649253
@@ -174,9 +174,9 @@ def rendered_logs(spark: SparkSession, sf_dir: str, templates=BASE,
         path = scratch_path(spark, "rendered-logs", digest)
         write_event_logs(spark.read.parquet(src), path, templates)
         _RENDERED[key] = path
-    skey = (key, positions, id(spark))
-    df = _SOURCES.get(skey)
-    if df is None:
-        df = read_logs(spark, path, positions=positions, recursive=True)
-        _SOURCES[skey] = df
-    return df
+    skey = (key, id(spark))
+    raw = _SOURCES.get(skey)
+    if raw is None:
+        raw = spark.read.option("recursiveFileLookup", "true").text(path)
+        _SOURCES[skey] = raw
+    return with_lineage(raw, positions)

@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def _with_lineage(df: DataFrame, positions: bool) -> DataFrame:
+def with_lineage(df: DataFrame, positions: bool) -> DataFrame:
+    """``value`` and ``file_path`` of a raw text scan; with ``positions``
+    also the split start and a scan-order id, taken directly over the scan."""
     cols = [F.col("value"), F.col("_metadata.file_path").alias("file_path")]
     if positions:
         cols += [F.col("_metadata.file_block_start").alias("file_block_start"),
@@ -35,12 +37,12 @@ def read_logs(spark: SparkSession, paths: str | Iterable[str], positions: bool =
     reader = spark.read
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    return _with_lineage(reader.text(paths), positions)
+    return with_lineage(reader.text(paths), positions)
 
 
 def read_log_glob(spark: SparkSession, pattern: str, positions: bool = False) -> DataFrame:
     """S3: text lines of all files matching a glob such as ``root/application_*/*.log``."""
-    return _with_lineage(spark.read.text(pattern), positions)
+    return with_lineage(spark.read.text(pattern), positions)
 
 
 def expand_manifest(spark: SparkSession, manifest: str, base_uri: str = "") -> list[str]:
