@@ -93,26 +93,30 @@ def container_role(container="container_id") -> Column:
             .otherwise(F.lit("executor")))
 
 
+def _assemble(s: Column, guard: Column) -> Column:
+    def part(start: int) -> Column:
+        return F.substring(s, start, 2).try_cast("int")
+
+    secs = part(16)
+    return F.when(guard & (secs < 60),
+                  F.try_make_timestamp_ntz(part(1) + F.lit(2000), part(4), part(7),
+                                           part(10), part(13), secs))
+
+
 def parse_log_time(ts_str="timestamp_str") -> Column:
     """``yy/MM/dd HH:mm:ss`` -> TIMESTAMP_NTZ; "" or impossible values -> NULL.
 
-    The fields are cut from the fixed-width prefix and assembled with
+    The fields are cut from the fixed-width text and assembled with
     ``try_make_timestamp_ntz``: zone free (log text carries no zone), never
     raises under ANSI mode, and cheaper than a pattern-based parser. Two-digit
     years are 20yy. Second 60 is rejected, as a ``ss`` pattern would.
     """
     s = as_col(ts_str)
-
-    def part(start: int) -> Column:
-        return F.substring(s, start, 2).try_cast("int")
-
-    secs = part(16)
-    shaped = s.rlike(r"^\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}$")
-    return F.when(shaped & (secs < 60),
-                  F.try_make_timestamp_ntz(part(1) + F.lit(2000), part(4), part(7),
-                                           part(10), part(13), secs))
+    return _assemble(s, s.rlike(r"^\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}$"))
 
 
 def log_time(line="value") -> Column:
-    """P1 + P9 in one step: the line's timestamp or NULL."""
-    return parse_log_time(timestamp_prefix(line))
+    """P1 + P9 in one step: the line's timestamp or NULL. The prefix regex
+    already guarantees the shape, so only one regex runs per line."""
+    prefix = timestamp_prefix(line)
+    return _assemble(prefix, prefix != "")
