@@ -12,8 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.operators import trips
+from daybook.functions import parse
+from daybook.operators import distribution, levels, sampling, trips, usage, yarn
 from daybook.session import scratch_dir, table_path
+from daybook.sources import number_lines, rendered
+from daybook.sources import sql_count as count_view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -112,10 +115,6 @@ def fare_p95_by_year(spark, sf_dir):
 # one line per event in the base corpus. The oracle recomputes each result
 # from the `events` columns.
 
-from daybook.functions import parse  # noqa: E402
-from daybook.operators import distribution, levels, sampling, usage  # noqa: E402
-from daybook.sources import number_lines, rendered  # noqa: E402
-
 SAMPLE_SEED = 7
 SAMPLE_SIZE = 10
 PATTERN = "ev.purchase: value"
@@ -443,7 +442,6 @@ def even_keys_doubled(spark, sf_dir):
 
 @register("sql_count", "SELECT COUNT(*) AS total FROM orders")
 def sql_count(spark, sf_dir):
-    from daybook.sources import sql_count as count_view
     return count_view(spark, _table(spark, sf_dir, "orders"), "orders_view")
 
 
@@ -454,8 +452,6 @@ def sql_count(spark, sf_dir):
 # memory store, stored block, broadcast read) and, for error events, an entry
 # with a continuation line. Template values are functions of event columns.
 
-from daybook.operators import yarn  # noqa: E402
-
 
 def _yarn_logs(spark, sf_dir, positions=False):
     return rendered.rendered_logs(spark, sf_dir, rendered.YARN, positions=positions)
