@@ -80,3 +80,27 @@ def test_streaming_level_counts_equal_batch(spark, tmp_dir):
         q.stop()
     want = sorted(map(tuple, levels.level_counts(read_logs(spark, logs, recursive=True)).collect()))
     assert got == want and os.path.isdir(f"{tmp_dir}/ckpt")
+
+
+def test_streaming_counts_grow_with_arriving_files(spark, tmp_dir):
+    import shutil
+    src = rendered.write_event_logs(spark.read.parquet(f"{SF_TINY}/events.parquet"), f"{tmp_dir}/all")
+    files = sorted(glob.glob(f"{src}/k=*/c=*/*.txt"))
+    inbox = f"{tmp_dir}/inbox"
+    os.makedirs(inbox)
+    half = len(files) // 2
+    for i, f in enumerate(files[:half]):
+        shutil.copy(f, f"{inbox}/f{i:05d}.log")
+    q = start_level_counts(spark, f"{inbox}/*.log", f"{tmp_dir}/ckpt2", query_name="lvl_grow")
+    try:
+        q.processAllAvailable()
+        first = dict(map(tuple, spark.sql("select level, count from lvl_grow").collect()))
+        for i, f in enumerate(files[half:], start=half):
+            shutil.copy(f, f"{inbox}/f{i:05d}.log")
+        q.processAllAvailable()
+        second = dict(map(tuple, spark.sql("select level, count from lvl_grow").collect()))
+    finally:
+        q.stop()
+    want = dict(map(tuple, levels.level_counts(read_logs(spark, files)).collect()))
+    assert second == want
+    assert sum(first.values()) < sum(second.values())
