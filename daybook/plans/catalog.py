@@ -280,6 +280,13 @@ def _shared_timeline(spark, sf_dir):
     return _timeline(spark, sf_dir).checkpoint(eager=True)
 
 
+def _shared_durations(spark, sf_dir):
+    """The largest cluster's positive durations (one row per application),
+    materialised once; the histogram and density read it several times
+    (global bounds as scalar subqueries, then the rows)."""
+    return usage.largest_cluster_durations(_shared_timeline(spark, sf_dir)).checkpoint(eager=True)
+
+
 @register("app_timeline", f"WITH {_EV}, {_TIMELINE} SELECT * FROM timeline")
 def app_timeline(spark, sf_dir):
     return _timeline(spark, sf_dir)
@@ -360,7 +367,7 @@ SELECT axis.bin,
 FROM axis CROSS JOIN e LEFT JOIN binned ON binned.bin = axis.bin
 """)
 def duration_histogram(spark, sf_dir):
-    h = distribution.log_histogram(usage.largest_cluster_durations(_shared_timeline(spark, sf_dir)))
+    h = distribution.log_histogram(_shared_durations(spark, sf_dir))
     return _round(h, ["log_lo", "log_hi", "lo", "hi"])
 
 
@@ -377,7 +384,7 @@ SELECT i AS grid_index, round(gx, 6) AS log_x, round(pow(10, gx), 6) AS x,
 FROM s
 """)
 def duration_density(spark, sf_dir):
-    d = distribution.log_density(usage.largest_cluster_durations(_shared_timeline(spark, sf_dir)))
+    d = distribution.log_density(_shared_durations(spark, sf_dir))
     return _round(d, ["log_x", "x", "density", "scaled_count"])
 
 
