@@ -288,44 +288,54 @@ def stitch_entries(lines: DataFrame, value: str = "value", file_col: str = "file
     """Join continuation lines (no timestamp prefix) to the entry above.
 
     ``lines`` must come straight from a reader with ``positions=True``.
-    Works split by split: a split's lines share one task and consecutive
-    scan ids, so entries are numbered inside each split by a running count
-    of timestamped lines. Continuation lines at the top of a split belong to
-    the last entry of an earlier split of the same file; a per-file running
-    sum over *split* rows (one row per split) gives each split its offset,
-    and a second, entry-sized group-by merges those pieces. No file is ever
-    held whole in one task.
+    A split's lines are read in order by one task with consecutive scan ids.
+    A small table with one row per split (line count, timestamped lines, the
+    scan id of its first timestamped line) tells, from the file listing
+    order alone, where every line belongs: continuation lines at the top of
+    a split are sent to the nearest earlier split that holds a timestamped
+    line (their entry's head); all other lines stay in their own split. One
+    shuffle keyed by (file, target split) then puts every entry wholly in
+    one task, where a running count numbers the entries and one aggregate
+    joins their lines -- no file is held whole in one task, and the text is
+    shuffled once.
 
     Output: file_path, entry_no (0 = lines before the first timestamp),
     first_line_no, n_lines, text (lines joined with newlines).
     """
-    is_head = F.when(parse.timestamp_prefix(value) != "", F.lit(1)).otherwise(F.lit(0))
+    head = F.when(parse.timestamp_prefix(value) != "", F.lit(1)).otherwise(F.lit(0))
     split = [file_col, block_col]
-    in_split = Window.partitionBy(*split).orderBy(pos_col) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = lines.select(file_col, block_col, pos_col, value, is_head.alias("_head")) \
-        .withColumn("_local", F.sum("_head").over(in_split))
     blocks = (lines.groupBy(*split)
               .agg(F.min(pos_col).alias("_first_pos"), F.count(F.lit(1)).alias("_n"),
-                   F.sum(is_head).alias("_heads")))
-    earlier = Window.partitionBy(file_col).orderBy(block_col) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select(*split, "_first_pos",
-                           F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_lines_before"),
-                           F.coalesce(F.sum("_heads").over(earlier), F.lit(0)).alias("_heads_before"))
-    pieces = (local.groupBy(*split, "_local")
-              .agg(F.min(pos_col).alias("_p0"), F.count(F.lit(1)).alias("_cnt"),
-                   F.sort_array(F.collect_list(F.struct(F.col(pos_col), F.col(value))))
-                   .alias("_parts")))
-    pieces = pieces.join(broadcast_if_bounded(lines, blocks), split).select(
-        F.col(file_col).alias("file_path"),
-        (F.col("_heads_before") + F.col("_local")).alias("entry_no"),
-        (F.col("_lines_before") + F.col("_p0") - F.col("_first_pos") + F.lit(1)).alias("_line"),
-        F.col(block_col).alias("_block"), "_cnt", "_parts")
-    merged = pieces.groupBy("file_path", "entry_no").agg(
+                   F.sum(head).alias("_heads"),
+                   F.min(F.when(head == 1, F.col(pos_col))).alias("_first_head_pos")))
+    by_file = Window.partitionBy(file_col).orderBy(block_col)
+    before = by_file.rowsBetween(Window.unboundedPreceding, -1)
+    whole_file = Window.partitionBy(file_col)
+    blocks = blocks.select(
+        *split, "_first_pos", "_first_head_pos",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_lines_before"),
+        F.coalesce(F.sum("_heads").over(before), F.lit(0)).alias("_heads_before"),
+        F.coalesce(F.max(F.when(F.col("_heads") > 0, F.col(block_col))).over(before),
+                   F.min(block_col).over(whole_file)).alias("_prev_target"))
+
+    orphan = F.col("_first_head_pos").isNull() | (F.col(pos_col) < F.col("_first_head_pos"))
+    placed = lines.select(*split, pos_col, value, head.alias("_head")) \
+        .join(broadcast_if_bounded(lines, blocks), split) \
+        .select(file_col, block_col, pos_col, value, "_head", "_heads_before",
+                F.when(orphan, F.col("_prev_target")).otherwise(F.col(block_col)).alias("_target"),
+                orphan.alias("_orphan"),
+                (F.col("_lines_before") + F.col(pos_col) - F.col("_first_pos") + F.lit(1))
+                .alias("_line"))
+    running = (Window.partitionBy(file_col, "_target").orderBy(block_col, pos_col)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    numbered = placed.withColumn(
+        "entry_no",
+        F.when(F.col("_orphan"), F.col("_heads_before"))
+        .otherwise(F.col("_heads_before") + F.sum("_head").over(running)))
+    entries = numbered.groupBy(file_col, "_target", "entry_no").agg(
         F.min("_line").alias("first_line_no"),
-        F.sum("_cnt").alias("n_lines"),
-        F.sort_array(F.collect_list(F.struct("_block", "_parts"))).alias("_chunks"))
-    text = F.array_join(F.transform(F.flatten(F.transform("_chunks", lambda c: c["_parts"])),
-                                    lambda p: p[value]), "\n")
-    return merged.select("file_path", "entry_no", "first_line_no", "n_lines", text.alias("text"))
+        F.count(F.lit(1)).alias("n_lines"),
+        F.sort_array(F.collect_list(F.struct(block_col, pos_col, value))).alias("_parts"))
+    text = F.array_join(F.transform("_parts", lambda p: p[value]), "\n")
+    return entries.select(F.col(file_col).alias("file_path"), "entry_no", "first_line_no",
+                          "n_lines", text.alias("text"))

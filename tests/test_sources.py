@@ -113,3 +113,23 @@ def test_level_counts_on_text_files(spark, tmp_dir):
                                      "no level\n17/06/09 12:49:56 INFO c: WARN\n")
     got = {r.level: r["count"] for r in levels.level_counts(read_logs(spark, p)).collect()}
     assert got == {"INFO": 2, "ERROR": 1}
+
+
+def test_stitching_with_splits_that_hold_no_timestamp(spark, tmp_dir, small_splits):
+    out = [f"\tat orphan.{j}" + "z" * 30 for j in range(400)]  # several splits before any entry
+    for i in range(300):
+        out.append(f"17/06/09 13:{i // 60 % 60:02d}:{i % 60:02d} ERROR c.D: entry {i}")
+        n = 700 if i in (5, 150) else (i % 4)  # two traces spanning several splits
+        out.extend(f"\tat frame.{i}.{j}" + "q" * 25 for j in range(n))
+    text = "\n".join(out) + "\n"
+    p = _write(f"{tmp_dir}/t/application_1_0001/container_1_0001_01_000003.log", text)
+    lines = read_logs(spark, [p], positions=True)
+    blocks = lines.groupBy("file_block_start").agg(
+        F.count_if(F.col("value").rlike(r"^\d\d/")).alias("heads"))
+    assert blocks.where("heads = 0").count() >= 3  # splits without any timestamp
+    got = {r.entry_no: r for r in yarn.stitch_entries(lines).collect()}
+    want = _reference_stitch(text)
+    assert len(got) == len(want)
+    for k, (first, parts) in enumerate(want):
+        r = got[k]
+        assert (r.first_line_no, r.n_lines, r.text) == (first, len(parts), "\n".join(parts))
