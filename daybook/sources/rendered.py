@@ -144,7 +144,10 @@ def write_event_logs(events: DataFrame, path: str, templates=BASE) -> str:
     """Write the rendered files under ``path``: one file per container,
     lines ordered by (time, event, template)."""
     lines = event_log_lines(events, templates)
-    (lines.repartition("k", "c")
+    # Writing thousands of small files costs per file; several tasks per core
+    # keep the per-file work evenly spread.
+    parts = max(events.sparkSession.sparkContext.defaultParallelism * 4, 8)
+    (lines.repartition(parts, "k", "c")
      .sortWithinPartitions("k", "c", "line_ts", "event_id", "seq")
      .select("k", "c", "value")
      .write.mode("overwrite").partitionBy("k", "c").text(path))
