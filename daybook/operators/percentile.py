@@ -4,10 +4,13 @@
 merged map-side, so a hot group costs no more memory than a cold one.
 
 ``exact`` gives the discrete percentile (``percentile_disc``: the smallest
-value whose cumulative share reaches ``q``) without holding a group's rows
-in one buffer: rows are first counted per (group, value) with a map-side
-combine, then a running sum runs over the *distinct* values of each group.
-Memory per group is bounded by its number of distinct values, not its rows.
+value whose cumulative share reaches ``q``) without holding a group's rows,
+or even a group's distinct values, in one task: rows are counted per
+(group, value) with a map-side combine; those counts are range-partitioned
+by (group, value), so a hot group's values spread over many partitions in
+order; a running count inside each (partition, group) plus the counts of
+the group's earlier partitions (a small table with at most one row per
+partition and group) gives every value its exact cumulative count.
 """
 
 from __future__ import annotations
@@ -24,20 +27,32 @@ def approx(value: str, q: float, accuracy: int = 10000) -> Column:
 
 
 def exact(df: DataFrame, keys: Sequence[str], value: str, q: float,
-          alias: str = "percentile") -> DataFrame:
+          alias: str = "percentile", partitions: int | None = None) -> DataFrame:
     """Exact discrete percentile of ``value`` per ``keys`` (NULLs ignored).
 
     Returns one row per group that has at least one non-NULL value.
+    ``partitions`` sets the range partitioning of the (group, value) counts
+    (default: the session's shuffle partitions).
     """
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must be within [0, 1]")
     keys = list(keys)
+    spark = df.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = (df.where(F.col(value).isNotNull())
-              .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n_value")))
-    by_group = Window.partitionBy(*keys)
-    running = by_group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (counts
-              .withColumn("_cum", F.sum("_n_value").over(running))
-              .withColumn("_n", F.sum("_n_value").over(by_group)))
-    return (ranked.where(F.col("_cum") >= F.lit(q) * F.col("_n"))
-            .groupBy(*keys).agg(F.min(value).alias(alias)))
+              .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")))
+    ranged = (counts.repartitionByRange(n_parts, *[F.col(k) for k in keys], F.col(value))
+              .withColumn("_pid", F.spark_partition_id()))
+    inside = (Window.partitionBy("_pid", *keys).orderBy(value)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = ranged.withColumn("_loc", F.sum("_c").over(inside))
+    per_part = local.groupBy("_pid", *keys).agg(F.max("_loc").alias("_pt"))
+    earlier = (Window.partitionBy(*keys).orderBy("_pid")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    per_part = per_part.select(
+        "_pid", *keys,
+        F.coalesce(F.sum("_pt").over(earlier), F.lit(0)).alias("_off"),
+        F.sum("_pt").over(Window.partitionBy(*keys)).alias("_n"))
+    reached = local.join(per_part, ["_pid", *keys]) \
+        .where(F.col("_off") + F.col("_loc") >= F.lit(q) * F.col("_n"))
+    return reached.groupBy(*keys).agg(F.min(value).alias(alias))

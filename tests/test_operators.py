@@ -128,3 +128,20 @@ def test_seconds_between_is_wall_clock_in_any_zone(spark):
         assert df.select(seconds_between("s", "e")).first()[0] == 7200.0
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_exact_percentile_with_a_hot_group_over_many_partitions(spark):
+    rnd = random.Random(11)
+    rows = [(0, float(rnd.randint(0, 5000))) for _ in range(9000)]       # hot group
+    rows += [(g, float(rnd.randint(0, 50))) for g in range(1, 40) for _ in range(25)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    df.createOrReplaceTempView("hot")
+    for q in (0.5, 0.95, 0.999):
+        mine = {r.g: r.percentile for r in percentile.exact(df, ["g"], "v", q, partitions=16).collect()}
+        ref = {r.g: r.p for r in spark.sql(
+            f"select g, percentile_disc({q}) within group (order by v) p from hot group by g").collect()}
+        assert mine == ref, q
+    # the hot group's distinct values really are spread over several range partitions
+    counts = df.groupBy("g", "v").count().repartitionByRange(16, "g", "v")
+    spread = counts.where("g = 0").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert spread > 4
