@@ -287,8 +287,8 @@ def stitch_entries(lines: DataFrame, value: str = "value", file_col: str = "file
                    block_col: str = "file_block_start", pos_col: str = "row_pos") -> DataFrame:
     """Join continuation lines (no timestamp prefix) to the entry above.
 
-    ``lines`` must come straight from a reader with ``positions=True``.
-    A split's lines are read in order by one task with consecutive scan ids.
+    ``lines`` must come straight from a reader with ``positions=True``, each
+    file listed once. A split's lines are read in order by one task with consecutive scan ids.
     A small table with one row per split (line count, timestamped lines, the
     scan id of its first timestamped line) tells, from the file listing
     order alone, where every line belongs: continuation lines at the top of

@@ -107,7 +107,8 @@ def number_lines(lines: DataFrame, file_col: str = "file_path",
     """Exact 1-based line number of every line within its file.
 
     ``lines`` must come straight from a reader with ``positions=True`` (no
-    filter in between). A split's lines are read in order by one task and get
+    filter in between), and each file must be listed once (``expand_manifest``
+    removes repeated paths). A split's lines are read in order by one task and get
     consecutive scan ids, so a line's number is the count of lines in earlier
     splits of the same file plus its distance from its split's first id.
     Only one row per split is aggregated and windowed (per file, over splits);
