@@ -11,10 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import langid, licenses, mixing, packing, quality, simhash, urls
+from daybook.llm import ann, html, langid, licenses, lm, mixing, packing, quality, simhash, urls
 from daybook.llm.common import id_bucket, table
 
 
+def site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = quality.with_ledger(docs).select("doc_id", "ledger.*")
@@ -23,6 +28,11 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (~quality.fails(F.col("bits"), quality.POLICY)).alias("kept"), "bits")
 
 
+def kmeans_tree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ann.clean(table(spark, sf_dir, "embeddings"))
+    return ann.search(rows, ann.build(rows)).select("query_id", "rank", "vec_id", "score")
+
+
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return packing.pack(pieces).select("doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -48,19 +58,30 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(id_bucket(F.col("doc_id"), 5) == 1, F.lit(False))
+    model = lm.fit(docs.where(~held_out))
+    return lm.score(docs, model, keep={"held_out": held_out}).select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(id_bucket(F.col("doc_id"), 5) == 0, F.lit(False))
-    profiles = langid.fit(docs.where(id_bucket(F.col("doc_id"), 5) != 0))
+    profiles = langid.fit(docs.where(~held_out))
     return docs.select("doc_id", held_out.alias("held_out"), langid.predict(F.col("text"), profiles).alias("p")).select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_site_style_tree": site_style_tree,
     "op2_quality_rules": quality_rules,
+    "op3_kmeans_tree_neighbours": kmeans_tree_neighbours,
     "op4_best_fit_packing": best_fit_packing,
     "op5_mixed_sources": mixed_sources,
     "op6_license_scan": license_scan,
     "op7_url_filter": url_filter,
     "op8_simhash_near_dedup": simhash_near_dedup,
+    "op9_recurrent_lm": recurrent_lm,
     "op10_language_id": language_id,
 }
