@@ -1,0 +1,72 @@
+from daybook.llm import urls as U
+from daybook.llm import queries
+from pyspark.sql import functions as F
+
+SF_SMALL = "/root/testdata/sf0.01"
+
+
+def parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    cut = min((rest.find(c) for c in "/?#" if c in rest), default=len(rest))
+    host, rest = rest[:cut], rest[cut:]
+    cut = min((rest.find(c) for c in "?#" if c in rest), default=len(rest))
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), rest[:cut]
+
+
+def longest(host, path):
+    fits = [r for r in U.RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return max(fits, key=lambda r: len(r.text), default=None)
+
+
+URLS = [None, "", "no scheme", "http://Example.ORG/es/1", "https://a.example.org/en/12?x=/es/", "https://a.example.org/en/2", "https://org/", "https://org", "https://xorg/", "x://y://z/p",
+        "https://a.com/fr/1#/de/", "https://a.com/de/1", "https://a.com/fr", "https://É.com/de/É", "https://a.net/é?q#f", "https://a.net?x/y", "https://a.net#x/y", "://", "https:///p",
+        "https://evilexample.org/es/1", "https://u@h.example.org:80/es/\n1", "https://h.net/" + "a" * 100_000, "http://free-casino-porn.example/xxx/poker/slots"]
+
+
+def judged(spark, urls, **kw):
+    df = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "page_id long, url string, host string")
+    return U.judge(df, U.fit(U.labelled(spark)), **kw)
+
+
+def test_rules_against_plain_loops(spark):
+    got = {r["page_id"]: r for r in judged(spark, URLS).collect()}
+    for i, u in enumerate(URLS):
+        host, path = parts(u)
+        rule = longest(host, path)
+        assert (got[i]["host"], got[i]["path"], got[i]["rule"]) == (host, path, rule.text if rule else None), u
+        assert got[i]["verdict"] == (rule.verdict if rule else "block" if got[i]["score"] >= U.THRESHOLD else "allow")
+    assert got[len(URLS) - 1]["verdict"] == "block" and got[0]["verdict"] == "allow"
+
+
+def test_labelled_urls_are_told_apart(spark):
+    rows = U.labelled(spark).collect()
+    score = {r["url"]: r["score"] for r in judged(spark, [r["url"] for r in rows]).collect()}
+    assert all((score[r["url"]] > 0.5) == (r["label"] == 1) for r in rows)
+
+
+def test_unseen_urls(spark):
+    bad = ["http://mega-casino-slots.example/poker/bonus", "http://hot-porn-xxx.example/sex/videos", "http://cheap-viagra-pills-online.example/buy"]
+    good = ["https://www.example.net/en/9001", "https://blog.river.example.net/de/12.html", "https://library.example/history/books", "https://m.thing.example.com/es/3?page=2"]
+    got = {r["url"]: r["verdict"] for r in judged(spark, bad + good).collect()}
+    assert all(got[u] == "block" for u in bad) and all(got[u] == "allow" for u in good)
+
+
+def test_columns_repeated_rows_and_empty_table(spark):
+    df = spark.createDataFrame([(1, "https://a.com/de/", "h", 1.0)] * 2, "page_id long, url string, verdict string, score double")
+    out = U.judge(df, U.fit(U.labelled(spark)))
+    assert out.count() == 2 and out.first()["verdict"] == "block" and out.columns.count("score") == 1
+    assert U.judge(df.limit(0), U.fit(U.labelled(spark))).count() == 0
+
+
+def test_no_python_in_the_plan(spark):
+    plan = queries.url_filter(spark, SF_SMALL)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_pages(spark):
+    got = queries.url_filter(spark, SF_SMALL)
+    model = got.where(F.col("rule").isNull())
+    assert got.count() == spark.read.parquet(f"{SF_SMALL}/pages.parquet").count()
+    assert model.where("verdict = 'block'").count() == 0
