@@ -19,11 +19,6 @@ def percent(num, den) -> Column:
     return safe_ratio(num, den, 100.0)
 
 
-def fixed(fmt: str, *cols) -> Column:
-    """Printf-style formatting (``%5s``, ``%10d``, ``%6.2f``)."""
-    return F.format_string(fmt, *[as_col(c) for c in cols])
-
-
 def report_line(no: int, text) -> Column:
     """One ``(line_no, text)`` struct of a text report."""
     t = text if isinstance(text, Column) else F.lit(text)

@@ -37,6 +37,11 @@ def timestamp_prefix(line="value") -> Column:
     return F.regexp_extract(as_col(line), TIMESTAMP_PREFIX, 1)
 
 
+def is_entry_head(line="value") -> Column:
+    """Whether a line begins with a timestamp, and so a log entry; NULL is no head."""
+    return F.coalesce(as_col(line).rlike(TIMESTAMP_PREFIX), F.lit(False))
+
+
 def level(line="value", strict: bool = False) -> Column:
     """Leftmost INFO/WARN/ERROR/DEBUG anywhere in the line ("" if none).
 
@@ -116,7 +121,6 @@ def parse_log_time(ts_str="timestamp_str") -> Column:
 
 
 def log_time(line="value") -> Column:
-    """P1 + P9 in one step: the line's timestamp or NULL. The prefix regex
-    already guarantees the shape, so only one regex runs per line."""
-    prefix = timestamp_prefix(line)
-    return _assemble(prefix, prefix != "")
+    """P1 + P9 in one step: the line's timestamp or NULL. The fixed-width
+    prefix is cut from the line and its shape tested by the only regex."""
+    return parse_log_time(F.substring(as_col(line), 1, 17))

@@ -1,4 +1,4 @@
-"""Time helpers: date parts and pushdown-friendly year ranges."""
+"""Time helpers: pushdown-friendly year ranges, seconds between."""
 
 from __future__ import annotations
 
@@ -6,13 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def date_parts(ts: str) -> list[Column]:
-    """P10: ``dt_year``, ``dt_month``, ``dt_day`` (int) of a timestamp column."""
-    c = F.col(ts)
-    return [F.year(c).alias("dt_year"), F.month(c).alias("dt_month"),
-            F.dayofmonth(c).alias("dt_day")]
-
-
 def year_range(df: DataFrame, ts: str, year: int) -> Column:
     """F4 as a half-open range ``[year-01-01, year+1-01-01)`` on the raw column.
 

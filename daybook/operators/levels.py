@@ -14,17 +14,7 @@ from pyspark.sql import functions as F
 from daybook.functions import parse
 from daybook.functions.fmt import percent
 from daybook.functions.fmt import report_line as _line
-
-
-def parse_lines(lines: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
-    """Adds ``timestamp`` (string prefix), ``level`` and ``component``;
-    ``message`` is the whole line. Nothing is filtered."""
-    return lines.withColumns({
-        "timestamp": parse.timestamp_prefix(value),
-        "level": parse.level(value, strict),
-        "component": parse.component(value),
-        "message": F.col(value),
-    })
+from daybook.sources.text import split_table
 
 
 def with_level(lines: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
@@ -73,6 +63,7 @@ def level_report(summary: DataFrame) -> DataFrame:
     largest count first. One aggregate over the summary (at most four rows,
     one per level word) builds every line, so the input is read once.
     """
+    # The report's texts.
     rows = F.sort_array(F.collect_list(F.struct(
         (-F.col("count")).alias("k"), F.col("level").alias("l"),
         F.format_string("  %-5s : %10d (%6.2f%%)", "level", "count", "pct").alias("t"))))
@@ -108,10 +99,18 @@ def lines_containing(lines: DataFrame, literal: str, value: str = "value") -> Da
     return lines.where(F.col(value).contains(literal))
 
 
-def first_lines_containing(numbered: DataFrame, literal: str, n: int = 20,
-                           value: str = "value", file_col: str = "file_path",
-                           line_col: str = "line_no") -> DataFrame:
+def first_lines_containing(lines: DataFrame, literal: str, n: int = 20, value: str = "value",
+                           file_col: str = "file_path", block_col: str = "file_block_start",
+                           pos_col: str = "row_pos") -> DataFrame:
     """the first ``n`` lines containing a literal, in file then line order
-    (``grep -r ... | head -n``). ``numbered`` carries per-file line numbers."""
-    return (numbered.where(F.col(value).contains(literal))
-            .orderBy(F.col(file_col), F.col(line_col)).limit(n))
+    (``grep -r ... | head -n``), with their line numbers.
+
+    ``lines`` come straight from a reader with ``positions=True``. File, split
+    and scan order already give that order, so the lines are cut to ``n``
+    first, each task sending ``n`` at most, and only those are numbered.
+    """
+    hits = lines.where(F.col(value).contains(literal)).orderBy(file_col, block_col, pos_col).limit(n)
+    splits = split_table(lines, file_col, block_col, pos_col)
+    first = splits.join(F.broadcast(hits), [file_col, block_col])  # n rows
+    numbered = first.withColumn("line_no", F.col("lines_before") + F.col(pos_col) - F.col("first_pos") + F.lit(1))
+    return numbered.drop("first_pos", "lines_before").orderBy(file_col, "line_no").limit(n)

@@ -4,13 +4,14 @@
 merged map-side, so a hot group costs no more memory than a cold one.
 
 ``exact`` gives the discrete percentile (``percentile_disc``: the smallest
-value whose cumulative share reaches ``q``) without holding a group's rows,
-or even a group's distinct values, in one task: rows are counted per
-(group, value) with a map-side combine; those counts are range-partitioned
-by (group, value), so a hot group's values spread over many partitions in
-order; a running count inside each (partition, group) plus the counts of
-the group's earlier partitions (a small table with at most one row per
-partition and group) gives every value its exact cumulative count.
+value whose cumulative share reaches ``q``) by narrowing: a sketch of each
+group's values gives a bracket around the wanted rank, the rows below it are
+counted, and the counts tell whether the rank really lies inside; if not,
+that group's bracket is widened. Once few enough rows are left inside, they
+are counted by value and ranked. Sketches and counts are merged map-side, so
+no group's rows or distinct values meet in one task, and only the rows inside
+the last bracket are shuffled. Every decision follows from counted rows, so
+neither partitioning nor the optimizer has a say in the result.
 """
 
 from __future__ import annotations
@@ -20,39 +21,89 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from daybook.session import checked_broadcast, cut
 
-def approx(value: str, q: float, accuracy: int = 10000) -> Column:
+STEPS = 500  # quantiles that a sketch is asked for
+ACCURACY = 10_000
+INSIDE = 1_000_000  # rows of one group that may be left for ranking
+GROUPS = 100_000  # groups whose brackets are broadcast
+
+
+def approx(value: str, q: float, accuracy: int = ACCURACY) -> Column:
     """Approximate percentile as an aggregate Column (A10)."""
     return F.percentile_approx(F.col(value), q, accuracy)
 
 
+def _inside() -> Column:
+    return F.col("_v").between(F.col("_lo"), F.col("_hi"))
+
+
+def _join(rows: DataFrame, table: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Every row with its group's columns; a null key equals itself."""
+    side = checked_broadcast(table.withColumnsRenamed({n: f"_of{n}" for n in names}), GROUPS)
+    same = F.lit(True)
+    for n in names:
+        same = same & F.col(n).eqNullSafe(F.col(f"_of{n}"))
+    return rows.join(side, same).drop(*[f"_of{n}" for n in names])
+
+
+def _next_bracket(state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """From counts and sketch of the present bracket, the next one.
+
+    The present one holds if ``_below`` < target <= ``_below`` + ``_in``; then
+    two sketch steps around the target are next. Otherwise the bracket before
+    it is taken again with twice the margin.
+    """
+    holds = (F.col("_below") < F.col("_target")) & (F.col("_target") <= F.col("_below") + F.col("_in"))
+    at = F.floor((F.col("_target") - F.col("_below") - 1) / F.col("_in") * STEPS)
+
+    def step(offset: Column) -> Column:
+        return F.get("_sketch", F.greatest(F.lit(0), F.least(F.lit(STEPS), at + offset)).cast("int"))
+
+    margin = F.when(holds, F.col("_margin")).otherwise(F.col("_margin") * 2)
+    return state.select(
+        *keys, "_target", holds.alias("_held"), "_in", margin.alias("_margin"),
+        F.when(holds, step(-margin)).otherwise(F.col("_outer_lo")).alias("_lo"),
+        F.when(holds, step(margin + 1)).otherwise(F.col("_outer_hi")).alias("_hi"),
+        F.when(holds, F.col("_lo")).otherwise(F.col("_outer_lo")).alias("_outer_lo"),
+        F.when(holds, F.col("_hi")).otherwise(F.col("_outer_hi")).alias("_outer_hi"))
+
+
 def exact(df: DataFrame, keys: Sequence[str], value: str, q: float,
-          alias: str = "percentile", partitions: int | None = None) -> DataFrame:
+          alias: str = "percentile", inside: int = INSIDE) -> DataFrame:
     """Exact discrete percentile of ``value`` per ``keys`` (NULLs ignored).
 
-    Returns one row per group that has at least one non-NULL value.
-    ``partitions`` sets the range partitioning of the (group, value) counts
-    (default: the session's shuffle partitions).
+    Returns one row per group that has at least one non-NULL value; a null
+    key is a group. Counting runs while the query is built, once per
+    narrowing; as each divides what is inside by about a hundred, one or two
+    are usual.
     """
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must be within [0, 1]")
-    keys = list(keys)
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = (df.where(F.col(value).isNotNull())
-              .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")))
-    ranged = (counts.repartitionByRange(n_parts, *[F.col(k) for k in keys], F.col(value))
-              .withColumn("_pid", F.spark_partition_id()))
-    inside = (Window.partitionBy("_pid", *keys).orderBy(value)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.withColumn("_loc", F.sum("_c").over(inside))
-    per_part = local.groupBy("_pid", *keys).agg(F.max("_loc").alias("_pt"))
-    earlier = (Window.partitionBy(*keys).orderBy("_pid")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    per_part = per_part.select(
-        "_pid", *keys,
-        F.coalesce(F.sum("_pt").over(earlier), F.lit(0)).alias("_off"),
-        F.sum("_pt").over(Window.partitionBy(*keys)).alias("_n"))
-    reached = local.join(per_part, ["_pid", *keys]) \
-        .where(F.col("_off") + F.col("_loc") >= F.lit(q) * F.col("_n"))
-    return reached.groupBy(*keys).agg(F.min(value).alias(alias))
+    names = [f"_k{i}" for i in range(len(keys))]
+    rows = df.where(F.col(value).isNotNull()).select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(value).alias("_v"))
+    grid = F.array(*[F.lit(i / STEPS) for i in range(STEPS + 1)])
+
+    def sketch(of: Column) -> Column:
+        return F.percentile_approx(of, grid, ACCURACY).alias("_sketch")
+
+    whole = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_in"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), sketch(F.col("_v")))
+    state = whole.withColumns({
+        "_target": F.greatest(F.ceil(F.lit(q) * F.col("_in")), F.lit(1)), "_below": F.lit(0).cast("bigint"), "_margin": F.lit(2),
+        "_outer_lo": F.col("_lo"), "_outer_hi": F.col("_hi")})
+    while True:
+        near = _join(rows, _next_bracket(state, names), names)
+        carried = [F.first(c).alias(c) for c in ("_target", "_margin", "_lo", "_hi", "_outer_lo", "_outer_hi")]
+        state = cut(near.groupBy(*names).agg(
+            *carried, F.count_if(F.col("_v") < F.col("_lo")).alias("_below"), F.count_if(_inside()).alias("_in"),
+            sketch(F.when(_inside(), F.col("_v")))))
+        holds = (F.col("_below") < F.col("_target")) & (F.col("_target") <= F.col("_below") + F.col("_in"))
+        # A bracket of a single value needs no narrowing, however many rows have it.
+        if not state.where(~holds | ((F.col("_in") > inside) & (F.col("_lo") < F.col("_hi")))).limit(1).count():
+            break
+    counts = _join(rows, state.select(*names, "_target", "_below", "_lo", "_hi"), names).where(_inside()) \
+        .groupBy(*names, "_target", "_below", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    running = Window.partitionBy(*names).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = counts.withColumn("_upto", F.col("_below") + F.sum("_c").over(running)).where(F.col("_upto") >= F.col("_target"))
+    out = reached.groupBy(*names).agg(F.min("_v").alias(alias))
+    return out.select(*[F.col(n).alias(k) for n, k in zip(names, keys)], alias)

@@ -9,12 +9,13 @@ shuffle is negligible at any input size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.time import year_range
 from daybook.operators import percentile
 
+# The output column names of the daily summary here and below.
 DAY_KEYS = ["dt_year", "dt_month", "dt_day"]
 
 
@@ -43,16 +44,17 @@ def daily_summary(trips: DataFrame, year: int | None = None, *,
     Sorted newest day first (T2) unless ``newest_first`` is False.
     """
     days = _with_day(in_year(trips, year, ts), ts)
+    p95 = [] if exact else [percentile.approx(fare, q, accuracy).alias("q95_fare_amount")]
+    out = days.groupBy(*DAY_KEYS).agg(
+        F.count(F.lit(1)).alias("num_trips"),
+        F.avg(distance).alias("mean_trip_distance"),
+        F.max(tax).alias("max_mta_tax"), *p95,
+        F.min(tip).alias("min_tip_amount"),
+        F.ceil(F.avg(passengers)).alias("mean_passenger_count"))
     if exact:
-        out = _daily_summary_exact(days, distance, tax, fare, tip, passengers, q)
-    else:
-        out = days.groupBy(*DAY_KEYS).agg(
-            F.count(F.lit(1)).alias("num_trips"),
-            F.avg(distance).alias("mean_trip_distance"),
-            F.max(tax).alias("max_mta_tax"),
-            percentile.approx(fare, q, accuracy).alias("q95_fare_amount"),
-            F.min(tip).alias("min_tip_amount"),
-            F.ceil(F.avg(passengers)).alias("mean_passenger_count"))
+        # Both sides have one row per day; a day whose fares are all NULL has no percentile.
+        fares = percentile.exact(days.where(F.col(ts).isNotNull()), DAY_KEYS, fare, q, alias="q95_fare_amount")
+        out = out.join(fares, DAY_KEYS, "left")
     out = out.select(*DAY_KEYS, "num_trips", "mean_trip_distance", "max_mta_tax",
                      "q95_fare_amount", "min_tip_amount", "mean_passenger_count")
     if newest_first:
@@ -60,36 +62,6 @@ def daily_summary(trips: DataFrame, year: int | None = None, *,
     return out
 
 
-def _daily_summary_exact(days: DataFrame, distance: str, tax: str, fare: str, tip: str,
-                         passengers: str, q: float) -> DataFrame:
-    """One scan for everything: rows are pre-aggregated per (day, fare value)
-    with the partial sums, counts and extremes of the other metrics (a
-    map-side combine), then each day's metrics are folded from those rows and
-    its exact percentile is the first fare whose running count reaches ``q``
-    of the day's non-NULL fares. Work after the scan is bounded by the number
-    of distinct fares per day, not by the rows."""
-    per_value = days.groupBy(*DAY_KEYS, fare).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.sum(distance).alias("_sd"), F.count(distance).alias("_cd"),
-        F.max(tax).alias("_tax"), F.min(tip).alias("_tip"),
-        F.sum(passengers).alias("_sp"), F.count(passengers).alias("_cp"))
-    day = Window.partitionBy(*DAY_KEYS)
-    running = day.orderBy(F.col(fare).asc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    has_fare = F.col(fare).isNotNull()
-    ranked = per_value.withColumns({
-        "_cum": F.sum(F.when(has_fare, F.col("_rows")).otherwise(F.lit(0))).over(running),
-        "_n": F.sum(F.when(has_fare, F.col("_rows")).otherwise(F.lit(0))).over(day)})
-    reached = has_fare & (F.col("_cum") >= F.lit(q) * F.col("_n"))
-    return ranked.groupBy(*DAY_KEYS).agg(
-        F.sum("_rows").alias("num_trips"),
-        F.try_divide(F.sum("_sd"), F.sum("_cd")).alias("mean_trip_distance"),
-        F.max("_tax").alias("max_mta_tax"),
-        F.min(F.when(reached, F.col(fare))).alias("q95_fare_amount"),
-        F.min("_tip").alias("min_tip_amount"),
-        F.ceil(F.try_divide(F.sum("_sp"), F.sum("_cp"))).alias("mean_passenger_count"))
-
-
 def daily_overall(trips: DataFrame, year: int, ts: str = "tpep_pickup_datetime") -> DataFrame:
     """A11 + A12 in one scan: rows before and after the year filter, days
     with data, total and mean trips per day, first and last day.

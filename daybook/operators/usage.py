@@ -12,24 +12,14 @@ per application it saw.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions import parse
 from daybook.functions.fmt import report_line as _line
 from daybook.functions.fmt import safe_ratio
 from daybook.functions.time import seconds_between
-
-
-def app_lines(lines: DataFrame, value: str = "value", file_col: str = "file_path") -> DataFrame:
-    """Lines with a valid timestamp from an application file."""
-    ts_str = parse.timestamp_prefix(value)
-    return (lines.select(F.col(file_col).alias("file_path"), ts_str.alias("timestamp_str"),
-                         parse.parse_log_time(ts_str).alias("timestamp"),
-                         parse.application_id(file_col).alias("application_id"))
-            .where(F.col("timestamp").isNotNull() & (F.col("application_id") != ""))
-            .withColumns({"cluster_id": parse.cluster_id("application_id"),
-                          "app_number": parse.app_number("application_id")}))
+from daybook.session import cut
 
 
 def app_timeline(lines: DataFrame, value: str = "value", file_col: str = "file_path") -> DataFrame:
@@ -39,11 +29,12 @@ def app_timeline(lines: DataFrame, value: str = "value", file_col: str = "file_p
     parsed); the application id is then extracted once per file, and the
     per-file bounds are folded into per-application bounds.
     """
-    ts = parse.log_time(value)
-    per_file = (lines.select(F.col(file_col).alias("_f"), ts.alias("timestamp"))
-                .where(F.col("timestamp").isNotNull())
+    # Lines without a time add nothing to min and max; filtering them out first
+    # would parse every line twice.
+    per_file = (lines.select(F.col(file_col).alias("_f"), parse.log_time(value).alias("timestamp"))
                 .groupBy("_f")
-                .agg(F.min("timestamp").alias("_start"), F.max("timestamp").alias("_end")))
+                .agg(F.min("timestamp").alias("_start"), F.max("timestamp").alias("_end"))
+                .where(F.col("_start").isNotNull()))
     per_app = (per_file.select(parse.application_id("_f").alias("application_id"), "_start", "_end")
                .where(F.col("application_id") != "")
                .groupBy("application_id")
@@ -95,9 +86,23 @@ def largest_cluster_durations(timeline: DataFrame, summary: DataFrame | None = N
             .where(F.col("duration_sec") > 0))
 
 
+def number_in_order(df: DataFrame, *order: Column, out: str = "position") -> DataFrame:
+    """``df`` with its 1-based position in a total order, without one task
+    holding all rows: the rows are range-sorted into checkpoint files, whose
+    order is then fixed; only one row per file is summed up in one place."""
+    ids = cut(df.orderBy(*order)).withColumn("_id", F.monotonically_increasing_id())
+    ids = ids.withColumns({"_part": F.shiftright("_id", 33), "_nth": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))})
+    sizes = ids.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per sort partition
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return ids.join(F.broadcast(offsets), "_part") \
+        .withColumn(out, F.col("_before") + F.col("_nth") + F.lit(1)).drop("_id", "_part", "_nth", "_before")
+
+
 def cluster_stats_report(summary: DataFrame) -> DataFrame:
     """The cluster statistics as report lines ``(line_no, text)``."""
     stats = cluster_stats(summary)
+    # The report's texts.
     header = stats.select(F.inline(F.array(
         _line(1, F.format_string("Total unique clusters: %d", "total_clusters")),
         _line(2, F.format_string("Total applications: %d", "total_applications")),
@@ -106,11 +111,9 @@ def cluster_stats_report(summary: DataFrame) -> DataFrame:
         _line(4, F.lit("")),
         _line(5, F.lit("Most heavily used clusters:")),
     )))
-    # One row per cluster (a handful of resource managers); the line numbers
-    # need one global order, so this small table is ranked in one task.
-    rank = Window.orderBy(F.col("num_applications").desc(), F.col("cluster_id"))
-    body = summary.select(
-        (F.lit(5) + F.row_number().over(rank)).alias("line_no"),
+    ranked = number_in_order(summary, F.col("num_applications").desc(), F.col("cluster_id"))
+    body = ranked.select(
+        (F.col("position") + F.lit(5)).cast("int").alias("line_no"),
         F.format_string("  Cluster %s: %d applications", "cluster_id", "num_applications")
         .alias("text"))
     return header.unionByName(body)
@@ -151,6 +154,11 @@ def files_per_app(lines: DataFrame, value: str = "value", file_col: str = "file_
             .agg(F.count(F.lit(1)).alias("files"), F.sum("n").cast("bigint").alias("lines")))
 
 
+def largest_apps_by_files(files_by_app: DataFrame, n: int = 20) -> DataFrame:
+    """T5: the ``n`` applications with the most files, ties by id."""
+    return files_by_app.orderBy(F.col("files").desc(), F.col("application_id")).limit(n)
+
+
 def containers_by_role(file_table: DataFrame) -> DataFrame:
     """Per application, containers by role and their lines."""
     am = F.col("role") == "application_master"

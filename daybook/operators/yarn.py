@@ -9,13 +9,14 @@ within one application.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions import parse
 from daybook.functions.fmt import safe_ratio
 from daybook.functions.time import seconds_between
-from daybook.sources.text import broadcast_if_bounded
 
 # --- Fixed values: line shapes of the analysed log messages. ---
 EXECUTOR_REQUEST = (r"Will request (\d+) executor containers, each with (\d+) cores and "
@@ -33,32 +34,34 @@ BROADCAST_READ = r"Started reading broadcast variable (\d+)"
 UNIT_EXPONENT = {"B": 0, "KB": 1, "MB": 2, "GB": 3, "TB": 4}  # powers of 1024
 # --- end of fixed values ---
 
-
+ENTRY_LINES = 1000  # lines of an entry that one row holds
 _SEP = "\u0001"
 
 
-def _matching(lines: DataFrame, literal: str, pattern: str, groups: int, value: str,
-              file_col: str) -> DataFrame:
-    """Lines that contain ``literal`` and match ``pattern``, with all capture
-    groups in ``_m`` (``_m[1]`` is group 1) and the path renamed ``_f``.
+def _groups(value: str, pattern: str, groups: Sequence[int]) -> Column:
+    """The capture groups of the first match as an array, by one regex pass.
 
-    One regex pass yields every group: the line is rewritten to its groups
-    separated by a control character, then split. The cheap ``contains``
-    test runs first, so the regex only sees candidate lines.
+    The line is rewritten to its groups with a control character between
+    them, then split. Only the last of ``groups`` may hold free text: the
+    split stops before it, so a control character in it does no harm. Line
+    breaks of any kind before or after the match are passed over.
     """
-    fields = _SEP + _SEP.join(f"${i}" for i in range(1, groups + 1))
-    rewritten = F.regexp_replace(F.col(value), f"^.*?(?:{pattern}).*$", fields)
-    c = lines.where(F.col(value).contains(literal)).withColumn("_r", rewritten)
-    c = c.where(F.col("_r").startswith(_SEP) & ~F.col(value).startswith(_SEP))
-    return c.withColumn("_m", F.split(F.col("_r"), _SEP)).withColumnRenamed(file_col, "_f")
+    rewritten = F.regexp_replace(F.col(value), f"^(?s:.*?)(?:{pattern})(?s:.*)$", _SEP.join(f"${i}" for i in groups))
+    return F.split(rewritten, _SEP, len(groups))
 
 
-def _extract(value: str, pattern: str, i: int) -> Column:
-    return F.regexp_extract(F.col(value), pattern, i)
+def _matching(lines: DataFrame, literal: str, pattern: str, groups: Sequence[int], value: str,
+              file_col: str) -> DataFrame:
+    """Lines that contain ``literal`` and match ``pattern``, with the groups
+    in ``_m`` in the order given and the path renamed ``_f``. The cheap
+    ``contains`` test runs first, so regexes only see candidate lines."""
+    c = lines.where(F.col(value).contains(literal)).where(F.col(value).rlike(pattern))
+    return c.withColumn("_m", _groups(value, pattern, groups)).withColumnRenamed(file_col, "_f")
 
 
 def _g(i: int) -> Column:
-    return F.col("_m")[i]
+    """The i-th of the groups asked for, from 1."""
+    return F.get("_m", F.lit(i - 1))
 
 
 def _int(i: int) -> Column:
@@ -72,10 +75,6 @@ def _in_unit(amount: Column, unit: Column, target: str = "MB") -> Column:
     return amount.try_cast("double") * factor
 
 
-def _candidates(lines: DataFrame, literal: str, value: str, file_col: str) -> DataFrame:
-    return lines.where(F.col(value).contains(literal)).withColumnRenamed(file_col, "_f")
-
-
 def _by_app(per_file: DataFrame, *aggs) -> DataFrame:
     """Fold per-file partial results (column ``_f``) into per-application
     rows: the path is parsed once per file, not once per line."""
@@ -87,7 +86,7 @@ def executor_requests(lines: DataFrame, value: str = "value",
                       file_col: str = "file_path") -> DataFrame:
     """Executor requests per application: requests, executors, and the
     cores, memory and overhead they add up to (overhead only when logged)."""
-    c = _matching(lines, "Will request ", EXECUTOR_REQUEST, 4, value, file_col)
+    c = _matching(lines, "Will request ", EXECUTOR_REQUEST, (1, 2, 3, 4), value, file_col)
     n, cores, mem, over = (_int(i) for i in (1, 2, 3, 4))
     rows = c.select("_f", n.alias("n"), cores.alias("cores"), mem.alias("mem"), over.alias("over"))
     per_file = rows.groupBy("_f").agg(
@@ -112,10 +111,10 @@ def executor_requests(lines: DataFrame, value: str = "value",
 def container_requests(lines: DataFrame, value: str = "value",
                        file_col: str = "file_path") -> DataFrame:
     """Container requests by host preference and capability."""
-    c = _matching(lines, "Container request (host: ", CONTAINER_REQUEST, 3, value, file_col)
+    c = _matching(lines, "Container request (host: ", CONTAINER_REQUEST, (2, 3, 1), value, file_col)
     keys = ["host", "memory_mb", "vcores"]
-    per_file = (c.select("_f", _g(1).alias("host"), _int(2).alias("memory_mb"),
-                         _int(3).alias("vcores"))
+    per_file = (c.select("_f", _g(3).alias("host"), _int(1).alias("memory_mb"),
+                         _int(2).alias("vcores"))
                 .groupBy("_f", *keys).agg(F.count(F.lit(1)).alias("n")))
     return (per_file.withColumn("application_id", parse.application_id("_f"))
             .groupBy(*keys).agg(F.sum("n").cast("bigint").alias("requests"),
@@ -126,7 +125,7 @@ def task_attempts(lines: DataFrame, value: str = "value", file_col: str = "file_
     """D3: one row per task attempt, pairing its Running and Finished lines
     with one group-by (no join): start, finish, seconds and result bytes.
     ``finish_time`` is NULL for attempts that never finished."""
-    c = _matching(lines, " task ", TASK_EVENT, 7, value, file_col)
+    c = _matching(lines, " task ", TASK_EVENT, (1, 2, 3, 4, 5, 6, 7), value, file_col)
     rows = c.select(
         "_f", _int(4).alias("stage"), _int(5).alias("stage_attempt"), _int(2).alias("task"),
         _int(3).alias("task_attempt"), _int(6).alias("tid"), _g(1).alias("kind"),
@@ -155,22 +154,25 @@ def task_summary_by_app(attempts: DataFrame) -> DataFrame:
         F.coalesce(F.sum("result_bytes"), F.lit(0)).cast("bigint").alias("result_bytes"))
 
 
-def stage_skew(attempts: DataFrame, straggler_factor: float = 1.5,
-               accuracy: int = 10000) -> DataFrame:
+def stage_skew(attempts: DataFrame, straggler_factor: float = 1.5) -> DataFrame:
     """Per (application, stage) of finished attempts: tasks, median and
     max seconds, max/median, and stragglers (over ``factor`` x median).
 
-    The median is a bounded sketch merged map-side; the per-stage table is
-    joined back to the attempts once, and adaptive execution broadcasts it
-    when small or splits a hot stage's partition otherwise.
+    Attempts are first counted by (application, stage, seconds), merged
+    map-side; log times have whole seconds, so a stage leaves few rows
+    however many tasks it ran, and the exact median and the stragglers come
+    from those counts without going back to the attempts.
     """
     keys = ["application_id", "stage"]
-    fin = attempts.where(F.col("duration_sec").isNotNull()).select(*keys, "duration_sec")
-    med = fin.groupBy(*keys).agg(
-        F.percentile_approx("duration_sec", 0.5, accuracy).alias("median_sec"),
-        F.max("duration_sec").alias("max_sec"), F.count(F.lit(1)).alias("tasks"))
-    out = fin.join(med, keys).groupBy(*keys, "tasks", "median_sec", "max_sec").agg(
-        F.count_if(F.col("duration_sec") > F.lit(straggler_factor) * F.col("median_sec"))
+    counts = attempts.where(F.col("duration_sec").isNotNull()).groupBy(*keys, "duration_sec").agg(F.count(F.lit(1)).alias("_c"))
+    stage = Window.partitionBy(*keys)
+    upto = stage.orderBy("duration_sec").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.withColumns({"_upto": F.sum("_c").over(upto), "_n": F.sum("_c").over(stage)})
+    half = F.when(F.col("_upto") >= F.lit(0.5) * F.col("_n"), F.col("duration_sec"))
+    ranked = ranked.withColumn("median_sec", F.min(half).over(stage))
+    out = ranked.groupBy(*keys).agg(
+        F.max("_n").alias("tasks"), F.max("median_sec").alias("median_sec"), F.max("duration_sec").alias("max_sec"),
+        F.coalesce(F.sum(F.when(F.col("duration_sec") > F.lit(straggler_factor) * F.col("median_sec"), F.col("_c"))), F.lit(0))
         .alias("stragglers"))
     return out.select(*keys, "tasks", "median_sec", "max_sec",
                       F.when(F.col("median_sec") > 0, F.col("max_sec") / F.col("median_sec"))
@@ -179,7 +181,7 @@ def stage_skew(attempts: DataFrame, straggler_factor: float = 1.5,
 
 def python_times(lines: DataFrame, value: str = "value", file_col: str = "file_path") -> DataFrame:
     """Python worker timings per application (boot may be negative)."""
-    c = _matching(lines, "PythonRunner: Times:", PYTHON_TIMES, 4, value, file_col)
+    c = _matching(lines, "PythonRunner: Times:", PYTHON_TIMES, (1, 2, 3, 4), value, file_col)
     rows = c.select("_f", *[_int(i).alias(n) for i, n in
                             ((1, "total"), (2, "boot"), (3, "init"), (4, "finish"))])
     per_file = rows.groupBy("_f").agg(
@@ -201,8 +203,8 @@ def python_times(lines: DataFrame, value: str = "value", file_col: str = "file_p
 
 def input_splits(lines: DataFrame, value: str = "value", file_col: str = "file_path") -> DataFrame:
     """Input splits by source file: splits, bytes, furthest byte read, readers."""
-    c = _matching(lines, "Input split: ", INPUT_SPLIT, 3, value, file_col)
-    rows = c.select("_f", _g(1).alias("source"), _int(2).alias("offset"), _int(3).alias("length"))
+    c = _matching(lines, "Input split: ", INPUT_SPLIT, (2, 3, 1), value, file_col)
+    rows = c.select("_f", _g(3).alias("source"), _int(1).alias("offset"), _int(2).alias("length"))
     per_file = rows.groupBy("_f", "source").agg(
         F.count(F.lit(1)).alias("n"), F.sum("length").alias("b"),
         F.max(F.col("offset") + F.col("length")).alias("e"))
@@ -217,16 +219,17 @@ def input_splits(lines: DataFrame, value: str = "value", file_col: str = "file_p
 def memory_usage(lines: DataFrame, value: str = "value", file_col: str = "file_path") -> DataFrame:
     """Per application, memory-store capacity (MB), stored blocks and
     their sizes (KB, summed), and the lowest free memory reported (MB)."""
-    c = _candidates(lines, "MemoryStore", value, file_col)
-    cap = _in_unit(_extract(value, MEMORY_STORE, 1), _extract(value, MEMORY_STORE, 2), "MB")
-    is_cap = F.col(value).rlike(MEMORY_STORE)
+    # One regex says which message it is, one more takes it apart.
     is_block = F.col(value).rlike(BLOCK_STORED)
-    size = _in_unit(_extract(value, BLOCK_STORED, 3), _extract(value, BLOCK_STORED, 4), "KB")
-    free = _in_unit(_extract(value, BLOCK_STORED, 5), _extract(value, BLOCK_STORED, 6), "MB")
-    rows = c.where(is_cap | is_block).select(
-        "_f", F.when(is_cap, cap).alias("capacity_mb"),
-        F.when(is_block, _extract(value, BLOCK_STORED, 2)).alias("stored_as"),
-        F.when(is_block, size).alias("size_kb"), F.when(is_block, free).alias("free_mb"))
+    m = F.when(is_block, _groups(value, BLOCK_STORED, (2, 3, 4, 5, 6))) \
+        .when(F.col(value).rlike(MEMORY_STORE), _groups(value, MEMORY_STORE, (1, 2)))
+    c = lines.where(F.col(value).contains("MemoryStore")).select(F.col(file_col).alias("_f"), m.alias("_m"))
+    block = F.size("_m") == 5
+    rows = c.where(F.col("_m").isNotNull()).select(
+        "_f", F.when(~block, _in_unit(_g(1), _g(2), "MB")).alias("capacity_mb"),
+        F.when(block, _g(1)).alias("stored_as"),
+        F.when(block, _in_unit(_g(2), _g(3), "KB")).alias("size_kb"),
+        F.when(block, _in_unit(_g(4), _g(5), "MB")).alias("free_mb"))
     per_file = rows.groupBy("_f").agg(
         F.count("capacity_mb").alias("stores"), F.max("capacity_mb").alias("cap_max"),
         F.count("stored_as").alias("blocks"),
@@ -254,11 +257,10 @@ def failure_rates(lines: DataFrame, value: str = "value", file_col: str = "file_
     those rows into one row per file.
     """
     is_task = F.col(value).contains(" task ") & F.col(value).rlike(TASK_EVENT)
-    attempt = F.when(is_task, F.concat_ws(":", *[_extract(value, TASK_EVENT, i) for i in (4, 5, 2, 3, 6)]))
-    kind = F.when(is_task, _extract(value, TASK_EVENT, 1))
-    per_attempt = (lines.select(F.col(file_col).alias("_f"), attempt.alias("_attempt"),
-                                kind.alias("_kind"),
+    m = F.when(is_task, _groups(value, TASK_EVENT, (4, 5, 2, 3, 6, 1)))
+    per_attempt = (lines.select(F.col(file_col).alias("_f"), m.alias("_m"),
                                 (parse.level(value) == "ERROR").alias("_err"))
+                   .select("_f", "_err", F.array_join(F.slice("_m", 1, 5), ":").alias("_attempt"), _g(6).alias("_kind"))
                    .groupBy("_f", "_attempt")
                    .agg(F.count(F.lit(1)).alias("_lines"), F.count_if("_err").alias("_errors"),
                         F.count_if(F.col("_kind") == "Running").alias("_starts"),
@@ -276,66 +278,74 @@ def failure_rates(lines: DataFrame, value: str = "value", file_col: str = "file_
 
 def broadcast_reads(lines: DataFrame, value: str = "value", file_col: str = "file_path") -> DataFrame:
     """Broadcast-variable reads per application."""
-    c = _matching(lines, "Started reading broadcast variable", BROADCAST_READ, 1, value, file_col)
+    c = _matching(lines, "Started reading broadcast variable", BROADCAST_READ, (1,), value, file_col)
     per_file = (c.select("_f", _int(1).alias("var"))
                 .groupBy("_f", "var").agg(F.count(F.lit(1)).alias("n")))
     return _by_app(per_file, F.sum("n").cast("bigint").alias("reads"),
                    F.count_distinct("var").alias("distinct_variables"))
 
 
-def stitch_entries(lines: DataFrame, value: str = "value", file_col: str = "file_path",
-                   block_col: str = "file_block_start", pos_col: str = "row_pos") -> DataFrame:
-    """Join continuation lines (no timestamp prefix) to the entry above.
+def entry_lines(lines: DataFrame, value: str = "value", file_col: str = "file_path",
+                block_col: str = "file_block_start", pos_col: str = "row_pos") -> DataFrame:
+    """D10, line by line: every line with the entry it belongs to.
 
     ``lines`` must come straight from a reader with ``positions=True``, each
-    file listed once. A split's lines are read in order by one task with consecutive scan ids.
-    A small table with one row per split (line count, timestamped lines, the
-    scan id of its first timestamped line) tells, from the file listing
-    order alone, where every line belongs: continuation lines at the top of
-    a split are sent to the nearest earlier split that holds a timestamped
-    line (their entry's head); all other lines stay in their own split. One
-    shuffle keyed by (file, target split) then puts every entry wholly in
-    one task, where a running count numbers the entries and one aggregate
-    joins their lines -- no file is held whole in one task, and the text is
-    shuffled once.
-
-    Output: file_path, entry_no (0 = lines before the first timestamp),
-    first_line_no, n_lines, text (lines joined with newlines).
+    file listed once. Output: file_path, file_block_start, entry_no (0 =
+    before the file's first timestamped line), entry_line (from 1 within the
+    entry), line_no, last_in_split (whether the entry is its split's last),
+    value. A small table with one row per split (lines, timestamped lines,
+    last timestamped line) tells what earlier splits hold; inside a split, a
+    running count does. Nothing is collected, and one task holds one split.
     """
-    head = F.when(parse.timestamp_prefix(value) != "", F.lit(1)).otherwise(F.lit(0))
     split = [file_col, block_col]
-    blocks = (lines.groupBy(*split)
-              .agg(F.min(pos_col).alias("_first_pos"), F.count(F.lit(1)).alias("_n"),
-                   F.sum(head).alias("_heads"),
-                   F.min(F.when(head == 1, F.col(pos_col))).alias("_first_head_pos")))
-    by_file = Window.partitionBy(file_col).orderBy(block_col)
-    before = by_file.rowsBetween(Window.unboundedPreceding, -1)
-    whole_file = Window.partitionBy(file_col)
+    head = parse.is_entry_head(value)
+    rows = lines.select(*split, pos_col, value, F.when(head, F.lit(1)).otherwise(F.lit(0)).alias("_head"))
+    blocks = (lines.select(*split, pos_col, head.alias("_is_head")).groupBy(*split)
+              .agg(F.min(pos_col).alias("_first"), F.count(F.lit(1)).alias("_n"),
+                   F.count_if("_is_head").alias("_heads"), F.max(F.when(F.col("_is_head"), F.col(pos_col))).alias("_last_head")))
+    before = Window.partitionBy(file_col).orderBy(block_col).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_lines_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     blocks = blocks.select(
-        *split, "_first_pos", "_first_head_pos",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_lines_before"),
-        F.coalesce(F.sum("_heads").over(before), F.lit(0)).alias("_heads_before"),
-        F.coalesce(F.max(F.when(F.col("_heads") > 0, F.col(block_col))).over(before),
-                   F.min(block_col).over(whole_file)).alias("_prev_target"))
-
-    orphan = F.col("_first_head_pos").isNull() | (F.col(pos_col) < F.col("_first_head_pos"))
-    placed = lines.select(*split, pos_col, value, head.alias("_head")) \
-        .join(broadcast_if_bounded(lines, blocks), split) \
-        .select(file_col, block_col, pos_col, value, "_head", "_heads_before",
-                F.when(orphan, F.col("_prev_target")).otherwise(F.col(block_col)).alias("_target"),
-                orphan.alias("_orphan"),
-                (F.col("_lines_before") + F.col(pos_col) - F.col("_first_pos") + F.lit(1))
-                .alias("_line"))
-    running = (Window.partitionBy(file_col, "_target").orderBy(block_col, pos_col)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    numbered = placed.withColumn(
-        "entry_no",
-        F.when(F.col("_orphan"), F.col("_heads_before"))
-        .otherwise(F.col("_heads_before") + F.sum("_head").over(running)))
-    entries = numbered.groupBy(file_col, "_target", "entry_no").agg(
-        F.min("_line").alias("first_line_no"),
-        F.count(F.lit(1)).alias("n_lines"),
-        F.sort_array(F.collect_list(F.struct(block_col, pos_col, value))).alias("_parts"))
-    text = F.array_join(F.transform("_parts", lambda p: p[value]), "\n")
-    return entries.select(F.col(file_col).alias("file_path"), "entry_no", "first_line_no",
-                          "n_lines", text.alias("text"))
+        *split, "_first", "_heads", "_lines_before", F.coalesce(F.sum("_heads").over(before), F.lit(0)).alias("_heads_before"),
+        F.max(F.col("_lines_before") + F.col("_last_head") - F.col("_first") + 1).over(before).alias("_open_since"))
+    inside = Window.partitionBy(*split).orderBy(pos_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = rows.withColumns({"_seen": F.sum("_head").over(inside), "_at": F.max(F.when(F.col("_head") == 1, F.col(pos_col))).over(inside)}) \
+        .join(blocks, split)
+
+    def number(pos: str) -> Column:
+        return F.col("_lines_before") + F.col(pos) - F.col("_first") + F.lit(1)
+
+    placed = placed.withColumns({"line_no": number(pos_col), "_since": F.coalesce(number("_at"), F.col("_open_since"), F.lit(1).cast("bigint"))})
+    return placed.select(
+        F.col(file_col).alias("file_path"), F.col(block_col).alias("file_block_start"), (F.col("_heads_before") + F.col("_seen")).alias("entry_no"),
+        (F.col("line_no") - F.col("_since") + F.lit(1)).alias("entry_line"), "line_no", (F.col("_seen") == F.col("_heads")).alias("last_in_split"),
+        F.col(value).alias("value"))
+
+
+def stitch_entries(lines: DataFrame, value: str = "value", file_col: str = "file_path",
+                   block_col: str = "file_block_start", pos_col: str = "row_pos", most: int = ENTRY_LINES) -> DataFrame:
+    """Continuation lines (no timestamp prefix) joined to the entry above.
+
+    Output: file_path, entry_no, part, first_line_no, n_lines, text (lines
+    joined with newlines). An entry of more than ``most`` lines is cut into
+    parts of that many; lines before a file's first timestamp belong to no
+    entry and stay lines of their own (entry 0, a part each). So no row holds
+    more than ``most`` lines, whatever a file looks like, and none is lost.
+    Lines meet inside their split first; only what a split's edge cuts apart
+    is grouped once more.
+    """
+    rows = entry_lines(lines, value, file_col, block_col, pos_col)
+    size = F.when(F.col("entry_no") == 0, F.lit(1)).otherwise(F.lit(most))
+    rows = rows.withColumn("part", F.floor((F.col("entry_line") - 1) / size).cast("bigint"))
+    first = F.min("entry_no").over(Window.partitionBy("file_path", "file_block_start"))
+    rows = rows.withColumn("_edge", (F.col("entry_no") > 0) & (F.col("last_in_split") | (F.col("entry_no") == first)))
+    keys = ["file_path", "entry_no", "part"]
+    parts = rows.groupBy("file_path", "file_block_start", "entry_no", "part", "_edge").agg(
+        F.min("line_no").alias("first_line_no"), F.count(F.lit(1)).alias("n_lines"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "value"))), lambda p: p["value"]), "\n").alias("text"))
+    whole = parts.where(~F.col("_edge")).select(*keys, "first_line_no", "n_lines", "text")
+    cut_apart = parts.where("_edge").groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("first_line_no", "n_lines", "text"))).alias("p")).select(
+        *keys, F.col("p")[0]["first_line_no"].alias("first_line_no"),
+        F.aggregate("p", F.lit(0).cast("bigint"), lambda n, x: n + x["n_lines"]).alias("n_lines"), F.array_join("p.text", "\n").alias("text"))
+    return whole.unionByName(cut_apart)

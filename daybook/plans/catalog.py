@@ -7,16 +7,19 @@ Trip queries map the order-line table onto the trip columns:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook import sinks
 from daybook.functions import parse
 from daybook.operators import distribution, levels, sampling, trips, usage, yarn
-from daybook.session import scratch_dir, table_path
-from daybook.sources import number_lines, rendered
-from daybook.sources import sql_count as count_view
+from daybook.plans import rendered
+from daybook.session import cut, scratch_path, table_path
+from daybook.sources import read_log_glob, read_manifest_logs, read_months
+from daybook.sources import sql_count as count_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,6 +42,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+# The report texts and column names in the oracles below.
+
 # ---------------------------------------------------------------- trips
 
 @register("daily_summary", f"""
@@ -110,8 +115,8 @@ def fare_p95_by_year(spark, sf_dir):
 
 # ---------------------------------------------------------------- logs
 #
-# Log queries read text files rendered from `events` (daybook.sources.rendered):
-# application = user, container = event_id % 5 + 1, level by event type,
+# Log queries read text files rendered from `events` (daybook.plans.rendered):
+# application = five users, container = event_id % 5 + 1, level by event type,
 # one line per event in the base corpus. The oracle recomputes each result
 # from the `events` columns.
 
@@ -123,9 +128,9 @@ _EV = """
 ev AS (
   SELECT event_id, user_id, event_type, value, ts,
          date_trunc('second', ts) AS line_ts,
-         CAST(1485248649253 + CASE WHEN user_id % 10 < 6 THEN 0 ELSE user_id % 10 - 5 END
+         CAST(1485248649253 + CASE WHEN user_id // 5 % 10 < 6 THEN 0 ELSE user_id // 5 % 10 - 5 END
               AS VARCHAR) AS cluster_id,
-         lpad(CAST(user_id AS VARCHAR), 4, '0') AS app_number,
+         printf('%04d', user_id // 5) AS app_number,
          lpad(CAST(event_id % 5 + 1 AS VARCHAR), 6, '0') AS container_number,
          CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'purchase' THEN 'WARN'
                          WHEN 'click' THEN 'DEBUG' WHEN 'view' THEN 'INFO' END AS level,
@@ -204,11 +209,10 @@ ORDER BY md5('{SAMPLE_SEED}:' || container_id || ':' || line_no), container_id,
 LIMIT {SAMPLE_SIZE}
 """)
 def log_sample(spark, sf_dir):
-    numbered = number_lines(_logs(spark, sf_dir, positions=True))
-    parsed = (levels.with_level(numbered)
-              .withColumn("container_id", parse.container_id("file_path")))
-    picked = sampling.sample_rows(parsed, SAMPLE_SIZE, SAMPLE_SEED, ["container_id", "line_no"])
-    return picked.select("timestamp", "level", "message", "container_id", "line_no")
+    drawn = sampling.sample_lines(_logs(spark, sf_dir, positions=True), SAMPLE_SIZE, SAMPLE_SEED,
+                                  parse.level() != "", parse.container_id("file_path"))
+    return levels.with_level(drawn.withColumn("container_id", parse.container_id("file_path"))) \
+        .select("timestamp", "level", "message", "container_id", "line_no")
 
 
 @register("component_counts", f"""
@@ -250,8 +254,7 @@ FROM base WHERE contains(line, '{PATTERN}')
 ORDER BY container_id, line_no LIMIT 20
 """)
 def pattern_lines(spark, sf_dir):
-    numbered = number_lines(_logs(spark, sf_dir, positions=True))
-    top = levels.first_lines_containing(numbered, PATTERN, 20)
+    top = levels.first_lines_containing(_logs(spark, sf_dir, positions=True), PATTERN, 20)
     return top.select(parse.container_id("file_path").alias("container_id"), "line_no", "value")
 
 
@@ -276,15 +279,14 @@ def _shared_timeline(spark, sf_dir):
     """The timeline (one row per application) materialised once in the
     session's checkpoint folder, for queries that read it several times
     (top cluster lookup, global bounds); the logs are then scanned once."""
-    scratch_dir(spark)
-    return _timeline(spark, sf_dir).checkpoint(eager=True)
+    return cut(_timeline(spark, sf_dir))
 
 
 def _shared_durations(spark, sf_dir):
     """The largest cluster's positive durations (one row per application),
     materialised once; the histogram and density read it several times
     (global bounds as scalar subqueries, then the rows)."""
-    return usage.largest_cluster_durations(_shared_timeline(spark, sf_dir)).checkpoint(eager=True)
+    return cut(usage.largest_cluster_durations(_shared_timeline(spark, sf_dir)))
 
 
 @register("app_timeline", f"WITH {_EV}, {_TIMELINE} SELECT * FROM timeline")
@@ -329,9 +331,7 @@ SELECT CAST(5 + row_number() OVER (ORDER BY num_applications DESC, cluster_id) A
 FROM summary
 """)
 def cluster_stats_report(spark, sf_dir):
-    scratch_dir(spark)
-    summary = usage.cluster_summary(_timeline(spark, sf_dir)).checkpoint(eager=True)
-    return usage.cluster_stats_report(summary)
+    return usage.cluster_stats_report(cut(usage.cluster_summary(_timeline(spark, sf_dir))))
 
 
 _DURATIONS = """
@@ -449,7 +449,7 @@ def even_keys_doubled(spark, sf_dir):
 
 @register("sql_count", "SELECT COUNT(*) AS total FROM orders")
 def sql_count(spark, sf_dir):
-    return count_view(spark, _table(spark, sf_dir, "orders"), "orders_view")
+    return count_sql(spark, _table(spark, sf_dir, "orders"))
 
 
 # ---------------------------------------------------------------- YARN log analyses
@@ -464,21 +464,49 @@ def _yarn_logs(spark, sf_dir, positions=False):
     return rendered.rendered_logs(spark, sf_dir, rendered.YARN, positions=positions)
 
 
-_YLINES = """
+_STAMP = "strftime({}, '%y/%m/%d %H:%M:%S')"
+_TASK_TEXT = "(event_id % 97) || '.' || ((event_id // 10) % 2) || ' in stage ' || (event_id % 7) || '.0 (TID ' || event_id || ')'"
+_NOW = _STAMP.format("ts")
+_LATER = _STAMP.format("ts + to_seconds(CAST(floor(value) AS BIGINT))")
+_ONE_LINERS = f"""
+    (1, {_NOW} || ' INFO yarn.YarnAllocator: Will request ' || (event_id % 16 + 1) || ' executor containers, each with 5 cores and 28160 MB memory'
+        || CASE WHEN event_id % 2 = 0 THEN ' including 2560 MB overhead' ELSE '' END),
+    (2, {_NOW} || ' INFO yarn.YarnAllocator: Container request (host: ' || CASE WHEN event_id % 3 = 0 THEN 'Any' ELSE 'host-' || (event_id % 4) END
+        || ', capability: <memory:28160, vCores:5>)'),
+    (3, {_NOW} || ' INFO executor.Executor: Running task ' || {_TASK_TEXT}),
+    (5, {_NOW} || ' INFO python.PythonRunner: Times: total = '
+        || (CASE WHEN event_id % 2 = 1 THEN -(event_id % 50) ELSE event_id % 50 END + event_id % 90 + event_id % 4)
+        || ', boot = ' || CASE WHEN event_id % 2 = 1 THEN -(event_id % 50) ELSE event_id % 50 END
+        || ', init = ' || (event_id % 90) || ', finish = ' || (event_id % 4)),
+    (6, {_NOW} || ' INFO rdd.HadoopRDD: Input split: hdfs://h:9000/f' || (user_id % 3) || ':' || ((event_id % 8) * 1048576) || '+' || (event_id % 1000 + 1)),
+    (7, {_NOW} || ' INFO storage.MemoryStore: MemoryStore started with capacity ' || printf('%.1f', (event_id % 8 + 1) * 0.5::DOUBLE) || ' '
+        || CASE WHEN event_id % 2 = 0 THEN 'GB' ELSE 'MB' END),
+    (8, {_NOW} || ' INFO storage.MemoryStore: Block '
+        || CASE WHEN event_id % 2 = 0 THEN 'broadcast_' || (event_id % 9) ELSE 'rdd_' || (user_id % 7) || '_' || (event_id % 5) END || ' stored as '
+        || CASE WHEN event_id % 3 = 0 THEN 'bytes' ELSE 'values' END || ' in memory (estimated size '
+        || printf('%.1f', CAST(event_id % 1000 AS DOUBLE) / 10.0::DOUBLE) || ' ' || CASE WHEN event_id % 2 = 0 THEN 'KB' ELSE 'MB' END
+        || ', free ' || printf('%.1f', CAST(user_id % 500 AS DOUBLE) + 0.5::DOUBLE) || ' MB)'),
+    (10, {_NOW} || ' INFO broadcast.TorrentBroadcast: Started reading broadcast variable ' || (event_id % 9))"""
+
+_YLINES = f"""
 ylines AS (
   SELECT container_id, application_id, line_ts, event_id, 0 AS seq, 0 AS sub,
-         level IS NOT NULL AS has_ts, level AS lvl FROM evk
+         level IS NOT NULL AS has_ts, level AS lvl, line AS text FROM base
   UNION ALL
-  SELECT container_id, application_id, line_ts, event_id, s.seq, 0, true, 'INFO'
-  FROM evk, (VALUES (1), (2), (3), (5), (6), (7), (8), (10)) s(seq)
+  SELECT container_id, application_id, line_ts, event_id, s.seq, 0, true, 'INFO', s.text
+  FROM evk, LATERAL (VALUES {_ONE_LINERS}) s(seq, text)
   UNION ALL
   SELECT container_id, application_id, line_ts + to_seconds(CAST(floor(value) AS BIGINT)),
-         event_id, 4, 0, true, 'INFO' FROM evk WHERE event_id % 10 <> 0
+         event_id, 4, 0, true, 'INFO',
+         {_LATER} || ' INFO executor.Executor: Finished task ' || {_TASK_TEXT} || '. ' || (event_id % 2000 + 1000) || ' bytes result sent to driver'
+  FROM evk WHERE event_id % 10 <> 0
   UNION ALL
-  SELECT container_id, application_id, line_ts, event_id, 9, 0, true, 'ERROR'
+  SELECT container_id, application_id, line_ts, event_id, 9, 0, true, 'ERROR',
+         {_NOW} || ' ERROR executor.Executor: Exception in task ' || event_id
   FROM evk WHERE event_type = 'error'
   UNION ALL
-  SELECT container_id, application_id, line_ts, event_id, 9, 1, false, NULL
+  SELECT container_id, application_id, line_ts, event_id, 9, 1, false, NULL,
+         chr(9) || 'at org.apache.spark.scheduler.Task.run(Task.scala:' || (event_id % 100) || ')'
   FROM evk WHERE event_type = 'error'),
 ynum AS (
   SELECT *,
@@ -639,12 +667,102 @@ def broadcast_reads(spark, sf_dir):
 
 
 @register("stitched_entries", f"""
-WITH {_EV}, {_YLINES}
-SELECT container_id, CAST(entry_no AS BIGINT) AS entry_no, min(line_no) AS first_line_no,
-       count(*) AS n_lines
-FROM ynum GROUP BY container_id, entry_no
+WITH {_EV}, {_YLINES},
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY container_id, entry_no ORDER BY line_no) - 1 AS nth FROM ynum)
+SELECT container_id, CAST(entry_no AS BIGINT) AS entry_no,
+       CAST(nth // CASE WHEN entry_no = 0 THEN 1 ELSE {yarn.ENTRY_LINES} END AS BIGINT) AS part, min(line_no) AS first_line_no,
+       count(*) AS n_lines, string_agg(text, chr(10) ORDER BY line_no) AS text
+FROM placed GROUP BY 1, 2, 3
 """)
 def stitched_entries(spark, sf_dir):
     entries = yarn.stitch_entries(_yarn_logs(spark, sf_dir, positions=True))
     return entries.select(parse.container_id("file_path").alias("container_id"),
-                          "entry_no", "first_line_no", "n_lines")
+                          "entry_no", "part", "first_line_no", "n_lines", "text")
+
+
+# ---------------------------------------------------------------- sources and sinks end to end
+#
+# These write files into the session's shared folder while the query is
+# built, then read them the way a user would.
+
+
+def _new_path(spark, name):
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@register("manifest_level_counts", ORACLES["log_level_counts"])
+def manifest_level_counts(spark, sf_dir):
+    """The log files listed in a manifest of keys below their root."""
+    root = rendered.log_root(spark, sf_dir, rendered.BASE)
+    listed = _logs(spark, sf_dir).select("file_path").distinct()
+    manifest = _new_path(spark, "manifest")
+    listed.select(F.regexp_extract("file_path", r"(k=[^/]+/c=[^/]+/[^/]+)$", 1)).write.text(manifest)
+    return levels.level_counts(read_manifest_logs(spark, manifest, root))
+
+
+@register("glob_level_counts", ORACLES["log_level_counts"])
+def glob_level_counts(spark, sf_dir):
+    """S3: the log files that a glob matches."""
+    root = rendered.log_root(spark, sf_dir, rendered.BASE)
+    return levels.level_counts(read_log_glob(spark, f"{root}/k=application_*/c=*/*.txt"))
+
+
+@register("months_daily_summary", ORACLES["daily_summary"])
+def months_daily_summary(spark, sf_dir):
+    """Month files of one year below ``yyyy=<year>``, read as one table."""
+    rows = _table(spark, sf_dir, "lineitem")
+    root = _new_path(spark, "trips")
+    for month in range(1, 13):
+        ahead = f"{TRIP_YEAR}-{month + 1:02d}" if month < 12 else f"{TRIP_YEAR + 1}-01"
+        inside = (F.col("l_shipdate") >= F.lit(f"{TRIP_YEAR}-{month:02d}-01").cast("timestamp_ntz")) \
+            & (F.col("l_shipdate") < F.lit(f"{ahead}-01").cast("timestamp_ntz"))
+        rows.where(inside).write.parquet(f"{root}/yyyy={TRIP_YEAR}/yellow_tripdata_{TRIP_YEAR}-{month:02d}.parquet")
+    return trips.daily_summary(read_months(spark, root, TRIP_YEAR, range(1, 13)), TRIP_YEAR, **TRIP_COLUMNS)
+
+
+def _csv(spark, name, df, schema):
+    path = _new_path(spark, name)
+    sinks.write_csv(df, path)
+    return sinks.read_csv(spark, path, schema)
+
+
+@register("level_csv_roundtrip", ORACLES["log_level_counts"])
+def level_csv_roundtrip(spark, sf_dir):
+    """S12 + S18."""
+    return _csv(spark, "counts", log_level_counts(spark, sf_dir), sinks.LEVEL_COUNTS_SCHEMA)
+
+
+@register("sample_csv_roundtrip", f"SELECT timestamp, level, message FROM ({ORACLES['log_sample']})")
+def sample_csv_roundtrip(spark, sf_dir):
+    """S13 + S18."""
+    return _csv(spark, "sample", log_sample(spark, sf_dir).select("timestamp", "level", "message"), sinks.SAMPLE_SCHEMA)
+
+
+@register("timeline_csv_roundtrip", ORACLES["app_timeline"])
+def timeline_csv_roundtrip(spark, sf_dir):
+    """S14 + S18; application numbers keep their zeros."""
+    return _csv(spark, "timeline", app_timeline(spark, sf_dir), sinks.TIMELINE_SCHEMA)
+
+
+@register("daily_csv_roundtrip", ORACLES["daily_summary"])
+def daily_csv_roundtrip(spark, sf_dir):
+    """S15 + S18."""
+    return _csv(spark, "daily", daily_summary(spark, sf_dir), sinks.DAILY_SUMMARY_SCHEMA)
+
+
+# ---------------------------------------------------------------- top N
+
+TOP = 3
+
+
+@register("top_components", f"SELECT * FROM ({ORACLES['component_counts']}) ORDER BY count DESC, component LIMIT {TOP}")
+def top_components(spark, sf_dir):
+    """T5 on components."""
+    return levels.component_counts(_logs(spark, sf_dir), top=TOP)
+
+
+@register("largest_apps_by_files", f"SELECT * FROM ({ORACLES['files_per_app']}) ORDER BY files DESC, application_id LIMIT 20")
+def largest_apps_by_files(spark, sf_dir):
+    """T5 on applications."""
+    return usage.largest_apps_by_files(usage.files_per_app(_logs(spark, sf_dir)), 20)

@@ -11,18 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from daybook import sinks
 from daybook.functions import parse
 from daybook.operators import distribution, levels, sampling, trips, usage
-from daybook.session import scratch_dir
-from daybook.sources import number_lines, read_logs, read_parquet
-
-
-def _shared(df: DataFrame) -> DataFrame:
-    scratch_dir(df.sparkSession)  # make sure a checkpoint folder is set
-    return df.checkpoint(eager=True)
+from daybook.session import cut
+from daybook.sources import read_logs, read_parquet
 
 
 def log_levels_job(spark: SparkSession, paths: str | Iterable[str], out_dir: str,
@@ -34,13 +30,12 @@ def log_levels_job(spark: SparkSession, paths: str | Iterable[str], out_dir: str
     """
     out = {k: f"{out_dir.rstrip('/')}/{k}" for k in ("counts", "sample", "summary")}
     lines = read_logs(spark, paths, positions=seed is not None)
-    summary = _shared(levels.level_summary(lines))
+    summary = cut(levels.level_summary(lines))
     sinks.write_csv(summary.select("level", "count"), out["counts"], single_file=True)
     if seed is None:
         picked = sampling.random_sample(levels.with_level(lines), sample_size)
     else:
-        parsed = levels.with_level(number_lines(lines))
-        picked = sampling.sample_rows(parsed, sample_size, seed, ["file_path", "line_no"])
+        picked = levels.with_level(sampling.sample_lines(lines, sample_size, seed, parse.level() != F.lit("")))
     sinks.write_csv(picked.select("timestamp", "level", "message"), out["sample"], single_file=True)
     sinks.write_report(levels.level_report(summary), out["summary"])
     return out
@@ -52,13 +47,13 @@ def cluster_usage_job(spark: SparkSession, paths: str | Iterable[str],
     behind the bar chart, histogram and density of the largest cluster."""
     names = ("timeline", "cluster_summary", "stats", "bar", "durations", "histogram", "density")
     out = {k: f"{out_dir.rstrip('/')}/{k}" for k in names}
-    timeline = _shared(usage.app_timeline(read_logs(spark, paths)))
-    summary = _shared(usage.cluster_summary(timeline))
+    timeline = cut(usage.app_timeline(read_logs(spark, paths)))
+    summary = cut(usage.cluster_summary(timeline))
     sinks.write_csv(timeline, out["timeline"])
     sinks.write_csv(summary, out["cluster_summary"], single_file=True)
     sinks.write_report(usage.cluster_stats_report(summary), out["stats"])
     sinks.write_csv(usage.cluster_ranking(summary), out["bar"], single_file=True)
-    durations = _shared(usage.largest_cluster_durations(timeline, summary))
+    durations = cut(usage.largest_cluster_durations(timeline, summary))
     sinks.write_csv(durations, out["durations"])
     sinks.write_csv(distribution.log_histogram(durations), out["histogram"], single_file=True)
     sinks.write_csv(distribution.log_density(durations), out["density"], single_file=True)
@@ -73,9 +68,3 @@ def daily_summary_job(spark: SparkSession, paths: str | Iterable[str], out_dir:
     path = f"{out_dir.rstrip('/')}/daily_summary"
     sinks.write_csv(trips.daily_summary(df, year, **columns), path, single_file=True)
     return path
-
-
-def container_of(df: DataFrame) -> DataFrame:
-    """Convenience: add ``application_id`` and ``container_id`` from ``file_path``."""
-    return df.withColumns({"application_id": parse.application_id("file_path"),
-                           "container_id": parse.container_id("file_path")})

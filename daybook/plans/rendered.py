@@ -1,8 +1,8 @@
 """Spark-on-YARN style log files rendered from the ``events`` table.
 
-The reference's raw logs are not available, so the log workloads run on
-text files that Spark writes from ``events``: one directory per application,
-one file per container, lines in time order. Every value in a line is a
+Raw logs are not among the given tables, so the log workloads run on text
+files that Spark writes from ``events``: one directory per application (five
+users each), one file per container, lines in time order. Every value in a line is a
 function of an event's columns, so an independent SQL oracle can compute
 each expected result straight from ``events``.
 
@@ -16,16 +16,16 @@ Layout: ``<root>/k=application_<cluster>_<nnnn>/c=container_<cluster>_<nnnn>_01_
 from __future__ import annotations
 
 import hashlib
-import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.session import scratch_path
+from daybook.session import scratch_path, table_path
 from daybook.sources.text import with_lineage
 
 # --- Fixed values of the rendering rule (see FIXTURES.md section 3). ---
 CLUSTER_BASE = 1485248649253
+USERS_PER_APPLICATION = 5
 LINE_TIME_FORMAT = "yy/MM/dd HH:mm:ss"
 EVENT_LEVELS = {"error": "ERROR", "purchase": "WARN", "click": "DEBUG", "view": "INFO"}
 SECOND_LEVELS = ["INFO", "WARN", "ERROR", "DEBUG"]
@@ -39,10 +39,10 @@ YARN = ("base", "executor_request", "container_request", "task_running", "task_f
 
 
 def _keys(ev: DataFrame) -> DataFrame:
-    uid, eid = F.col("user_id"), F.col("event_id")
-    cidx = F.when(uid % 10 < 6, F.lit(0)).otherwise(uid % 10 - 5)
+    app, eid = F.floor(F.col("user_id") / USERS_PER_APPLICATION), F.col("event_id")
+    cidx = F.when(app % 10 < 6, F.lit(0)).otherwise(app % 10 - 5)
     cluster = (F.lit(CLUSTER_BASE) + cidx).cast("string")
-    num = F.lpad(uid.cast("string"), 4, "0")
+    num = F.format_string("%04d", app)  # at least four digits; longer numbers stay whole
     return ev.select(
         "event_id", "user_id", "event_type", "value", "ts",
         F.concat(F.lit("application_"), cluster, F.lit("_"), num).alias("k"),
@@ -158,28 +158,36 @@ _RENDERED: dict[tuple, str] = {}
 _SOURCES: dict[tuple, DataFrame] = {}
 
 
+def _listing(spark: SparkSession, sf_dir: str) -> str:
+    """Path, size and time of the input files, through Spark's own file
+    listing: a changed input is rendered anew."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(table_path(sf_dir, "events"))
+    return str(sorted(map(tuple, files.select("path", "length", F.col("modificationTime").cast("string")).collect())))
+
+
+def log_root(spark: SparkSession, sf_dir: str, templates=BASE) -> str:
+    """The folder of the files rendered from ``<sf_dir>/events.parquet``; they
+    are written when first asked for in a session, for an input and template
+    set. They stay in the session's shared folder, for its owner to remove."""
+    tag = f"{_listing(spark, sf_dir)}|{','.join(templates)}"
+    key = (spark.sparkContext.applicationId, tag)
+    if key not in _RENDERED:
+        path = scratch_path(spark, "rendered-logs", hashlib.sha1(tag.encode()).hexdigest()[:12])
+        write_event_logs(spark.read.parquet(table_path(sf_dir, "events")), path, templates)
+        _RENDERED[key] = path
+    return _RENDERED[key]
+
+
 def rendered_logs(spark: SparkSession, sf_dir: str, templates=BASE,
                   positions: bool = False) -> DataFrame:
-    """Render (once per session, input file and template set) and read back
-    the log files for ``<sf_dir>/events.parquet`` as ``value, file_path``.
+    """The files of ``log_root`` as ``value, file_path``.
 
-    The returned source DataFrame is reused within the session: Spark keeps
-    the file listing in its file index, so the thousands of container files
-    are listed once, not once per query. No rows are cached.
+    The source DataFrame is reused within the session: Spark keeps the file
+    listing in its file index, so the container files are listed once, not
+    once per query. No rows are cached.
     """
-    src = os.path.join(sf_dir, "events.parquet")
-    st = os.stat(src) if os.path.exists(src) else None
-    tag = f"{os.path.abspath(src)}|{st.st_size if st else ''}|{st.st_mtime_ns if st else ''}|{','.join(templates)}"
-    key = (spark.sparkContext.applicationId, tag)
-    path = _RENDERED.get(key)
-    if path is None:
-        digest = hashlib.sha1(tag.encode()).hexdigest()[:12]
-        path = scratch_path(spark, "rendered-logs", digest)
-        write_event_logs(spark.read.parquet(src), path, templates)
-        _RENDERED[key] = path
-    skey = (key, id(spark))
-    raw = _SOURCES.get(skey)
-    if raw is None:
-        raw = spark.read.option("recursiveFileLookup", "true").text(path)
-        _SOURCES[skey] = raw
-    return with_lineage(raw, positions)
+    path = log_root(spark, sf_dir, templates)
+    key = (path, id(spark))
+    if key not in _SOURCES:
+        _SOURCES[key] = spark.read.option("recursiveFileLookup", "true").text(path)
+    return with_lineage(_SOURCES[key], positions)

@@ -1,12 +1,15 @@
-"""Session helpers: a local session for tests and the bench, and the shared
-scratch folder that jobs use to cut lineage or stage intermediate files."""
+"""Session helpers: a local session for tests and the bench, the shared
+scratch folder that jobs use to cut lineage or stage intermediate files, and
+joins with sides of a checked size."""
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -20,14 +23,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -37,14 +37,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be a filesystem every executor can reach (HDFS,
-    an object store); it is read from the session. Only when it is unset --
-    local tests -- do we create a private temporary folder and register it.
+    It is read from the session and must be a filesystem that every executor
+    reaches (HDFS, an object store). Where it is unset a local session gets
+    a temporary folder, removed when Python ends; on a cluster, whose
+    executors could not see such a folder, that is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="daybook-ckpt-"))
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        own = tempfile.mkdtemp(prefix="daybook-ckpt-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        sc.setCheckpointDir(own)
         d = sc.getCheckpointDir()
     return d.rstrip("/")
 
@@ -55,4 +60,19 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 
 def table_path(sf_dir: str, name: str) -> str:
-    return os.path.join(sf_dir, f"{name}.parquet")
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` computed now and read back from reliable checkpoint files in the
+    shared folder: later plans start there, and lost executors cost nothing."""
+    scratch_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """``df`` computed once, and hinted for broadcast if it has at most
+    ``max_rows`` rows. Beyond that a join with it shuffles both sides (split
+    where skewed by adaptive execution); the rows are the same."""
+    df = cut(df)
+    return F.broadcast(df) if df.count() <= max_rows else df

@@ -1,5 +1,5 @@
 """Readers: text logs (paths, manifests, globs), parquet (multi-file,
-partitioned), generated ids and SQL views."""
+partitioned), SQL text."""
 
 from daybook.sources.parquet import month_paths, read_months, read_parquet
 from daybook.sources.text import (
@@ -8,10 +8,11 @@ from daybook.sources.text import (
     read_log_glob,
     read_logs,
     read_manifest_logs,
+    split_table,
 )
-from daybook.sources.generated import id_range, sql_count
+from daybook.sources.generated import sql_count
 
 __all__ = [
-    "expand_manifest", "id_range", "month_paths", "number_lines", "read_log_glob",
-    "read_logs", "read_manifest_logs", "read_months", "read_parquet", "sql_count",
+    "expand_manifest", "month_paths", "number_lines", "read_log_glob",
+    "read_logs", "read_manifest_logs", "read_months", "read_parquet", "split_table", "sql_count",
 ]

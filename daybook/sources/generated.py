@@ -1,16 +1,11 @@
-"""Generated ids and SQL text over a registered view."""
+"""SQL text over a DataFrame."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def id_range(spark: SparkSession, n: int, num_partitions: int | None = None) -> DataFrame:
-    """``id`` 0..n-1, generated in parallel on the executors."""
-    return spark.range(0, n, 1, num_partitions)
-
-
-def sql_count(spark: SparkSession, df: DataFrame, view: str = "daybook_input") -> DataFrame:
-    """Register ``df`` as a temporary view and count it through SQL text."""
-    df.createOrReplaceTempView(view)
-    return spark.sql(f"SELECT COUNT(*) AS total FROM `{view}`")
+def sql_count(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Count ``df`` through SQL text. The name in the text is bound to the
+    DataFrame for this query only: no view of the session is touched."""
+    return spark.sql("SELECT COUNT(*) AS total FROM {input}", input=df)

@@ -15,6 +15,10 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from daybook.session import checked_broadcast
+
+SPLITS = 100_000  # rows of a split table that are broadcast at most
+
 
 def with_lineage(df: DataFrame, positions: bool) -> DataFrame:
     """``value`` and ``file_path`` of a raw text scan; with ``positions``
@@ -66,61 +70,38 @@ def read_manifest_logs(spark: SparkSession, manifest: str, base_uri: str = "",
     return read_logs(spark, expand_manifest(spark, manifest, base_uri), positions)
 
 
-def split_table_bound(lines: DataFrame) -> tuple[int, int] | None:
-    """Upper bounds on the number of input splits behind ``lines`` and on
-    the bytes of a table with one row per split, from the file listing only
-    (no job): Spark never cuts a split smaller than
-    ``min(maxPartitionBytes, openCostInBytes)`` except at a file's end, so
-    ``splits <= files + total_bytes / that``. None if the plan has no
-    size statistics."""
-    try:
-        spark = lines.sparkSession
-        files = lines.inputFiles()
-        leaves = lines._jdf.queryExecution().optimizedPlan().collectLeaves()
-        total = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-        to_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
-        min_split = max(1, min(to_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")),
-                               to_bytes(spark.conf.get("spark.sql.files.openCostInBytes"))))
-    except Exception:  # no statistics: let adaptive execution decide
-        return None
-    n = len(files) + total // min_split + 1
-    row_bytes = max((len(f) for f in files), default=0) + 64
-    return n, n * row_bytes
-
-
-def broadcast_if_bounded(lines: DataFrame, per_split: DataFrame) -> DataFrame:
-    """Broadcast a one-row-per-split table only when its proven size bound
-    fits the session's broadcast threshold; otherwise return it unchanged
-    and let the planner (and adaptive execution) choose the join."""
-    bound = split_table_bound(lines)
-    if bound is None:
-        return per_split
-    spark = lines.sparkSession
-    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    return F.broadcast(per_split) if 0 <= bound[1] <= limit else per_split
+def split_table(lines: DataFrame, file_col: str = "file_path",
+                block_col: str = "file_block_start", pos_col: str = "row_pos") -> DataFrame:
+    """One row per input split: its first scan id and the number of lines of
+    its file before it (file, split start, ``first_pos``, ``lines_before``).
+
+    ``lines`` must come straight from a reader with ``positions=True`` (no
+    filter in between), each file listed once. The scan behind it reads no
+    more than line counts; the window is over one file's splits.
+    """
+    blocks = (lines.groupBy(file_col, block_col)
+              .agg(F.min(pos_col).alias("first_pos"), F.count(F.lit(1)).alias("_n")))
+    earlier = (Window.partitionBy(file_col).orderBy(block_col)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    return blocks.select(file_col, block_col, "first_pos",
+                         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("lines_before"))
 
 
 def number_lines(lines: DataFrame, file_col: str = "file_path",
                  block_col: str = "file_block_start", pos_col: str = "row_pos",
-                 out: str = "line_no") -> DataFrame:
+                 out: str = "line_no", splits: DataFrame | None = None) -> DataFrame:
     """Exact 1-based line number of every line within its file.
 
-    ``lines`` must come straight from a reader with ``positions=True`` (no
-    filter in between), and each file must be listed once (``expand_manifest``
-    removes repeated paths). A split's lines are read in order by one task and get
-    consecutive scan ids, so a line's number is the count of lines in earlier
-    splits of the same file plus its distance from its split's first id.
-    Only one row per split is aggregated and windowed (per file, over splits);
-    the per-line work is a join with that split table, broadcast when its
-    size bound (from the file listing) allows, so the lines are never
-    shuffled; beyond the bound the planner and adaptive execution decide.
+    A split's lines are read in order by one task and get consecutive scan
+    ids, so a line's number is the count of lines in earlier splits of the
+    same file plus its distance from its split's first id. ``lines`` may be
+    filtered or projected if ``splits`` (the ``split_table`` of the whole
+    reader) is given. Up to SPLITS splits the table is broadcast, and no line
+    is shuffled; beyond that the join shuffles what columns ``lines`` has, so
+    project the text away first where it isn't needed.
     """
-    blocks = (lines.groupBy(file_col, block_col)
-              .agg(F.min(pos_col).alias("_first_pos"), F.count(F.lit(1)).alias("_n_block")))
-    earlier = (Window.partitionBy(file_col).orderBy(block_col)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n_block").over(earlier), F.lit(0)))
-    return (lines.join(broadcast_if_bounded(lines, blocks), [file_col, block_col], "inner")
-            .withColumn(out, F.col("_before") + F.col(pos_col) - F.col("_first_pos") + F.lit(1))
-            .drop("_first_pos", "_n_block", "_before"))
+    keys = [file_col, block_col]
+    table = split_table(lines, file_col, block_col, pos_col) if splits is None else splits
+    return (lines.join(checked_broadcast(table, SPLITS), keys)
+            .withColumn(out, F.col("lines_before") + F.col(pos_col) - F.col("first_pos") + F.lit(1))
+            .drop("first_pos", "lines_before"))

@@ -24,18 +24,9 @@ def level_counts_stream(spark: SparkSession, source_glob: str,
 
 
 def start_level_counts(spark: SparkSession, source_glob: str, checkpoint: str,
-                       sink: str = "memory", query_name: str = "level_counts",
-                       path: str | None = None,
+                       query_name: str = "level_counts",
                        max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the running count. ``memory`` sinks expose ``query_name`` as a
-    table; other sinks (e.g. ``parquet`` with ``path``) get full counts per
-    batch through ``foreachBatch``."""
+    """Start the running count; ``query_name`` is a table with the counts so far."""
     counts = level_counts_stream(spark, source_glob, max_files_per_trigger)
-    writer = counts.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
-    if sink == "memory":
-        return writer.format("memory").queryName(query_name).start()
-
-    def _write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").format(sink).save(path)
-
-    return writer.foreachBatch(_write).start()
+    return (counts.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
+            .format("memory").queryName(query_name).start())

@@ -130,18 +130,45 @@ def test_seconds_between_is_wall_clock_in_any_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
-def test_exact_percentile_with_a_hot_group_over_many_partitions(spark):
+@pytest.mark.parametrize("reuse", ["true", "false"])
+@pytest.mark.parametrize("inside", [40, 1_000_000])
+def test_exact_percentile_with_a_hot_group(spark, reuse, inside):
+    """Right whatever the optimizer reuses, with one group holding most rows,
+    a group of equal values, a null key, and several narrowing rounds."""
     rnd = random.Random(11)
     rows = [(0, float(rnd.randint(0, 5000))) for _ in range(9000)]       # hot group
     rows += [(g, float(rnd.randint(0, 50))) for g in range(1, 40) for _ in range(25)]
-    df = spark.createDataFrame(rows, "g int, v double")
+    rows += [(77, 5.0)] * 3000 + [(None, float(i)) for i in range(100)] + [(5, None)]
+    df = spark.createDataFrame(rows, "g int, v double").repartition(16)
     df.createOrReplaceTempView("hot")
-    for q in (0.5, 0.95, 0.999):
-        mine = {r.g: r.percentile for r in percentile.exact(df, ["g"], "v", q, partitions=16).collect()}
-        ref = {r.g: r.p for r in spark.sql(
-            f"select g, percentile_disc({q}) within group (order by v) p from hot group by g").collect()}
-        assert mine == ref, q
-    # the hot group's distinct values really are spread over several range partitions
-    counts = df.groupBy("g", "v").count().repartitionByRange(16, "g", "v")
-    spread = counts.where("g = 0").select(F.spark_partition_id().alias("p")).distinct().count()
-    assert spread > 4
+    old = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        for q in (0.5, 0.95, 1.0):
+            mine = {r.g: r.percentile for r in percentile.exact(df, ["g"], "v", q, inside=inside).collect()}
+            ref = {r.g: r.p for r in spark.sql(
+                f"select g, percentile_disc({q}) within group (order by v) p from hot where v is not null group by g").collect()}
+            assert mine == ref, q
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", old)
+
+
+def test_exact_percentile_widens_a_bracket_that_misses(spark, monkeypatch):
+    """A sketch so coarse that its steps miss the rank only costs more rounds."""
+    rnd = random.Random(3)
+    rows = [(0, rnd.expovariate(1.0)) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    monkeypatch.setattr(percentile, "ACCURACY", 5)
+    xs = sorted(v for _, v in rows)
+    for q in (0.03, 0.5, 0.97):
+        got = percentile.exact(df, ["g"], "v", q, inside=200).first().percentile
+        assert got == xs[math.ceil(q * len(xs)) - 1], q
+
+
+def test_exact_percentile_needs_no_range_partitions(spark):
+    df = spark.range(200_000).select((F.col("id") % 3).alias("g"), F.xxhash64("id").cast("double").alias("v"))
+    out = percentile.exact(df, ["g"], "v", 0.95)
+    out.write.format("noop").mode("overwrite").save()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+    assert out.count() == 3

@@ -2,7 +2,6 @@
 
 import datetime as dt
 import math
-import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -15,18 +14,36 @@ WORDS = ["INFO", "WARN", "ERROR", "DEBUG", "FATAL", "info", "x.Y", "a:b", " ", "
 line = st.lists(st.sampled_from(WORDS), max_size=8).map(" ".join)
 
 
+LEVELS = ["INFO", "WARN", "ERROR", "DEBUG"]
+
+
 def py_parse(s):
-    m = re.match(r"(\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2})", s)
-    prefix = m.group(1) if m else ""
-    lv = re.search(r"(INFO|WARN|ERROR|DEBUG)", s)
-    comp = re.search(r"(INFO|WARN|ERROR|DEBUG)\s+([^:]+):", s)
+    """The grammar once more, by cutting strings."""
+    shape = "".join("0" if c in "0123456789" else c for c in s[:17])
+    prefix = s[:17] if shape == "00/00/00 00:00:00" else ""
+    starts = sorted((s.find(lv), lv) for lv in LEVELS if lv in s)
+    level = starts[0][1] if starts else ""
+    comp = ""
+    for i in range(len(s)):  # the first level word followed by blanks, a name and a colon
+        lv = next((x for x in LEVELS if s.startswith(x, i)), None)
+        if lv:
+            rest = s[i + len(lv):]
+            blanks = len(rest) - len(rest.lstrip(" \t\n\x0b\f\r"))
+            end = rest.find(":", blanks)
+            if blanks and end > blanks:
+                comp = rest[blanks:end]
+                break
+            # A single blank may itself be the name.
+            if blanks > 1 and rest[blanks:blanks + 1] == ":":
+                comp = rest[blanks - 1:blanks]
+                break
     t = None
     if prefix:
         try:
-            t = dt.datetime.strptime("20" + prefix, "%Y/%m/%d %H:%M:%S")
+            t = dt.datetime(2000 + int(s[:2]), int(s[3:5]), int(s[6:8]), int(s[9:11]), int(s[12:14]), int(s[15:17]))
         except ValueError:
             t = None
-    return prefix, lv.group(1) if lv else "", comp.group(2) if comp else "", t
+    return prefix, level, comp, t
 
 
 @settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from daybook import sinks
 from daybook.operators import levels
 from daybook.plans import jobs
-from daybook.sources import read_logs, rendered
+from daybook.plans import rendered
+from daybook.sources import read_logs
 from daybook.streaming import start_level_counts
 from conftest import SF_TINY
 
