@@ -29,7 +29,7 @@ LEAVES = 4096  # at most so many leaves: the tree stays small enough to send
 SAMPLE = 20_000  # vectors that the tree is fitted on at most
 SAMPLE_MB = 64
 CALIBRATE = 96  # queries that the recall is measured on
-RECALL = 0.97
+RECALL = 0.95
 BLOCK = 4096  # vectors, and queries, that one task compares at once
 
 
@@ -156,39 +156,45 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.array(column.tolist(), dtype=np.float64)
 
 
-def _best(queries: list, asked: np.ndarray, vectors: np.ndarray, ids: list, k: int) -> pd.DataFrame:
-    """For every query its k + 1 best (vec_id, score), ties to smaller ids, of these vectors."""
-    out: list[tuple] = []
-    for at in range(0, len(queries), 256):
-        scores = asked[at:at + 256] @ vectors.T
-        for query, row in zip(queries[at:at + 256], scores):
-            if len(row) > k + 1:
-                limit = np.partition(row, len(row) - k - 1)[len(row) - k - 1]
-                take = np.flatnonzero(row >= limit)
-            else:
-                take = np.arange(len(row))
-            found = sorted((-row[i], v) for i in take.tolist() for v in ids[i])[:k + 1]
-            out += [(query, v, -s) for s, v in found]
-    return pd.DataFrame(out, columns=["query", "vec_id", "score"])
+def _best(asked: np.ndarray, vectors: np.ndarray, ids: list, k: int, allowed: list[np.ndarray] | None = None) -> list[list[tuple[float, int]]]:
+    """For every query its k + 1 best (-score, vec_id) of these vectors, ties to smaller ids; ``allowed`` masks vectors by query."""
+    out = []
+    for at in range(0, len(asked), 256):
+        for i, row in enumerate(asked[at:at + 256] @ vectors.T, start=at):
+            take = np.arange(len(row)) if allowed is None else np.flatnonzero(allowed[i])
+            if len(take) > k + 1:
+                some = row[take]
+                take = take[some >= np.partition(some, len(some) - k - 1)[len(some) - k - 1]]
+            out.append(sorted((-float(row[t]), int(v)) for t in take.tolist() for v in ids[t])[:k + 1])
+    return out
 
 
-_FOUND = fields(query="string", vec_id="long", score="double")
+_FOUND = fields(query="string", ids="long[]", scores="double[]")
 
 
-def _ranked(found: DataFrame, k: int) -> DataFrame:
-    w = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+def _lists(keys: list[str], best: list[list[tuple[float, int]]]) -> pd.DataFrame:
+    return pd.DataFrame({"query": keys, "ids": [[v for _, v in b] for b in best], "scores": [[-s for s, _ in b] for b in best]})
+
+
+def _merged(found: DataFrame, k: int) -> DataFrame:
+    """query and best: array of (loss, vec_id) of the k + 1 best of all its lists, best first.
+
+    A task sends one list of at most k + 1 for a query, so a query's lists
+    number its blocks at most.
+    """
+    pairs = F.arrays_zip(F.transform("scores", lambda x: -x).alias("loss"), F.col("ids").alias("vec_id"))
+    return found.groupBy("query").agg(F.slice(F.sort_array(F.flatten(F.collect_list(pairs))), 1, k + 1).alias("best"))
 
 
 def exact(classes: DataFrame, queries: pd.DataFrame, k: int = K) -> DataFrame:
-    """Brute force for a bounded set of queries (key, vector): query, vec_id, score, rank of the k + 1 best."""
+    """Brute force for a bounded set of queries (key, vector): query and best, as ``_merged`` has them."""
     keys, asked = queries["key"].tolist(), _matrix(queries["vector"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield _best(keys, asked, _matrix(batch["vector"]), batch["ids"].tolist(), k)
+            yield _lists(keys, _best(asked, _matrix(batch["vector"]), batch["ids"].tolist(), k))
 
-    return _ranked(classes.select("vector", "ids").mapInPandas(run, _FOUND), k + 1)
+    return _merged(classes.select("vector", "ids").mapInPandas(run, _FOUND), k)
 
 
 @dataclass
@@ -237,7 +243,7 @@ def build(rows: DataFrame, k: int = K, recall: float = RECALL, every: int = EVER
 
 def calibrate(index: Index, queries: pd.DataFrame, recall: float = RECALL, k: int = K) -> int:
     """The fewest leaf visits, widened by a quarter at a time, that find ``recall`` of the exact neighbours."""
-    near = exact(index.classes, queries, k)
+    near = exact(index.classes, queries, k).select("query", F.explode("best.vec_id").alias("vec_id"))
     where = index.classes.select("leaf", F.explode("ids").alias("vec_id"))
     best = near.join(where, "vec_id").select("query", "leaf").toPandas()  # CALIBRATE * (k + 1) rows at most
     turn = {key: {leaf: i for i, leaf in enumerate(index.tree.walk(np.array(v)))} for key, v in zip(queries["key"], queries["vector"])}
@@ -248,60 +254,77 @@ def calibrate(index: Index, queries: pd.DataFrame, recall: float = RECALL, k: in
     return visits
 
 
-def _visits(index: Index, k: int):
-    """Rows (key, vector, leaf) for the leaves that each query visits: enough of them, holding enough rows."""
+def deal_blocks(sizes: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every leaf its block, and for every block its parts: small leaves side by side share
+    a block of at most ``block`` vectors, a larger leaf is a block of its own in several parts."""
+    of, held = np.zeros(len(sizes), np.int64), [0]
+    for leaf, size in enumerate(sizes.tolist()):
+        if held[-1] and held[-1] + size > block:
+            held.append(0)
+        of[leaf], held[-1] = len(held) - 1, held[-1] + size
+    return of, np.maximum(1, -(-np.array(held) // block))
+
+
+def _visits(index: Index, block_of: np.ndarray, k: int):
+    """Rows (key, vector, block, leaves): the leaves that each query visits, by block: enough of them, holding enough rows."""
     tree, members, visits = index.tree, index.members, index.visits
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for key, vector in zip(batch["key"], batch["vector"]):
-                seen = held = 0
-                for leaf in tree.walk(np.array(vector)):
+                held, leaves = 0, {}
+                for seen, leaf in enumerate(tree.walk(np.array(vector))):
                     if seen >= visits and held > k:
                         break
-                    seen, held = seen + 1, held + members[leaf]
-                    rows.append((key, vector, leaf))
-            yield pd.DataFrame(rows, columns=["key", "vector", "leaf"])
+                    held += members[leaf]
+                    leaves.setdefault(int(block_of[leaf]), []).append(leaf)
+                rows += [(key, vector, b, some) for b, some in leaves.items()]
+            yield pd.DataFrame(rows, columns=["key", "vector", "block", "leaves"])
     return run
 
 
 def _compare(k: int):
     def run(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(vectors) or not len(queries):
-            return pd.DataFrame({"query": [], "vec_id": [], "score": []})
-        return _best(queries["key"].tolist(), _matrix(queries["vector"]), _matrix(vectors["vector"]), vectors["ids"].tolist(), k)
+            return _lists([], [])
+        leaf = vectors["leaf"].to_numpy()
+        allowed = [np.isin(leaf, some) for some in queries["leaves"]]
+        return _lists(queries["key"].tolist(), _best(_matrix(queries["vector"]), _matrix(vectors["vector"]), vectors["ids"].tolist(), k, allowed))
     return run
 
 
 def search(rows: DataFrame, index: Index | None, k: int = K, every: int = EVERY) -> DataFrame:
     """query_id, rank (from 1), vec_id, score for the ``k`` nearest found of every row whose id ``every`` divides.
 
-    Queries with the same vector are answered once. A leaf with many vectors
-    or many visitors is dealt out in blocks of about BLOCK of each. Repeated
-    rows count once. Without rows the result is empty.
+    Queries with the same vector are answered once. Leaves are dealt out in
+    blocks of about BLOCK vectors, and a block's queries in turns of about
+    BLOCK, so no leaf or vector is one large task. Repeated rows count once.
+    Without rows the result is empty.
     """
     spark = rows.sparkSession
-    out = fields(query_id="long", rank="int", vec_id="long", score="double")
     if index is None:
-        return spark.createDataFrame([], out)
+        return spark.createDataFrame([], fields(query_id="long", rank="int", vec_id="long", score="double"))
+    block_of, parts = deal_blocks(index.sizes, BLOCK)
     asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "key").distinct()
     queries = index.classes.join(asked.select("key").distinct(), "key", "left_semi").select("key", "vector")
-    visits = cut(queries.repartition("key").mapInPandas(_visits(index, k), fields(key="string", vector="double[]", leaf="long")))
-    visitors = np.zeros(index.tree.leaves, np.int64)
-    for r in visits.groupBy("leaf").count().collect():
-        visitors[r["leaf"]] = r["count"]
-    parts, turns = -(-index.sizes // BLOCK), -(-visitors // BLOCK)
-    deal = spark.createDataFrame(pd.DataFrame({"leaf": np.arange(index.tree.leaves), "parts": np.maximum(parts, 1), "turns": np.maximum(turns, 1)}))
-    deal = F.broadcast(deal)  # one row per leaf, LEAVES at most
-    left = index.classes.join(deal, "leaf").withColumns({
+    visits = cut(queries.repartition("key").mapInPandas(_visits(index, block_of, k), fields(key="string", vector="double[]", block="long", leaves="long[]")))
+    visitors = np.zeros(len(parts), np.int64)
+    for r in visits.groupBy("block").count().collect():
+        visitors[r["block"]] = r["count"]
+    turns = np.maximum(1, -(-visitors // BLOCK))
+    # One row per leaf or block, LEAVES at most.
+    of_leaf = F.broadcast(spark.createDataFrame(pd.DataFrame({"leaf": np.arange(len(block_of)), "block": block_of})))
+    of_block = F.broadcast(spark.createDataFrame(pd.DataFrame({"block": np.arange(len(parts)), "parts": parts, "turns": turns})))
+    left = index.classes.join(of_leaf, "leaf").join(of_block, "block").withColumns({
         "part": F.pmod(F.xxhash64("key"), "parts"), "turn": F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1))})
-    right = visits.join(deal, "leaf").withColumns({
+    right = visits.join(of_block, "block").withColumns({
         "turn": F.pmod(F.xxhash64("key"), "turns"), "part": F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))})
-    found = left.select("leaf", "part", "turn", "vector", "ids").groupBy("leaf", "part", "turn").cogroup(
-        right.select("leaf", "part", "turn", "key", "vector").groupBy("leaf", "part", "turn")).applyInPandas(_compare(k), _FOUND)
-    best = _ranked(found, k + 1).groupBy("query").agg(F.sort_array(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("best"))
+    task = ["block", "part", "turn"]
+    found = left.select(*task, "leaf", "vector", "ids").groupBy(*task).cogroup(
+        right.select(*task, "key", "vector", "leaves").groupBy(*task)).applyInPandas(_compare(k), _FOUND)
+    best = _merged(found, k)
     # Each query leaves itself out; what is above it keeps its place, what is below moves up.
     other = F.slice(F.filter("best", lambda b: b["vec_id"] != F.col("query_id")), 1, k)
     return asked.join(best, asked["key"] == best["query"]).select("query_id", F.posexplode(other).alias("at", "b")).select(
-        "query_id", (F.col("at") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), F.col("b.score").alias("score"))
+        "query_id", (F.col("at") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.loss")).alias("score"))

@@ -1,5 +1,4 @@
 import numpy as np
-import pandas as pd
 import pytest
 from daybook.llm import ann as A
 
@@ -93,5 +92,10 @@ def test_blocks_of_a_hot_leaf_lose_nothing(spark, monkeypatch):
 
 
 def test_best_keeps_ties_at_the_edge():
-    out = A._best(["q"], np.array([[1.0]]), np.ones((50, 1)), [[i] for i in range(49, -1, -1)], 3)
-    assert out["vec_id"].tolist() == [0, 1, 2, 3] and isinstance(out, pd.DataFrame)
+    out = A._best(np.array([[1.0]]), np.ones((50, 1)), [[i] for i in range(49, -1, -1)], 3)
+    assert out == [[(-1.0, 0), (-1.0, 1), (-1.0, 2), (-1.0, 3)]]
+
+
+def test_blocks_hold_what_they_should():
+    of, parts = A.deal_blocks(np.array([3, 3, 3, 25, 1, 9, 0, 10]), 10)
+    assert of.tolist() == [0, 0, 0, 1, 2, 2, 2, 3] and parts.tolist() == [1, 3, 1, 1]
