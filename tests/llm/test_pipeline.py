@@ -1,5 +1,6 @@
 import math
 import os
+import zlib
 from collections import Counter
 
 import corpus_pipeline as C
@@ -43,7 +44,7 @@ def test_stages_against_brute_force(spark):
     got = C.quality_rules(spark, docs(spark, rows), SF)
     assert Counter(map(tuple, got.collect())) == Counter(kept)
 
-    profiles = langid.fit(docs(spark, [r for r in kept if __import__("zlib").crc32(str(r[0]).encode()) % 5]))
+    profiles = langid.fit(docs(spark, [r for r in kept if zlib.crc32(str(r[0]).encode()) % 5]))
     known = [r for r in kept if profiles.score(r[1])[0] != "und" and profiles.score(r[1])[1] >= C.LEAST_SCORE]
     assert Counter(map(tuple, C.language_id(spark, docs(spark, kept), SF).collect())) == Counter(known)
 
