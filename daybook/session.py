@@ -5,6 +5,7 @@ joins with sides of a checked size."""
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 
@@ -19,6 +20,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     On a cluster the caller brings its own session; nothing in the library
     depends on these settings except a UTC zone for comparisons with oracles.
     """
+    # One BLAS thread a Python worker, as a cluster manager sets it: the workers share the cores.
+    os.environ.setdefault("OMP_NUM_THREADS", "1")
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
