@@ -14,8 +14,22 @@ from daybook.session import scratch_dir
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver did.
+
+    Workers start in a folder of their own; without an installed package, or
+    a cluster's ``--py-files``, they would not find it.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of the input folder, by any path that Spark reads."""
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
