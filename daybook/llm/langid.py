@@ -21,6 +21,8 @@ from daybook.llm.common import cut, fields
 DIM = 1024
 GRAM = 3
 LETTERS = 64  # codes: 0 for a gap between words, the rest for letters
+CHUNK = 2048  # n-gram vectors held at once
+HELD = 1 << 21  # n-grams that a task gathers before it adds them up
 MAX_LANGUAGES = 2000  # prototypes are collected and sent to every task; refuse past this
 UNKNOWN = "und"
 
@@ -83,12 +85,19 @@ def bind(which: np.ndarray, dim: int = DIM) -> np.ndarray:
     return out
 
 
+def bundle_grams(which: np.ndarray, dim: int = DIM) -> np.ndarray:
+    """The sum of the vectors of all these n-grams, a bounded number of them at a time."""
+    which, times = np.unique(which, return_counts=True)
+    out = np.zeros(dim)
+    for a in range(0, len(which), CHUNK):
+        out += times[a:a + CHUNK].astype(np.float32) @ bind(which[a:a + CHUNK], dim).astype(np.float32)
+    return out
+
+
 def bundle(text: str | None, dim: int = DIM) -> np.ndarray | None:
     """The text's vector, or None if it has no letter."""
-    which, times = np.unique(grams(text), return_counts=True)
-    if not len(which):
-        return None
-    return times.astype(np.float32) @ bind(which, dim).astype(np.float32)
+    which = grams(text)
+    return bundle_grams(which, dim) if len(which) else None
 
 
 def _partial(dim: int):
@@ -96,18 +105,25 @@ def _partial(dim: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, np.ndarray] = {}
         docs: dict[str, int] = {}
+        waiting: dict[str, list[np.ndarray]] = {}
+        held = 0
+
+        def add() -> None:
+            for lang, parts in waiting.items():
+                total[lang] = total.get(lang, 0) + bundle_grams(np.concatenate(parts), dim)
+            waiting.clear()
+
         for batch in batches:
-            counts: dict[str, list[np.ndarray]] = {}
             for text, lang in zip(batch["text"], batch["lang"]):
                 g = grams(text)
                 if len(g):
-                    counts.setdefault(lang, []).append(g)
+                    waiting.setdefault(lang, []).append(g.astype(np.int32))
                     docs[lang] = docs.get(lang, 0) + 1
-            for lang, parts in counts.items():
-                which, times = np.unique(np.concatenate(parts), return_counts=True)
-                vector = total.setdefault(lang, np.zeros(dim))
-                for a in range(0, len(which), 4096):
-                    vector += times[a:a + 4096].astype(np.float64) @ bind(which[a:a + 4096], dim)
+                    held += len(g)
+                    if held > HELD:
+                        add()
+                        held = 0
+        add()
         if total:
             yield pd.DataFrame({"lang": list(total), "vector": [v.tolist() for v in total.values()],
                                 "docs": [docs[x] for x in total]})
