@@ -751,6 +751,24 @@ def daily_csv_roundtrip(spark, sf_dir):
     return _csv(spark, "daily", daily_summary(spark, sf_dir), sinks.DAILY_SUMMARY_SCHEMA)
 
 
+def _report(spark, name, report):
+    path = _new_path(spark, name)
+    sinks.write_report(report, path)
+    return sinks.read_report(spark, path)
+
+
+@register("level_report_roundtrip", f"SELECT text FROM ({ORACLES['log_level_report']})")
+def level_report_roundtrip(spark, sf_dir):
+    """S16 as a file."""
+    return _report(spark, "level-report", log_level_report(spark, sf_dir))
+
+
+@register("cluster_report_roundtrip", f"SELECT text FROM ({ORACLES['cluster_stats_report']})")
+def cluster_report_roundtrip(spark, sf_dir):
+    """S17 as a file."""
+    return _report(spark, "cluster-report", cluster_stats_report(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- top N
 
 TOP = 3
