@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import langid, mixing, packing, quality, simhash
-from daybook.llm.common import cut, id_bucket, table
+from daybook.llm.common import cut, id_bucket, remove, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A text whose best cosine is lower has no letters to speak of.
@@ -60,8 +60,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's rows are written to the shared folder for the next."""
-    docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages over ``documents``. Each one's rows are written as Parquet to
+    the shared folder for the next, and removed once that one is written; the
+    last stage's result reads files of its own."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES:
+        made = stage(spark, docs, sf_dir)
+        if name == STAGES[-1][0]:
+            made = cut(made)
+        else:
+            docs, path = written(made, "pipeline")
+        if before:
+            remove(spark, before)
+        before = path
+    return made

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.session import scratch_dir
+from daybook.session import scratch_dir, scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -33,22 +34,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def pick(df: DataFrame, **columns: str) -> DataFrame:
-    """Only the named columns, under the operator's own names.
-
-    Extra columns are left behind, so whatever they are called they can't
-    clash. A name that only matches when case is ignored is taken as Spark
-    takes it.
-    """
-    return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
-
-
 def cut(df: DataFrame) -> DataFrame:
     """``df`` read back from reliable checkpoint files in the shared folder."""
     scratch_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written as Parquet into a new folder of the shared one and read back, and that folder."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``written`` made, on whatever file system it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def bounded(df: DataFrame, rows: int) -> tuple[DataFrame, int]:
     """``df`` computed once, hinted for broadcast if it holds at most ``rows`` rows.
 

@@ -106,3 +106,12 @@ def test_clean_documents_stay(spark):
     assert kept.count() == base
     assert C.language_id(spark, kept, SF).count() == base
     assert mixing.POWER == 0.5
+
+
+def test_workers_find_the_package(spark):
+    from daybook.llm import common
+
+    common.importable(spark)
+    common.importable(spark)
+    root = os.path.dirname(os.path.dirname(os.path.dirname(common.__file__)))
+    assert spark.sparkContext.environment["PYTHONPATH"].split(os.pathsep).count(root) == 1
