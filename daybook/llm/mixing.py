@@ -85,9 +85,10 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, id_col:
         F.col("source").alias("__source"), F.ceil(F.col("rate") / MEAN).cast("int").alias("__draws"),
         F.when(F.col("rate") > 0, _cumulative(F.col("rate") / F.ceil(F.col("rate") / MEAN))).alias("__upto")), SOURCES)
     key = document_key(id_col, text, seed)
-    # One draw: how many k have P(X <= k) at or below the uniform number.
-    count = F.aggregate(F.sequence(F.lit(1), F.col("__draws")), F.lit(0),
-                        lambda n, j: n + F.size(F.filter("__upto", lambda p: p <= uniform(F.concat("__key", F.lit(":"), j.cast("string"))))))
+    # A draw is how many k have P(X <= k) at or below its uniform number.
+    numbers = F.transform(F.sequence(F.lit(1), F.col("__draws")),
+                          lambda j: uniform(F.concat("__key", F.lit(":"), j.cast("string"))))
+    count = F.aggregate(numbers, F.lit(0), lambda n, u: n + F.size(F.filter("__upto", lambda p: p <= u)))
     drawn = docs.join(table, F.col(f"`{source}`").eqNullSafe(F.col("__source"))).where("__draws > 0") \
         .withColumn("__key", key).withColumn("__count", count).where("__count > 0")
     copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__count")))) \
