@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import bounded, fields
+from daybook.llm.common import bounded, cut, fields
 
 LOW = 0.35  # branches less important are removed
 PAGES = 8  # a host's node is judged once so many pages have it
@@ -52,11 +52,13 @@ CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td
 FENCE = {"li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "option": {"select"}}
 NOISE_TAGS = frozenset("head nav footer aside form button select menu dialog input label fieldset audio video canvas object applet map".split()) | RAW
 NOISE_NAMES = frozenset("nav navbar navigation menu menubar sidebar footer masthead ad ads adv advert adverts advertisement advertising adsense adbox banner promo "
-                        "promotion sponsor sponsored cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup "
+                        "adsbygoogle promotion sponsor sponsored cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup "
                         "social share sharing related recommended recommendations comment comments commentlist disqus respond reply replies breadcrumb breadcrumbs "
-                        "pagination pager toolbar widget widgets login search copyright complementary contentinfo dialog form paywall disclaimer outbrain taboola".split())
-HEAD_NAMES = frozenset("header topbar banner".split())
-MAIN_NAMES = frozenset("article articlebody main content post entry story".split())
+                        "pagination pager toolbar widget widgets login search copyright complementary contentinfo dialog form paywall disclaimer discussion rail teaser teasers "
+                        "aside".split())
+HEAD_NAMES = frozenset("header topbar".split())
+MAIN_NAMES = frozenset("article article-body article-content articlebody main main-content content post post-body post-content entry entry-content story story-body".split())
+RAW_END = {tag: re.compile(rf"</{tag}", re.I) for tag in RAW}
 
 
 @dataclass
@@ -92,14 +94,10 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(text)} if text.strip() else {}
 
 
-def _names(attributes: dict[str, str]) -> set[str]:
-    """Words and whole names of class, id, role and itemprop."""
-    out: set[str] = set()
-    for k in ("class", "id", "role", "itemprop"):
-        for name in attributes.get(k, "").split():
-            out.add(name.lower())
-            out.update(w.lower() for w in WORD.findall(name))
-    return out
+def _names(attributes: dict[str, str]) -> tuple[set[str], set[str]]:
+    """Whole names of class, id, role and itemprop, and the words they are made of."""
+    whole = [name for k in ("class", "id", "role", "itemprop") for name in attributes.get(k, "").split()]
+    return {n.lower() for n in whole}, {w.lower() for n in whole for w in WORD.findall(n)}
 
 
 def _label(tag: str, attributes: dict[str, str]) -> str:
@@ -113,6 +111,7 @@ def parse(source: str | None) -> Page:
     page, source = Page(), source or ""
     root = _Open("", "", 0, False, 0, False)
     stack, text = [root], []
+    open_: Counter[str] = Counter()  # so that the stack is only searched for what it holds
 
     def flush() -> None:
         if text:
@@ -125,16 +124,17 @@ def parse(source: str | None) -> Page:
     def pop_to(depth: int) -> None:
         if any(e.tag in BLOCK for e in stack[depth:]):
             flush()
+        open_.subtract(e.tag for e in stack[depth:])
         del stack[depth:]
 
-    at, low = 0, None
+    at = 0
     for m in iter(lambda: TAG.search(source, at), None):
         if m.start() > at:
             text.append(source[at:m.start()])
         at = m.end()
         if m[1]:
             tag = m[1].lower()
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if open_[tag] else ():
                 if stack[i].tag == tag:
                     pop_to(i)
                     break
@@ -148,11 +148,11 @@ def parse(source: str | None) -> Page:
             flush()
         if tag in VOID:
             continue
-        if tag in ENDS_P:
+        if tag in ENDS_P and open_["p"]:
             p = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"), 0)
             if p and not any(e.tag in ("td", "th", "button", "object") for e in stack[p:]):
                 pop_to(p)
-        if tag in CLOSES:
+        if tag in CLOSES and any(open_[t] for t in CLOSES[tag]):
             fence = FENCE.get(tag, {"table"})
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in fence:
@@ -164,9 +164,8 @@ def parse(source: str | None) -> Page:
         if tag in BLOCK:
             flush()
         if tag in RAW:
-            low = low if low is not None else source.lower()
-            end = low.find(f"</{tag}", at)
-            at = len(source) if end < 0 else end
+            end = RAW_END[tag].search(source, at)
+            at = end.start() if end else len(source)
             continue
         if m.end() == len(source) and not m[0].endswith(">"):
             break  # the page was cut off inside this tag
@@ -174,23 +173,24 @@ def parse(source: str | None) -> Page:
         a = _attributes(m[3])
         label = _label(tag, a)
         path = above.path if above.depth >= DEEPEST else f"{above.path}>{label}" if above.path else label
-        names = _names(a) if a else set()
-        noise = above.noise or tag in NOISE_TAGS or bool(names & NOISE_NAMES) or "hidden" in a \
+        whole, words = _names(a) if a else (set(), set())
+        noise = above.noise or tag in NOISE_TAGS or bool((whole | words) & NOISE_NAMES) or "hidden" in a \
             or a.get("aria-hidden", "").lower() == "true" or "display:none" in a.get("style", "").replace(" ", "").lower()
         anchor = above.anchor
         if not anchor and not noise:
-            sure = tag in ("article", "main") or a.get("role", "").lower() == "main" or "articlebody" in names
+            sure = tag in ("article", "main") or a.get("role", "").lower() == "main" or "articlebody" in whole
             if sure:
                 page.strong = True
             # A named element counts less than a real one: its path length is negative.
-            anchor = len(path) if sure else -len(path) if names & MAIN_NAMES else 0
+            anchor = len(path) if sure else -len(path) if whole & MAIN_NAMES else 0
         elif anchor < 0 and tag in ("article", "main"):
             anchor, page.strong = len(path), True
-        if anchor <= 0 and (tag == "header" or names & HEAD_NAMES) and tag != "body":
+        if not anchor and (tag == "header" or words & HEAD_NAMES) and tag != "body":
             noise = True
         page.styles.setdefault(above.path, []).append(label)
         if noise:
             page.settled.add(path)
+        open_[tag] += 1
         stack.append(_Open(tag, path, above.depth + 1, noise, anchor, above.heading or tag in HEADINGS))
     else:
         if at < len(source):
@@ -276,6 +276,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
     base = F.log(F.greatest(F.col("n_pages"), F.lit(2)).cast("double"))
     nodes = nodes.withColumn("shared", F.col("text_sum") / base) \
         .withColumn("presentation", F.when(F.col("n_pages") > 1, (F.log(F.col("n_pages").cast("double")) - F.col("style_sum") / F.col("n_pages")) / base).otherwise(1.0))
+    nodes = cut(nodes)  # read twice below; without this the pages would be too
     # What a branch holds is what the nodes under it hold; a path names all nodes above it.
     steps = F.split("path", ">")
     above = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.array_join(F.slice(steps, F.lit(1), i), ">"))

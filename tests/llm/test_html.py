@@ -14,6 +14,9 @@ CASES = [
     ("<title>t</title><style>p{}</style><!-- <p>c</p> --><p>k</p>", "k"),
     ("<article><p>loaded advice, headers and commentary</p></article>", "loaded advice, headers and commentary"),
     ("<div class='leaderboard-header-wide'>x</div><p>y", "y"),
+    ("<div class='post'><div class='post-header'><h1>T</h1></div><div class='post-content'><p>x</p></div></div><div class='post-footer'>f</div>", "T x"),
+    ("<SCRIPT>İİİİ</SCRIPT>after<p>b", "after b"),
+    ("<div class='side-rail'>s</div><div role=main>m<ol><li>1<li>2<ul><li>3</ul><li>4</ol></div>", "m 1 2 3 4"),
 ]
 
 
@@ -22,6 +25,16 @@ def test_main_text(source, want):
     assert H.main_text(source) == want
 
 
+def test_deep_and_broken_pages_take_linear_time():
+    import time
+
+    began = time.time()
+    for page in ("<div>" * 100_000 + "x", "<p><b>" * 50_000 + "x", "<li><ul>" * 50_000 + "x" + "</p>" * 50_000, "<a b='" * 50_000, "</x>" * 100_000, "<" * 200_000,
+                 "<td><li>" * 30_000, "&" * 200_000):
+        H.main_text(page)
+    assert time.time() - began < 30
+
+
 def site(n, host="h.example", body="<div class='claim'>Same words on each page</div><div class='text'><p>{i} own text</p><p>more {i}</p></div>"):
     return [(i, f"https://{host}/{i}", body.format(i=f"page{i}" * 3)) for i in range(n)]
 
