@@ -149,12 +149,34 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Filling, int]]
     return [(f, b) for group in by_room.values() for f, b in group.items()]
 
 
+def fullest(counts: dict[int, int], sizes: list[int], room: int) -> tuple[int, ...]:
+    """The pieces that leave the least of ``room`` unfilled, the longest ones that do; by subset sums as bits of a number."""
+    fits = sizes[:bisect_right(sizes, room)]
+    within, reach = (1 << (room + 1)) - 1, [1]
+    for n in fits:
+        sums = once = reach[-1]
+        for _ in range(min(counts[n], room // n)):
+            once = once << n & within
+            sums |= once
+        reach.append(sums)
+    rest, chosen = reach[-1].bit_length() - 1, []
+    for i in range(len(fits) - 1, -1, -1):
+        n = fits[i]
+        k = min(counts[n], rest // n)
+        while not reach[i] >> (rest - k * n) & 1:
+            k -= 1
+        chosen += [n] * k
+        rest -= k * n
+    return tuple(chosen)
+
+
 def fillings(counts: dict[int, int], sizes: list[int], room: int) -> list[Filling]:
     """Undominated ways to fill ``room`` from the lengths left, least waste first, then fewest pieces.
 
     ``sizes`` is sorted. A filling is dominated if another of as many pieces
     has a piece at least as long in every place. At most STEPS combinations
-    are looked at, the longest pieces first.
+    are looked at, the longest pieces first; if none of them fills the room
+    exactly, the fullest filling of all joins them.
     """
     found: dict[tuple[int, ...], int] = {}
     steps = 0
@@ -176,6 +198,9 @@ def fillings(counts: dict[int, int], sizes: list[int], room: int) -> list[Fillin
             found[chosen] = rest
 
     extend((), room, room)
+    if min(found.values()):
+        most = fullest(counts, sizes, room)
+        found[most] = room - sum(most)
     best = sorted(found, key=lambda f: (found[f], len(f), [-n for n in f]))
     kept: list[tuple[int, ...]] = []
     for f in best:
