@@ -32,6 +32,7 @@ BITS = 64
 NODE = 4096  # fingerprints that an upper node should hold
 PROBE = 12  # depth at which upper nodes are counted
 FRONTIER = 1 << 18  # node pairs held at once
+EDGES = 200_000  # in one checkpoint file
 PAIRS = 1 << 21  # leaf pairs compared at once
 
 
@@ -231,6 +232,10 @@ def components(edges: DataFrame) -> DataFrame:
     def state(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003)).first())
 
+    def files(count: int) -> int:
+        """Checkpoint files for so many edges; a round changes their number little."""
+        return 1 + count // EDGES
+
     edges = cut(edges.where("a <> b").distinct())
     now = state(edges)
     while True:
@@ -240,7 +245,7 @@ def components(edges: DataFrame) -> DataFrame:
         up = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = up.groupBy("a").agg(F.min("b").alias("m"))
         small = up.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = cut(small.union(least.select("a", F.col("m").alias("b"))).distinct())
+        edges = cut(small.union(least.select("a", F.col("m").alias("b"))).distinct().coalesce(files(now[0])))
         before, now = now, state(edges)
         if now == before:
             break
