@@ -26,7 +26,7 @@ EVERY = 20  # rows whose id this divides are queries
 BRANCH = 8
 LEAF = 512  # vectors that a leaf should hold
 LEAVES = 4096  # at most so many leaves: the tree stays small enough to send
-SAMPLE = 20_000  # vectors that the tree is fitted on at most
+SAMPLE = 20_000  # vectors that the tree is fitted on, about
 SAMPLE_MB = 64
 CALIBRATE = 96  # queries that the recall is measured on
 RECALL = 0.97
@@ -218,8 +218,8 @@ def _to_leaf(tree: Tree):
 def build(rows: DataFrame, k: int = K, recall: float = RECALL, every: int = EVERY) -> Index | None:
     """Fit the tree on a sample, index every row, and widen the visits until ``recall`` is reached; None without rows.
 
-    The sample are the SAMPLE vectors (or SAMPLE_MB) of smallest hash. The
-    recall is measured on up to CALIBRATE queries of smallest hash.
+    The sample is drawn by hash, about SAMPLE vectors (or SAMPLE_MB of them).
+    The recall is measured on up to CALIBRATE queries of smallest hash.
     """
     classes = cut(distinct_vectors(rows, k))
     n = classes.count()
@@ -227,15 +227,19 @@ def build(rows: DataFrame, k: int = K, recall: float = RECALL, every: int = EVER
         return None
     width = len(classes.select("vector").first()[0])
     bound = max(1, min(SAMPLE, SAMPLE_MB * 1_000_000 // (8 * width)))
-    sample = classes.orderBy(F.xxhash64("key"), "key").limit(bound).select("vector").toPandas()
-    tree = grow(_matrix(sample["vector"]), max(1, min(LEAVES, n // LEAF, len(sample) // 4)))
+    # Not the first by an order: every task would send its own first ``bound`` to the driver.
+    picked = F.pmod(F.xxhash64("key"), F.lit(1 << 40)) < F.lit(min(1 << 40, bound * (1 << 40) // n))
+    sample = classes.where(picked).select("vector").toPandas()
+    leaves = max(1, min(LEAVES, n // LEAF, len(sample) // 4))
+    tree = grow(_matrix(sample["vector"]), leaves) if len(sample) else Tree(np.zeros((1, width)), [[]], [0])
     indexed = cut(classes.mapInPandas(_to_leaf(tree), fields(key="string", vector="double[]", ids="long[]", leaf="long")))
     sizes, members = np.zeros(tree.leaves, np.int64), np.zeros(tree.leaves, np.int64)
     for r in indexed.groupBy("leaf").agg(F.count("*").alias("n"), F.sum(F.size("ids")).alias("m")).collect():
         sizes[r["leaf"]], members[r["leaf"]] = r["n"], r["m"]
     index = Index(tree, indexed, sizes, members, tree.leaves)
     asked = rows.where(F.col("vec_id") % every == 0).select("key").distinct()
-    some = indexed.join(asked, "key", "left_semi").orderBy(F.xxhash64("key", F.lit(1)), "key").limit(CALIBRATE).select("key", "vector").toPandas()
+    some = indexed.join(asked, "key", "left_semi").orderBy(F.xxhash64("key", F.lit(1)), "key") \
+        .limit(CALIBRATE).select("key", "vector").toPandas()
     if len(some) and tree.leaves > 1:
         index.visits = calibrate(index, some, recall, k)
     return index
