@@ -266,7 +266,8 @@ def style_tree(pages: DataFrame) -> DataFrame:
     pages, so between 0 (template) and 1. The importance mixes them: the more
     kinds of children sequences, the more presentation counts.
     """
-    features = pages.mapInPandas(_merge, _FEATURES).groupBy("host", "path", "kind", "feature").agg(F.sum("n").alias("n"), F.max("settled").alias("settled"))
+    features = pages.mapInPandas(_merge, _FEATURES).groupBy("host", "path", "kind", "feature").agg(
+        F.sum("n").alias("n"), F.max("settled").alias("settled"))
     style, content = F.col("kind") == 0, F.col("kind") == 1
     n = F.col("n").cast("double")
     nodes = features.groupBy("host", "path").agg(
@@ -274,8 +275,9 @@ def style_tree(pages: DataFrame) -> DataFrame:
         F.sum(F.when(style, n * F.log(n))).alias("style_sum"), F.count(F.when(style & (F.col("feature") != 0), 1)).alias("styles"),
         F.coalesce(F.sum(F.when(content, F.log(n))), F.lit(0.0)).alias("text_sum"), F.count(F.when(content, 1)).alias("texts"))
     base = F.log(F.greatest(F.col("n_pages"), F.lit(2)).cast("double"))
+    entropy = F.log(F.col("n_pages").cast("double")) - F.col("style_sum") / F.col("n_pages")
     nodes = nodes.withColumn("shared", F.col("text_sum") / base) \
-        .withColumn("presentation", F.when(F.col("n_pages") > 1, (F.log(F.col("n_pages").cast("double")) - F.col("style_sum") / F.col("n_pages")) / base).otherwise(1.0))
+        .withColumn("presentation", F.when(F.col("n_pages") > 1, entropy / base).otherwise(1.0))
     nodes = cut(nodes)  # read twice below; without this the pages would be too
     # What a branch holds is what the nodes under it hold; a path names all nodes above it.
     steps = F.split("path", ">")
@@ -285,8 +287,9 @@ def style_tree(pages: DataFrame) -> DataFrame:
     tree = nodes.drop("shared", "texts").join(branch, ["host", "path"])
     left = F.pow(F.lit(DECAY), F.least(F.col("styles"), F.lit(10)).cast("double"))
     tree = tree.withColumn("content", 1 - F.col("shared") / F.col("texts"))
+    both = (1 - left) * F.col("presentation") + left * F.col("content")
     return tree.select("host", "path", "n_pages", "settled", "presentation", "content",
-                       F.when(F.col("styles") == 0, F.col("content")).otherwise((1 - left) * F.col("presentation") + left * F.col("content")).alias("importance"))
+                       F.when(F.col("styles") == 0, F.col("content")).otherwise(both).alias("importance"))
 
 
 def low_branches(tree: DataFrame, low: float = LOW, least: int = PAGES) -> DataFrame:

@@ -96,15 +96,18 @@ def votes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", templates
 
     ``row`` tells repeated rows apart. Template -1 has one row for each text.
     """
-    one = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("doc_id"), words(F.col(f"`{text}`")).alias("words"))
+    one = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("doc_id"),
+                      words(F.col(f"`{text}`")).alias("words"))
     # Position -1 is the gram of two empty words.
     each = one.select("row", "doc_id", "words", F.size("words").cast("long").alias("n_words"),
                       F.explode(F.sequence(F.lit(-1), F.greatest(F.size("words") - GRAM, F.lit(-1)))).alias("p"))
     word = {k: F.when(F.col("p") >= 0, F.get("words", F.col("p") + k)).otherwise("") for k in (0, 1)}
     # The template side is fixed and small: about one row for each of its words.
     side = F.broadcast(_grams(docs.sparkSession, templates))
-    hit = each.withColumn("hash", F.xxhash64(word[0], word[1])).join(side, "hash").where((word[0] == F.col("w1")) & (word[1] == F.col("w2")))
-    seen = [F.when(F.col("at").between(63 * k, 63 * k + 62), F.expr(f"shiftleft(1L, at - {63 * k})")).otherwise(F.lit(0).cast("long")) for k in (0, 1)]
+    hit = each.withColumn("hash", F.xxhash64(word[0], word[1])).join(side, "hash") \
+        .where((word[0] == F.col("w1")) & (word[1] == F.col("w2")))
+    seen = [F.when(F.col("at").between(63 * k, 63 * k + 62), F.expr(f"shiftleft(1L, at - {63 * k})"))
+            .otherwise(F.lit(0).cast("long")) for k in (0, 1)]
     return hit.groupBy("row", "doc_id", "n_words", "template", "exact", "grams", "label", (F.col("p") - F.col("at")).alias("diagonal")).agg(
         F.count("*").alias("n_votes"), F.min("p").alias("first"), F.max("p").alias("last"),
         F.bit_or(seen[0]).alias("seen0"), F.bit_or(seen[1]).alias("seen1"))
@@ -117,7 +120,8 @@ def spans(found: DataFrame) -> DataFrame:
     neighbouring diagonals merged; ``cover`` is the share of the template's
     grams seen in the span. Template -1 passes through.
     """
-    keep = found.where(F.when(F.col("template") < 0, F.lit(True)).when(F.col("exact"), F.col("n_votes") == F.col("grams")).otherwise(F.col("n_votes") >= VOTES))
+    whole = F.col("n_votes") == F.col("grams")
+    keep = found.where(F.when(F.col("template") < 0, F.lit(True)).when(F.col("exact"), whole).otherwise(F.col("n_votes") >= VOTES))
     # A window is one text's diagonals of one template.
     w = Window.partitionBy("row", "template").orderBy("diagonal")
     apart = F.when(~F.col("exact") & (F.col("diagonal") - F.lag("diagonal").over(w) <= NEAR), 0).otherwise(1)
@@ -147,6 +151,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", templates:
 
     return found.groupBy("row", "doc_id", "n_words").agg(
         F.count(F.when(base, 1)).alias("n_base"),
-        F.min(F.when(base, F.col("first"))).cast("long").alias("first_word"), F.max(F.when(base, F.col("first"))).cast("long").alias("last_word"),
+        F.min(F.when(base, F.col("first"))).cast("long").alias("first_word"),
+        F.max(F.when(base, F.col("first"))).cast("long").alias("last_word"),
         labels(base).alias("base_labels"), labels(good).alias("labels"),
         F.least(F.max("cover"), F.lit(1.0)).alias("score")).drop("row")

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.common import cut, fields, tokenizer_path
@@ -333,9 +333,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, nodes: int = NODES) -> Dat
     blocks = max(1, n // ROWS)
     rows = rows.withColumn("__block", F.pmod(F.xxhash64("__row"), F.lit(blocks)))
     # At most capacity * blocks sums; each window is one length's blocks.
+    before = Window.partitionBy("length").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     ahead = rows.groupBy("length", "__block").agg(F.count("*").alias("n")).select(
-        "length", "__block", F.expr("coalesce(sum(n) OVER (PARTITION BY length ORDER BY __block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)").alias("ahead"))
-    numbered = rows.withColumn("__nth", F.expr("row_number() OVER (PARTITION BY length, __block ORDER BY __row)")) \
+        "length", "__block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
+    inside = Window.partitionBy("length", "__block").orderBy("__row")
+    numbered = rows.withColumn("__nth", F.row_number().over(inside)) \
         .join(ahead, ["length", "__block"]).withColumn("number", F.col("ahead") + F.col("__nth") - 1)
     names = [c for c in pieces.columns]
     schema = numbered.select(*names, F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")).schema

@@ -35,7 +35,8 @@ def kmeans_tree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return packing.pack(pieces).select("doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", "sequence_id", "offset")
+    return packing.pack(pieces).select(
+        "doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +71,8 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(id_bucket(F.col("doc_id"), 5) == 0, F.lit(False))
     profiles = langid.fit(docs.where(~held_out))
-    return docs.select("doc_id", held_out.alias("held_out"), langid.predict(F.col("text"), profiles).alias("p")).select("doc_id", "held_out", "p.lang_pred", "p.score")
+    told = docs.select("doc_id", held_out.alias("held_out"), langid.predict(F.col("text"), profiles).alias("p"))
+    return told.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
