@@ -15,7 +15,7 @@ from daybook.llm.common import ascii_lower
 
 GRAM = 3
 BUCKETS = 1 << 13
-THRESHOLD = 0.9  # probability from which the model blocks
+THRESHOLD = 0.55  # probability from which the model blocks: fewest errors (23 of 168) on held-out sevenths of the labelled urls
 LABELLED = 100_000  # labelled urls the model may be fitted on
 
 # The labelled urls.
@@ -47,6 +47,26 @@ BLOCKED = (
     "http://sex-xxx-hot.example/gallery", "http://fast-cash-loan.example/payday", "http://gambling-poker-bet.example/jackpot",
     "http://adult-dating-sexy.example/join", "http://warez-nulled-scripts.example/download", "http://cheap-casino-viagra.example/xxx",
 )
+# Suffixes, subdomains and paths that occur under both labels, one clean and one junk host name in each at a time: only the name tells them apart.
+FORMS = (
+    "https://www.{}.example.com/en/4120", "http://blog.{}.example.net/de/77.html", "https://m.{}.example.org/fr/9021#top",
+    "https://{}.example.com/es/318?page=2&ref=x", "http://www.{}.example.net/en/6650/", "https://blog.{}.example.org/en/15?utm_source=feed",
+    "http://m.{}.example.com/en/2087.html", "https://{}.example.net/en/731#top", "https://www.{}.example.org/de/5402",
+    "https://blog.{}.example.com/en/88/", "http://m.{}.example.net/es/1946?page=2&ref=x", "https://{}.example.org/fr/60.html",
+    "https://www.{}.example/en/2034", "http://blog.{}.example/de/31", "https://m.{}.example/es/812.html", "https://{}.example/en/7198#top",
+)
+CLEAN = ("river-walks bread-baking choir chess-club orchard local-trains pottery bird-count mountain-huts telescope old-letters sailing "
+         "violin theatre-notes stone-bridge beekeeping tide-tables city-museum alphabet hill-farm printing thunder nation-atlas lantern "
+         "weather-station thesis-archive math-lessons history-forum garden-tips open-library school-news health-advice city-hall physics-lab "
+         "travel-diary cooking northern-lights rail-timetable ocean-data grammar weaving book-reviews other-words painting station-map hiking "
+         "science-fair education").split()
+JUNK = ("casino-palace hot-xxx cheap-viagra poker-win adult-cams free-spins pills-shop spam-links sex-videos betting-odds crack-warez fast-loan "
+        "popup-ads cheap-cialis jackpot-slots porn-adult free-casino click-tracker win-prize link-spam sports-bets xxx-singles bonus-roulette "
+        "pharmacy-pills free-money cheap-meds spam-mailer adult-chat bet-now ad-clicks poker-bonus lucky-win escort-girls payday-cash cheap-replica "
+        "casino-vip torrent-keygen diet-pills tracking-ads free-gifts winner-lottery nude-adult bets-live seo-spam malware-download phish-login "
+        "free-poker cheap-watches").split()
+ALLOWED += tuple(FORMS[i % len(FORMS)].format(name) for i, name in enumerate(CLEAN))
+BLOCKED += tuple(FORMS[i % len(FORMS)].format(name) for i, name in enumerate(JUNK))
 
 
 @dataclass(frozen=True)

@@ -53,6 +53,13 @@ def test_unseen_urls(spark):
     assert all(got[u] == "block" for u in bad) and all(got[u] == "allow" for u in good)
 
 
+def test_bad_host_words_are_blocked_under_any_suffix(spark):
+    bad, good = ["mega-casino-slots", "hot-porn-xxx", "viagra-pills-online"], ["river", "library-catalog", "physics-museum"]
+    urls = {name: [f"https://{sub}{name}.example{end}/en/9001" for sub in ("", "www.", "m.") for end in ("", ".com", ".net", ".org")] for name in bad + good}
+    got = {r["url"]: r["verdict"] for r in judged(spark, sum(urls.values(), []), rules=()).collect()}
+    assert {got[u] for name in bad for u in urls[name]} == {"block"} and {got[u] for name in good for u in urls[name]} == {"allow"}
+
+
 def test_columns_repeated_rows_and_empty_table(spark):
     df = spark.createDataFrame([(1, "https://a.com/de/", "h", 1.0)] * 2, "page_id long, url string, verdict string, score double")
     out = U.judge(df, U.fit(U.labelled(spark)))
