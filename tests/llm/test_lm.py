@@ -95,6 +95,29 @@ def test_training_learns_an_order():
     assert trainer.tokens <= sum(map(len, texts[20:]))
 
 
+@pytest.mark.parametrize("lengths", [[3], [5, 16, 40], [1] * 9, [700, 2, 33, 8, 16, 1, 90, 17, 4, 250, 31, 32]])
+def test_every_token_is_trained_on(lengths):
+    v, rng = small(), np.random.default_rng(7)
+    trainer = L.Trainer(L.Network(v), lanes=8, window=16)
+    start = trainer.net.flat.copy()
+    for n in lengths:
+        trainer.add(rng.integers(0, v.size, n))
+    trainer.finish()
+    assert trainer.tokens == sum(lengths) and np.isfinite(trainer.net.flat).all() and (trainer.net.flat != start).any()
+
+
+def test_steps_without_a_token_have_no_gradient():
+    v = small()
+    net, rng = shaken(v), np.random.default_rng(3)
+    previous, target, fresh, h0 = rng.integers(0, v.size, (6, 3)), rng.integers(0, v.size, (6, 3)), np.zeros((6, 3), bool), rng.normal(0, 0.3, (3, net.hidden))
+    real = np.arange(6)[:, None] < np.array([6, 4, 1])
+    got, want = np.zeros_like(net.flat), np.zeros_like(net.flat)
+    net.window(previous, target, fresh, h0, net.views(got), real)
+    for lane, n in enumerate((6, 4, 1)):
+        net.window(previous[:n, lane:lane + 1], target[:n, lane:lane + 1], fresh[:n, lane:lane + 1], h0[lane:lane + 1], net.views(want))
+    assert got == pytest.approx(want, abs=1e-9)
+
+
 def plain_base(train, text):
     counts = Counter()
     for t in train:
