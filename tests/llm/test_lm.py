@@ -152,6 +152,12 @@ def test_probabilities_of_rare_words_sum_to_one(spark):
     assert sum(n + 0.5 for n in rare) + 0.5 == pytest.approx(10 ** model.rare_norm)
 
 
+def test_every_training_document_trains_the_network(spark):
+    d = docs(spark, [(i, words(60, i, 50), "en", "a", 1) for i in range(24)]).coalesce(1)
+    got, want = L.fit(d, words=30, rounds=1), L.fit(d, words=30, rounds=1, share=1)
+    assert got.network.flat == pytest.approx(want.network.flat, abs=1e-6)
+
+
 def test_no_training_rows(spark):
     model = L.fit(docs(spark, []))
     got = L.score(docs(spark, ODD[:2]), model).orderBy("doc_id").collect()
