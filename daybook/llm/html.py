@@ -9,7 +9,9 @@ and content together give the importance of a branch, and branches of low
 importance are removed from each page.
 
 Elements that say what they are (nav, footer, an advert's class, article)
-need no statistics; these also decide on hosts with too few pages.
+need no statistics; these also decide on hosts with too few pages. A name
+alone never removes html, body, or a wrapper of the main element or of most
+of the page's text: the tree judges those.
 """
 
 from __future__ import annotations
@@ -50,12 +52,13 @@ ENDS_P = BLOCK - frozenset("body caption head html legend optgroup option tbody
 CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"thead", "tbody", "tr", "td", "th"}}
 FENCE = {"li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "option": {"select"}}
-NOISE_TAGS = frozenset("head nav footer aside form button select menu dialog input label fieldset audio video canvas object applet map".split()) | RAW
+NOISE_TAGS = frozenset("head nav footer aside button select menu dialog input label fieldset audio video canvas object applet map".split()) | RAW
 NOISE_NAMES = frozenset("nav navbar navigation menu menubar sidebar footer masthead ad ads adv advert adverts advertisement advertising adsense adbox banner promo "
                         "adsbygoogle promotion sponsor sponsored cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup "
                         "social share sharing related recommended recommendations comment comments commentlist disqus respond reply replies breadcrumb breadcrumbs "
                         "pagination pager toolbar widget widgets login search copyright complementary contentinfo dialog form paywall disclaimer discussion rail teaser teasers "
                         "aside".split())
+DISCUSSION = frozenset("comment comments commentlist disqus respond reply replies discussion".split())
 HEAD_NAMES = frozenset("header topbar".split())
 MAIN_NAMES = frozenset("article article-body article-content articlebody main main-content content post post-body post-content entry entry-content story story-body".split())
 RAW_END = {tag: re.compile(rf"</{tag}", re.I) for tag in RAW}
@@ -78,6 +81,7 @@ class Page:
     styles: dict[str, list[str]] = field(default_factory=dict)
     settled: set[str] = field(default_factory=set)
     strong: bool = False  # an article or main element is there
+    named: _Named = field(default_factory=lambda: _Named())
 
 
 @dataclass
@@ -88,6 +92,44 @@ class _Open:
     noise: bool
     anchor: int
     heading: bool
+    named: int = 0  # the innermost element that only its name (or a form tag) calls noise, 0 for none
+    main: bool = False
+    sure: bool = False  # noise by more than a name
+
+
+@dataclass
+class _Named:
+    """Elements called noise by a name alone, by number of their start tag; 0 stands for the rest of the page."""
+
+    above: dict[int, int] = field(default_factory=dict)
+    discussion: set[int] = field(default_factory=set)
+    chars: Counter[int] = field(default_factory=Counter)  # of text right under each, not under the next one
+    main: Counter[int] = field(default_factory=Counter)  # of these, inside a main element
+
+    def wrappers(self) -> frozenset[int]:
+        """Those that hold most of the page's text, or its main element and more text than is outside of all.
+
+        A discussion is none if the main element has text outside of it.
+        """
+        under, main = Counter(self.chars), Counter(self.main)
+        for i in sorted(self.above, reverse=True):
+            if self.above[i]:
+                under[self.above[i]] += under[i]
+                main[self.above[i]] += main[i]
+        total, free, free_main = self.chars.total(), self.chars[0], self.main[0]
+        below: dict[int, list[int]] = {}
+        for i, above in self.above.items():
+            below.setdefault(above, []).append(i)
+        found: set[int] = set()
+        level = below.get(0, [])
+        while level:
+            new = [i for i in level if not (i in self.discussion and free_main)
+                   and (2 * under[i] > total or main[i] and not free_main and under[i] > free)]
+            found.update(new)
+            free += sum(self.chars[i] for i in new)
+            free_main += sum(self.main[i] for i in new)
+            level = [j for i in new for j in below.get(i, [])]
+        return frozenset(found)
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -108,7 +150,14 @@ def _label(tag: str, attributes: dict[str, str]) -> str:
 
 def parse(source: str | None) -> Page:
     """The page's blocks and merged style nodes; a broken or cut-off page gives what it holds."""
-    page, source = Page(), source or ""
+    page = _parse(source or "", frozenset())
+    wrappers = page.named.wrappers()
+    return _parse(source or "", wrappers) if wrappers else page
+
+
+def _parse(source: str, wrappers: frozenset[int]) -> Page:
+    """The page, with the names of ``wrappers`` (numbers of start tags) not taken for noise."""
+    page, n = Page(), 0
     root = _Open("", "", 0, False, 0, False)
     stack, text = [root], []
     open_: Counter[str] = Counter()  # so that the stack is only searched for what it holds
@@ -120,6 +169,11 @@ def parse(source: str | None) -> Page:
             if words:
                 top = stack[-1]
                 page.blocks.append(Block(" ".join(words), top.path, top.noise, top.anchor, top.heading))
+                if not top.sure:
+                    size = len(page.blocks[-1].text)
+                    page.named.chars[top.named] += size
+                    if top.main:
+                        page.named.main[top.named] += size
 
     def pop_to(depth: int) -> None:
         if any(e.tag in BLOCK for e in stack[depth:]):
@@ -174,24 +228,35 @@ def parse(source: str | None) -> Page:
         label = _label(tag, a)
         path = above.path if above.depth >= DEEPEST else f"{above.path}>{label}" if above.path else label
         whole, words = _names(a) if a else (set(), set())
-        noise = above.noise or tag in NOISE_TAGS or bool((whole | words) & NOISE_NAMES) or "hidden" in a \
+        n += 1
+        by_name = tag == "form" or tag not in ("html", "body") and bool((whole | words) & NOISE_NAMES)
+        hidden = tag in NOISE_TAGS or "hidden" in a \
             or a.get("aria-hidden", "").lower() == "true" or "display:none" in a.get("style", "").replace(" ", "").lower()
+        noise = above.noise or hidden or by_name and n not in wrappers
         anchor = above.anchor
+        sure = tag in ("article", "main") or a.get("role", "").lower() == "main" or "articlebody" in whole
+        main = above.main or sure or bool(whole & MAIN_NAMES)
         if not anchor and not noise:
-            sure = tag in ("article", "main") or a.get("role", "").lower() == "main" or "articlebody" in whole
             if sure:
                 page.strong = True
             # A named element counts less than a real one: its path length is negative.
             anchor = len(path) if sure else -len(path) if whole & MAIN_NAMES else 0
         elif anchor < 0 and tag in ("article", "main"):
             anchor, page.strong = len(path), True
-        if not anchor and (tag == "header" or words & HEAD_NAMES) and tag != "body":
-            noise = True
+        if not anchor and tag == "header":
+            noise = hidden = True
+        elif not anchor and words & HEAD_NAMES and tag not in ("html", "body"):
+            by_name, noise = True, noise or n not in wrappers
+        named = above.named
+        if by_name and not hidden and not above.sure:
+            page.named.above[n], named = named, n
+            if words & DISCUSSION:
+                page.named.discussion.add(n)
         page.styles.setdefault(above.path, []).append(label)
         if noise:
             page.settled.add(path)
         open_[tag] += 1
-        stack.append(_Open(tag, path, above.depth + 1, noise, anchor, above.heading or tag in HEADINGS))
+        stack.append(_Open(tag, path, above.depth + 1, noise, anchor, above.heading or tag in HEADINGS, named, main, above.sure or hidden))
     else:
         if at < len(source):
             text.append(source[at:])
@@ -267,11 +332,11 @@ def style_tree(pages: DataFrame) -> DataFrame:
     kinds of children sequences, the more presentation counts.
     """
     features = pages.mapInPandas(_merge, _FEATURES).groupBy("host", "path", "kind", "feature").agg(
-        F.sum("n").alias("n"), F.max("settled").alias("settled"))
+        F.sum("n").alias("n"), F.min("settled").alias("settled"))
     style, content = F.col("kind") == 0, F.col("kind") == 1
     n = F.col("n").cast("double")
     nodes = features.groupBy("host", "path").agg(
-        F.sum(F.when(style, F.col("n"))).alias("n_pages"), F.max("settled").alias("settled"),
+        F.sum(F.when(style, F.col("n"))).alias("n_pages"), F.min("settled").alias("settled"),
         F.sum(F.when(style, n * F.log(n))).alias("style_sum"), F.count(F.when(style & (F.col("feature") != 0), 1)).alias("styles"),
         F.coalesce(F.sum(F.when(content, F.log(n))), F.lit(0.0)).alias("text_sum"), F.count(F.when(content, 1)).alias("texts"))
     base = F.log(F.greatest(F.col("n_pages"), F.lit(2)).cast("double"))

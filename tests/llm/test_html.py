@@ -25,6 +25,28 @@ def test_main_text(source, want):
     assert H.main_text(source) == want
 
 
+ARTICLE = "<article><h1>T</h1><p>the story itself</p></article>"
+WRAPPED = [
+    ("<body class='single has-sidebar'><nav>m</nav>" + ARTICLE + "<div class=sidebar>s</div></body>", "T the story itself"),
+    ("<html class=no-overlay><body><div class='site widget-area'>" + ARTICLE + "<div class=widget>w</div></div>", "T the story itself"),
+    ("<article class='post comments-open'><p>the story itself</p><div class=comments><p>a reply that is longer than the story itself</p></div></article>", "the story itself"),
+    ("<div id=page class=no-sidebar><div class='widget post'><p>the story itself</p></div><div class=ads>a</div></div>", "the story itself"),
+    ("<form action=x><div class=menu>m</div><p>the story itself</p><input></form>", "the story itself"),
+    ("<div class=header-fixed><p>the story itself</p><div class=footer>f</div></div>", "the story itself"),
+    ("<div class=text><p>the story itself, at some length</p></div><div id=comments><article>a reply</article></div>", "the story itself, at some length"),
+]
+
+
+@pytest.mark.parametrize("source,want", WRAPPED)
+def test_a_name_alone_does_not_remove_a_wrapper(source, want):
+    assert H.main_text(source) == want
+
+
+def test_named_wrapper_is_judged_by_the_tree(spark):
+    body = "<div class=promo-box>The same long words on each page of this site, again and again</div><p>own {i}</p>"
+    assert {r["text"] for r in extract(spark, site(20, body=body)).collect()} == {"own " + f"page{i}" * 3 for i in range(20)}
+
+
 def test_deep_and_broken_pages_take_linear_time():
     import time
 
