@@ -40,10 +40,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared one; it isn't made yet."""
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` written as Parquet into a new folder of the shared one and read back, and that folder."""
     spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = scratch_folder(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path), path
 

@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-from daybook.llm import licenses, mixing, quality
+from daybook.llm import licenses, mixing, pivots, quality, ranked, warc
 
 _WORDS = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
@@ -68,7 +68,60 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_
 FROM d LEFT JOIN docs USING (r)
 """
 
+TRANSACTION_ASSEMBLY = f"""
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, url, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d),
+t AS (SELECT *, payload_bytes >= {warc.LEAST} AND first IS NOT NULL AND page_id IS DISTINCT FROM first AS again FROM f)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN first END AS refers_to, url
+FROM t
+"""
+
+_ASSIGN = """
+near{i} AS (SELECT x.r, x.p, c.e, list_sum(list_transform(range(1, len(x.v) + 1), lambda k: (x.v[k] - c.v[k]) * (x.v[k] - c.v[k]))) AS d
+  FROM part x JOIN book{i} c USING (p)),
+code{i} AS (SELECT r, p, min(struct_pack(d := d, e := e)) AS best FROM near{i} GROUP BY r, p)"""
+
+#: Round down: the remainder is brought to the divisor's sign first.
+_ROUND = """
+comp{i} AS (SELECT x.p, c.best.e AS e, k, sum(x.v[k])::BIGINT AS s, count(*) AS n
+  FROM code{i} c JOIN part x USING (r, p), range(1, (SELECT max(len(v)) FROM part) + 1) t(k) GROUP BY ALL),
+mean{i} AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY k) AS v FROM comp{i} GROUP BY p, e),
+book{j} AS (SELECT p, e, coalesce(m.v, b.v) AS v FROM book{i} b LEFT JOIN mean{i} m USING (p, e))"""
+
+LAESA_CODES = f"""
+WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+    list_transform(embedding, lambda x: floor({pivots.SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+part AS (SELECT r, p, v[p * len(v) // {pivots.PARTS} + 1:(p + 1) * len(v) // {pivots.PARTS}] AS v FROM kept, range({pivots.PARTS}) t(p)),
+book0 AS (SELECT p, r - 1 AS e, v FROM part WHERE r <= {pivots.ENTRIES}),
+{_ASSIGN.format(i=0)},{_ROUND.format(i=0, j=1)},
+{_ASSIGN.format(i=1)},{_ROUND.format(i=1, j=2)},
+{_ASSIGN.format(i=2)},
+row AS (SELECT r, string_agg(lower(printf('%02x', best.e)), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM code2 GROUP BY r),
+sha AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book2)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM kept JOIN row USING (r), sha
+"""
+
+_TERMS = rf"regexp_extract_all(translate({{text}}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{ranked.TERM}')"
+
+RANKED_SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS.format(text="coalesce(text, '')")} AS ts FROM documents),
+total AS (SELECT count(*) AS docs, sum(len(ts))::BIGINT AS terms FROM d WHERE len(ts) > 0),
+asked AS (SELECT DISTINCT i, item_id, term FROM (SELECT row_number() OVER () AS i, item_id, unnest({_TERMS.format(text="coalesce(text, '')")}) AS term FROM benchmark)),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM d) WHERE term IN (SELECT term FROM asked) GROUP BY r, term),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, total GROUP BY term, docs),
+impact AS (SELECT tf.r, tf.term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(ts) * docs) // terms))) AS x FROM tf JOIN w USING (term) JOIN d USING (r), total),
+score AS (SELECT i, item_id, r, sum(x)::BIGINT AS score FROM asked JOIN impact USING (term) GROUP BY ALL HAVING sum(x) > 0),
+best AS (SELECT i, item_id, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM score JOIN d USING (r))
+SELECT item_id, rank::INT AS rank, doc_id, score FROM best WHERE rank <= {ranked.K}
+"""
+
 ORACLES = {
+    "op11_transaction_assembly": TRANSACTION_ASSEMBLY,
+    "op12_laesa_codes": LAESA_CODES,
+    "op13_ranked_search": RANKED_SEARCH,
     "op2_quality_rules": QUALITY_RULES,
     "op5_mixed_sources": MIXED_SOURCES,
     "op6_license_scan": LICENSE_SCAN,

@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import ann, html, langid, licenses, lm, mixing, packing, quality, simhash, urls
-from daybook.llm.common import id_bucket, table
+from daybook.llm import ann, html, langid, licenses, lm, mixing, packing, pivots, quality, ranked, simhash, urls, warc
+from daybook.llm.common import id_bucket, scratch_folder, table
 
 
 def site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +75,20 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
+def transaction_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.round_trip(pages, scratch_folder(spark, "warc"))
+
+
+def laesa_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.compress(table(spark, sf_dir, "embeddings"))
+
+
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ranked.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_site_style_tree": site_style_tree,
     "op2_quality_rules": quality_rules,
@@ -86,4 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_dedup": simhash_near_dedup,
     "op9_recurrent_lm": recurrent_lm,
     "op10_language_id": language_id,
+    "op11_transaction_assembly": transaction_assembly,
+    "op12_laesa_codes": laesa_codes,
+    "op13_ranked_search": ranked_search,
 }
