@@ -161,7 +161,7 @@ def _sums(books: np.ndarray, pivots: np.ndarray):
             np.add.at(count, key, 1)
             np.add.at(total, key, parts.reshape(-1, width))
         used = np.flatnonzero(count)
-        yield pd.DataFrame({"entry": used, "n": count[used], "total": total[used].tolist()})
+        yield pd.DataFrame({"entry": used, "n": count[used], "total": pd.Series(total[used].tolist(), dtype=object)})
     return run
 
 

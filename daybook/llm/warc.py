@@ -156,7 +156,7 @@ def headers(head: bytes) -> dict[str, list[str]]:
     last = None
     for line in head.decode("utf-8", "replace").lstrip("\r\n").split(BREAK)[1:]:
         if line[:1] in (" ", "\t") and last:
-            out[last][-1] += " " + line.strip()
+            out[last][-1] = f"{out[last][-1]} {line.strip()}".strip()
         elif ":" in line:
             name, _, value = line.partition(":")
             last = name.strip().lower()

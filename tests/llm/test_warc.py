@@ -1,0 +1,124 @@
+import gzip
+import hashlib
+import json
+
+import duckdb
+import pytest
+from daybook.llm import warc as W
+from daybook.llm.oracles import ORACLES
+from daybook.llm.queries import QUERIES
+
+SF_SMALL = "/root/testdata/sf0.01"
+TRAP = "a\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n" * 3
+ROWS = [
+    (1, "http://a.org/p?q=1#f", "<p>" + "é" * 80),
+    (2, "http://a.org/x y\r\nWARC-Type: z\t%0A", "<p>" + "é" * 80),
+    (3, None, None),
+    (None, "u", ""),
+    (4, "http://b/", TRAP),
+    (4, "http://b/", TRAP),
+    (6, "://", "\r\n\r" * 50),
+    (7, "x", "\r\r\n\r\n\r"),
+    (8, "h", "x" * 100),
+    (9, "h", "x" * 100),
+    (None, "h", "x" * 100),
+    (10, "h", "x" * 99),
+    (11, "h", "x" * 99),
+    (12, "long", "y\r\n\r\n" * 100_000),
+    (None, "n", "only nulls " * 20),
+    (None, "n", "only nulls " * 20),
+]
+SCHEMA = "page_id long, url string, html string"
+
+
+def brute(rows):
+    payloads = [(r[2] or "").encode() for r in rows]
+    out = []
+    for (page, url, _), payload in zip(rows, payloads):
+        ids = [r[0] for r, p in zip(rows, payloads) if p == payload and r[0] is not None]
+        again = len(payload) >= 100 and ids and page != min(ids)
+        out.append((page, len(payload), hashlib.sha256(payload).hexdigest(), "revisit" if again else "response", min(ids) if again else None, url))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_round_trip_of_odd_rows(spark, tmp_path, parts):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(ROWS, SCHEMA).repartition(parts)
+    for clash in ("digest", "bytes", "revisit", "capture", "shared", "first_id"):
+        df = df.withColumn(clash, F.lit("theirs"))
+    path = str(tmp_path / "a")
+    assert sorted(map(tuple, W.round_trip(df, path).collect()), key=repr) == brute(ROWS)
+    stored = W.records(spark, path, payloads=True).where("warc_type = 'response'").collect()
+    assert sorted(bytes(r["body"]) for r in stored) == sorted((r[2] or "").encode() for r, b in zip(ROWS, ROWS)
+                                                              if r[:2] not in {(2, ROWS[1][1]), (9, "h")} and r != (None, "h", "x" * 100))
+    assert all(r["digest"] == r["stated_digest"] for r in stored)
+
+
+def test_empty_table_and_hot_payload(spark, tmp_path):
+    assert W.round_trip(spark.createDataFrame([], SCHEMA), str(tmp_path / "none")).count() == 0
+    rows = [(i, f"http://h/{i}", "same " * 40 if i % 3 else f"page {i} " * 30) for i in range(900)]
+    got = W.round_trip(spark.createDataFrame(rows, SCHEMA).repartition(7), str(tmp_path / "hot"))
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(rows)
+
+
+def test_many_shared_payloads_join_by_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "SHARED", 0)
+    got = W.round_trip(spark.createDataFrame(ROWS, SCHEMA), str(tmp_path / "a"))
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(ROWS)
+
+
+def _record(kind, rid, block, *lines):
+    return "\r\n".join(["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: {rid}", *lines, f"Content-Length: {len(block.encode())}", "", block, "", ""])
+
+
+def test_assembly_over_files_and_both_directions(spark, tmp_path):
+    """Other writers: one gzip member a record, links from the response, folded lines, other records between, missing parts."""
+    http = "Content-Type: application/http;msgtype=response"
+    first = [_record("warcinfo", "i", "software: x"), _record("response", "r1", "HTTP/1.1 200 OK\r\n\r\nbody", http, "warc-concurrent-to: q1"),
+             _record("metadata", "m1", "{}", "WARC-Concurrent-To:\r\n r1"), _record("request", "q9", "GET /", "WARC-Concurrent-To: gone")]
+    second = [_record("request", "q1", "GET /1", "WARC-Concurrent-To: r1"), _record("response", "r2", "HTTP/1.1 204 -\r\n\r\n", http),
+              _record("metadata", "m2", "{}", "WARC-Concurrent-To: r1"), _record("metadata", "m3", "{}")]
+    folder = tmp_path / "archives"
+    folder.mkdir()
+    for name, found in (("a", first), ("b", second)):
+        (folder / f"{name}.warc.gz").write_bytes(b"".join(gzip.compress(r.encode()) for r in found))
+    records = W.records(spark, str(folder), payloads=True)
+    assert {r["record_id"]: bytes(r["body"]) for r in records.collect()}["r1"] == b"body"
+    got = {(r["capture"]["record_id"] if r["capture"] else None, tuple(x["record_id"] for x in r["requests"]), tuple(x["record_id"] for x in r["metadata"]))
+           for r in W.assemble(records).collect()}
+    assert got == {("r1", ("q1",), ("m1", "m2")), ("r2", (), ()), (None, ("q9",), ()), (None, (), ("m3",))}
+
+
+def test_cut_off_and_split_archives_are_errors(spark, tmp_path):
+    whole = _record("response", "r1", "x" * 500)
+    for name, data in (("cut", gzip.compress(whole[:300].encode())),):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.warc.gz").write_bytes(data)
+        with pytest.raises(Exception, match="cut off"):
+            W.records(spark, str(tmp_path / name)).collect()
+    (tmp_path / "plain").mkdir()
+    (tmp_path / "plain" / "a.warc").write_text(_record("response", "r1", "\r\n\r\n".join(["x" * 900] * 50)) * 40, newline="")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        with pytest.raises(Exception, match="split"):
+            W.records(spark, str(tmp_path / "plain")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_metadata_keeps_urls_exactly(spark, tmp_path):
+    W.write(spark.createDataFrame(ROWS[:2], SCHEMA), str(tmp_path / "a"))
+    found = W.records(spark, str(tmp_path / "a"))
+    assert {json.loads(bytes(r["body"]))["url"] for r in found.where("warc_type = 'metadata'").collect()} == {r[1] for r in ROWS[:2]}
+    assert not any(c in r["target_uri"] for r in found.collect() for c in " \r\n\t")
+
+
+def test_query_against_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{SF_SMALL}/pages.parquet'")
+    want = con.execute(ORACLES["op11_transaction_assembly"])
+    columns = [d[0] for d in want.description]
+    got = QUERIES["op11_transaction_assembly"](spark, SF_SMALL).select(*columns).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want.fetchall(), key=repr)
