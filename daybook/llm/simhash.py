@@ -30,6 +30,7 @@ MAX_BITS = 4
 TRIES = 3
 BITS = 64
 NODE = 4096  # fingerprints that an upper node should hold
+SALT = 16  # tasks that a component's fingerprints are dealt to
 PROBE = 12  # depth at which upper nodes are counted
 FRONTIER = 1 << 18  # node pairs held at once
 EDGES = 200_000  # in one checkpoint file
@@ -253,6 +254,18 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("v"), F.col("b").alias("root")).union(roots.select("b", "b"))
 
 
+def _members(keys: DataFrame, max_bits: int, tries: int) -> DataFrame:
+    """fp, root, at for every distinct fp of ``keys``, which has its smallest key as at; root is the component's smallest fp."""
+    found = components(near_links(keys.select("fp"), max_bits, tries))
+    return keys.join(found.withColumnRenamed("v", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def _salted(of: DataFrame, least: DataFrame) -> DataFrame:
+    """``of`` joined with ``least`` by root, a root's rows dealt to SALT tasks: one component may have very many fingerprints."""
+    parts = least.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    return of.withColumn("__salt", F.pmod(F.xxhash64("fp"), F.lit(SALT)).cast("int")).join(parts, ["root", "__salt"]).drop("__salt")
+
+
 def groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
            max_bits: int = MAX_BITS, tries: int = TRIES) -> DataFrame:
     """One row per document: doc_id, fp (signed long), component_id.
@@ -265,26 +278,35 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle:
     left behind; an empty table gives no rows.
     """
     prints = cut(docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), fingerprints(F.col(f"`{text}`"), shingle).alias("fp")))
-    first = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    found = components(near_links(first.select("fp"), max_bits, tries))
-    member = first.join(found.withColumnRenamed("v", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = member.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of = member.select("fp", "root").join(least, "root").select("fp", "component_id")
+    first = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("at")))
+    member = _members(first, max_bits, tries)
+    least = member.groupBy("root").agg(F.min("at").alias("component_id"))
+    of = _salted(member.select("fp", "root"), least).select("fp", "component_id")
     # The last join's hot side (a fingerprint that many copies share) is split by adaptive execution.
     return prints.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-             max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one document of each group, the one with the smallest id; all its columns stay.
-
-    Repeated rows of the kept id leave one row. Rows without an id stay
-    unless their group has a document with one.
+             max_bits: int = MAX_BITS, tries: int = TRIES) -> DataFrame:
+    """``docs`` with one row of each group of ``groups``; all its columns stay.
+
+    The kept row is the one with the smallest id, nulls last, and of equal ids
+    the one whose text has the smallest hash: it depends on the rows alone,
+    not on their partitions. Of rows repeated with both equal one stays. An
+    empty table gives no rows. Rows are chosen by id and hash, so texts are
+    shuffled once, for the join with what is kept; only rows that repeat the
+    id and text of a kept one are shuffled again.
     """
-    found = cut(groups(docs, id_col, text, shingle, max_bits))
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    named = docs.join(kept, F.col(f"`{id_col}`") == F.col("__kept"), "left_semi").dropDuplicates([id_col])
-    nameless = found.where("component_id IS NULL").select(F.col("fp").alias("__fp")).distinct()
-    rest = docs.where(F.col(f"`{id_col}`").isNull()).withColumn("__own", fingerprints(F.col(f"`{text}`"), shingle))
-    rest = rest.join(nameless, F.col("__own") == F.col("__fp"), "left_semi").drop("__own")
-    return named.unionByName(rest)
+    own = F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"")), F.col(f"`{text}`").isNull())
+    prints = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), own.alias("hash"), fingerprints(F.col(f"`{text}`"), shingle).alias("fp"))
+    rows = cut(prints.groupBy("fp", "id", "hash").agg(F.count("*").alias("n")))
+    at = F.struct(F.col("id").isNull().alias("none"), "id", "hash", "n")
+    member = _members(cut(rows.groupBy("fp").agg(F.min(at).alias("at"))), max_bits, tries)
+    kept = cut(member.groupBy("root").agg(F.min("at").alias("at")).select(
+        F.col("at.id").alias("__kept_id"), F.col("at.hash").alias("__kept_hash"), F.col("at.n").alias("__kept_n")))
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__kept_id")) & (own == F.col("__kept_hash"))
+    out = docs.join(kept.where("__kept_n = 1"), same, "left_semi")
+    if kept.where("__kept_n > 1").limit(1).count():
+        again = docs.join(kept.where("__kept_n > 1"), same, "left_semi").withColumn("__kept_hash", own)
+        out = out.unionByName(again.dropDuplicates([id_col, "__kept_hash"]).drop("__kept_hash"))
+    return out

@@ -81,6 +81,19 @@ def test_odd_rows_against_brute_force(spark):
     assert ids == sorted({-1 if c is None else c for _, _, c in want})
 
 
+@pytest.mark.parametrize("parts", [1, 2, 5])
+def test_ids_that_several_texts_share_lose_no_group(spark, parts):
+    a, b = words(50, 1), words(50, 2)
+    rows = [(1, a), (1, b), (2, b), (None, words(50, 3)), (None, words(50, 3)), (7, words(50, 4)), (7, words(50, 4)), (8, None), (8, "")]
+    kept = S.keep_one(docs(spark, [(i, t, "en", "s", 1) for i, t in rows]).repartition(parts))
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    empty = [r for r in got if not r[1]]
+    assert len(empty) == 1 and empty[0][0] == 8
+    assert [r for r in got if r[1]] == sorted([(1, a), (1, b), (None, words(50, 3)), (7, words(50, 4))], key=repr)
+    again = S.keep_one(docs(spark, [(i, t, "en", "s", 1) for i, t in reversed(rows)]))
+    assert sorted(((r["doc_id"], r["text"]) for r in again.collect()), key=repr) == got
+
+
 def test_dense_group_stays_linear(spark):
     """Thousands of fingerprints within a few bits give at most a few edges each."""
     prints = spark.range(4096).select((F.col("id") * F.lit(1 << 20)).alias("fp"))
