@@ -128,17 +128,12 @@ def clean(table: DataFrame, id_col: str = "vec_id", vector: str = "embedding") -
     """vec_id, vector (array of double) and key (its digest) of the rows that take part.
 
     Rows with a null id, a null, empty or zero vector, or null or non-finite
-    components don't. Of vectors of several lengths only the most frequent
-    length does (the longer one on a tie), as others have no inner product
-    with it.
+    components don't. Vectors of all lengths do; see ``neighbours``.
     """
     x = F.col(f"`{vector}`").cast("array<double>")
     rows = table.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), x.alias("vector")).where("vec_id IS NOT NULL")
     fine = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("vector", lambda v: v != 0)
-    rows = rows.where(fine)
-    sizes = sorted(((r["count"], r["n"]) for r in rows.groupBy(F.size("vector").alias("n")).count().collect()), reverse=True)
-    rows = rows.where(F.size("vector") == F.lit(sizes[0][1] if sizes else 0))
-    return rows.withColumn("key", F.md5(F.concat_ws(",", F.col("vector").cast("array<string>")).cast("binary")))
+    return rows.where(fine).withColumn("key", F.md5(F.concat_ws(",", F.col("vector").cast("array<string>")).cast("binary")))
 
 
 def distinct_vectors(rows: DataFrame, k: int = K) -> DataFrame:
@@ -332,3 +327,17 @@ def search(rows: DataFrame, index: Index | None, k: int = K, every: int = EVERY)
     other = F.slice(F.filter("best", lambda b: b["vec_id"] != F.col("query_id")), 1, k)
     return asked.join(best, asked["key"] == best["query"]).select("query_id", F.posexplode(other).alias("at", "b")).select(
         "query_id", (F.col("at") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.loss")).alias("score"))
+
+
+def neighbours(rows: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
+    """``search`` over the rows that ``clean`` made, with an index of its own for every length of vectors:
+    those of different lengths have no inner product, so they are no neighbours of each other."""
+    widths = sorted(r["n"] for r in rows.select(F.size("vector").alias("n")).distinct().collect())
+    if len(widths) < 2:
+        return search(rows, build(rows, k, every=every), k, every)
+    out = None
+    for n in widths:
+        some = rows.where(F.size("vector") == n)
+        found = search(some, build(some, k, every=every), k, every)
+        out = found if out is None else out.unionByName(found)
+    return out

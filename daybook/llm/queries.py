@@ -29,8 +29,7 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmeans_tree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ann.clean(table(spark, sf_dir, "embeddings"))
-    return ann.search(rows, ann.build(rows)).select("query_id", "rank", "vec_id", "score")
+    return ann.neighbours(ann.clean(table(spark, sf_dir, "embeddings"))).select("query_id", "rank", "vec_id", "score")
 
 
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ def brute(ids, vectors, k=20, every=20):
 def run(spark, rows, **kw):
     df = A.clean(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
     got = {}
-    for r in A.search(df, A.build(df, **kw), **{k: v for k, v in kw.items() if k == "k"}).orderBy("query_id", "rank").collect():
+    for r in A.neighbours(df, **kw).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
     return got
 
@@ -62,7 +62,7 @@ def test_hot_vector_ties_and_rows_that_take_no_part(spark):
     same = [1.0, 2.0, 0.5]
     rows = [(i, same if i % 3 == 0 else rng.integers(-4, 5, 3).astype(float).tolist(), 0) for i in range(1, 400)]
     bad = [(1000, None, 0), (1020, [0.0, 0.0, 0.0], 0), (1040, [1.0, None, 2.0], 0), (1060, [1.0, float("nan"), 0.0], 0), (1080, [float("inf"), 1.0, 1.0], 0),
-           (None, same, 0), (1100, [1.0, 2.0], 0), (1120, [], 0)]
+           (None, same, 0), (1101, [1.0, 2.0], 0), (1120, [], 0)]
     repeated = [rows[0], rows[0], rows[59], rows[59]]
     got = run(spark, rows + bad + repeated)
     live = [r for r in rows if any(r[1])]
@@ -74,6 +74,21 @@ def test_hot_vector_ties_and_rows_that_take_no_part(spark):
         assert [s for *_, s in got[q]] == pytest.approx([s for _, s in want[q]])
 
 
+@pytest.mark.parametrize("parts", [1, 4])
+def test_two_lengths_are_searched_each(spark, parts):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=3 if i % 5 < 2 else 6).tolist(), 0) for i in range(300)]
+    df = A.clean(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(parts))
+    got = {}
+    for r in A.neighbours(df).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    want = {}
+    for n in (3, 6):
+        some = [(i, np.array(v, dtype=np.float32)) for i, v, _ in rows if len(v) == n]
+        want |= brute([i for i, _ in some], np.array([v for _, v in some], dtype=np.float64))
+    assert got == {q: [i for i, _ in near] for q, near in want.items()}
+
+
 def test_fewer_rows_than_neighbours(spark):
     got = run(spark, [(0, [1.0, 0.0], 0), (1, [0.5, 0.5], 0), (2, [2.0, 0.0], 0)])
     assert [(r, i) for r, i, _ in got[0]] == [(1, 2), (2, 1)]
