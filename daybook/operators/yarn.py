@@ -216,20 +216,28 @@ def input_splits(lines: DataFrame, value: str = "value", file_col: str = "file_p
                 F.count_distinct("application_id").alias("applications")))
 
 
-def memory_usage(lines: DataFrame, value: str = "value", file_col: str = "file_path") -> DataFrame:
-    """Per application, memory-store capacity (MB), stored blocks and
-    their sizes (KB, summed), and the lowest free memory reported (MB)."""
+def store_lines(lines: DataFrame, value: str = "value", file_col: str = "file_path", *keep: str) -> DataFrame:
+    """The memory-store lines with their numbers and the columns of ``keep``: a
+    store's start has capacity_mb, a stored block stored_as, size_kb and
+    free_mb, the others are null; ts is the line's time, _f its file."""
     # One regex says which message it is, one more takes it apart.
     is_block = F.col(value).rlike(BLOCK_STORED)
     m = F.when(is_block, _groups(value, BLOCK_STORED, (2, 3, 4, 5, 6))) \
         .when(F.col(value).rlike(MEMORY_STORE), _groups(value, MEMORY_STORE, (1, 2)))
-    c = lines.where(F.col(value).contains("MemoryStore")).select(F.col(file_col).alias("_f"), m.alias("_m"))
+    c = lines.where(F.col(value).contains("MemoryStore")).select(
+        F.col(file_col).alias("_f"), *keep, m.alias("_m"), parse.log_time(value).alias("ts"))
     block = F.size("_m") == 5
-    rows = c.where(F.col("_m").isNotNull()).select(
-        "_f", F.when(~block, _in_unit(_g(1), _g(2), "MB")).alias("capacity_mb"),
+    return c.where(F.col("_m").isNotNull()).select(
+        "_f", *keep, "ts", F.when(~block, _in_unit(_g(1), _g(2), "MB")).alias("capacity_mb"),
         F.when(block, _g(1)).alias("stored_as"),
         F.when(block, _in_unit(_g(2), _g(3), "KB")).alias("size_kb"),
         F.when(block, _in_unit(_g(4), _g(5), "MB")).alias("free_mb"))
+
+
+def memory_usage(lines: DataFrame, value: str = "value", file_col: str = "file_path") -> DataFrame:
+    """Per application, memory-store capacity (MB), stored blocks and
+    their sizes (KB, summed), and the lowest free memory reported (MB)."""
+    rows = store_lines(lines, value, file_col)
     per_file = rows.groupBy("_f").agg(
         F.count("capacity_mb").alias("stores"), F.max("capacity_mb").alias("cap_max"),
         F.count("stored_as").alias("blocks"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from daybook import sinks
 from daybook.functions import parse
-from daybook.operators import distribution, levels, sampling, trips, usage, yarn
+from daybook.operators import distribution, levels, overtime, sampling, trips, usage, yarn
 from daybook.plans import rendered
 from daybook.session import cut, scratch_path, table_path
 from daybook.sources import read_log_glob, read_manifest_logs, read_months
@@ -666,6 +666,105 @@ def broadcast_reads(spark, sf_dir):
     return yarn.broadcast_reads(_yarn_logs(spark, sf_dir))
 
 
+# ---------------------------------------------------------------- use over time
+
+def _use_sql(keys, source, start, end):
+    """Intervals, peak and busy seconds by a sweep over every point, in one window per key."""
+    return f"""
+iv AS (SELECT {keys}, {start} AS s, {end} AS e FROM {source}),
+pt AS (SELECT {keys}, t, sum(step) AS step FROM (
+         SELECT {keys}, s AS t, 1 AS step FROM iv UNION ALL SELECT {keys}, greatest(s, e), -1 FROM iv WHERE e IS NOT NULL) GROUP BY ALL),
+sw AS (SELECT {keys}, t, sum(step) OVER (PARTITION BY {keys} ORDER BY t) AS now, lead(t) OVER (PARTITION BY {keys} ORDER BY t) AS nxt FROM pt),
+at_once AS (SELECT {keys}, CAST(max(now) AS BIGINT) AS peak, CAST(arg_min(t, (-now, t)) AS TIMESTAMP) AS peak_time,
+              CAST(coalesce(sum(date_diff('second', t, nxt)) FILTER (WHERE now > 0), 0) AS BIGINT) AS busy_sec FROM sw GROUP BY {keys}),
+sized AS (SELECT {keys}, count(*) AS intervals, count(*) FILTER (WHERE e IS NULL) AS open_intervals FROM iv GROUP BY {keys})"""
+
+
+@register("running_tasks", f"""
+WITH {_EV}, {_TASKS}, {_use_sql("application_id", "tasks", "start_time", "finish_time")}
+SELECT application_id, intervals AS attempts, open_intervals AS unfinished, peak AS peak_tasks, peak_time, busy_sec
+FROM sized JOIN at_once USING (application_id)
+""")
+def running_tasks(spark, sf_dir):
+    """D3: tasks of an application that run at once."""
+    use = overtime.concurrency(yarn.task_attempts(_yarn_logs(spark, sf_dir)), ["application_id"])
+    return use.select("application_id", F.col("intervals").alias("attempts"), F.col("open_intervals").alias("unfinished"),
+                      F.col("peak").alias("peak_tasks"), "peak_time", "busy_sec")
+
+
+@register("running_containers", f"""
+WITH {_EV}, {_YLINES},
+spans AS (SELECT application_id, container_id, CAST(min(line_ts) FILTER (WHERE has_ts) AS TIMESTAMP) AS a, CAST(max(line_ts) FILTER (WHERE has_ts) AS TIMESTAMP) AS b
+          FROM ylines GROUP BY ALL), {_use_sql("application_id", "spans", "a", "b")}
+SELECT application_id, intervals AS containers, peak AS peak_containers, peak_time, busy_sec
+FROM sized JOIN at_once USING (application_id)
+""")
+def running_containers(spark, sf_dir):
+    """Containers of an application that are alive at once, from their first line to their last."""
+    use = overtime.concurrency(usage.files(_yarn_logs(spark, sf_dir)), ["application_id"], "first_time", "last_time")
+    return use.select("application_id", F.col("intervals").alias("containers"), F.col("peak").alias("peak_containers"), "peak_time", "busy_sec")
+
+
+@register("cluster_use", f"""
+WITH {_EV}, {_TIMELINE}, {_use_sql("cluster_id", "timeline", "start_time", "end_time")},
+st AS (SELECT cluster_id, s, max(greatest(s, e)) AS e FROM iv GROUP BY ALL),
+seen AS (SELECT *, max(e) OVER (PARTITION BY cluster_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM st),
+gp AS (SELECT cluster_id, CASE WHEN s > before THEN date_diff('second', before, s) END AS gap FROM seen)
+SELECT cluster_id, intervals AS applications, peak AS peak_applications, peak_time, busy_sec, gaps, gap_sec, longest_gap_sec
+FROM sized JOIN at_once USING (cluster_id)
+JOIN (SELECT cluster_id, count(gap) AS gaps, CAST(coalesce(sum(gap), 0) AS BIGINT) AS gap_sec, coalesce(max(gap), 0) AS longest_gap_sec FROM gp GROUP BY cluster_id)
+  USING (cluster_id)
+""")
+def cluster_use(spark, sf_dir):
+    """Applications of a cluster at once, its busy time and gaps."""
+    return overtime.cluster_use(_shared_timeline(spark, sf_dir))
+
+
+@register("task_retries", f"""
+WITH {_EV}, {_TASKS},
+ch AS (SELECT *, lead(start_time) OVER w AS nxt, count(*) OVER (PARTITION BY application_id, stage, stage_attempt, task) AS n
+       FROM tasks WINDOW w AS (PARTITION BY application_id, stage, stage_attempt, task ORDER BY start_time, tid)),
+per AS (SELECT application_id, stage, stage_attempt, task, count(*) AS n, bool_or(nxt IS NULL AND finish_time IS NOT NULL) AS done,
+          sum(CASE WHEN nxt IS NULL THEN 0 WHEN finish_time IS NOT NULL THEN duration_sec ELSE date_diff('second', start_time, nxt) END) AS lost
+        FROM ch GROUP BY ALL)
+SELECT application_id, stage, count(*) AS chains, count(*) FILTER (WHERE n > 1) AS retried_chains, max(n) AS longest_chain,
+       CAST(sum(n - 1) AS BIGINT) AS superseded_attempts, CAST(sum(lost) AS DOUBLE) AS lost_sec,
+       count(*) FILTER (WHERE done) AS finished_chains, count(*) FILTER (WHERE NOT done) AS unfinished_chains
+FROM per GROUP BY application_id, stage
+""")
+def task_retries(spark, sf_dir):
+    """Attempts at the same task and what was lost on them."""
+    return overtime.retries(yarn.task_attempts(_yarn_logs(spark, sf_dir)))
+
+
+@register("memory_over_time", f"""
+WITH {_EV}, {_YLINES},
+m AS (SELECT e.application_id, e.container_id, y.seq, y.line_no, CAST(y.line_ts AS TIMESTAMP) AS ts,
+        CASE WHEN y.seq = 7 THEN (e.event_id % 8 + 1) * 0.5::DOUBLE * CASE WHEN e.event_id % 2 = 0 THEN 1024.0::DOUBLE ELSE 1.0::DOUBLE END END AS cap,
+        CAST(e.user_id % 500 AS DOUBLE) + 0.5::DOUBLE AS free
+      FROM ynum y JOIN evk e USING (event_id) WHERE y.seq IN (7, 8)),
+k AS (SELECT *, last_value(cap IGNORE NULLS) OVER (PARTITION BY container_id ORDER BY line_no) AS c FROM m),
+b AS (SELECT *, greatest(0.0::DOUBLE, 1.0::DOUBLE - free / c) AS share FROM k WHERE seq = 8)
+SELECT application_id, container_id, count(*) AS blocks, count(*) FILTER (WHERE c IS NULL) AS unmatched_blocks, max(share) AS peak_share,
+       arg_min(ts, (-share, ts, c, free)) AS peak_time, arg_min(c, (-share, ts, c, free)) AS capacity_mb, arg_min(free, (-share, ts, c, free)) AS free_mb
+FROM b GROUP BY application_id, container_id
+""")
+def memory_over_time(spark, sf_dir):
+    """Blocks against the capacity of the store they went to."""
+    return overtime.memory_over_time(_yarn_logs(spark, sf_dir, positions=True))
+
+
+@register("stage_overlaps", f"""
+WITH {_EV}, {_TASKS},
+sp AS (SELECT application_id, stage, min(start_time) AS a, max(greatest(start_time, finish_time)) AS b FROM tasks GROUP BY ALL)
+SELECT x.application_id, x.stage AS stage_a, y.stage AS stage_b, date_diff('second', greatest(x.a, y.a), least(x.b, y.b)) AS overlap_sec
+FROM sp x JOIN sp y ON x.application_id = y.application_id AND x.stage < y.stage AND date_diff('second', greatest(x.a, y.a), least(x.b, y.b)) > 0
+""")
+def stage_overlaps(spark, sf_dir):
+    """Stages of an application side by side."""
+    return overtime.stage_overlaps(yarn.task_attempts(_yarn_logs(spark, sf_dir)))
+
+
 @register("stitched_entries", f"""
 WITH {_EV}, {_YLINES},
 placed AS (
