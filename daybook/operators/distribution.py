@@ -66,7 +66,8 @@ def log_density(df: DataFrame, col: str = "duration_sec", grid: int = 200,
                 bins: int = 30) -> DataFrame:
     """H3: Gaussian kernel density of log10(col) on ``grid`` points spanning
     [min, max], Scott bandwidth ``std * n^(-1/5)``, also scaled to histogram
-    counts (``density * n * bin_width``) as drawn over the histogram.
+    counts (``density * n * bin_width``) as drawn over the histogram. Fewer
+    than two different values have no bandwidth: density and scaled_count are NULL.
     """
     s = _scalars(_log_values(df, col))
     edges = _edge_columns(s, bins)
@@ -77,10 +78,10 @@ def log_density(df: DataFrame, col: str = "duration_sec", grid: int = 200,
                 .withColumns(consts))
     pts = weighted.select("*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
     g = F.col("_lo") + F.col("i") * F.col("_step")
-    z = (g - F.col("_x")) / F.col("_h")
+    z = F.try_divide(g - F.col("_x"), F.col("_h"))
     sums = pts.groupBy("i", "_lo", "_step", "_h", "_n", "_bw").agg(
         F.sum(F.col("_w") * F.exp(F.lit(-0.5) * z * z)).alias("_s"))
-    density = F.col("_s") / (F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi)))
+    density = F.try_divide(F.col("_s"), F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi)))
     return sums.select(F.col("i").cast("int").alias("grid_index"), g.alias("log_x"),
                        F.pow(F.lit(10.0), g).alias("x"), density.alias("density"),
                        (density * F.col("_n") * F.col("_bw")).alias("scaled_count"))

@@ -172,3 +172,39 @@ def test_exact_percentile_needs_no_range_partitions(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" not in plan
     assert out.count() == 3
+
+
+@pytest.mark.parametrize("q", [0.0, 0.9, 0.901, 0.95, 1.0])
+def test_exact_percentile_ends_at_the_edge_between_two_heavy_values(spark, monkeypatch, q):
+    """More rows than may be left, and the wanted rank at the last of one value: no bracket between them helps."""
+    rounds = []
+    narrowed = percentile._narrowed
+    monkeypatch.setattr(percentile, "_narrowed", lambda *a: rounds.append(1) or narrowed(*a))
+    rows = [(0, 1.0)] * 900 + [(0, 2.0)] * 100 + [(1, None)] * 5 + [(None, 7.0)] * 300 + [(2, float(i // 300)) for i in range(900)]
+    df = spark.createDataFrame(rows, "g int, v double").repartition(5)
+    mine = {r.g: r.percentile for r in percentile.exact(df, ["g"], "v", q, inside=10).collect()}
+    df.createOrReplaceTempView("edge")
+    assert mine == {r.g: r.p for r in spark.sql(f"select g, percentile_disc({q}) within group (order by v) p from edge where v is not null group by g").collect()}
+    assert 1 <= len(rounds) <= 3
+
+
+def test_exact_percentile_of_nothing_and_of_odd_numbers(spark):
+    df = spark.createDataFrame([], "g int, v double")
+    assert percentile.exact(df, ["g"], "v", 0.5).count() == 0
+    odd = [float("nan"), float("-inf"), -0.0, 0.0, float("inf")]
+    df = spark.createDataFrame([(i % 3, odd[i % 5]) for i in range(600)], "g int, v double")
+    df.createOrReplaceTempView("odd")
+    want = {r.g: str(r.p) for r in spark.sql("select g, percentile_disc(0.7) within group (order by v) p from odd group by g").collect()}
+    for inside in (3, 1000):
+        assert {r.g: str(r.percentile) for r in percentile.exact(df, ["g"], "v", 0.7, inside=inside).collect()} == want
+
+
+def test_density_of_equal_durations_is_null(spark):
+    from daybook.operators import distribution
+
+    for n in (1, 2, 5):
+        got = distribution.log_density(spark.createDataFrame([(60.0,)] * n, "duration_sec double"), grid=4).orderBy("grid_index").collect()
+        assert [r.grid_index for r in got] == [0, 1, 2, 3] and all(r.density is None and r.scaled_count is None for r in got)
+    some = distribution.log_density(spark.createDataFrame([(10.0,), (100.0,)], "duration_sec double"), grid=3).collect()
+    assert len(some) == 3 and all(r.density > 0 for r in some)
+    assert distribution.log_density(spark.createDataFrame([], "duration_sec double")).count() == 0
