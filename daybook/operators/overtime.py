@@ -15,22 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions import parse
-from daybook.functions.time import seconds_between
+from daybook.functions.time import seconds_between, wall_seconds, wall_time
 from daybook.operators.ordered import Carry, carried
 from daybook.operators.yarn import store_lines
 
 BUCKETS = 64  # of a key's span, in which overlapping intervals meet
 
 
-def _seconds(t: Column) -> Column:
-    """Whole seconds since 2000 on the wall clock, whatever the session's zone."""
-    return F.timestamp_diff("SECOND", F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"), t.cast("timestamp_ntz"))
-
-
-def _time(seconds: Column) -> Column:
-    return F.timestamp_add("SECOND", seconds, F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"))
-
-
 def concurrency(intervals: DataFrame, keys: Sequence[str], start: str = "start_time", end: str = "finish_time") -> DataFrame:
     """Per key: intervals, open_intervals, peak (most at once), peak_time (when
     first reached) and busy_sec (seconds with at least one).
@@ -40,7 +31,7 @@ def concurrency(intervals: DataFrame, keys: Sequence[str], start: str = "start_t
     last start or end. Rows without a start are left out; a key whose
     intervals are all empty has peak 0 at its first start.
     """
-    s, e = _seconds(F.col(start)), F.greatest(_seconds(F.col(end)), _seconds(F.col(start)))
+    s, e = wall_seconds(F.col(start)), F.greatest(wall_seconds(F.col(end)), wall_seconds(F.col(start)))
     rows = intervals.where(F.col(start).isNotNull())
 
     def point(t: Column, step: int, opens: Column) -> Column:
@@ -58,7 +49,7 @@ def concurrency(intervals: DataFrame, keys: Sequence[str], start: str = "start_t
     out = now.groupBy(*keys).agg(
         F.sum("_starts").alias("intervals"), F.sum("_open").alias("open_intervals"), F.max("_now").alias("peak"),
         F.min(F.struct((-F.col("_now")).alias("n"), "_t")).alias("_top"), F.sum(edge).alias("_edges"), F.sum("_step").alias("_left"), F.max("_t").alias("_end"))
-    return out.select(*keys, "intervals", "open_intervals", "peak", _time(F.col("_top._t")).alias("peak_time"),
+    return out.select(*keys, "intervals", "open_intervals", "peak", wall_time(F.col("_top._t")).alias("peak_time"),
                       (F.col("_edges") + F.when(F.col("_left") > 0, F.col("_end")).otherwise(F.lit(0))).alias("busy_sec"))
 
 
@@ -70,7 +61,7 @@ def busy_spells(intervals: DataFrame, keys: Sequence[str], start: str = "start_t
     over ordered partitions. An open or empty interval covers no time but parts a gap.
     """
     rows = intervals.where(F.col(start).isNotNull()).select(
-        *keys, _seconds(F.col(start)).alias("_s"), F.greatest(_seconds(F.col(end)), _seconds(F.col(start))).alias("_e"))
+        *keys, wall_seconds(F.col(start)).alias("_s"), F.greatest(wall_seconds(F.col(end)), wall_seconds(F.col(start))).alias("_e"))
     spans = rows.groupBy(*keys, "_s").agg(F.max("_e").alias("_e"))
     seen = carried(spans, keys, ["_s"], Carry("max", F.col("_e"), "_before", inclusive=False))
     gap = F.when(F.col("_s") > F.col("_before"), F.col("_s") - F.col("_before"))
@@ -94,8 +85,8 @@ def overlaps(intervals: DataFrame, keys: Sequence[str], name: str, start: str, e
     later (on a tie, the one of greater name) stands only in the bucket of its start, the other in
     every bucket that it touches, so each pair meets exactly once and a key's work is dealt out by bucket.
     """
-    rows = intervals.where(F.col(start).isNotNull()).select(*keys, F.col(name).alias("_n"), _seconds(F.col(start)).alias("_s"),
-                                                           F.greatest(_seconds(F.col(end)), _seconds(F.col(start))).alias("_e"))
+    rows = intervals.where(F.col(start).isNotNull()).select(*keys, F.col(name).alias("_n"), wall_seconds(F.col(start)).alias("_s"),
+                                                           F.greatest(wall_seconds(F.col(end)), wall_seconds(F.col(start))).alias("_e"))
     rows = rows.where(F.col("_e") > F.col("_s"))
     span = rows.groupBy(*keys).agg(F.min("_s").alias("_from"), (F.floor((F.max("_e") - F.min("_s")) / BUCKETS) + F.lit(1)).cast("bigint").alias("_width"))
     names = {k: f"_of{i}" for i, k in enumerate(keys)}
@@ -139,9 +130,9 @@ def retries(attempts: DataFrame) -> DataFrame:
     chain = ["application_id", "stage", "stage_attempt", "task"]
     began = F.coalesce("start_time", "finish_time")
     # The next attempt is the last one seen when going backwards.
-    rows = attempts.select(*chain, (-_seconds(began)).alias("_back"), (-F.col("tid")).alias("_back_id"), began.alias("_began"),
+    rows = attempts.select(*chain, (-wall_seconds(began)).alias("_back"), (-F.col("tid")).alias("_back_id"), began.alias("_began"),
                            "finish_time", F.coalesce("duration_sec", F.lit(0.0)).alias("_ran")) \
-        .withColumn("_tie", F.coalesce(-_seconds(F.col("finish_time")), F.lit(0).cast("bigint")))
+        .withColumn("_tie", F.coalesce(-wall_seconds(F.col("finish_time")), F.lit(0).cast("bigint")))
     seen = carried(rows, chain, ["_back", "_back_id", "_tie"], Carry("sum", F.lit(1).cast("bigint"), "_after", inclusive=False),
                    Carry("last", F.col("_began"), "_next", inclusive=False))
     superseded = F.col("_after") > 0

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from daybook import sinks
 from daybook.functions import parse
-from daybook.operators import distribution, levels, overtime, sampling, trips, usage, yarn
+from daybook.operators import distribution, incremental, levels, overtime, sampling, trips, usage, yarn
 from daybook.plans import rendered
-from daybook.session import cut, scratch_path, table_path
-from daybook.sources import read_log_glob, read_manifest_logs, read_months
+from daybook.session import cut, rename, scratch_path, table_path
+from daybook.sources import read_drifting_months, read_log_glob, read_manifest_logs, read_months
 from daybook.sources import sql_count as count_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -254,7 +254,7 @@ FROM base WHERE contains(line, '{PATTERN}')
 ORDER BY container_id, line_no LIMIT 20
 """)
 def pattern_lines(spark, sf_dir):
-    top = levels.first_lines_containing(_logs(spark, sf_dir, positions=True), PATTERN, 20)
+    top = levels.first_lines_in(spark, rendered.log_root(spark, sf_dir, rendered.BASE), PATTERN, 20)
     return top.select(parse.container_id("file_path").alias("container_id"), "line_no", "value")
 
 
@@ -810,16 +810,57 @@ def glob_level_counts(spark, sf_dir):
 @register("months_daily_summary", ORACLES["daily_summary"])
 def months_daily_summary(spark, sf_dir):
     """Month files of one year below ``yyyy=<year>``, read as one table."""
-    rows = _table(spark, sf_dir, "lineitem")
-    root = _new_path(spark, "trips")
-    for month in range(1, 13):
-        ahead = f"{TRIP_YEAR}-{month + 1:02d}" if month < 12 else f"{TRIP_YEAR + 1}-01"
-        inside = (F.col("l_shipdate") >= F.lit(f"{TRIP_YEAR}-{month:02d}-01").cast("timestamp_ntz")) \
-            & (F.col("l_shipdate") < F.lit(f"{ahead}-01").cast("timestamp_ntz"))
-        rows.where(inside).write.parquet(f"{root}/yyyy={TRIP_YEAR}/yellow_tripdata_{TRIP_YEAR}-{month:02d}.parquet")
+    root = _month_files(spark, _table(spark, sf_dir, "lineitem"), range(1, 13), _new_path(spark, "trips"))
     return trips.daily_summary(read_months(spark, root, TRIP_YEAR, range(1, 13)), TRIP_YEAR, **TRIP_COLUMNS)
 
 
+def _month_files(spark, rows, months, root):
+    """Files named as the trip data's, written in one pass over the table: one folder by month, which then gets its name."""
+    at = F.col("l_shipdate")
+    inside = (at >= F.lit(f"{TRIP_YEAR}-01-01").cast("timestamp_ntz")) & (at < F.lit(f"{TRIP_YEAR + 1}-01-01").cast("timestamp_ntz"))
+    some = rows.where(inside).withColumns({"yyyy": F.lit(TRIP_YEAR), "m": F.month(at)}).where(F.col("m").isin(list(months)))
+    some.write.mode("append").partitionBy("yyyy", "m").parquet(root)
+    for m in months:
+        rename(spark, f"{root}/yyyy={TRIP_YEAR}/m={m}", f"{root}/yyyy={TRIP_YEAR}/yellow_tripdata_{TRIP_YEAR}-{m:02d}.parquet")
+    return root
+
+
+@register("drifting_months_daily_summary", ORACLES["daily_summary"])
+def drifting_months_daily_summary(spark, sf_dir):
+    """Month files of two schemas. From April on the quantity is an integer, the
+    tax column is spelled in capitals and stands last, there is a column of fees,
+    and the line number is wider."""
+    rows = _table(spark, sf_dir, "lineitem").withColumn("l_linenumber", F.col("l_linenumber").cast("int"))
+    root = _month_files(spark, rows, range(1, 4), _new_path(spark, "drifting"))
+    later = rows.select(*[c for c in rows.columns if c != "l_tax"], F.col("l_tax").alias("L_TAX")).withColumns({
+        "l_quantity": F.col("l_quantity").cast("int"), "l_linenumber": F.col("l_linenumber").cast("bigint"), "airport_fee": F.lit(1.25)})
+    _month_files(spark, later, range(4, 13), root)
+    return trips.daily_summary(read_drifting_months(spark, root, TRIP_YEAR, range(1, 13)), TRIP_YEAR, **TRIP_COLUMNS)
+
+
+@register("refreshed_level_counts", ORACLES["log_level_counts"])
+def refreshed_level_counts(spark, sf_dir):
+    """The level counts after a first run over some containers and a second over all."""
+    root, store = rendered.log_root(spark, sf_dir, rendered.BASE), _new_path(spark, "partials")
+    incremental.level_counts(spark, f"{root}/k=application_*/c=*_00000[12]", store)
+    return incremental.level_counts(spark, root, store)[0]
+
+
+@register("refreshed_timeline", f"""
+WITH {_EV}, {_TIMELINE},
+n AS (SELECT count(DISTINCT container_id) FILTER (WHERE container_number IN ('000001', '000002')) AS first_run,
+             count(DISTINCT container_id) FILTER (WHERE container_number NOT IN ('000001', '000002')) AS second_run FROM evk)
+SELECT timeline.*, first_run, second_run, 0 AS third_run FROM timeline, n
+""")
+def refreshed_timeline(spark, sf_dir):
+    """The timeline after three runs, the last over nothing new, with the files that each one read."""
+    root, store = rendered.log_root(spark, sf_dir, rendered.BASE), _new_path(spark, "partials")
+    _, first = incremental.app_timeline(spark, f"{root}/k=application_*/c=*_00000[12]", store)
+    _, second = incremental.app_timeline(spark, root, store)
+    rows, third = incremental.app_timeline(spark, root, store)
+    return rows.withColumns({"first_run": F.lit(first).cast("bigint"), "second_run": F.lit(second).cast("bigint"), "third_run": F.lit(third)})
+
+
 def _csv(spark, name, df, schema):
     path = _new_path(spark, name)
     sinks.write_csv(df, path)
@@ -844,6 +885,12 @@ def timeline_csv_roundtrip(spark, sf_dir):
     return _csv(spark, "timeline", app_timeline(spark, sf_dir), sinks.TIMELINE_SCHEMA)
 
 
+@register("cluster_csv_roundtrip", ORACLES["cluster_summary"])
+def cluster_csv_roundtrip(spark, sf_dir):
+    """S14 + S18 on the cluster summary."""
+    return _csv(spark, "clusters", cluster_summary(spark, sf_dir), sinks.CLUSTER_SUMMARY_SCHEMA)
+
+
 @register("daily_csv_roundtrip", ORACLES["daily_summary"])
 def daily_csv_roundtrip(spark, sf_dir):
     """S15 + S18."""
@@ -856,13 +903,13 @@ def _report(spark, name, report):
     return sinks.read_report(spark, path)
 
 
-@register("level_report_roundtrip", f"SELECT text FROM ({ORACLES['log_level_report']})")
+@register("level_report_roundtrip", f"SELECT CAST(line_no AS BIGINT) AS line_no, text FROM ({ORACLES['log_level_report']})")
 def level_report_roundtrip(spark, sf_dir):
     """S16 as a file."""
     return _report(spark, "level-report", log_level_report(spark, sf_dir))
 
 
-@register("cluster_report_roundtrip", f"SELECT text FROM ({ORACLES['cluster_stats_report']})")
+@register("cluster_report_roundtrip", f"SELECT CAST(line_no AS BIGINT) AS line_no, text FROM ({ORACLES['cluster_stats_report']})")
 def cluster_report_roundtrip(spark, sf_dir):
     """S17 as a file."""
     return _report(spark, "cluster-report", cluster_stats_report(spark, sf_dir))

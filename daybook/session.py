@@ -79,3 +79,10 @@ def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     where skewed by adaptive execution); the rows are the same."""
     df = cut(df)
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file or folder on whatever file system it is, through the JVM of a classic (not Connect) session."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    if not old.getFileSystem(spark._jsc.hadoopConfiguration()).rename(old, new):
+        raise OSError(f"can't rename {path} to {to}")

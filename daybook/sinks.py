@@ -3,14 +3,16 @@ results with explicit schemas (S18).
 
 Writers are Spark writers (one part file per task, committed atomically);
 ``single_file`` coalesces to one task and is meant for results that are
-small by construction (level counts, per-cluster rows, reports).
+small by construction (level counts).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from daybook.sources.text import number_lines, split_table, with_lineage
+
 # --- Fixed values: schemas of the saved results. ---
 LEVEL_COUNTS_SCHEMA = "level string, count bigint"
 SAMPLE_SCHEMA = "timestamp string, level string, message string"
@@ -37,10 +39,13 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "
 
 
 def write_report(report: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Report lines ``(line_no, text)`` as one text file in line order.
-    Reports have a handful of lines, so one task writes them."""
-    (report.coalesce(1).sortWithinPartitions("line_no").select("text")
-     .write.mode(mode).text(path))
+    """Report lines ``(line_no, text)`` as text files in line order.
+
+    The lines are range-sorted, so file by file (their names are numbered)
+    the report goes on where the one before ends; a short report is one file,
+    a long one is written by many tasks.
+    """
+    report.orderBy("line_no").select("text").write.mode(mode).text(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -50,5 +55,13 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
-    """Re-read a text report as ``text`` lines."""
-    return spark.read.text(path).select(F.col("value").alias("text"))
+    """Re-read a report as ``(line_no, text)``: its files in the order of
+    their names, each line numbered from its split's place, not by sorting the text."""
+    lines = with_lineage(spark.read.text(path), positions=True)
+    splits = split_table(lines)
+    sizes = lines.groupBy("file_path").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per file of the report, numbers only.
+    before = Window.orderBy("file_path").rowsBetween(Window.unboundedPreceding, -1)
+    files = sizes.select("file_path", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    numbered = number_lines(lines, splits=splits.join(files, "file_path").withColumn("lines_before", F.col("lines_before") + F.col("_before")).drop("_before"))
+    return numbered.select("line_no", F.col("value").alias("text"))
