@@ -134,7 +134,7 @@ def test_base_scores_with_and_without_the_join(spark, monkeypatch, known):
     rows = ODD + [(30 + i, words(80, 30 + i, 60), "en", "a", 1) for i in range(10)]
     d = docs(spark, rows, clash=("word", "n", "row", "score", "p"))
     train = [r[1] for r in rows if r[0] is None or r[0] % 2]
-    model = L.fit(d.where("doc_id IS NULL OR doc_id % 2 = 1"), words=20, rounds=1, share=1)
+    model = L.fit(d.where("doc_id IS NULL OR doc_id % 2 = 1"), words=20, rounds=1)
     got = L.score(d, model).collect()
     assert len(got) == len(rows)
     want = sorted([(r[0] or 0, *plain_base(train, r[1])) for r in rows])
@@ -146,16 +146,17 @@ def test_base_scores_with_and_without_the_join(spark, monkeypatch, known):
 def test_probabilities_of_rare_words_sum_to_one(spark):
     """Every training word outside the network, and one share for what is new."""
     rows = [(i, words(30, i, 50), "en", "a", 1) for i in range(8)]
-    model = L.fit(docs(spark, rows), words=6, rounds=1, share=1)
+    model = L.fit(docs(spark, rows), words=6, rounds=1)
     inside = {w.decode() for w in model.network.v.ids}
     rare = [r["n"] for r in model.counts.collect() if r["word"] not in inside]
     assert sum(n + 0.5 for n in rare) + 0.5 == pytest.approx(10 ** model.rare_norm)
 
 
 def test_every_training_document_trains_the_network(spark):
-    d = docs(spark, [(i, words(60, i, 50), "en", "a", 1) for i in range(24)]).coalesce(1)
-    got, want = L.fit(d, words=30, rounds=1), L.fit(d, words=30, rounds=1, share=1)
-    assert got.network.flat == pytest.approx(want.network.flat, abs=1e-6)
+    d = docs(spark, [(i, words(60, i, 50), "en", "a", 1) for i in range(24)] + [(99, None, None, None, None)]).repartition(3)
+    net = L.fit(d, words=30, rounds=0).network
+    seen = d.select("text").mapInPandas(L._train(net.v, net.flat), L.fields(weights="double[]", tokens="long"))
+    assert seen.agg({"tokens": "sum"}).first()[0] == 24 * 61 + 1
 
 
 def test_no_training_rows(spark):

@@ -76,4 +76,8 @@ def test_pages(spark):
     got = queries.url_filter(spark, SF_SMALL)
     model = got.where(F.col("rule").isNull())
     assert got.count() == spark.read.parquet(f"{SF_SMALL}/pages.parquet").count()
-    assert model.where("verdict = 'block'").count() == 0
+    # The words of these hosts stand in the labelled table, with other suffixes and paths.
+    junk = model.where(F.col("host").rlike("casino-win|cheap-pills|adult-x|free-bets"))
+    others = model.where(~F.col("host").rlike("casino-win|cheap-pills|adult-x|free-bets|spam-farm|ads-track"))
+    assert junk.count() and junk.where("verdict = 'block'").count() == junk.count()
+    assert others.where("verdict = 'block'").count() <= 0.02 * others.count()
