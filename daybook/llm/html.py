@@ -59,6 +59,10 @@ NOISE_NAMES = frozenset("nav navbar navigation menu menubar sidebar footer masth
                         "pagination pager toolbar widget widgets login search copyright complementary contentinfo dialog form paywall disclaimer discussion rail teaser teasers "
                         "aside".split())
 DISCUSSION = frozenset("comment comments commentlist disqus respond reply replies discussion".split())
+#: A name made of these and of words for boxes is no wrapper's, whatever it holds; with another word (has-ads, comments-open) it may be.
+NEVER = DISCUSSION | frozenset("ad ads adv advert adverts advertisement advertising adsense adbox adsbygoogle banner promo promotion sponsor sponsored "
+                               "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup paywall disclaimer".split())
+BOXES = frozenset("area bar block body bottom box container content inner list main outer section thread top wrap wrapper".split())
 HEAD_NAMES = frozenset("header topbar".split())
 MAIN_NAMES = frozenset("article article-body article-content articlebody main main-content content post post-body post-content entry entry-content story story-body".split())
 RAW_END = {tag: re.compile(rf"</{tag}", re.I) for tag in RAW}
@@ -103,19 +107,23 @@ class _Named:
 
     above: dict[int, int] = field(default_factory=dict)
     discussion: set[int] = field(default_factory=set)
+    never: set[int] = field(default_factory=set)  # adverts, notices and discussions by name, that are no main element themselves
+    blocks: Counter[int] = field(default_factory=Counter)  # block elements under each, not under the next one
     chars: Counter[int] = field(default_factory=Counter)  # of text right under each, not under the next one
     main: Counter[int] = field(default_factory=Counter)  # of these, inside a main element
 
     def wrappers(self) -> frozenset[int]:
-        """Those that hold most of the page's text, or its main element and more text than is outside of all.
+        """Those that hold several blocks and most of the page's text, or its main element and more text than is outside of all.
 
-        A discussion is none if the main element has text outside of it.
+        What is an advert, a notice or a discussion by its whole name is none;
+        another discussion is none if the main element has text outside of it.
         """
-        under, main = Counter(self.chars), Counter(self.main)
+        under, main, blocks = Counter(self.chars), Counter(self.main), Counter(self.blocks)
         for i in sorted(self.above, reverse=True):
             if self.above[i]:
                 under[self.above[i]] += under[i]
                 main[self.above[i]] += main[i]
+                blocks[self.above[i]] += blocks[i]
         total, free, free_main = self.chars.total(), self.chars[0], self.main[0]
         below: dict[int, list[int]] = {}
         for i, above in self.above.items():
@@ -123,8 +131,8 @@ class _Named:
         found: set[int] = set()
         level = below.get(0, [])
         while level:
-            new = [i for i in level if not (i in self.discussion and free_main)
-                   and (2 * under[i] > total or main[i] and not free_main and under[i] > free)]
+            new = [i for i in level if i not in self.never and not (i in self.discussion and free_main)
+                   and (2 * under[i] > total and blocks[i] > 1 or main[i] and not free_main and under[i] > free)]
             found.update(new)
             free += sum(self.chars[i] for i in new)
             free_main += sum(self.main[i] for i in new)
@@ -142,6 +150,11 @@ def _names(attributes: dict[str, str]) -> tuple[set[str], set[str]]:
     return {n.lower() for n in whole}, {w.lower() for n in whole for w in WORD.findall(n)}
 
 
+def _is_never(name: str) -> bool:
+    words = {w.lower() for w in WORD.findall(name)}
+    return bool(words & NEVER) and words <= NEVER | BOXES
+
+
 def _label(tag: str, attributes: dict[str, str]) -> str:
     marks = [f"{k[0]}={re.sub(r'[0-9]+', '#', attributes[k].strip())}" for k in ("class", "id", "role") if attributes.get(k)]
     label = re.sub(r"[\s>]+", ".", "|".join([tag, *marks]))
@@ -252,6 +265,10 @@ def _parse(source: str, wrappers: frozenset[int]) -> Page:
             page.named.above[n], named = named, n
             if words & DISCUSSION:
                 page.named.discussion.add(n)
+            if not sure and any(_is_never(name) for name in whole):
+                page.named.never.add(n)
+        if tag in BLOCK and above.named and not above.sure:
+            page.named.blocks[above.named] += 1
         page.styles.setdefault(above.path, []).append(label)
         if noise:
             page.settled.add(path)

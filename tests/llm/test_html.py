@@ -37,6 +37,18 @@ WRAPPED = [
 ]
 
 
+@pytest.mark.parametrize("source, want", [
+    ("<p>short story</p><div class=ad>an advert that is by far the longest text of this page, and goes on</div>", "short story"),
+    ("<p>short story</p><div class=ad><p>an advert that is by far the longest</p><p>text of this page</p></div>", "short story"),
+    ("<div class=text><p>short</p></div><div class=comments><p>first reply, longer than the post</p><p>second reply</p></div>", "short"),
+    ("<div class=text><p>short</p></div><div class=comments-list><article>a reply longer than the post</article></div>", "short"),
+    ("<p>short story</p><div class='cookie-banner'>we use cookies and say so at such length that nothing else counts</div>", "short story"),
+    ("<div class='has-cookie-banner'><article>the story of this page</article></div><p>by the way</p>", "the story of this page"),
+])
+def test_adverts_notices_and_discussions_are_no_wrappers(source, want):
+    assert H.main_text(source) == want
+
+
 @pytest.mark.parametrize("source,want", WRAPPED)
 def test_a_name_alone_does_not_remove_a_wrapper(source, want):
     assert H.main_text(source) == want
