@@ -215,6 +215,19 @@ def log_sample(spark, sf_dir):
         .select("timestamp", "level", "message", "container_id", "line_no")
 
 
+@register("log_random_sample", f"""
+WITH {_EV}, n AS (SELECT least(count(*), {SAMPLE_SIZE}) AS n FROM base WHERE level IS NOT NULL)
+SELECT n AS drawn, n AS lines_of_the_logs FROM n
+""")
+def log_random_sample(spark, sf_dir):
+    """T1 unseeded: which lines are drawn is up to chance, how many and from where isn't."""
+    lines = levels.with_level(_logs(spark, sf_dir)).select("file_path", "message")
+    drawn = cut(sampling.random_sample(lines, SAMPLE_SIZE))
+    known = lines.join(F.broadcast(drawn.distinct()), ["file_path", "message"], "left_semi").distinct()  # SAMPLE_SIZE rows
+    found = drawn.join(F.broadcast(known.withColumn("_known", F.lit(1))), ["file_path", "message"], "left")
+    return found.agg(F.count(F.lit(1)).alias("drawn"), F.count("_known").alias("lines_of_the_logs"))
+
+
 @register("component_counts", f"""
 WITH {_EV}
 SELECT CASE WHEN level IS NULL THEN '' ELSE 'ev.' || event_type END AS component,
