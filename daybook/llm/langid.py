@@ -178,6 +178,8 @@ def predict(text: Column, profiles: Profiles) -> Column:
     """Struct (lang_pred, score) of a text column; ``und`` and 0 for a null text or one without letters.
 
     The score is the cosine with the winning prototype, negative ones as 0.
+    Texts of any length count whole; each repeated row is told by itself. As a
+    column it leaves the other columns, whatever their names, as they are; an empty table gives no rows.
     The prototypes travel with the task: languages x dim numbers.
     """
     @F.pandas_udf(fields(lang_pred="string", score="double"))

@@ -15,7 +15,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(oracles.ORACLES))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{os.path.join(SF, 'documents')}.parquet')")
+    for t in ("documents", "pages", "embeddings", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF, t)}.parquet')")
     df = queries.QUERIES[name](spark, SF)
     cols = sorted(df.columns)
     res = con.execute(oracles.ORACLES[name])
