@@ -5,12 +5,14 @@ class, id, role) are one node of the host's tree. A node's presentation is
 the sequence of its children's labels, its content the texts of the blocks
 right under it. What varies from page to page is important, what repeats is
 template: both are measured by entropy over the host's pages, presentation
-and content together give the importance of a branch, and branches of low
-importance are removed from each page.
+and content together give the importance of a branch. A branch is removed
+from each page if its own importance and that of all branches below it are
+low, with an allowance for how few pages have them; so what varies is kept
+however much template surrounds it, and a host whose pages vary nowhere
+(one page, or copies of it) loses nothing.
 
 Elements that say what they are (nav, footer, an advert's class, article)
-need no statistics; these also decide on hosts with too few pages. A name
-alone never removes html, body, or a wrapper of the main element or of most
+need no statistics. A name alone never removes html, body, or a wrapper of the main element or of most
 of the page's text: the tree judges those.
 """
 
@@ -31,7 +33,7 @@ from pyspark.sql import types as T
 from daybook.llm.common import bounded, cut, fields
 
 LOW = 0.35  # branches less important are removed
-PAGES = 8  # a host's node is judged once so many pages have it
+DOUBT = 0.9  # added to an importance, divided by the pages that have the branch: two can't tell, three must agree
 DECAY = 0.9  # weight that each child label takes from the presentation
 DEEPEST = 48  # elements below belong to the branch above them
 LABEL = 60  # characters of a label
@@ -287,24 +289,19 @@ def main_text(source: str | None, low: frozenset[str] | set[str] = frozenset())
     """The page's main text, given the host's branches of low importance.
 
     Noise by name goes. If the page has a main element only what is in it
-    stays. Of the rest, blocks under a low branch go; inside the main element
-    only if that element itself is no low branch (its text may be repeated
-    as a whole on other pages) and the block is no heading.
+    stays. Of the rest, blocks under a low branch go, unless the main element
+    (without one the whole page, branch "") is low itself: then its text is
+    repeated as a whole on other pages. Headings in the main element stay.
     """
     page = parse(source)
     blocks = [b for b in page.blocks if not b.noise]
     inside = [b for b in blocks if b.anchor > 0] if page.strong else [b for b in blocks if b.anchor]
     kept = []
     for b in inside or blocks:
-        if low:
-            anchor = b.path[:abs(b.anchor)]
-            if anchor:
-                gone = anchor not in low and not b.heading and any(p in low for p in _branches(b.path) if len(p) > len(anchor))
-            else:
-                gone = any(p in low for p in _branches(b.path))
-            if gone:
-                continue
-        kept.append(b.text)
+        anchor = b.path[:abs(b.anchor)]
+        if not (low and anchor not in low and not (anchor and b.heading)
+                and any(p in low for p in _branches(b.path) if len(p) > len(anchor))):
+            kept.append(b.text)
     return " ".join(kept)
 
 
@@ -346,7 +343,9 @@ def style_tree(pages: DataFrame) -> DataFrame:
     children's sequences over the node's pages, ``content`` one less the mean
     entropy of the texts under the branch, both to the base of the number of
     pages, so between 0 (template) and 1. The importance mixes them: the more
-    kinds of children sequences, the more presentation counts.
+    kinds of children sequences, the more presentation counts. Named noise
+    (settled) doesn't count as content of what is around it; a branch that
+    holds nothing else has a null importance.
     """
     features = pages.mapInPandas(_merge, _FEATURES).groupBy("host", "path", "kind", "feature").agg(
         F.sum("n").alias("n"), F.min("settled").alias("settled"))
@@ -362,21 +361,36 @@ def style_tree(pages: DataFrame) -> DataFrame:
         .withColumn("presentation", F.when(F.col("n_pages") > 1, entropy / base).otherwise(1.0))
     nodes = cut(nodes)  # read twice below; without this the pages would be too
     # What a branch holds is what the nodes under it hold; a path names all nodes above it.
-    steps = F.split("path", ">")
-    above = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.array_join(F.slice(steps, F.lit(1), i), ">"))
-    branch = nodes.where("texts > 0").select("host", F.explode(above).alias("path"), "shared", "texts") \
-        .groupBy("host", "path").agg(F.sum("shared").alias("shared"), F.sum("texts").alias("texts"))
-    tree = nodes.drop("shared", "texts").join(branch, ["host", "path"])
+    open_ = ~F.col("settled")
+    branch = nodes.where("texts > 0").select("host", F.explode(_with_above("path")).alias("path"), "settled", "shared", "texts") \
+        .groupBy("host", "path").agg(
+            F.struct(F.sum("shared").alias("shared"), F.sum("texts").alias("texts")).alias("all"),
+            F.struct(F.sum(F.when(open_, F.col("shared"))).alias("shared"), F.sum(F.when(open_, F.col("texts"))).alias("texts")).alias("open"))
+    tree = nodes.drop("shared", "texts").join(branch, ["host", "path"]) \
+        .withColumn("held", F.when(F.col("settled"), F.col("all")).otherwise(F.col("open")))
     left = F.pow(F.lit(DECAY), F.least(F.col("styles"), F.lit(10)).cast("double"))
-    tree = tree.withColumn("content", 1 - F.col("shared") / F.col("texts"))
+    tree = tree.withColumn("content", 1 - F.col("held.shared") / F.col("held.texts"))
     both = (1 - left) * F.col("presentation") + left * F.col("content")
     return tree.select("host", "path", "n_pages", "settled", "presentation", "content",
                        F.when(F.col("styles") == 0, F.col("content")).otherwise(both).alias("importance"))
 
 
-def low_branches(tree: DataFrame, low: float = LOW, least: int = PAGES) -> DataFrame:
-    """host and path of the branches that enough pages have and that matter less than ``low``; named noise needs no entry."""
-    return tree.where((F.col("importance") < low) & (F.col("n_pages") >= least) & ~F.col("settled")).select("host", "path")
+def _with_above(path: str) -> Column:
+    """The path and all paths above it; ``""``, the page, is none of them."""
+    steps = F.split(path, ">")
+    return F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.array_join(F.slice(steps, F.lit(1), i), ">"))
+
+
+def low_branches(tree: DataFrame, low: float = LOW, doubt: float = DOUBT) -> DataFrame:
+    """host and path of the branches that, with all below them, matter less than ``low``.
+
+    Path "" stands for the whole page: a host has it if none of its branches
+    matters. Named noise goes anyway, so it neither counts nor needs an entry.
+    """
+    sure = F.col("importance") + F.lit(doubt) / F.col("n_pages")
+    within = F.concat(F.array(F.lit("")), _with_above("path"))
+    return tree.where(~F.col("settled")).select("host", F.explode(within).alias("path"), sure.alias("sure")) \
+        .groupBy("host", "path").agg(F.max("sure").alias("sure")).where(F.col("sure") < low).select("host", "path")
 
 
 def host_of(url: Column) -> Column:
@@ -412,7 +426,9 @@ def extract(pages: DataFrame, url: str = "url", source: str = "html", name: str
         for paths, sources in batches:
             yield pd.Series([main_text(s, frozenset(() if p is None else p)) for p, s in zip(paths, sources)], dtype=object)
 
-    lists = found.groupBy(F.col("host").alias("__host")).agg(F.collect_set("path").alias("__low"))
-    return pages.withColumn("__of", host).join(lists, F.col("__of") == F.col("__host"), "left") \
-        .withColumn(name, joined(F.col("__low"), F.col(f"`{source}`"))).drop("__of", "__host", "__low")
-
+    # A struct holds the input's columns, so none of them can clash with those of the join.
+    lists = found.groupBy("host").agg(F.collect_set("path").alias("low"))
+    rows = pages.select(host.alias("host"), F.struct("*").alias("page")).join(lists, "host", "left") \
+        .withColumn("text", joined(F.col("low"), F.col(f"page.`{source}`")))
+    kept = [F.col("text").alias(name) if c.lower() == name.lower() else F.col(f"page.`{c}`") for c in pages.columns]
+    return rows.select(*kept, *([] if name.lower() in map(str.lower, pages.columns) else [F.col("text").alias(name)]))

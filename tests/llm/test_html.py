@@ -1,4 +1,8 @@
+import math
+from collections import Counter
+
 import pytest
+from conftest import SF_TINY
 from daybook.llm import html as H
 
 CASES = [
@@ -82,7 +86,7 @@ def test_template_without_names_is_found_by_entropy(spark):
     rows = site(30) + [(100 + i, "https://few.example/", "<div class='claim'>Same words on each page</div>") for i in range(3)]
     got = {r["page_id"]: r["text"] for r in extract(spark, rows).collect()}
     assert got[4] == "page4page4page4 own text more page4page4page4"
-    # Too few pages to tell: the text stays.
+    # Pages that vary nowhere: the text stays.
     assert got[100] == "Same words on each page"
 
 
@@ -123,3 +127,70 @@ def test_odd_rows(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS text", "2 AS host", "3 AS path", "4 AS __x")
     assert H.extract(df).where("page_id = 2").first()["text"].startswith("word")
     assert extract(spark, []).count() == 0
+
+
+def brute_tree(pages):
+    """importance by (host, path), from each host's pages one by one."""
+    hosts = {}
+    for host, source in pages:
+        hosts.setdefault(host, []).append(H.parse(source))
+    out = {}
+    for host, parsed in hosts.items():
+        paths = {b.path for p in parsed for b in p.blocks} | {x for p in parsed for x in p.styles}
+        settled = {x for x in paths if all(x in p.settled for p in parsed if x in p.styles or any(b.path == x for b in p.blocks))}
+        for path in paths - {""}:
+            on = [p for p in parsed if path in p.styles or any(b.path == path for b in p.blocks)]
+            kinds = Counter(" ".join(p.styles.get(path, [])) for p in on)
+            texts = Counter((b[0], b[1]) for p in parsed for b in {(b.path, b.text) for b in p.blocks} if (b[0] + ">").startswith(path + ">"))
+            if path not in settled:
+                texts = Counter({k: n for k, n in texts.items() if k[0] not in settled})
+            had = {x: sum(1 for p in parsed if x in p.styles or any(b.path == x for b in p.blocks)) for x, _ in texts}
+            if not texts:
+                continue
+            n, styles = len(on), sum(1 for k in kinds if k)
+            base = math.log(max(n, 2))
+            presentation = -sum(k / n * math.log(k / n) for k in kinds.values()) / base if n > 1 else 1.0
+            content = 1 - sum(math.log(k) / math.log(max(had[x], 2)) for (x, _), k in texts.items()) / len(texts)
+            left = H.DECAY ** min(styles, 10)
+            out[host, path] = content if not styles else (1 - left) * presentation + left * content
+    return out
+
+
+def test_importance_by_brute_force(spark):
+    pages = spark.read.parquet(f"{SF_TINY}/pages.parquet").select(H.host_of("url").alias("host"), "html") \
+        .union(spark.createDataFrame([("h", r[2]) for r in template_site(9)], "host string, html string"))
+    want = brute_tree([(r["host"], r["html"]) for r in pages.collect()])
+    got = {(r["host"], r["path"]): r["importance"] for r in H.style_tree(pages).collect() if r["importance"] is not None}
+    assert got.keys() == want.keys() and len(got) > 100
+    assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
+MENU = "".join(f"<li><a href=/{i}>Section {i}</a></li>" for i in range(40))
+
+
+def template_site(n, host="t.example"):
+    """Pages whose parts have no telling names: a menu, a claim and a closing line around two paragraphs of their own."""
+    return [(i, f"https://{host}/{i}", f"<html><body><div class=alpha><ul>{MENU}</ul></div><div class=beta><p>only here {i}</p><p>and more of {i}</p>"
+             "</div><div class=gamma><p>Words that close each page</p></div></body></html>") for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [3, 4, 8, 60])
+def test_the_tree_alone_removes_what_repeats_around_short_texts(spark, n):
+    got = {r["page_id"]: r["text"] for r in extract(spark, template_site(n)).collect()}
+    assert got == {i: f"only here {i} and more of {i}" for i in range(n)}
+
+
+def test_two_pages_or_copies_lose_nothing(spark):
+    copies = [(i, "https://c.example/", "<body><div class=a><p>one text</p></div><div class=ad>advert %d</div></body>" % i) for i in range(30)]
+    got = extract(spark, template_site(2) + copies).collect()
+    assert {r["text"] for r in got if r["url"].startswith("https://c.")} == {"one text"}
+    assert all(r["text"].startswith("Section 0") and r["text"].endswith("close each page") for r in got if r["url"].startswith("https://t."))
+
+
+def test_columns_of_any_name_stay_in_both_ways(spark, monkeypatch):
+    df = spark.createDataFrame(site(30), "page_id long, url string, html string") \
+        .selectExpr("*", "1 AS host", "2 AS low", "3 AS text", "4 AS page", "5 AS __of", "6 AS __host", "7 AS __low")
+    want = sorted(map(tuple, H.extract(df).collect()))
+    monkeypatch.setattr(H, "BRANCHES", 0)
+    out = H.extract(df)
+    assert out.columns == df.columns and sorted(map(tuple, out.collect())) == want
