@@ -70,6 +70,15 @@ def bounded(df: DataFrame, rows: int) -> tuple[DataFrame, int]:
     return (F.broadcast(df) if n <= rows else df), n
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names for columns of our own, each with as many underscores before it as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    lead = "__"
+    while any(lead + n in taken for n in names):
+        lead += "_"
+    return [lead + n for n in names]
+
+
 def id_bucket(doc_id: Column, buckets: int) -> Column:
     """crc32 of the id written as text, modulo ``buckets``; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(buckets)

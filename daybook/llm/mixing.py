@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import bounded
+from daybook.llm.common import bounded, free
 
 SEED = 20_24
 POWER = 0.5  # without given weights a source weighs its size to this power
@@ -76,22 +76,23 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, id_col:
     The order by shuffle_key is the global order: rows go to partitions by
     its hash and are sorted by it there. Documents that draw zero are left
     out, as the weights ask. Repeated rows draw the same count each; input
-    columns called copy or shuffle_key are replaced; an empty table gives no
-    rows. Rates are broadcast while there are at most SOURCES of them,
+    columns called copy or shuffle_key are replaced and all others stay,
+    whatever their names; an empty table gives no rows. Rates are broadcast while there are at most SOURCES of them,
     beyond that the join shuffles by source and adaptive execution splits
     the hot ones.
     """
+    of, draws, upto, own_key, n = own = free(docs, "source", "draws", "upto", "key", "count")
     table, _ = bounded(rates(docs, source, weights, power, epochs).select(
-        F.col("source").alias("__source"), F.ceil(F.col("rate") / MEAN).cast("int").alias("__draws"),
-        F.when(F.col("rate") > 0, _cumulative(F.col("rate") / F.ceil(F.col("rate") / MEAN))).alias("__upto")), SOURCES)
+        F.col("source").alias(of), F.ceil(F.col("rate") / MEAN).cast("int").alias(draws),
+        F.when(F.col("rate") > 0, _cumulative(F.col("rate") / F.ceil(F.col("rate") / MEAN))).alias(upto)), SOURCES)
     key = document_key(id_col, text, seed)
     # A draw is how many k have P(X <= k) at or below its uniform number.
-    numbers = F.transform(F.sequence(F.lit(1), F.col("__draws")),
-                          lambda j: uniform(F.concat("__key", F.lit(":"), j.cast("string"))))
-    count = F.aggregate(numbers, F.lit(0), lambda n, u: n + F.size(F.filter("__upto", lambda p: p <= u)))
-    drawn = docs.join(table, F.col(f"`{source}`").eqNullSafe(F.col("__source"))).where("__draws > 0") \
-        .withColumn("__key", key).withColumn("__count", count).where("__count > 0")
-    copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__count")))) \
-        .withColumn("shuffle_key", F.md5(F.concat("__key", F.lit(":order:"), F.col("copy").cast("string")))) \
-        .drop("__source", "__draws", "__upto", "__key", "__count")
+    numbers = F.transform(F.sequence(F.lit(1), F.col(draws)),
+                          lambda j: uniform(F.concat(own_key, F.lit(":"), j.cast("string"))))
+    count = F.aggregate(numbers, F.lit(0), lambda sum_, u: sum_ + F.size(F.filter(upto, lambda p: p <= u)))
+    drawn = docs.join(table, F.col(f"`{source}`").eqNullSafe(F.col(of))).where(F.col(draws) > 0) \
+        .withColumn(own_key, key).withColumn(n, count).where(F.col(n) > 0)
+    copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col(n)))) \
+        .withColumn("shuffle_key", F.md5(F.concat(own_key, F.lit(":order:"), F.col("copy").cast("string")))) \
+        .drop(*own)
     return copies.repartition("shuffle_key").sortWithinPartitions("shuffle_key")

@@ -27,6 +27,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (bit
 FROM b
 """
 
+_ABLATED = " UNION ALL ".join(
+    f"""SELECT '{name}' AS policy, '{rule.name}' AS rule, count(*) FILTER (bits & {1 << rule.bit} <> 0) AS n_failed,
+  count(*) FILTER (bits & {want} = {1 << rule.bit}) AS n_only, count(*) FILTER (bits & {want} = 0) AS n_kept,
+  count(*) FILTER (bits & {want & ~(1 << rule.bit)} = 0) AS n_kept_without FROM ledger"""
+    for name, want in quality.POLICIES.items() for rule in quality.RULES if want >> rule.bit & 1)
+
+QUALITY_ABLATION = f"WITH ledger AS MATERIALIZED ({QUALITY_RULES}) {_ABLATED}"
+
 MIXED_SOURCES = f"""
 WITH sizes AS (SELECT source, count(*) AS n, sqrt(count(*)) AS w FROM documents GROUP BY source),
 rates AS (SELECT source, w / (SELECT sum(w) FROM sizes) * (SELECT sum(n) FROM sizes) / n AS rate FROM sizes),
@@ -123,6 +131,7 @@ ORACLES = {
     "op12_laesa_codes": LAESA_CODES,
     "op13_ranked_search": RANKED_SEARCH,
     "op2_quality_rules": QUALITY_RULES,
+    "quality_ablation": QUALITY_ABLATION,
     "op5_mixed_sources": MIXED_SOURCES,
     "op6_license_scan": LICENSE_SCAN,
 }

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import cut, fields, tokenizer_path
+from daybook.llm.common import cut, fields, free, tokenizer_path
 
 CAPACITY = 2048
 END = 0  # id behind every document
@@ -298,12 +298,12 @@ def places(plan: list[tuple[Filling, int]]) -> dict[int, np.ndarray]:
     return {n: np.array(r, dtype=np.int64) for n, r in rows.items()}
 
 
-def _deal(plan: dict[int, np.ndarray], names: list[str]):
+def _deal(plan: dict[int, np.ndarray], names: list[str], at: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sequence = np.zeros(len(batch), dtype=np.int64)
             offset = np.zeros(len(batch), dtype=np.int64)
-            number, length = batch["number"].to_numpy(), batch["length"].to_numpy()
+            number, length = batch[at].to_numpy(), batch["length"].to_numpy()
             for n in np.unique(length):
                 rows = np.flatnonzero(length == n)
                 table = plan[int(n)]
@@ -322,25 +322,28 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, nodes: int = NODES) -> Dat
     return with the tasks are at most a few for each length. Pieces get
     their number among those of their length by blocks of about ROWS, so a
     length that a third of all pieces have is no single task. Repeated rows
-    are packed one by one; no rows give no rows.
+    are packed one by one; no rows give no rows. Input columns called
+    sequence_id or offset are replaced, all others stay, whatever their names.
     """
-    rows = cut(pieces.withColumn("__row", F.monotonically_increasing_id()))
+    row, block, nth, ahead, number = free(pieces, "row", "block", "nth", "ahead", "number")
+    rows = cut(pieces.withColumn(row, F.monotonically_increasing_id()))
     n = rows.count()
     counts = {r["length"]: r["count"] for r in rows.groupBy("length").count().collect()}
     if any(not 1 <= x <= capacity for x in counts):
         raise ValueError("a piece is empty or longer than the capacity")
     plan = places(complete(counts, capacity, nodes))
     blocks = max(1, n // ROWS)
-    rows = rows.withColumn("__block", F.pmod(F.xxhash64("__row"), F.lit(blocks)))
+    rows = rows.withColumn(block, F.pmod(F.xxhash64(row), F.lit(blocks)))
     # At most capacity * blocks sums; each window is one length's blocks.
-    before = Window.partitionBy("length").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = rows.groupBy("length", "__block").agg(F.count("*").alias("n")).select(
-        "length", "__block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
-    inside = Window.partitionBy("length", "__block").orderBy("__row")
-    numbered = rows.withColumn("__nth", F.row_number().over(inside)) \
-        .join(ahead, ["length", "__block"]).withColumn("number", F.col("ahead") + F.col("__nth") - 1)
-    names = [c for c in pieces.columns]
-    schema = numbered.select(*names, F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")).schema
-    return numbered.select(*names, "number").mapInPandas(_deal(plan, [*names, "sequence_id", "offset"]), schema)
+    before = Window.partitionBy("length").orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy("length", block).agg(F.count("*").alias("n")).select(
+        "length", block, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(ahead))
+    inside = Window.partitionBy("length", block).orderBy(row)
+    numbered = rows.withColumn(nth, F.row_number().over(inside)) \
+        .join(sums, ["length", block]).withColumn(number, F.col(ahead) + F.col(nth) - 1)
+    names = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
+    out = numbered.select(*[F.col(f"`{c}`") for c in names], number)
+    schema = out.select(*[F.col(f"`{c}`") for c in names], F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")).schema
+    return out.mapInPandas(_deal(plan, [*names, "sequence_id", "offset"], number), schema)
 
 

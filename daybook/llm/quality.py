@@ -142,31 +142,28 @@ def fails(bits: Column, policy: str | int) -> Column:
     return bits.bitwiseAND(F.lit(POLICIES[policy] if isinstance(policy, str) else policy).cast("long")) != 0
 
 
-def ablation(bits: DataFrame, policy: str = POLICY, column: str = "bits") -> DataFrame:
-    """What each rule adds to a policy, from stored bits alone.
-
-    One row per rule of the policy: rule, n_failed (documents failing it),
-    n_only (rejected by it alone), n_kept (kept by the whole policy),
-    n_kept_without (kept once it is left out). The bits are first counted by
-    value, at most 2**rules groups, so the rest runs on a handful of rows.
-    An empty ledger gives zero counts.
+def ablations(bits: DataFrame, policies: dict[str, int] = POLICIES, column: str = "bits") -> DataFrame:
+    """What each rule adds to each policy, from stored bits alone.
+
+    One row per policy and rule of it: policy, rule, n_failed (documents
+    failing the rule), n_only (rejected by it alone), n_kept (kept by the
+    whole policy), n_kept_without (kept once it is left out). The bits are
+    first counted by value, at most 2**rules groups and once for all
+    policies, so the rest runs on a handful of rows. Null bits count as none
+    failed; an empty ledger gives zero counts.
     """
-    want = POLICIES[policy]
     counts = bits.groupBy(F.coalesce(F.col(column), F.lit(0).cast("long")).alias("bits")).agg(F.count("*").alias("n"))
-    seen = F.col("bits").bitwiseAND(F.lit(want).cast("long"))
 
-    def total(hit: Column) -> Column:
-        return F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0).cast("long"))
+    def total(mask_: int, equal_to: int | None = None) -> Column:
+        seen = F.col("bits").bitwiseAND(F.lit(mask_).cast("long"))
+        return F.coalesce(F.sum(F.when(seen != 0 if equal_to is None else seen == equal_to, F.col("n"))), F.lit(0).cast("long"))
 
-    rows = []
-    for rule in RULES:
-        bit = 1 << rule.bit
-        if want & bit:
-            rows.append(F.struct(
-                F.lit(rule.name).alias("rule"),
-                total(seen.bitwiseAND(F.lit(bit).cast("long")) != 0).alias("n_failed"),
-                total(seen == bit).alias("n_only"),
-                total(seen == 0).alias("n_kept"),
-                total(seen.bitwiseAND(F.lit(want & ~bit).cast("long")) == 0).alias("n_kept_without"),
-            ))
+    rows = [F.struct(F.lit(name).alias("policy"), F.lit(rule.name).alias("rule"), total(bit).alias("n_failed"), total(want, bit).alias("n_only"),
+                     total(want, 0).alias("n_kept"), total(want & ~bit, 0).alias("n_kept_without"))
+            for name, want in policies.items() for rule in RULES if want & (bit := 1 << rule.bit)]
     return counts.agg(F.array(*rows).alias("r")).select(F.inline("r"))
+
+
+def ablation(bits: DataFrame, policy: str = POLICY, column: str = "bits") -> DataFrame:
+    """``ablations`` of one policy: rule, n_failed, n_only, n_kept, n_kept_without."""
+    return ablations(bits, {policy: POLICIES[policy]}, column).drop("policy")

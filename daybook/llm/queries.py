@@ -28,6 +28,11 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (~quality.fails(F.col("bits"), quality.POLICY)).alias("kept"), "bits")
 
 
+def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy rejects, over all documents."""
+    return quality.ablations(quality.with_ledger(table(spark, sf_dir, "documents").select("text")).select("ledger.bits"))
+
+
 def kmeans_tree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.neighbours(ann.clean(table(spark, sf_dir, "embeddings"))).select("query_id", "rank", "vec_id", "score")
 
@@ -91,6 +96,7 @@ def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_site_style_tree": site_style_tree,
     "op2_quality_rules": quality_rules,
+    "quality_ablation": quality_ablation,
     "op3_kmeans_tree_neighbours": kmeans_tree_neighbours,
     "op4_best_fit_packing": best_fit_packing,
     "op5_mixed_sources": mixed_sources,

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import cut, fields
+from daybook.llm.common import cut, fields, free
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -302,11 +302,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingl
     rows = cut(prints.groupBy("fp", "id", "hash").agg(F.count("*").alias("n")))
     at = F.struct(F.col("id").isNull().alias("none"), "id", "hash", "n")
     member = _members(cut(rows.groupBy("fp").agg(F.min(at).alias("at"))), max_bits, tries)
+    kept_id, kept_hash, kept_n = free(docs, "kept_id", "kept_hash", "kept_n")
     kept = cut(member.groupBy("root").agg(F.min("at").alias("at")).select(
-        F.col("at.id").alias("__kept_id"), F.col("at.hash").alias("__kept_hash"), F.col("at.n").alias("__kept_n")))
-    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__kept_id")) & (own == F.col("__kept_hash"))
-    out = docs.join(kept.where("__kept_n = 1"), same, "left_semi")
-    if kept.where("__kept_n > 1").limit(1).count():
-        again = docs.join(kept.where("__kept_n > 1"), same, "left_semi").withColumn("__kept_hash", own)
-        out = out.unionByName(again.dropDuplicates([id_col, "__kept_hash"]).drop("__kept_hash"))
+        F.col("at.id").alias(kept_id), F.col("at.hash").alias(kept_hash), F.col("at.n").alias(kept_n)))
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(kept_id)) & (own == F.col(kept_hash))
+    out = docs.join(kept.where(F.col(kept_n) == 1), same, "left_semi")
+    if kept.where(F.col(kept_n) > 1).limit(1).count():
+        again = docs.join(kept.where(F.col(kept_n) > 1), same, "left_semi").withColumn(kept_hash, own)
+        out = out.unionByName(again.dropDuplicates([id_col, kept_hash]).drop(kept_hash))
     return out

@@ -48,6 +48,9 @@ def test_copies_are_numbered_and_shuffled(spark):
     rows = [(i, "t", "en", f"s{i // 100}", 1) for i in range(400)]
     out = M.mix(docs(spark, rows, clash=("copy", "shuffle_key", "rate", "__weight")), epochs=2.0)
     got = out.collect()
+    theirs = ("__source", "__draws", "__upto", "__key", "__count")
+    same = M.mix(docs(spark, rows, clash=theirs), epochs=2.0).collect()
+    assert sorted(r["shuffle_key"] for r in same) == sorted(r["shuffle_key"] for r in got) and all(r[c] == "theirs" for r in same for c in theirs)
     by = {}
     for r in got:
         by.setdefault(r["doc_id"], []).append(r["copy"])

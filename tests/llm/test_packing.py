@@ -9,6 +9,7 @@ from daybook.llm import packing as P
 from daybook.llm.common import tokenizer_path
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 TOKENIZER = Tokenizer.from_file(tokenizer_path())
@@ -125,6 +126,14 @@ def test_hot_length_over_many_blocks(spark, monkeypatch, block):
     assert n <= P.least_bins(Counter(r["length"] for r in rows), 512) + 1
 
 
+def test_clashing_columns_stay(spark):
+    clash = {c: F.lit("theirs") for c in ("__row", "__block", "__nth", "number", "ahead", "n", "Offset")}
+    out = P.pack(P.pieces(docs(spark)).withColumns(clash))
+    rows = [r.asDict() for r in out.collect()]
+    assert len(rows) == P.pieces(docs(spark)).count() and len(out.columns) == len({c.lower() for c in out.columns})
+    assert all(r[c] == "theirs" for r in rows for c in clash if c != "Offset") and all(isinstance(r["offset"], int) for r in rows)
+
+
 def test_empty_table_and_wrong_lengths(spark):
     assert P.pack(P.pieces(docs(spark, []))).count() == 0
     with pytest.raises(ValueError):

@@ -1,6 +1,8 @@
 import random
 
+import duckdb
 from cases import ODD, docs
+from daybook.llm import oracles, queries
 from daybook.llm import quality as Q
 from pyspark.sql import functions as F
 
@@ -69,5 +71,15 @@ def test_policies_and_ablation(spark):
     assert [tuple(r)[1:] for r in none] == [(0, 0, 0, 0)] * 2
 
 
+def test_ablation_query_against_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet')")
+    out = queries.quality_ablation(spark, sf)
+    got = sorted(tuple(r) for r in out.collect())
+    assert got == sorted(con.execute(oracles.QUALITY_ABLATION).fetchall()) and len(got) == sum(w.bit_count() for w in Q.POLICIES.values())
+    assert out.columns == [d[0] for d in con.description]
+
+
 def test_empty_table(spark):
     assert Q.with_ledger(docs(spark, [])).where(Q.fails(F.col("ledger.bits"), "v1")).count() == 0

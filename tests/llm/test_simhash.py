@@ -90,7 +90,8 @@ def test_ids_that_several_texts_share_lose_no_group(spark, parts):
     empty = [r for r in got if not r[1]]
     assert len(empty) == 1 and empty[0][0] == 8
     assert [r for r in got if r[1]] == sorted([(1, a), (1, b), (None, words(50, 3)), (7, words(50, 4))], key=repr)
-    again = S.keep_one(docs(spark, [(i, t, "en", "s", 1) for i, t in reversed(rows)]))
+    again = S.keep_one(docs(spark, [(i, t, "en", "s", 1) for i, t in reversed(rows)], clash=("__kept_id", "__kept_hash", "__kept_n")))
+    assert again.columns[-3:] == ["__kept_id", "__kept_hash", "__kept_n"] and again.where("__kept_hash <> 'theirs'").count() == 0
     assert sorted(((r["doc_id"], r["text"]) for r in again.collect()), key=repr) == got
 
 
