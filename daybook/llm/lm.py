@@ -24,16 +24,16 @@ from pyspark.sql import functions as F
 from daybook.llm.common import byte_batches, cut, fields
 
 END = ""  # no word is empty, so the empty string can stand for a document's end
-WORDS = 256  # vocabulary of the network, the end token and RARE included
-CLASSES = 16
-EMBED = 8
-HIDDEN = 12
+WORDS = 8192  # vocabulary of the network, the end token and RARE included
+CLASSES = 96
+EMBED = 12
+HIDDEN = 16
 LANES = 512  # documents trained side by side
 WINDOW = 32  # steps that training goes back
 SCORE_LANES = 512
 SCORE_WINDOW = 16
 CELLS = 1 << 21  # ids laid out side by side at once
-ROUNDS = 1
+ROUNDS = 2
 RATE = 0.02
 CLIP = 5.0
 KNOWN = 200_000  # most frequent words that travel with the tasks; the rest is joined
