@@ -9,14 +9,18 @@ within one application.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.functions import parse
 from daybook.functions.fmt import safe_ratio
 from daybook.functions.time import seconds_between
+from daybook.session import checked_broadcast
+from daybook.sources.text import SPLITS
 
 # --- Fixed values: line shapes of the analysed log messages. ---
 EXECUTOR_REQUEST = (r"Will request (\d+) executor containers, each with (\d+) cores and "
@@ -293,6 +297,20 @@ def broadcast_reads(lines: DataFrame, value: str = "value", file_col: str = "fil
                    F.count_distinct("var").alias("distinct_variables"))
 
 
+def _splits(lines: DataFrame, head: Column, file_col: str, block_col: str, pos_col: str) -> DataFrame:
+    """One row per split: its first scan id and entries, and what lies before it in its file:
+    lines, entries and the line that the last of these begins with."""
+    split = [file_col, block_col]
+    blocks = (lines.select(*split, pos_col, head.alias("_is_head")).groupBy(*split)
+              .agg(F.min(pos_col).alias("_first"), F.count(F.lit(1)).alias("_n"),
+                   F.count_if("_is_head").alias("_heads"), F.max(F.when(F.col("_is_head"), F.col(pos_col))).alias("_last_head")))
+    before = Window.partitionBy(file_col).orderBy(block_col).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_lines_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    return blocks.select(
+        *split, "_first", "_heads", "_lines_before", F.coalesce(F.sum("_heads").over(before), F.lit(0)).alias("_heads_before"),
+        F.max(F.col("_lines_before") + F.col("_last_head") - F.col("_first") + 1).over(before).alias("_open_since"))
+
+
 def entry_lines(lines: DataFrame, value: str = "value", file_col: str = "file_path",
                 block_col: str = "file_block_start", pos_col: str = "row_pos") -> DataFrame:
     """D10, line by line: every line with the entry it belongs to.
@@ -308,14 +326,7 @@ def entry_lines(lines: DataFrame, value: str = "value", file_col: str = "file_pa
     split = [file_col, block_col]
     head = parse.is_entry_head(value)
     rows = lines.select(*split, pos_col, value, F.when(head, F.lit(1)).otherwise(F.lit(0)).alias("_head"))
-    blocks = (lines.select(*split, pos_col, head.alias("_is_head")).groupBy(*split)
-              .agg(F.min(pos_col).alias("_first"), F.count(F.lit(1)).alias("_n"),
-                   F.count_if("_is_head").alias("_heads"), F.max(F.when(F.col("_is_head"), F.col(pos_col))).alias("_last_head")))
-    before = Window.partitionBy(file_col).orderBy(block_col).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_lines_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    blocks = blocks.select(
-        *split, "_first", "_heads", "_lines_before", F.coalesce(F.sum("_heads").over(before), F.lit(0)).alias("_heads_before"),
-        F.max(F.col("_lines_before") + F.col("_last_head") - F.col("_first") + 1).over(before).alias("_open_since"))
+    blocks = _splits(lines, head, file_col, block_col, pos_col)
     inside = Window.partitionBy(*split).orderBy(pos_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = rows.withColumns({"_seen": F.sum("_head").over(inside), "_at": F.max(F.when(F.col("_head") == 1, F.col(pos_col))).over(inside)}) \
         .join(blocks, split)
@@ -330,6 +341,44 @@ def entry_lines(lines: DataFrame, value: str = "value", file_col: str = "file_pa
         F.col(value).alias("value"))
 
 
+def _split_parts(file_col: str, block_col: str, most: int):
+    """Lines in the order of the scan become parts of entries: _own (which of the split's entries, from 1;
+    0: a line before the first, by itself), _part, _from (its first line in the split, from 1), n_lines,
+    _open (whether lines of another split may belong to it) and _text."""
+    columns = [file_col, block_col, "_own", "_part", "_from", "n_lines", "_open", "_text"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        split, own, part, line, held = (None, None), 0, 0, 0, []
+
+        def done(open_: bool) -> tuple:
+            return (*split, own, part, line - len(held) + 1, len(held), open_, b"\n".join(v for v in held if v is not None))
+
+        for batch in batches:
+            out = []
+            for file, block, value, head in zip(batch[file_col], batch[block_col], batch["_value"], batch["_head"]):
+                if block != split[1] or file != split[0]:
+                    if held:
+                        out.append(done(len(held) < most))
+                    split, own, part, line, held = (file, block), 0, 0, 0, []
+                if head:
+                    if held:
+                        out.append(done(False))
+                    own, part, held = own + 1, 0, []
+                elif len(held) == most:
+                    out.append(done(False))
+                    part, held = part + 1, []
+                line += 1
+                held.append(value)
+                if not own:
+                    out.append(done(True))
+                    held = []
+            if out:
+                yield pd.DataFrame(out, columns=columns)
+        if held:
+            yield pd.DataFrame([done(len(held) < most)], columns=columns)
+    return run
+
+
 def stitch_entries(lines: DataFrame, value: str = "value", file_col: str = "file_path",
                    block_col: str = "file_block_start", pos_col: str = "row_pos", most: int = ENTRY_LINES) -> DataFrame:
     """Continuation lines (no timestamp prefix) joined to the entry above.
@@ -339,20 +388,29 @@ def stitch_entries(lines: DataFrame, value: str = "value", file_col: str = "file
     parts of that many; lines before a file's first timestamp belong to no
     entry and stay lines of their own (entry 0, a part each). So no row holds
     more than ``most`` lines, whatever a file looks like, and none is lost.
-    Lines meet inside their split first; only what a split's edge cuts apart
-    is grouped once more.
+    Lines meet in their split, in the order of the scan, and their texts stay in
+    its task. Only a split's first lines that belong to an earlier one, and the
+    part that its last entry ends with, are grouped once more by a shuffle.
     """
-    rows = entry_lines(lines, value, file_col, block_col, pos_col)
-    size = F.when(F.col("entry_no") == 0, F.lit(1)).otherwise(F.lit(most))
-    rows = rows.withColumn("part", F.floor((F.col("entry_line") - 1) / size).cast("bigint"))
-    first = F.min("entry_no").over(Window.partitionBy("file_path", "file_block_start"))
-    rows = rows.withColumn("_edge", (F.col("entry_no") > 0) & (F.col("last_in_split") | (F.col("entry_no") == first)))
+    split = [file_col, block_col]
+    head = F.coalesce(parse.is_entry_head(value), F.lit(False))
+    made = {"_own": "long", "_part": "long", "_from": "long", "n_lines": "long", "_open": "boolean", "_text": "binary"}
+    schema = T.StructType([*[lines.schema[c] for c in split], *[T.StructField(n, T.DataType.fromDDL(t)) for n, t in made.items()]])
+    # Bytes, as lines need not be valid UTF-8.
+    parts = lines.select(*split, F.col(value).cast("binary").alias("_value"), head.alias("_head")).mapInPandas(_split_parts(file_col, block_col, most), schema)
+    # Only splits that don't begin their file have lines before them.
+    blocks = _splits(lines, head, file_col, block_col, pos_col).where(F.col(block_col) > 0) \
+        .select(*split, "_lines_before", "_heads_before", "_open_since")
+    placed = parts.join(checked_broadcast(blocks, SPLITS), split, "left").withColumns({
+        "first_line_no": F.coalesce("_lines_before", F.lit(0)) + F.col("_from"), "entry_no": F.coalesce("_heads_before", F.lit(0)) + F.col("_own")})
+    # A split's first lines, each by itself: part of an earlier entry, or of none.
+    before = F.floor((F.col("first_line_no") - F.coalesce("_open_since", F.lit(1))) / F.when(F.col("entry_no") == 0, F.lit(1)).otherwise(F.lit(most)))
+    rows = placed.select(
+        F.col(file_col).alias("file_path"), "entry_no", F.when(F.col("_own") == 0, before).otherwise(F.col("_part")).cast("bigint").alias("part"),
+        "first_line_no", "n_lines", F.col("_text").cast("string").alias("text"), (F.col("_open") & (F.col("entry_no") > 0)).alias("_edge"))
     keys = ["file_path", "entry_no", "part"]
-    parts = rows.groupBy("file_path", "file_block_start", "entry_no", "part", "_edge").agg(
-        F.min("line_no").alias("first_line_no"), F.count(F.lit(1)).alias("n_lines"),
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "value"))), lambda p: p["value"]), "\n").alias("text"))
-    whole = parts.where(~F.col("_edge")).select(*keys, "first_line_no", "n_lines", "text")
-    cut_apart = parts.where("_edge").groupBy(*keys).agg(
+    whole = rows.where(~F.col("_edge")).drop("_edge")
+    cut_apart = rows.where("_edge").groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("first_line_no", "n_lines", "text"))).alias("p")).select(
         *keys, F.col("p")[0]["first_line_no"].alias("first_line_no"),
         F.aggregate("p", F.lit(0).cast("bigint"), lambda n, x: n + x["n_lines"]).alias("n_lines"), F.array_join("p.text", "\n").alias("text"))
