@@ -69,7 +69,9 @@ def _narrowed(rows: DataFrame, state: DataFrame, names: Sequence[str]) -> DataFr
     n = len(some)
     counts = [F.count_if(F.col("_v") < F.get("_some", F.lit(i))).alias(f"_lt{i}") for i in range(n)] \
         + [F.count_if(F.col("_v") <= F.get("_some", F.lit(i))).alias(f"_le{i}") for i in range(n)]
-    counted = _left(rows, tried, names).groupBy(*names, "_target", "_lo", "_hi", "_below", "_in").agg(F.first("_some").alias("_some"), *counts)
+    # Numbers alone are aggregated: with the array of values among the buffers Spark would sort all rows first.
+    per_group = _left(rows, tried, names).groupBy(*names).agg(*counts)
+    counted = _join(tried, per_group, names)
     values = F.array(*[F.struct(F.get("_some", F.lit(i)).alias("v"), (F.col("_below") + F.col(f"_lt{i}")).alias("lt"),
                                 (F.col("_below") + F.col(f"_le{i}")).alias("le")) for i in range(n)])
     with_values = counted.withColumn("_c", F.filter(values, lambda c: c["v"].isNotNull()))
