@@ -12,12 +12,13 @@ across windows from a document's first token to its end token.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,10 +30,13 @@ CLASSES = 96
 EMBED = 12
 HIDDEN = 16
 LANES = 512  # documents trained side by side
-WINDOW = 32  # steps that training goes back
+WINDOW = 32  # steps that training goes back, at least
 SCORE_LANES = 512
-SCORE_WINDOW = 16
+SCORE_WINDOW = 32
 CELLS = 1 << 21  # ids laid out side by side at once
+BLOCK = 512  # states whose classes are weighed at once, so that they stay in the cache
+SAFE = 60.0  # logits that exp takes in single precision without a shift
+TEXTS = 16 << 20  # characters of text cut into words at once
 ROUNDS = 2
 RATE = 0.02
 CLIP = 5.0
@@ -40,22 +44,35 @@ KNOWN = 200_000  # most frequent words that travel with the tasks; the rest is j
 FLUSH = 400_000  # words counted before a task passes them on
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """The words of a whole text, A-Z lower-cased; bytes split on ASCII white space only."""
-    return (text or "").encode().lower().split()
+def words_of(texts: Sequence[str | None]) -> tuple[pa.Array, np.ndarray]:
+    """The words of whole texts, one text after the other and END after each, and where each text's begin.
+
+    A-Z are lower-cased; texts are split on ASCII white space only. A blank that
+    closes a text makes the split end in an empty string, which is END.
+    """
+    plain = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(pa.array(texts, pa.string()), "")))
+    closing = pc.if_else(pc.equal(plain, ""), "", " ")
+    lists = pc.ascii_split_whitespace(pc.binary_join_element_wise(plain, closing, ""))
+    return lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+
+
+def _summed(parts: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    seen: Counter[bytes] = Counter()
+    seen: list[pa.Table] = []
     for batch in batches:
-        for text in batch["text"]:
-            seen.update(tokens(text))
-        seen[b""] += len(batch)
-        if len(seen) > FLUSH:
-            yield pd.DataFrame({"word": [w.decode() for w in seen], "n": list(seen.values())})
-            seen = Counter()
+        texts = batch["text"].tolist()
+        for a, b in byte_batches(texts, TEXTS):
+            found = pc.value_counts(words_of(texts[a:b])[0])
+            seen.append(pa.table({"word": found.field(0), "n": found.field(1)}))
+            if sum(map(len, seen)) > FLUSH:
+                seen = [_summed(seen)]
+                if len(seen[0]) > FLUSH:
+                    yield seen.pop().to_pandas()
     if seen:
-        yield pd.DataFrame({"word": [w.decode() for w in seen], "n": list(seen.values())})
+        yield _summed(seen).to_pandas()
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -121,132 +138,202 @@ class Network:
             at += n
         return out
 
-    def step(self, inputs: np.ndarray, h: np.ndarray, kept: tuple[np.ndarray, ...] | None = None) -> tuple:
-        """One step; ``inputs`` are rows of x @ wx + b. Returns the new state and ``kept``, which
-        takes what going back needs: the gates, the candidate and its recurrent part."""
+    def unit(self) -> np.ndarray:
+        """One step's weights as one matrix. It takes columns of an input, a 1 and a state; its rows
+        give both gates, the candidate's part from the input and that from the state."""
+        w, d, e = self.w, self.hidden, self.w["wx"].shape[0]
+        a = np.zeros((4 * d, e + 1 + d), self.flat.dtype)
+        a[:3 * d, :e], a[:3 * d, e] = w["wx"].T, w["b"]
+        a[:2 * d, e + 1:], a[3 * d:, e + 1:] = w["wh"][:, :2 * d].T, w["wh"][:, 2 * d:].T
+        return a
+
+    def halved(self) -> np.ndarray:
+        """``unit`` as ``advance`` takes it: the gates' rows halved, as a sigmoid is (1 + tanh(x / 2)) / 2."""
+        a = self.unit()
+        a[:2 * self.hidden] *= 0.5
+        return a
+
+    def advance(self, raw: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """The states, in columns, after ``h``. ``raw`` is ``halved`` times the step's columns; what going
+        back needs takes its place: the gates, the candidate and its recurrent part."""
         d = self.hidden
-        rec = h @ self.w["wh"]
-        gates = inputs[:, :2 * d] + rec[:, :2 * d]
-        np.negative(gates, out=gates)
-        np.exp(gates, out=gates)
+        gates, cand = raw[:2 * d], raw[2 * d:3 * d]
+        np.tanh(gates, out=gates)
         gates += 1
-        np.reciprocal(gates, out=gates)
-        cand = gates[:, d:] * rec[:, 2 * d:]
-        cand += inputs[:, 2 * d:]
+        gates *= 0.5
+        cand += gates[d:] * raw[3 * d:]
         np.tanh(cand, out=cand)
-        if kept is not None:
-            kept[0][:], kept[1][:], kept[2][:] = gates, cand, rec[:, 2 * d:]
         out = cand - h
-        out *= gates[:, :d]
+        out *= gates[:d]
         out += h
-        return out, kept
+        return out
 
-    def _by_class(self, target: np.ndarray):
-        """Class of each target, and (first id, end, rows) of every class of several words that occurs."""
-        of = self.classes[target]
-        order = np.argsort(of, kind="stable")
-        edges = np.searchsorted(of[order], np.arange(len(self.v.starts)))
-        groups = [(a, b, order[edges[c]:edges[c + 1]]) for c, (a, b) in enumerate(zip(self.v.starts[:-1], self.v.starts[1:]))
-                  if b - a > 1 and edges[c + 1] > edges[c]]
-        return of, groups
+    def step(self, inputs: np.ndarray, h: np.ndarray) -> tuple:
+        """One step over rows; ``inputs`` are rows of x @ wx + b. Returns the new states and what ``advance`` keeps."""
+        d = self.hidden
+        rec = (h @ self.w["wh"]).T
+        raw = np.concatenate([(inputs.T[:2 * d] + rec[:2 * d]) / 2, inputs.T[2 * d:], rec[2 * d:]])
+        return self.advance(raw, h.T).T, raw
+
+    def outputs(self) -> tuple[np.ndarray, np.ndarray, bool]:
+        """Weights of classes and of words in columns with their biases as last row, and whether logits may
+        be large: states lie between -1 and 1, so the sum of a column's absolute weights bounds its logit."""
+        cw = np.concatenate([self.w["cw"], self.w["cb"][None]])
+        ow = np.concatenate([self.w["ow"].T, self.w["ob"][None]])
+        return cw, ow, max(float(np.abs(cw).sum(axis=0).max()), float(np.abs(ow).sum(axis=0).max())) > SAFE
+
+    def _by_word(self, target: np.ndarray, some: np.ndarray | None = None):
+        """Positions (``some``, or all) in order of their target's id, so of its class too; those targets, their
+        classes, and (first id, end, from, to) of every class of several words that occurs."""
+        ids = target if some is None else target[some]
+        order = np.argsort(ids.astype(np.uint16) if self.v.size <= 1 << 16 else ids, kind="stable")
+        ids = ids[order]
+        edges = np.searchsorted(ids, self.v.starts)
+        groups = [(a, b, i, j) for a, b, i, j in zip(*(x.tolist() for x in (self.v.starts[:-1], self.v.starts[1:], edges[:-1], edges[1:])))
+                  if b - a > 1 and j > i]
+        return order if some is None else some[order], ids, self.classes[ids], groups
 
     def log_p(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Natural log probability of each target id after each state: its class, then the word in it.
+        """Natural log probability of each target id after each state: its class, then the word in it."""
+        return self.log_p_after(np.concatenate([h, np.ones((len(h), 1), h.dtype)], axis=1), target)
+
+    def log_p_after(self, states: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """``log_p`` of states with a last column of ones."""
+        cw, ow, large = self.outputs()
+        order, ids, of, groups = self._by_word(target)
+        some, found = np.take(states, order, axis=0), np.empty(len(order), states.dtype)
+        for i in range(0, len(order), BLOCK):
+            found[i:i + BLOCK] = _picked(some[i:i + BLOCK] @ cw, of[i:i + BLOCK], large)
+        for a, b, i, j in groups:
+            found[i:j] += _picked(some[i:j] @ ow[:, a:b], ids[i:j] - a, large)
+        out = np.empty_like(found)
+        out[order] = found
+        return out
 
-        Logits stand in columns, so that sums run over long contiguous rows.
+    def loss_gradient(self, states: np.ndarray, target: np.ndarray, g: dict[str, np.ndarray], real: np.ndarray | None = None) -> np.ndarray:
+        """Adds the output weights' gradients of the summed loss to ``g``; returns the states' gradient.
+
+        States have a last column of ones. Those not in ``real`` have no loss.
         """
-        w, ht = self.w, np.ascontiguousarray(h.T)
-        of, groups = self._by_class(target)
-        logits = w["cw"].T @ ht + w["cb"][:, None]
-        out = logits[of, np.arange(len(of))] - _log_sum(logits)
-        for a, b, rows in groups:
-            inner = w["ow"][a:b] @ ht[:, rows] + w["ob"][a:b, None]
-            out[rows] += inner[target[rows] - a, np.arange(len(rows))] - _log_sum(inner)
+        w, d = self.w, self.hidden
+        cw, ow, large = self.outputs()
+        order, ids, of, groups = self._by_word(target, real)
+        some, dsome = np.take(states, order, axis=0), np.empty((len(order), d), states.dtype)
+        back, dcw = np.ascontiguousarray(w["cw"].T), np.zeros_like(cw)
+        for i in range(0, len(order), BLOCK):
+            dsome[i:i + BLOCK] = _gradient(some[i:i + BLOCK], cw, back, of[i:i + BLOCK], dcw, large)
+        g["cw"] += dcw[:d]
+        g["cb"] += dcw[d]
+        dow = np.zeros_like(ow)
+        for a, b, i, j in groups:
+            dsome[i:j] += _gradient(some[i:j], ow[:, a:b], w["ow"][a:b], ids[i:j] - a, dow[:, a:b], large)
+        g["ow"] += dow[:d].T
+        g["ob"] += dow[d]
+        out = np.zeros((len(target), d), states.dtype)
+        out[order] = dsome
         return out
 
-    def loss_gradient(self, h: np.ndarray, target: np.ndarray, g: dict[str, np.ndarray]) -> np.ndarray:
-        """Adds the output weights' gradients of the summed loss to ``g``; returns the states' gradient."""
-        w, ht = self.w, np.ascontiguousarray(h.T)
-        of, groups = self._by_class(target)
-        p = _softmax(w["cw"].T @ ht + w["cb"][:, None])
-        p[of, np.arange(len(of))] -= 1
-        g["cw"] += ht @ p.T
-        g["cb"] += p.sum(axis=1)
-        dh = w["cw"] @ p
-        for a, b, rows in groups:
-            some = ht[:, rows]
-            q = _softmax(w["ow"][a:b] @ some + w["ob"][a:b, None])
-            q[target[rows] - a, np.arange(len(rows))] -= 1
-            g["ow"][a:b] += q @ some.T
-            g["ob"][a:b] += q.sum(axis=1)
-            dh[:, rows] += w["ow"][a:b].T @ q
-        return dh.T
-
     def window(self, previous: np.ndarray, target: np.ndarray, fresh: np.ndarray, h: np.ndarray, g: dict[str, np.ndarray],
                real: np.ndarray | None = None) -> np.ndarray:
         """Forward and truncated backward over (steps, lanes); adds gradients to ``g`` and returns the last state.
 
         ``fresh`` marks steps that begin a document: the state before them is zero.
         ``real`` marks steps that hold a token, all by default: no other, at a lane's end, has a loss.
+        Inside, lanes are columns, so that gates are contiguous; states go to the output weights as rows.
         """
-        w, d = self.w, self.hidden
+        w, d, kind = self.w, self.hidden, self.flat.dtype
         steps, lanes = previous.shape
-        x = w["x"][previous]
-        inputs = x @ w["wx"] + w["b"]
-        kind = inputs.dtype
-        before, states, cand, rec = (np.empty((steps, lanes, d), kind) for _ in range(4))
-        gates = np.empty((steps, lanes, 2 * d), kind)
-        begins = [np.flatnonzero(f) for f in fresh]
+        e = w["x"].shape[1]
+        given = np.empty((steps, e + 1 + d, lanes), kind)
+        for k, unit in enumerate(np.ascontiguousarray(w["x"].T)):
+            given[:, k] = unit.take(previous)
+        given[:, e] = 1
+        kept = np.empty((steps, 4 * d, lanes), kind)
+        states = np.empty((steps, lanes, d + 1), kind)
+        states[:, :, d] = 1
+        begins = {int(t): np.flatnonzero(fresh[t]) for t in np.flatnonzero(fresh.any(axis=1))}
+        forward, h = self.halved(), h.T
         for t in range(steps):
-            before[t] = h
-            before[t, begins[t]] = 0
-            h, _ = self.step(inputs[t], before[t], (gates[t], cand[t], rec[t]))
-            states[t] = h
-        all_, flat_target = states.reshape(-1, d), target.reshape(-1)
-        if real is None or real.all():
-            dstates = self.loss_gradient(all_, flat_target, g).reshape(steps, lanes, d)
-        else:
-            dstates, some = np.zeros_like(all_), real.reshape(-1)
-            dstates[some] = self.loss_gradient(all_[some], flat_target[some], g)
-            dstates = dstates.reshape(steps, lanes, d)
-        # What a state's gradient is multiplied with on its way to the gates, for all steps at once.
-        z, r = gates[:, :, :d], gates[:, :, d:]
-        to_z, to_cand = (cand - before) * z * (1 - z), z * (1 - cand * cand)
-        to_r, stay = to_cand * rec * r * (1 - r), 1 - z
-        to_rec = to_cand * r
-        dinputs, drec = np.empty_like(inputs), np.empty_like(inputs)
-        back, dh = np.ascontiguousarray(w["wh"].T), np.zeros((lanes, d), kind)
-        for t in range(steps - 1, -1, -1):
-            dh += dstates[t]
-            np.multiply(dh, to_z[t], out=drec[t, :, :d])
-            np.multiply(dh, to_r[t], out=drec[t, :, d:2 * d])
-            np.multiply(dh, to_rec[t], out=drec[t, :, 2 * d:])
-            np.multiply(dh, to_cand[t], out=dinputs[t, :, 2 * d:])
-            dh *= stay[t]
-            dh += drec[t] @ back
-            dh[begins[t]] = 0
-        dinputs[:, :, :2 * d] = drec[:, :, :2 * d]
-        g["wh"] += before.reshape(-1, d).T @ drec.reshape(-1, 3 * d)
-        flat = dinputs.reshape(-1, 3 * d)
-        g["b"] += flat.sum(axis=0)
-        g["wx"] += x.reshape(-1, x.shape[-1]).T @ flat
-        # Summed by word first: the embeddings' gradient is linear in the inputs'.
-        where = previous.reshape(-1)
-        order = np.argsort(where, kind="stable")
-        first = np.flatnonzero(np.diff(where[order], prepend=-1))
-        g["x"][where[order][first]] += np.add.reduceat(flat[order], first, axis=0) @ w["wx"].T
-        return h
-
-
-def _log_sum(a: np.ndarray) -> np.ndarray:
-    top = a.max(axis=0)
-    return top + np.log(np.exp(a - top).sum(axis=0))
-
-
-def _softmax(a: np.ndarray) -> np.ndarray:
-    e = np.exp(a - a.max(axis=0))
-    e /= e.sum(axis=0)
-    return e
+            before = given[t, e + 1:]
+            before[:] = h
+            if t in begins:
+                before[:, begins[t]] = 0
+            np.matmul(forward, given[t], out=kept[t])
+            h = self.advance(kept[t], before)
+            states[t, :, :d] = h.T
+        dstates = self.loss_gradient(states.reshape(-1, d + 1), target.reshape(-1), g, None if real is None or real.all() else np.flatnonzero(real))
+        dstates, dx = dstates.reshape(steps, lanes, d), np.empty((e, steps, lanes), kind)
+        back, dunit, dh = np.ascontiguousarray(self.unit().T), np.zeros((4 * d, e + 1 + d), kind), np.zeros((d, lanes), kind)
+        several = max(1, 4 * BLOCK // lanes)  # steps gone back over at once
+        for end in range(steps, 0, -several):
+            start = max(end - several, 0)
+            part, before = kept[start:end], given[start:end, e + 1:]
+            z, r, cand, rec = (part[:, i * d:(i + 1) * d] for i in range(4))
+            # What a state's gradient is multiplied with on its way to both gates and the candidate's two parts.
+            to = np.empty_like(part)
+            to_z, to_r, to_cand, to_rec = (to[:, i * d:(i + 1) * d] for i in range(4))
+            stay = 1 - z
+            np.multiply(cand, cand, out=to_cand)
+            np.subtract(1, to_cand, out=to_cand)
+            to_cand *= z
+            np.multiply(to_cand, r, out=to_rec)
+            np.subtract(1, r, out=to_r)
+            to_r *= rec
+            to_r *= to_rec
+            np.subtract(cand, before, out=to_z)
+            to_z *= z
+            to_z *= stay
+            for t in range(end - 1, start - 1, -1):
+                dh += dstates[t].T
+                one = to[t - start]
+                every = one.reshape(4, d, lanes)
+                every *= dh
+                dgiven = back @ one
+                dx[:, t] = dgiven[:e]
+                dh *= stay[t - start]
+                dh += dgiven[e + 1:]
+                if t in begins:
+                    dh[:, begins[t]] = 0
+                if lanes >= BLOCK // 4:
+                    dunit += one @ given[t].T
+            if lanes < BLOCK // 4:
+                dunit += to.transpose(1, 0, 2).reshape(4 * d, -1) @ given[start:end].transpose(1, 0, 2).reshape(e + 1 + d, -1).T
+        g["wx"] += dunit[:3 * d, :e].T
+        g["b"] += dunit[:3 * d, e]
+        g["wh"][:, :2 * d] += dunit[:2 * d, e + 1:].T
+        g["wh"][:, 2 * d:] += dunit[3 * d:, e + 1:].T
+        order, ids, _, _ = self._by_word(previous.reshape(-1))
+        first = np.flatnonzero(np.diff(ids, prepend=-1))
+        g["x"][ids[first]] += np.add.reduceat(np.take(dx.reshape(e, -1), order, axis=1), first, axis=1).T
+        return h.T
+
+
+def _picked(logits: np.ndarray, which: np.ndarray, large: bool) -> np.ndarray:
+    """Log of the softmax over each row, at column ``which`` of it; overwrites ``logits``."""
+    if large:
+        logits -= logits.max(axis=1, keepdims=True)
+    n, columns = logits.shape
+    out = logits.reshape(-1).take(np.arange(0, n * columns, columns) + which)
+    np.exp(logits, out=logits)
+    return out - np.log(logits @ np.ones(columns, logits.dtype))
+
+
+def _gradient(states: np.ndarray, weights: np.ndarray, back: np.ndarray, which: np.ndarray, g: np.ndarray, large: bool) -> np.ndarray:
+    """Gradient for ``states`` of the loss of a softmax over columns of ``weights`` with targets ``which``; the
+    weights' is added to ``g``. ``back`` holds the weights in rows, without the biases."""
+    p = states @ weights
+    if large:
+        p -= p.max(axis=1, keepdims=True)
+    np.exp(p, out=p)
+    n, columns = p.shape
+    total = p @ np.ones(columns, p.dtype)
+    p.reshape(-1)[np.arange(0, n * columns, columns) + which] -= total
+    # Dividing by the total is left to the narrower sides of the products.
+    share = np.reciprocal(total)[:, None]
+    g += (states * share).T @ p
+    out = p @ back
+    out *= share
+    return out
 
 
 class Trainer:
@@ -254,10 +341,12 @@ class Trainer:
 
     def __init__(self, network: Network, lanes: int = LANES, window: int = WINDOW, rate: float = RATE):
         self.net, self.lanes, self.window, self.rate = network, lanes, window, rate
+        self.end = network.v.ids.get(b"", 0)
         self.queue: list[np.ndarray] = []
         self.lane = [(np.empty(0, np.int64), 0)] * lanes
+        self.last = np.zeros(lanes, np.int64)  # ids before the next step
         self.h = np.zeros((lanes, network.hidden), np.float32)
-        self.m, self.s = np.zeros_like(network.flat), np.zeros_like(network.flat)
+        self.grad, self.m, self.s = (np.zeros_like(network.flat) for _ in range(3))
         self.updates = self.tokens = 0
 
     def add(self, document: np.ndarray) -> None:
@@ -272,60 +361,91 @@ class Trainer:
             self._window()
 
     def _window(self) -> None:
-        end = self.net.v.ids.get(b"", 0)
-        previous = np.full((self.window, self.lanes), end)
-        target = np.zeros((self.window, self.lanes), np.int64)
-        fresh = np.zeros((self.window, self.lanes), bool)
-        real = np.zeros((self.window, self.lanes), bool)
-        for lane in range(self.lanes):
+        """One update. Lanes that are left when others ran out of documents get longer windows, so
+        that an update still rests on as many tokens and long documents at the end cost few of them."""
+        rows, steps = list(range(self.lanes)), self.window
+        if not self.queue:
+            left = [len(document) - done for document, done in self.lane]
+            rows = [lane for lane in rows if left[lane]]
+            steps = min(max(left), max(steps, self.window * self.lanes // max(len(rows), 1)))
+        filled, begins, parts, none = [], [], [], np.zeros(steps, np.int64)
+        for row, lane in enumerate(rows):
+            document, done = self.lane[lane]
             at = 0
-            while at < self.window:
-                document, done = self.lane[lane]
+            while at < steps:
                 if done == len(document):
                     if not self.queue:
+                        parts.append(none[at:])
                         break
                     document, done = self.queue.pop(), 0
-                part = document[done:done + self.window - at]
-                target[at:at + len(part), lane] = part
-                if done == 0:
-                    fresh[at, lane] = True
-                previous[at + (done == 0):at + len(part), lane] = document[max(done - 1, 0):done + len(part) - 1]
-                self.lane[lane] = (document, done + len(part))
+                    begins.append(row * steps + at)
+                part = document[done:done + steps - at]
+                parts.append(part)
+                done += len(part)
                 at += len(part)
-            real[:at, lane] = True
-        rows = np.flatnonzero(real[0])  # the others ran out of documents
-        if not len(rows):
+            self.lane[lane] = document, done
+            filled.append(at)
+        if not any(filled):
             return
-        grad = np.zeros_like(self.net.flat)
-        self.h[rows] = self.net.window(previous[:, rows], target[:, rows], fresh[:, rows], self.h[rows], self.net.views(grad), real[:, rows])
-        self.updates += 1
+        target, filled = np.concatenate(parts).reshape(-1, steps), np.array(filled)
+        fresh = np.zeros(target.shape, bool)
+        fresh.reshape(-1)[begins] = True
+        previous = np.concatenate([self.last[rows][:, None], target[:, :-1]], axis=1)
+        previous[fresh] = self.end
+        real = np.arange(steps) < filled[:, None]
+        some = np.flatnonzero(filled)  # the others ran out of documents
+        rows = np.array(rows)[some]
+        self.last[rows] = target[some, filled[some] - 1]
+        previous, target, fresh, real = (np.ascontiguousarray(x[some].T) for x in (previous, target, fresh, real))
+        self.grad[:] = 0
+        self.h[rows] = self.net.window(previous, target, fresh, self.h[rows], self.net.views(self.grad), real)
         self.tokens += int(real.sum())
-        grad /= real.size  # a token weighs the same in a window that is not full
-        norm = float(np.linalg.norm(grad))
-        if norm > CLIP:
-            grad *= CLIP / norm
-        self.m += 0.1 * (grad - self.m)
-        self.s += 0.001 * (grad * grad - self.s)
-        m, s = self.m / (1 - 0.9 ** self.updates), self.s / (1 - 0.999 ** self.updates)
-        self.net.flat -= (self.rate * m / (np.sqrt(s) + 1e-8)).astype(np.float32)
+        self._update(1 / (self.window * self.lanes))  # a token weighs the same in a window that is not full
+
+    def _update(self, scale: float) -> None:
+        self.updates += 1
+        norm = float(np.linalg.norm(self.grad)) * scale
+        scale *= min(1.0, CLIP / max(norm, CLIP))
+        to_m, to_s = self.rate / (1 - 0.9 ** self.updates), (1 - 0.999 ** self.updates) ** -0.5
+        for i in range(0, len(self.grad), 1 << 14):  # a part at a time stays in the cache
+            g, m, s = (x[i:i + (1 << 14)] for x in (self.grad, self.m, self.s))
+            g *= scale
+            m *= 0.9
+            m += 0.1 * g
+            g *= g
+            g *= 0.001
+            s *= 0.999
+            s += g
+            np.sqrt(s, out=g)
+            g *= to_s
+            g += 1e-8
+            np.divide(m, g, out=g)
+            g *= to_m
+            self.net.flat[i:i + (1 << 14)] -= g
 
 
 def _train(v: Vocabulary, start: np.ndarray):
     """One replica per task: its weights as one array, and how many tokens it saw."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trainer = Trainer(Network(v, start))
-        get = v.ids.get
+        trainer, inner = Trainer(Network(v, start)), pa.array([w.decode() for w in v.ids], pa.string())
         for batch in batches:
-            for text in batch["text"]:
-                words = tokens(text)
-                words.append(b"")
-                trainer.add(np.fromiter(map(get, words, repeat(0)), dtype=np.int64, count=len(words)))
+            texts = batch["text"].tolist()
+            for a, b in byte_batches(texts, TEXTS):
+                words, starts = words_of(texts[a:b])
+                ids = _found(words, inner) + 1
+                for i, j in zip(starts[:-1].tolist(), starts[1:].tolist()):
+                    trainer.add(ids[i:j])
         trainer.finish()
         if trainer.tokens:
             yield pd.DataFrame({"weights": [trainer.net.flat.astype(np.float64).tolist()], "tokens": [trainer.tokens]})
     return run
 
 
+def _found(words: pa.Array, among: pa.Array) -> np.ndarray:
+    """Where each word stands in ``among``; -1 if it doesn't."""
+    return pc.fill_null(pc.index_in(words, value_set=among), -1).to_numpy().astype(np.int64)
+
+
 @dataclass
 class Model:
     """Counts and network. ``counts`` has every training word, ``known`` the most frequent
@@ -394,37 +514,48 @@ def fit(docs: DataFrame, text: str = "text", words: int = WORDS, rounds: int = R
 def network_scores(net: Network, documents: list[np.ndarray], lanes: int = SCORE_LANES, window: int = SCORE_WINDOW) -> np.ndarray:
     """Log10 probability of each whole id sequence; documents of like length run side by side.
 
-    The state runs through a document window by window; nothing is cut off.
-    Long documents share fewer lanes, so that memory holds CELLS ids, or one
-    document, and the states of one window.
+    The state runs through a document step by step; nothing is cut off. Ids lie in order
+    of steps, without gaps where shorter documents have ended. Output weights meet the states of
+    as many steps at once as make about ``lanes`` * ``window`` of them. Memory holds CELLS ids, or one document.
     """
     out = np.zeros(len(documents))
     length = np.array([len(d) for d in documents], dtype=np.int64)
     order = np.argsort(-length, kind="stable")
-    end = net.v.ids.get(b"", 0)
-    table = net.w["x"] @ net.w["wx"] + net.w["b"]
+    total = np.concatenate([[0], np.cumsum(length[order])])
+    end, d = net.v.ids.get(b"", 0), net.hidden
+    units, forward = np.ascontiguousarray(net.w["x"].T), net.halved()
+    e, kind = len(units), net.flat.dtype
     done = 0
     while done < len(order):
-        longest = int(length[order[done]])
-        group = order[done:done + max(1, min(lanes, CELLS // max(longest, 1)))]
+        most = int(np.searchsorted(total, total[done] + CELLS, side="right")) - 1 - done
+        group = order[done:done + max(1, min(lanes, most))]
         done += len(group)
         size = length[group]  # falling
-        ids = np.zeros((longest, len(group)), dtype=np.int32)
+        longest = int(size[0])
+        live = np.searchsorted(-size, -np.arange(longest), side="left")  # documents that have such a step
+        starts = np.concatenate([[0], np.cumsum(live)])
+        ids = np.empty(starts[-1], dtype=np.int64)
         for lane, document in enumerate(group):
-            ids[:size[lane], lane] = documents[document]
-        state, last = np.zeros((len(group), net.hidden), np.float32), np.full(len(group), end, dtype=np.int32)
-        for t0 in range(0, longest, window):
-            live = int((size > t0).sum())
-            now = ids[t0:t0 + window, :live]
-            before = np.concatenate([last[None, :live], now[:-1]])
-            state, states = state[:live], np.empty((len(now), live, net.hidden), np.float32)
-            for t in range(len(now)):
-                state, _ = net.step(table[before[t]], state)
-                states[t] = state
-            last = now[-1]
-            p = net.log_p(states.reshape(-1, net.hidden), now.reshape(-1)).reshape(now.shape)
-            real = np.arange(t0, t0 + len(now))[:, None] < size[:live]
-            out[group[:live]] += np.where(real, p, 0.0).sum(axis=0, dtype=np.float64)
+            ids[starts[:size[lane]] + lane] = documents[document]
+        before = np.full(len(ids), end)
+        for t in range(1, longest):
+            before[starts[t]:starts[t + 1]] = ids[starts[t - 1]:starts[t - 1] + live[t]]
+        h, sums, t = np.zeros((d, len(group)), kind), np.zeros(len(group)), 0
+        while t < longest:
+            upto = min(longest, max(t + 1, int(np.searchsorted(starts, starts[t] + lanes * window, side="right")) - 1))
+            a, b = int(starts[t]), int(starts[upto])
+            columns, states = np.empty((e + 1, b - a), kind), np.empty((b - a, d + 1), kind)
+            for k in range(e):
+                columns[k] = units[k].take(before[a:b])
+            columns[e], states[:, d] = 1, 1
+            for i, j, n in zip((starts[t:upto] - a).tolist(), (starts[t + 1:upto + 1] - a).tolist(), live[t:upto].tolist()):
+                h = h[:, :n]
+                h = net.advance(forward @ np.concatenate([columns[:, i:j], h]), h)
+                states[i:j, :d] = h.T
+            lane = np.arange(b - a) - np.repeat(starts[t:upto] - a, live[t:upto])
+            sums += np.bincount(lane, weights=net.log_p_after(states, ids[a:b]), minlength=len(group))
+            t = upto
+        out[group] = sums
     return out / np.log(10)
 
 
@@ -445,28 +576,27 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
 
     @F.pandas_udf(_PART)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        get = {w: i for i, (w, _) in enumerate(known)}.get
+        among = pa.array([w.decode() for w, _ in known], pa.string())
         value = np.log10(np.array([*(n for _, n in known), 0.0]) + 0.5)
         value[-1] = 0.0  # of words that are joined later
         inside = np.zeros(len(known) + 1, dtype=np.int64)
         inside[:net.v.size - 1] = np.arange(1, net.v.size)  # the network's words lead the known ones
-        for texts in batches:
-            rows: list[tuple] = []
-            for a, b in byte_batches(texts.tolist()):
-                documents, stats = [], []
-                for t in texts.iloc[a:b]:
-                    words = tokens(t)
-                    words.append(b"")
-                    at = np.fromiter(map(get, words, repeat(-1)), dtype=np.int64, count=len(words))
-                    ids = inside[at]
-                    rest = Counter(words[i] for i in np.flatnonzero(at < 0).tolist())
-                    rare = ids == 0
-                    found = value[at]
-                    documents.append(ids)
-                    stats.append((len(words), len(words) - rest.total(), int(rare.sum()), float(found[~rare].sum()), float(found[rare].sum()),
-                                  [w.decode() for w in rest], list(rest.values())))
-                scores = network_scores(net, documents)
-                rows += [(*s[:5], float(x), *s[5:]) for s, x in zip(stats, scores)]
+        for batch in batches:
+            texts, rows = batch.tolist(), []
+            for a, b in byte_batches(texts, TEXTS):
+                words, starts = words_of(texts[a:b])
+                at = _found(words, among)
+                ids, found, others = inside[at], value[at], np.flatnonzero(at < 0)
+                rare = ids == 0
+                # No text is without a word, as each has its end: every sum is over some.
+                n_rare, vocabulary_sum, rare_sum = (np.add.reduceat(x, starts[:-1]) for x in (
+                    rare.astype(np.int64), np.where(rare, 0.0, found), np.where(rare, found, 0.0)))
+                scores = network_scores(net, [ids[i:j] for i, j in zip(starts[:-1], starts[1:])])
+                names, edges = words.take(pa.array(others)).to_pylist(), np.searchsorted(others, starts).tolist()
+                for i, n in enumerate(np.diff(starts).tolist()):
+                    rest = Counter(names[edges[i]:edges[i + 1]])
+                    rows.append((n, n - rest.total(), int(n_rare[i]), float(vocabulary_sum[i]), float(rare_sum[i]), float(scores[i]),
+                                 list(rest), list(rest.values())))
             yield pd.DataFrame(rows, columns=_PART.names)
 
     extra = keep or {}

@@ -169,3 +169,32 @@ def test_no_training_rows(spark):
 def test_held_out_text_is_more_probable_than_under_the_base(spark):
     got = queries.recurrent_lm(spark, SF_SMALL).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > got[1]
+
+
+def test_words_of_odd_texts():
+    texts = [None, "", " \n\t ", "a", "  A\x0b\x0cb \x1fC\r\nd\x85e ", "É KK　x\x1cy \xa0", "x\x00y  z", *(r[1] for r in ODD)]
+    found, starts = L.words_of(texts)
+    want = [[w.decode() for w in (t or "").encode().lower().split()] + [L.END] for t in texts]
+    assert [found[i:j].to_pylist() for i, j in zip(starts.tolist(), starts.tolist()[1:])] == want
+
+
+def test_a_long_document_at_the_end_takes_few_updates():
+    v, rng = small(), np.random.default_rng(11)
+    trainer = L.Trainer(L.Network(v), lanes=8, window=16)
+    for n in [20] * 30 + [8 * 16 * 5]:
+        trainer.add(rng.integers(0, v.size, n))
+    trainer.finish()
+    assert trainer.tokens == 30 * 20 + 8 * 16 * 5 and trainer.updates <= 2 * (trainer.tokens // (8 * 16) + 1)
+
+
+def test_large_logits_stay_finite():
+    v, rng = small(), np.random.default_rng(13)
+    net = shaken(v)
+    net.w["ob"][3], net.w["cb"][1] = 90, -90
+    single = L.Network(v, net.flat, embed=4, hidden=5)
+    texts = [rng.integers(0, v.size, n) for n in (1, 9, 40)]
+    assert L.network_scores(single, texts, lanes=2, window=4) == pytest.approx([slow_score(net, t) for t in texts], rel=1e-4)
+    previous, target = rng.integers(0, v.size, (6, 3)), rng.integers(0, v.size, (6, 3))
+    grad = np.zeros_like(single.flat)
+    single.window(previous, target, np.zeros((6, 3), bool), np.zeros((3, 5), np.float32), single.views(grad))
+    assert np.isfinite(grad).all()
