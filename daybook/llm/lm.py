@@ -32,16 +32,17 @@ HIDDEN = 16
 LANES = 512  # documents trained side by side
 WINDOW = 32  # steps that training goes back, at least
 SCORE_LANES = 512
-SCORE_WINDOW = 32
+SCORE_WINDOW = 64
 CELLS = 1 << 21  # ids laid out side by side at once
 BLOCK = 512  # states whose classes are weighed at once, so that they stay in the cache
 SAFE = 60.0  # logits that exp takes in single precision without a shift
-TEXTS = 16 << 20  # characters of text cut into words at once
+TEXTS = 8 << 20  # characters of text scored at once
+PART = 8192  # weights of all replicas that one task averages
 ROUNDS = 2
 RATE = 0.02
 CLIP = 5.0
 KNOWN = 200_000  # most frequent words that travel with the tasks; the rest is joined
-FLUSH = 400_000  # words counted before a task passes them on
+FLUSH = 400_000  # distinct words counted before a task passes them on
 
 
 def words_of(texts: Sequence[str | None]) -> tuple[pa.Array, np.ndarray]:
@@ -64,10 +65,10 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     seen: list[pa.Table] = []
     for batch in batches:
         texts = batch["text"].tolist()
-        for a, b in byte_batches(texts, TEXTS):
+        for a, b in byte_batches(texts):
             found = pc.value_counts(words_of(texts[a:b])[0])
             seen.append(pa.table({"word": found.field(0), "n": found.field(1)}))
-            if sum(map(len, seen)) > FLUSH:
+            if sum(map(len, seen)) > 4 * FLUSH:  # parts repeat each other's words
                 seen = [_summed(seen)]
                 if len(seen[0]) > FLUSH:
                     yield seen.pop().to_pandas()
@@ -197,9 +198,9 @@ class Network:
         """Natural log probability of each target id after each state: its class, then the word in it."""
         return self.log_p_after(np.concatenate([h, np.ones((len(h), 1), h.dtype)], axis=1), target)
 
-    def log_p_after(self, states: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """``log_p`` of states with a last column of ones."""
-        cw, ow, large = self.outputs()
+    def log_p_after(self, states: np.ndarray, target: np.ndarray, outputs: tuple | None = None) -> np.ndarray:
+        """``log_p`` of states with a last column of ones; ``outputs`` are this network's, if made before."""
+        cw, ow, large = outputs or self.outputs()
         order, ids, of, groups = self._by_word(target)
         some, found = np.take(states, order, axis=0), np.empty(len(order), states.dtype)
         for i in range(0, len(order), BLOCK):
@@ -295,7 +296,9 @@ class Network:
                 if t in begins:
                     dh[:, begins[t]] = 0
                 if lanes >= BLOCK // 4:
-                    dunit += one @ given[t].T
+                    dunit[:3 * d, :e + 1] += one[:3 * d] @ given[t, :e + 1].T
+                    dunit[:2 * d, e + 1:] += one[:2 * d] @ before[t - start].T
+                    dunit[3 * d:, e + 1:] += one[3 * d:] @ before[t - start].T
             if lanes < BLOCK // 4:
                 dunit += to.transpose(1, 0, 2).reshape(4 * d, -1) @ given[start:end].transpose(1, 0, 2).reshape(e + 1 + d, -1).T
         g["wx"] += dunit[:3 * d, :e].T
@@ -430,7 +433,7 @@ def _train(v: Vocabulary, start: np.ndarray):
         trainer, inner = Trainer(Network(v, start)), pa.array([w.decode() for w in v.ids], pa.string())
         for batch in batches:
             texts = batch["text"].tolist()
-            for a, b in byte_batches(texts, TEXTS):
+            for a, b in byte_batches(texts):
                 words, starts = words_of(texts[a:b])
                 ids = _found(words, inner) + 1
                 for i, j in zip(starts[:-1].tolist(), starts[1:].tolist()):
@@ -441,6 +444,12 @@ def _train(v: Vocabulary, start: np.ndarray):
     return run
 
 
+def _mean(replicas: pd.DataFrame) -> pd.DataFrame:
+    """The replicas' mean of one part of the weights, each weighted by its tokens."""
+    weights = np.average(np.stack(replicas["weights"].tolist()), axis=0, weights=replicas["tokens"].to_numpy(np.float64))
+    return pd.DataFrame({"part": replicas["part"].iloc[:1], "weights": [weights]})
+
+
 def _found(words: pa.Array, among: pa.Array) -> np.ndarray:
     """Where each word stands in ``among``; -1 if it doesn't."""
     return pc.fill_null(pc.index_in(words, value_set=among), -1).to_numpy().astype(np.int64)
@@ -503,11 +512,11 @@ def fit(docs: DataFrame, text: str = "text", words: int = WORDS, rounds: int = R
     network = Network(v)
     for _ in range(rounds):
         replicas = texts.mapInPandas(_train(v, network.flat), fields(weights="double[]", tokens="long"))
-        mean = replicas.select("tokens", F.posexplode("weights").alias("i", "w")).groupBy("i").agg(
-            (F.sum(F.col("w") * F.col("tokens")) / F.sum("tokens")).alias("w"))
-        flat = [r["w"] for r in mean.orderBy("i").collect()]
+        mean = replicas.select("tokens", F.posexplode(F.transform(
+            F.sequence(F.lit(1), F.size("weights"), F.lit(PART)), lambda i: F.slice("weights", i, PART))).alias("part", "weights"))
+        flat = [r["weights"] for r in mean.groupBy("part").applyInPandas(_mean, fields(part="int", weights="double[]")).orderBy("part").collect()]
         if flat:
-            network = Network(v, np.array(flat))
+            network = Network(v, np.concatenate(flat))
     return Model(counts, top, sums["n"], sums["kinds"], rare_total, sums["kinds"] - len(inner), network)
 
 
@@ -523,7 +532,7 @@ def network_scores(net: Network, documents: list[np.ndarray], lanes: int = SCORE
     order = np.argsort(-length, kind="stable")
     total = np.concatenate([[0], np.cumsum(length[order])])
     end, d = net.v.ids.get(b"", 0), net.hidden
-    units, forward = np.ascontiguousarray(net.w["x"].T), net.halved()
+    units, forward, outputs = np.ascontiguousarray(net.w["x"].T), net.halved(), net.outputs()
     e, kind = len(units), net.flat.dtype
     done = 0
     while done < len(order):
@@ -553,7 +562,7 @@ def network_scores(net: Network, documents: list[np.ndarray], lanes: int = SCORE
                 h = net.advance(forward @ np.concatenate([columns[:, i:j], h]), h)
                 states[i:j, :d] = h.T
             lane = np.arange(b - a) - np.repeat(starts[t:upto] - a, live[t:upto])
-            sums += np.bincount(lane, weights=net.log_p_after(states, ids[a:b]), minlength=len(group))
+            sums += np.bincount(lane, weights=net.log_p_after(states, ids[a:b], outputs), minlength=len(group))
             t = upto
         out[group] = sums
     return out / np.log(10)
