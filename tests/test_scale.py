@@ -2,7 +2,9 @@
 
 import os
 
+import pytest
 from conftest import SF_SMALL, SF_TINY
+from daybook import session
 from daybook.llm import lm
 from daybook.operators import incremental, percentile
 from daybook.plans import catalog, rendered
@@ -59,6 +61,50 @@ def test_refresh_lists_once_however_many_steps(spark, tmp_path, monkeypatch):
     assert read == 5 and calls == ["listing", "read_logs"] and [tuple(r) for r in rows.collect()] == [("INFO", 5)]
 
 
+@pytest.fixture()
+def a_task_a_file(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = {k: spark.conf.get(k) for k in names}
+    for k in names:
+        spark.conf.set(k, "4096")
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def _small_logs(root, containers):
+    for i in containers:
+        d = root / f"application_1_{i // 3:04d}"
+        d.mkdir(parents=True, exist_ok=True)
+        (d / f"container_1_{i // 3:04d}_01_{i:06d}'s log.log").write_text("17/01/01 00:00:00 INFO a: x\n")
+
+
+def test_small_files_share_tasks(spark, tmp_path, monkeypatch, a_task_a_file):
+    monkeypatch.setattr(session, "LISTERS", 1)
+    most = spark.sparkContext.defaultParallelism * 4
+    _small_logs(tmp_path / "logs", range(most + 8))
+    assert incremental.listing(spark, str(tmp_path / "logs")).rdd.getNumPartitions() == most
+    tasks = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    old = spark.conf.get(tasks)
+    with session.few_listers(spark):
+        assert int(spark.conf.get(tasks)) == most
+    assert spark.conf.get(tasks) == old
+
+
+def test_refresh_reads_all_in_one_step_and_later_only_new_files(spark, tmp_path, monkeypatch, a_task_a_file):
+    root, store, scans, plain = tmp_path / "logs", tmp_path / "store", [], incremental.in_tasks
+    monkeypatch.setattr(incremental, "PATHS", 2)
+    monkeypatch.setattr(incremental, "in_tasks", lambda lines, *a: scans.append(lines.rdd.getNumPartitions()) or plain(lines, *a))
+    _small_logs(root, range(7))
+    assert incremental.level_counts(spark, str(root), str(store))[1] == 7
+    assert scans == [7] and len(os.listdir(store)) == 1  # one step, as nothing was known
+    scans.clear()
+    _small_logs(root, range(7, 12))
+    rows, read = incremental.level_counts(spark, str(root), str(store))
+    assert read == 5 and sum(scans) == 5 and len(scans) > 1  # of twelve files the five new ones are opened
+    assert [tuple(r) for r in rows.collect()] == [("INFO", 12)]
+
+
 def test_narrowing_a_percentile_sorts_no_rows(spark, monkeypatch):
     plans, plain = [], percentile.cut
 
