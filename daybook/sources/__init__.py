@@ -6,6 +6,7 @@ from daybook.sources.parquet import month_paths, read_months, read_parquet
 from daybook.sources.text import (
     expand_manifest,
     in_tasks,
+    listing,
     number_lines,
     read_log_glob,
     read_logs,
@@ -15,6 +16,6 @@ from daybook.sources.text import (
 from daybook.sources.generated import sql_count
 
 __all__ = [
-    "expand_manifest", "in_tasks", "month_paths", "number_lines", "read_drifting", "read_drifting_months", "read_log_glob",
+    "expand_manifest", "in_tasks", "listing", "month_paths", "number_lines", "read_drifting", "read_drifting_months", "read_log_glob",
     "read_logs", "read_manifest_logs", "read_months", "read_parquet", "split_table", "sql_count",
 ]

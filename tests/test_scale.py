@@ -8,7 +8,7 @@ from daybook import session
 from daybook.llm import lm
 from daybook.operators import incremental, percentile
 from daybook.plans import catalog, rendered
-from daybook.sources import number_lines, read_logs
+from daybook.sources import number_lines, read_logs, text
 from pyspark.sql import functions as F
 
 
@@ -105,6 +105,51 @@ def test_refresh_reads_all_in_one_step_and_later_only_new_files(spark, tmp_path,
     assert [tuple(r) for r in rows.collect()] == [("INFO", 12)]
 
 
+def test_a_manifest_of_a_folders_files_is_read_as_the_folder(spark, tmp_path, monkeypatch):
+    root, asked, plain = tmp_path / "my logs", [], text.read_logs
+    _small_logs(root / "a", range(7))
+    _small_logs(root / "b", range(20, 22))
+    keys = [str(p.relative_to(root)) for p in sorted(root.rglob("*.log")) if p.parent.parent.name == "a"]
+    (root / "a" / "note's.txt").write_text("17/01/01 00:00:00 WARN a: not listed\n")
+
+    def rows(many, named=keys):
+        (tmp_path / "manifest.txt").write_text("".join(f" {k}\n\n{k}\n" for k in named))
+        monkeypatch.setattr(text, "MANY", many)
+        lines = text.read_manifest_logs(spark, str(tmp_path / "manifest.txt"), f"{root}/", positions=True)
+        return lines.columns, sorted((r.file_path, r.line_no, r.value) for r in number_lines(lines).collect())
+
+    want = rows(1000)
+    assert len(want[1]) == 7
+    monkeypatch.setattr(text, "read_logs", lambda s, paths, *a, **kw: asked.append(paths) or plain(s, paths, *a, **kw))
+    assert rows(3) == want and asked == [f"{root}/a"]
+    asked.clear()
+    monkeypatch.setattr(text, "OTHERS", 0)
+    assert rows(3) == want and len(asked[0]) == 7  # too many others: the files one by one
+    for odd in ([*keys, "a/nowhere.log"], [*keys, "a"]):
+        assert _outcome(lambda: rows(3, odd)) == _outcome(lambda: rows(1000, odd))
+
+
+def _outcome(f):
+    try:
+        return f()
+    except Exception as e:
+        return type(e).__name__, "PATH_NOT_FOUND" in str(e)
+
+
+def test_files_that_come_after_the_listing_are_no_part_of_a_manifest(spark, tmp_path, monkeypatch):
+    root, plain = tmp_path / "logs", text.read_logs
+    _small_logs(root, range(5))
+    (tmp_path / "manifest.txt").write_text("".join(f"{p.relative_to(root)}\n" for p in root.rglob("*.log")))
+
+    def late(*a, **kw):
+        _small_logs(root, range(5, 9))
+        return plain(*a, **kw)
+
+    monkeypatch.setattr(text, "MANY", 3)
+    monkeypatch.setattr(text, "read_logs", late)
+    assert text.read_manifest_logs(spark, str(tmp_path / "manifest.txt"), str(root)).count() == 5
+
+
 def test_narrowing_a_percentile_sorts_no_rows(spark, monkeypatch):
     plans, plain = [], percentile.cut
 
